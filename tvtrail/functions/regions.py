@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 from tvtrail.schemas import DEFAULT_REGION
@@ -51,19 +49,30 @@ MOBILE_AREAS = {
 }
 
 
-def _starts_with_any(user: Column, prefixes: tuple[str, ...]) -> Column:
-    by_length: dict[int, list[str]] = {}
-    for prefix in dict.fromkeys(prefixes):
-        by_length.setdefault(len(prefix), []).append(prefix)
-    tests = [F.substring(user, 1, n).isin(found) for n, found in by_length.items()]
-    return reduce(lambda a, b: a | b, tests)
+def _literal_map(table: dict[str, object]) -> Column:
+    pairs = ", ".join(f"'{key}', '{value}'" for key, value in table.items())
+    return F.expr(f"map({pairs})")
+
+
+def _lookup(code: Column, table: dict[str, str]) -> Column:
+    return F.coalesce(F.try_element_at(_literal_map(table), code), F.lit(DEFAULT_REGION))
 
 
 def telecom_region(user: Column) -> Column:
-    rule = F
-    for region, prefixes in TELECOM_PREFIXES:
-        rule = rule.when(_starts_with_any(user, prefixes), F.lit(region))
-    return rule.otherwise(F.lit(DEFAULT_REGION))
+    """Region of the first rule one of the id's prefixes belongs to.
+
+    Per prefix length a constant map gives the rule's rank; the least rank wins.
+    """
+    rank: dict[int, dict[str, str]] = {}
+    for place, (_, prefixes) in enumerate(TELECOM_PREFIXES):
+        for prefix in prefixes:
+            rank.setdefault(len(prefix), {}).setdefault(prefix, f"{place:02d}")
+    hits = [
+        F.try_element_at(_literal_map(ranks), F.substring(user, 1, length))
+        for length, ranks in rank.items()
+    ]
+    regions = {f"{place:02d}": region for place, (region, _) in enumerate(TELECOM_PREFIXES)}
+    return _lookup(F.least(*hits), regions)
 
 
 def unicom_region(user: Column, known_area: Column) -> Column:
@@ -78,8 +87,3 @@ def unicom_region(user: Column, known_area: Column) -> Column:
 def mobile_region(area: Column) -> Column:
     """Area codes map to regions; a region id given as area code maps to itself."""
     return _lookup(area, MOBILE_AREAS | {region: region for region in MOBILE_AREAS.values()})
-
-
-def _lookup(code: Column, table: dict[str, str]) -> Column:
-    pairs = [F.lit(part) for pair in table.items() for part in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), code), F.lit(DEFAULT_REGION))

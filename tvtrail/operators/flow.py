@@ -43,12 +43,12 @@ def programme_times(guide: DataFrame) -> DataFrame:
 
 def named_views(views: DataFrame) -> DataFrame:
     """Views longer than 30 s, channel codes replaced by names."""
-    pairs = [F.lit(part) for pair in CHANNELS.items() for part in pair]
+    pairs = ", ".join(f"'{code}', '{name}'" for code, name in CHANNELS.items())
     start, end = to_epoch(F.col("starttime")), to_epoch(F.col("endtime"))
     return views.withColumns({"start_ts": start, "end_ts": end}).where(
         F.col("end_ts") - F.col("start_ts") > MIN_SECONDS
     ).withColumn(
-        "content", F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("content")), F.lit(OTHER))
+        "content", F.coalesce(F.try_element_at(F.expr(f"map({pairs})"), F.col("content")), F.lit(OTHER))
     )
 
 

@@ -73,7 +73,7 @@ def _with_context(rows: DataFrame, hot: HotKeys) -> DataFrame:
 
 def _inferred_end(start: Column, limit: Column) -> Column:
     """End of a start without a stop, from the context at the candidate end."""
-    candidate = F.coalesce(F.col("_next"), F.col("_last"))
+    candidate = F.coalesce(F.col("_start"), F.col("_last"))
     end = candidate["ts"]
     i1, h1, i2, h2, h0 = (candidate["at"][n] for n in ("i1", "h1", "i2", "h2", "h0"))
     assumed = start + ASSUMED_SECONDS
@@ -110,7 +110,7 @@ def sessions(log: DataFrame, hot: HotKeys) -> DataFrame:
     here = F.struct(F.col("ts").alias("ts"), at.alias("at"))
     rows = extremes_after(
         rows, ["user_id"], "ts",
-        nearest={"_next": F.when(F.col("play"), here)},
+        nearest={"_start": F.when(F.col("play"), here)},
         farthest={"_last": F.when(F.col("state") == HEART, here)},
         hot=hot,
     ).drop("_h", "_i", "_hc", "_p")
@@ -123,7 +123,7 @@ def sessions(log: DataFrame, hot: HotKeys) -> DataFrame:
             F.coalesce(F.col("stop_ts"), _inferred_end(start, max_seconds(F.col("state")))),
         )
         .withColumnRenamed("ts", "start_ts")
-        .drop("_next", "_last", "stop_ts", "play")
+        .drop("_start", "_last", "stop_ts", "play")
     )
 
 

@@ -167,14 +167,16 @@ def _telecom_kind(f: Column, code: Column) -> Column:
     )
 
 
-def _layout_columns(f: Column, kind: Column, layout: dict) -> dict[str, Column]:
+def _layout_columns(f: str, kind: str, layout: dict) -> dict[str, Column]:
+    """Each canonical column, read from where the record's kind keeps it."""
     columns = {}
     for name in EVENT_TEXT_COLUMNS:
-        rule = F
-        for record_kind, positions in layout.items():
-            if name in positions:
-                rule = rule.when(kind == record_kind, field(f, positions[name]))
-        columns[name] = F.lit("") if rule is F else rule.otherwise(F.lit(""))
+        rules = [
+            f"WHEN {kind} = '{record_kind}' THEN coalesce(get({f}, {positions[name]}), '')"
+            for record_kind, positions in layout.items()
+            if name in positions
+        ]
+        columns[name] = F.expr(f"CASE {' '.join(rules)} ELSE '' END") if rules else F.lit("")
     columns["is_timeshift"] = F.lit("0")
     return columns
 
@@ -205,7 +207,7 @@ def parse_mobile(lines: DataFrame, platform: str = "HNYD", source_type: str = "s
     """
     records = _records(lines, _mobile_kind, "value", False)
     f, kind = F.col("f"), F.col("kind")
-    columns = _layout_columns(f, kind, MOBILE_LAYOUT)
+    columns = _layout_columns("f", "kind", MOBILE_LAYOUT)
 
     watch = _position(f, F.lit(WATCH))
     shift_word = F.get(f, F.size(f) - 5)
@@ -233,7 +235,7 @@ def parse_mobile(lines: DataFrame, platform: str = "HNYD", source_type: str = "s
 def parse_favourites(lines: DataFrame, platform: str = "HNYD", source_type: str = "sdk") -> DataFrame:
     records = _records(lines, _favourite_kind, "value", False)
     f, kind = F.col("f"), F.col("kind")
-    columns = _layout_columns(f, kind, FAVOURITE_LAYOUT)
+    columns = _layout_columns("f", "kind", FAVOURITE_LAYOUT)
     columns["regionid"] = F.when(kind == INIT, mobile_region(field(f, 14))).otherwise(
         F.lit(DEFAULT_REGION)
     )
@@ -244,7 +246,7 @@ def parse_telecom(lines: DataFrame, platform: str = "HNDX", source_type: str = "
     """Telecom boxes: millisecond times, wider page views."""
     records = _records(lines, _telecom_kind, "value", True)
     f, kind = F.col("f"), F.col("kind")
-    columns = _layout_columns(f, kind, TELECOM_LAYOUT)
+    columns = _layout_columns("f", "kind", TELECOM_LAYOUT)
     columns["regionid"] = F.when(kind == INIT, telecom_region(field(f, 9))).otherwise(
         F.lit(DEFAULT_REGION)
     )

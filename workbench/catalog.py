@@ -1,6 +1,6 @@
 """All registered queries and their SQL."""
 
-from workbench import parse_queries  # noqa: F401
+from workbench import parse_queries, scalar_queries, session_queries  # noqa: F401
 from workbench.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

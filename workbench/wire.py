@@ -2,184 +2,165 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tvtrail.functions.times import DEVICE_FORMAT
-from workbench.frames import AREA_CODES, events, pick, text, version
+from workbench.frames import AREA_CODES, events
 
 PREFIX = "2024-01-01 06:50:19 - 10.0.0.1 - "
+VERSION = "concat('A.', k % 4, '.', k % 3, '.1')"
+CHANNEL, MEDIA, STATUS = "concat('CH', k % 10)", "concat('M', k)", "string(k % 2)"
+NAME, UPLOAD = "concat('media ', k)", "concat('UP', k % 20)"
+AREA = "get(array({}), cast(k % {} as int))".format(
+    ",".join(f"'{c}'" for c in AREA_CODES), len(AREA_CODES)
+)
 
 
-def _row(*fields) -> Column:
-    return F.concat_ws("|", *[F.lit(f) if isinstance(f, str) else f for f in fields])
+def _row(*fields: str) -> str:
+    return f"concat_ws('|', {', '.join(fields)})"
 
 
-def _time(milliseconds: bool = False) -> Column:
+def _time(milliseconds: bool = False) -> str:
     """Device time; unreadable for every 17th event, month 13 for every 19th."""
-    stamp = F.timestamp_seconds(F.col("s"))
-    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSZ" if milliseconds else DEVICE_FORMAT
-    bad = F.when(F.col("event_id") % 17 == 0, F.lit("BAD")).when(
-        F.col("event_id") % 19 == 0, F.lit("2024-13-01T00:00:00+0000")
+    fmt = r"yyyy-MM-dd\'T\'HH:mm:ss" + (".SSSZ" if milliseconds else "Z")
+    return (
+        "CASE WHEN event_id % 17 = 0 THEN 'BAD' WHEN event_id % 19 = 0 THEN '2024-13-01T00:00:00+0000' "
+        f"ELSE date_format(timestamp_seconds(s), '{fmt}') END"
     )
-    return bad.otherwise(F.date_format(stamp, fmt))
 
 
-def _code(code: str) -> Column:
+def _code(code: str) -> str:
     """Type code, with a date and address before it for every tenth event."""
-    return F.when(F.col("event_id") % 10 == 0, F.lit(PREFIX + code)).otherwise(F.lit(code))
+    return f"CASE WHEN event_id % 10 = 0 THEN '{PREFIX}{code}' ELSE '{code}' END"
 
 
-def _head(code: str, ms: bool = False):
-    return [_code(code), text("MAC", F.col("uid")), F.col("user_id"), F.lit("003"), _time(ms)]
+def _head(code: str, ms: bool = False) -> list[str]:
+    return [_code(code), "concat('MAC', uid)", "user_id", "'003'", _time(ms)]
 
 
-def init_record(milliseconds: bool = False) -> Column:
-    k = F.col("k")
+def init_record(milliseconds: bool = False) -> str:
     return _row(
-        _code("0x01"), text("MK", k % 3), text("MAC", F.col("uid")), text("MD", k % 6), version(k),
-        text("4.", k % 4), "003", text("10.0.0.", k), text("ACC", F.col("uid")), F.col("user_id"),
-        F.col("user_id"), "android", _time(milliseconds), "HNYD", pick(AREA_CODES, k), "v1", "", "", "", "",
-        "", "", "", "",
+        _code("0x01"), "concat('MK', k % 3)", "concat('MAC', uid)", "concat('MD', k % 6)", VERSION,
+        "concat('4.', k % 4)", "'003'", "concat('10.0.0.', k)", "concat('ACC', uid)", "user_id",
+        "user_id", "'android'", _time(milliseconds), "'HNYD'", AREA, "'v1'", *["''"] * 8,
     )
 
 
-def live_record(play: Column) -> Column:
-    return _row(
-        *_head("0x03"), "", "http", text("CH", F.col("k") % 10), "News", "0", "watch",
-        F.when(play, F.lit("0")).otherwise(F.lit("1")), "", "", "",
-    )
+def live_record(play: str) -> str:
+    flag = f"CASE WHEN {play} THEN '0' ELSE '1' END"
+    return _row(*_head("0x03"), "''", "'http'", CHANNEL, "'News'", "'0'", "'watch'", flag, "''", "''", "''")
 
 
-def vod_record(word: Column) -> Column:
+def vod_record(word: str) -> str:
     """23 fields; one short for every 23rd event."""
-    k = F.col("k")
-    tail = F.when(F.col("event_id") % 23 == 0, _row("", "", "")).otherwise(_row("", "", "", text("CH", k % 10)))
+    tail = f"CASE WHEN event_id % 23 = 0 THEN '||' ELSE concat('|||', {CHANNEL}) END"
     return _row(
-        *_head("0x04"), "", text("M", k), text("media ", k), "9", "26", "1282000", text("UP", k % 20),
-        "http", "5", (k % 2).cast("string"), "1", "mango", word, text("fs", k % 3), tail,
+        *_head("0x04"), "''", MEDIA, NAME, "'9'", "'26'", "'1282000'", UPLOAD, "'http'", "'5'", STATUS,
+        "'1'", "'mango'", word, "concat('fs', k % 3)", tail,
     )
 
 
-def lookback_record(word: Column) -> Column:
-    k = F.col("k")
+def lookback_record(word: str) -> str:
     return _row(
-        *_head("0x05"), "", text("M", k), text("CH", k % 10), "20240101", "22:22", "2600000",
-        text("media ", k), word, "0", "", "", "",
+        *_head("0x05"), "''", MEDIA, CHANNEL, "'20240101'", "'22:22'", "'2600000'", NAME, word, "'0'",
+        "''", "''", "''",
     )
 
 
-def timeshift_record(word: Column) -> Column:
-    return _row(*_head("0x06"), "", "http", text("CH", F.col("k") % 10), word, "07:18:35", "", "", "")
+def timeshift_record(word: str) -> str:
+    return _row(*_head("0x06"), "''", "'http'", CHANNEL, word, "'07:18:35'", "''", "''", "''")
 
 
-def page_record(telecom: bool = False) -> Column:
-    k = F.col("k")
-    base = [
-        *_head("0x07", telecom), text("sp", k % 3), "", text("P", k % 40), text("act", k % 6), "",
-        F.when(k % 13 == 0, F.lit("")).otherwise(text("page_", k % 40)),
-        F.when(k % 11 != 0, F.lit("")).otherwise(text("SP", k % 5)),
-        (k % 2).cast("string"), text("ON", k % 4), text("OI", k % 4), text("CAT", k % 15), text("M", k),
-        F.when(k % 4 == 0, F.lit("")).otherwise(text("key", k)),
-        F.when(k % 4 == 1, F.lit("key_search")).otherwise(F.lit("home_page")),
-        "22", "btn", "", "", text("OG", k % 2), text("MG", k % 2), text("CH", k % 10),
+def page_record(telecom: bool = False) -> str:
+    fields = [
+        *_head("0x07", telecom), "concat('sp', k % 3)", "''", "concat('P', k % 40)",
+        "concat('act', k % 6)", "''", "CASE WHEN k % 13 = 0 THEN '' ELSE concat('page_', k % 40) END",
+        "CASE WHEN k % 11 <> 0 THEN '' ELSE concat('SP', k % 5) END", STATUS, "concat('ON', k % 4)",
+        "concat('OI', k % 4)", "concat('CAT', k % 15)", MEDIA,
+        "CASE WHEN k % 4 = 0 THEN '' ELSE concat('key', k) END",
+        "CASE WHEN k % 4 = 1 THEN 'key_search' ELSE 'home_page' END",
+        "'22'", "'btn'", "''", "''", "concat('OG', k % 2)", "concat('MG', k % 2)", CHANNEL,
     ]
     if telecom:
-        base += ["v2", "g1", text("SN", k), text("IP", k % 2), text("II", k % 3), text("RC", k % 4)]
-    return _row(*base)
+        fields += ["'v2'", "'g1'", "concat('SN', k)", "concat('IP', k % 2)", "concat('II', k % 3)",
+                   "concat('RC', k % 4)"]
+    return _row(*fields)
 
 
-def order_record(milliseconds: bool = False) -> Column:
-    k = F.col("k")
+def order_record(milliseconds: bool = False) -> str:
     return _row(
-        *_head("0x09", milliseconds), "", text("act", k % 6), "", text("prod", k % 8), text("B", k),
-        k.cast("string"), text("M", k), text("media ", k), text("UP", k % 20), "http", "x", "buy_ok",
-        (k % 2).cast("string"), "", "", text("CH", k % 10),
+        *_head("0x09", milliseconds), "''", "concat('act', k % 6)", "''", "concat('prod', k % 8)",
+        "concat('B', k)", "string(k)", MEDIA, NAME, UPLOAD, "'http'", "'x'", "'buy_ok'", STATUS, "''",
+        "''", CHANNEL,
     )
 
 
-def error_record() -> Column:
-    return _row(*_head("0x11"), "", "act", "", text("E", F.col("k")), "", "")
+def error_record() -> str:
+    return _row(*_head("0x11"), "''", "'act'", "''", "concat('E', k)", "''", "''")
 
 
-def heart_record() -> Column:
-    return _row(*_head("0x10"), "", "")
+def heart_record() -> str:
+    return _row(*_head("0x10"), "''", "''")
 
 
 def mobile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One line per event; views, clicks and orders pack two records in a line."""
-    e = events(spark, sf_dir)
-    k, kind = F.col("k"), F.col("type")
-    play = kind == "view"
-    word = F.when(play, F.lit("play")).otherwise(F.lit("exit"))
+    play = "type = 'view'"
+    word = f"CASE WHEN {play} THEN 'play' ELSE 'exit' END"
     viewing = (
-        F.when(k % 4 == 0, live_record(play)).when(k % 4 == 1, vod_record(word))
-        .when(k % 4 == 2, lookback_record(word)).otherwise(timeshift_record(word))
-    )
-    pack = F.lit("\\x0A")
-    line = (
-        F.when(kind.isin("view", "click"), F.concat(viewing, pack, page_record()))
-        .when(kind == "signup", init_record())
-        .when(kind == "purchase", F.concat(order_record(), pack, vod_record(F.lit("button_favorite"))))
-        .when(k % 3 == 0, error_record())
-        .otherwise(heart_record())
+        f"CASE k % 4 WHEN 0 THEN {live_record(play)} WHEN 1 THEN {vod_record(word)} "
+        f"WHEN 2 THEN {lookback_record(word)} ELSE {timeshift_record(word)} END"
     )
-    return e.select(line.alias("value"), "event_id", "s", "type")
+    favourite = vod_record("'button_favorite'")
+    line = rf"""CASE
+        WHEN type IN ('view', 'click') THEN concat({viewing}, '\\x0A', {page_record()})
+        WHEN type = 'signup' THEN {init_record()}
+        WHEN type = 'purchase' THEN concat({order_record()}, '\\x0A', {favourite})
+        WHEN k % 3 = 0 THEN {error_record()}
+        ELSE {heart_record()} END"""
+    return events(spark, sf_dir).select(F.expr(line).alias("value"), "event_id", "s", "type")
 
 
 def telecom_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Telecom boxes send power-ons, wide page views and orders with milliseconds."""
-    e = events(spark, sf_dir)
-    kind = F.col("type")
-    line = (
-        F.when(kind.isin("view", "click"), page_record(True))
-        .when(kind == "signup", init_record(True))
-        .when(kind == "purchase", order_record(True))
-        .otherwise(page_record(False))
-    )
-    return e.select(line.alias("value"), "event_id", "type")
+    line = f"""CASE
+        WHEN type IN ('view', 'click') THEN {page_record(True)}
+        WHEN type = 'signup' THEN {init_record(True)}
+        WHEN type = 'purchase' THEN {order_record(True)}
+        ELSE {page_record(False)} END"""
+    return events(spark, sf_dir).select(F.expr(line).alias("value"), "event_id", "type")
 
 
 def online_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """App heartbeats, with broken lines, blank and missing ids and repeats."""
-    e = events(spark, sf_dir)
-    k = F.col("k")
-    good = F.concat(F.lit('{"uuid":"'), F.col("user_id"), F.lit('","apk_version":"'), version(k), F.lit('"}'))
-    line = (
-        F.when(k % 10 == 0, F.lit("not json"))
-        .when(k % 10 == 1, F.lit('{"uuid":" ","apk_version":"A.1"}'))
-        .when(k % 10 == 2, F.lit('{"apk_version":"A.1"}'))
-        .otherwise(good)
-    )
-    return e.select(line.alias("value"))
+    line = f"""CASE k % 10
+        WHEN 0 THEN 'not json'
+        WHEN 1 THEN '{{"uuid":" ","apk_version":"A.1"}}'
+        WHEN 2 THEN '{{"apk_version":"A.1"}}'
+        ELSE concat('{{"uuid":"', user_id, '","apk_version":"', {VERSION}, '"}}') END"""
+    return events(spark, sf_dir).select(F.expr(line).alias("value"))
 
 
 def app_vod_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """App VOD records.  Some are sent again: exactly, with a later end, or with a
     later start."""
-    e = events(spark, sf_dir).where(F.col("type") == "view")
-    k = F.col("k")
-    copies = F.filter(F.array(
-        F.lit(0), F.when(k % 10 == 0, F.lit(1)), F.when(k % 10 == 1, F.lit(2)), F.when(k % 10 == 2, F.lit(3)),
-    ), lambda c: c.isNotNull())
-    e = e.withColumn("c", F.explode(copies))
-    start = F.col("s") + F.when(F.col("c") == 3, 60).otherwise(0)
-    end = F.col("s") + k * 200 + F.when(F.col("c") == 2, 60).otherwise(0)
-
-    def clock(seconds: Column) -> Column:
-        return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd HH:mm:ss")
-
-    def pair(key: str, value: Column) -> Column:
-        return F.concat(F.lit(f'"{key}":"'), value, F.lit('"'))
-
-    brand_category = F.when(k % 3 == 0, F.lit("")).otherwise(text("CAT", k % 25))
-    channel = F.when(k % 4 == 0, F.lit("")).otherwise(pick(
-        ("economy", "small", "large", "standard", "promo", "medium"), k))
-    body = F.concat_ws(
-        ",", pair("user_id", F.col("user_id")), pair("play_start_time", clock(start)),
-        pair("play_end_time", clock(end)),
-        pair("sndlvl_id", F.when(k % 29 == 0, F.lit("null")).otherwise(text("M", k))),
-        pair("sndlvl_name", text("media ", k)), pair("cat_id", brand_category),
-        pair("apk_version", version(k)), pair("pro_id", text("PR", k % 3)), pair("clum_id", channel),
-        pair("data_type", F.when(k % 31 == 0, F.lit("live")).otherwise(F.lit("vod"))),
-    )
-    return e.select(F.concat(F.lit("{"), body, F.lit("}")).alias("value"))
+    copies = """explode(CASE k % 10 WHEN 0 THEN array(0, 1) WHEN 1 THEN array(0, 2)
+        WHEN 2 THEN array(0, 3) ELSE array(0) END)"""
+    start = "s + CASE WHEN c = 3 THEN 60 ELSE 0 END"
+    end = "s + k * 200 + CASE WHEN c = 2 THEN 60 ELSE 0 END"
+    channel = """CASE WHEN k % 4 = 0 THEN '' ELSE get(
+        array('economy', 'small', 'large', 'standard', 'promo', 'medium'), cast(k % 6 as int)) END"""
+    pairs = {
+        "user_id": "user_id",
+        "play_start_time": f"date_format(timestamp_seconds({start}), 'yyyy-MM-dd HH:mm:ss')",
+        "play_end_time": f"date_format(timestamp_seconds({end}), 'yyyy-MM-dd HH:mm:ss')",
+        "sndlvl_id": f"CASE WHEN k % 29 = 0 THEN 'null' ELSE {MEDIA} END",
+        "sndlvl_name": NAME,
+        "cat_id": "CASE WHEN k % 3 = 0 THEN '' ELSE concat('CAT', k % 25) END",
+        "apk_version": VERSION,
+        "pro_id": "concat('PR', k % 3)",
+        "clum_id": channel,
+        "data_type": "CASE WHEN k % 31 = 0 THEN 'live' ELSE 'vod' END",
+    }
+    body = ", ".join(f"concat('\"{key}\":\"', {value}, '\"')" for key, value in pairs.items())
+    e = events(spark, sf_dir).where("type = 'view'").withColumn("c", F.expr(copies))
+    return e.select(F.expr(f"concat('{{', concat_ws(',', {body}), '}}')").alias("value"))
