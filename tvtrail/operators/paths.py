@@ -8,6 +8,7 @@ from tvtrail.functions.text import major_version
 from tvtrail.operators.hotkeys import HotKeys, join_per_key, next_value, previous_value
 from tvtrail.schemas import BOOT_PAGE, INIT, OTHER_PAGE, PAGE_VIEW
 
+_META = ("apk_version", "dt", "platform")
 KEPT = 19       # ranks kept; everything beyond becomes one "other"
 NAMES = ("page_name", "page_name2", "page_name3")
 
@@ -83,48 +84,53 @@ def path_counts(events: DataFrame, pool: DataFrame, hot: HotKeys) -> DataFrame:
 _META = ("apk_version", "dt", "platform")
 
 
-def _rollup(rows: DataFrame, group: list[str]) -> DataFrame:
-    return rows.groupBy(*group).agg(
-        F.sum("ct").alias("ct"), *[F.max(c).alias(c) for c in _META]
-    )
-
-
-def _collapse_tail(rows: DataFrame, group: list[str], name: str, keep: int) -> DataFrame:
-    """Per group the ``keep`` most frequent rows; the rest becomes one row.
-
-    The head is a plain rank filter, which Spark applies before the shuffle too;
-    the tail is an aggregate of the rows the head leaves over.  So no group,
-    however large, is sorted in one task.
-    """
-    ranked = Window.partitionBy(*group).orderBy(F.col("ct").desc(), F.col(name).asc())
-    head = rows.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= keep)
-    head = head.drop("_rank")
-    tail = rows.join(head.select(*group, name), [*group, name], "left_anti")
-    return head.unionByName(_rollup(tail, group).withColumn(name, F.lit(OTHER_PAGE)))
-
-
 def top_paths(counts: DataFrame, end: bool = False, keep: int = KEPT) -> DataFrame:
     """Top paths from their first page (type 0) or towards their last (type 1).
 
-    Within the two nearest pages the ``keep`` most frequent far pages stay; then
-    within the nearest page the ``keep`` most frequent middle pages stay.
+    Within the two nearest pages the ``keep`` most frequent far pages stay and
+    the rest becomes "other"; within the nearest page the ``keep`` most frequent
+    middle pages stay and the rest becomes ("other", "other").  Ties go to the
+    smaller name.
+
+    Both rankings are plain rank filters, which Spark also applies before the
+    shuffle, so no group is sorted whole in one task.  What they leave is one
+    cut-off per pair and the kept pairs; one join and one aggregation then
+    relabel and add up all rows.
     """
     near, middle, far = reversed(NAMES) if end else NAMES
     rows = counts.select(*NAMES, "ct", *_META)
-    rows = _collapse_tail(rows, [near, middle], far, keep)
 
-    pairs = rows.groupBy(near, middle).agg(F.sum("ct").alias("ct"))
-    ranked = Window.partitionBy(near).orderBy(F.col("ct").desc(), F.col(middle).asc())
+    by_far = Window.partitionBy(near, middle).orderBy(F.col("ct").desc(), F.col(far).asc())
+    cut = (
+        rows.select(near, middle, far, "ct")
+        .withColumn("_rank", F.row_number().over(by_far))
+        .where(F.col("_rank") == keep)
+        .select(near, middle, F.col("ct").alias("_ct"), F.col(far).alias("_far"))
+    )
+    by_middle = Window.partitionBy(near).orderBy(F.col("_sum").desc(), F.col(middle).asc())
     kept = (
-        pairs.withColumn("_rank", F.row_number().over(ranked))
+        rows.groupBy(near, middle).agg(F.sum("ct").alias("_sum"))
+        .withColumn("_rank", F.row_number().over(by_middle))
         .where(F.col("_rank") <= keep)
-        .select(near, middle)
+        .select(near, middle, F.lit(True).alias("_kept"))
+    )
+    tail = (F.col("ct") < F.col("_ct")) | ((F.col("ct") == F.col("_ct")) & (F.col(far) > F.col("_far")))
+    other = F.lit(OTHER_PAGE)
+    rank = F.when(F.col("_kept").isNull(), 2).when(tail, 1).otherwise(0)
+    relabelled = (
+        rows.join(kept, [near, middle], "left")
+        .join(cut, [near, middle], "left")
+        .withColumn("_level", rank)
+        .withColumns({
+            far: F.when(F.col("_level") > 0, other).otherwise(F.col(far)),
+            middle: F.when(F.col("_level") > 1, other).otherwise(F.col(middle)),
+        })
     )
-    rest = _rollup(rows.join(kept, [near, middle], "left_anti"), [near]).withColumns(
-        {middle: F.lit(OTHER_PAGE), far: F.lit(OTHER_PAGE)}
+    # The level keeps a page that is really named "other" apart from the rest.
+    totals = relabelled.groupBy(*NAMES, "_level").agg(
+        F.sum("ct").alias("ct"), *[F.max(c).alias(c) for c in _META]
     )
-    both = rows.join(kept, [near, middle], "left_semi").unionByName(rest, allowMissingColumns=False)
-    return both.select(*NAMES, F.lit("1" if end else "0").alias("type"), "ct", *_META)
+    return totals.select(*NAMES, F.lit("1" if end else "0").alias("type"), "ct", *_META)
 
 
 def in_out_paths(pages: DataFrame, hot: HotKeys) -> DataFrame:

@@ -21,7 +21,6 @@ USER_PREFIXES = ("YX", "JH", "0736", "U", "732", "07312", "wg", "test")
 AREA_CODES = (*MOBILE_AREAS, "14303", "99999", "")
 VIEW_STATES = ("0x03", "0x04", "0x05", "0x06")
 PLATFORM_OF = ("HNYD", "HNLT", "HNDX")
-SOURCE_OF = ("sdk", "apk")
 
 
 def pick(values, index: Column) -> Column:
@@ -276,7 +275,8 @@ def online(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("uuid"), pick(("14301", "14302", "14303", "14304"), k).alias("regionid"),
         day_of(F.col("real_s")).alias("dt"),
         pick(PLATFORM_OF, F.col("uid")).alias("platform"),
-        pick(SOURCE_OF, F.floor(F.col("uid") / 3)).alias("source_type"),
+        F.when(F.floor(F.col("uid") / 3) % 2 == 1, F.lit("apk"))
+        .when(F.col("uid") % 3 == 2, F.lit("c3")).otherwise(F.lit("sdk")).alias("source_type"),
     ).distinct()
 
 

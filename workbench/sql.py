@@ -152,7 +152,7 @@ REVIEW = """review AS (SELECT CASE r_regionkey WHEN 1 THEN 'small' WHEN 2 THEN '
 
 ONLINE = f"""online AS (SELECT DISTINCT user_id AS uuid, {pick(('14301', '14302', '14303', '14304'), 'k')} AS regionid,
   {day('real_s')} AS dt, {pick(('HNYD', 'HNLT', 'HNDX'), 'uid')} AS platform,
-  {pick(('sdk', 'apk'), 'uid//3')} AS source_type FROM ev)"""
+  CASE WHEN uid//3%2=1 THEN 'apk' WHEN uid%3=2 THEN 'c3' ELSE 'sdk' END AS source_type FROM ev)"""
 
 # Events whose rendered device time is readable.
 GOOD = "event_id%17<>0 AND event_id%19<>0"
