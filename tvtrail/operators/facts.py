@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tvtrail.functions.text import label_if_blank, major_version, search_key_name
-from tvtrail.operators.hotkeys import HotKeys, join_per_key, next_value, previous_value
+from tvtrail.operators.hotkeys import SLICE, HotKeys, join_per_key, next_value, previous_value
 from tvtrail.operators.words import starting_with
 from tvtrail.schemas import (
     DEFAULT_REGION, ERROR, FIRST_LIVE, LAST_LIVE, LIVE, LOOK_BACK, ORDER, PAGE_VIEW,
@@ -50,16 +50,16 @@ def with_pool(facts: DataFrame, pool: DataFrame, hot: HotKeys) -> DataFrame:
 
 
 def live_neighbours(found: DataFrame, hot: HotKeys) -> DataFrame:
-    """Channel and time of the viewing before and after each one.
+    """Channel and time of the viewing of the same type before and after each one.
 
     ``last_end_time`` and ``next_start_time`` keep their published meaning
     (previous start, next end); ``previous_end_time`` and
     ``following_start_time`` hold what those names promise.
     """
-    order = ["start_ts", "end_ts", "rid"]
+    keys, order = ["user_id", "state"], ["start_ts", "end_ts", "rid"]
     before = F.struct("conf_channel_code", "play_start_time", "play_end_time")
-    out = previous_value(found, ["user_id"], order, {"_before": before}, hot)
-    out = next_value(out, ["user_id"], order, {"_after": before}, hot)
+    out = previous_value(found, keys, order, {"_before": before}, hot)
+    out = next_value(out, keys, order, {"_after": before}, hot)
     return out.withColumns({
         "last_code": label_if_blank(F.col("_before.conf_channel_code"), FIRST_LIVE),
         "last_end_time": F.col("_before.play_start_time"),
@@ -78,36 +78,35 @@ _LIVE_COLUMNS = (
 )
 
 
-def _distinct_shifts(found: DataFrame) -> DataFrame:
-    """Time-shift sessions, exact repeats removed.
+_SHOWN = (
+    "user_id", "state", "start_ts", "end_ts", "play_start_time", "play_end_time", "channel_id",
+    "channel_name", "conf_channel_code", "live_flag",
+)
+
 
-    A repeat has every published column equal; the tie breaker of the kept row
-    is the smallest one, which is all that tells the repeats apart.
+def _without_repeats(rows: DataFrame) -> DataFrame:
+    """Remove exact repeats of time-shift sessions; live sessions all stay.
+
+    Repeats differ in nothing but their tie breaker, and the smallest one is
+    kept.  The rows are partitioned by user already, so this does not shuffle.
     """
-    shown = [
-        "user_id", "start_ts", "end_ts", "play_start_time", "play_end_time", "channel_id",
-        "channel_name", "conf_channel_code", "live_flag",
-    ]
-    rows = found.where(F.col("state") == TIME_SHIFT)
-    extra = [c for c in ("_slice",) if c in rows.columns]
-    return (
-        rows.groupBy(*shown, *extra)
-        .agg(F.min("rid").alias("rid"))
-        .withColumn("is_timeshift", F.lit("1"))
-    )
+    extra = [c for c in (SLICE,) if c in rows.columns]
+    own = F.when(F.col("state") == LIVE, F.col("rid")).alias("_own")
+    return rows.groupBy(*_SHOWN, *extra, own).agg(F.min("rid").alias("rid")).drop("_own")
 
 
 def live_facts(found: DataFrame, pool: DataFrame, hot: HotKeys) -> DataFrame:
     """Live viewing and time-shift, each with neighbours within its own kind."""
-    live = found.where(F.col("state") == LIVE).withColumn("is_timeshift", F.lit("0"))
-    branches = [live_neighbours(rows, hot) for rows in (live, _distinct_shifts(found))]
-    shared = [c for c in branches[1].columns]
-    both = branches[0].select(*shared).unionByName(branches[1])
-    return with_pool(both, pool, hot).select(*_LIVE_COLUMNS)
+    rows = _without_repeats(found.where(F.col("state").isin(LIVE, TIME_SHIFT)))
+    rows = live_neighbours(rows, hot).withColumn(
+        "is_timeshift", F.when(F.col("state") == TIME_SHIFT, F.lit("1")).otherwise(F.lit("0"))
+    )
+    return with_pool(rows, pool, hot).select(*_LIVE_COLUMNS)
 
 
 def timeshift_facts(found: DataFrame, pool: DataFrame, hot: HotKeys) -> DataFrame:
-    return with_pool(_distinct_shifts(found), pool, hot).select(
+    rows = _without_repeats(found.where(F.col("state") == TIME_SHIFT))
+    return with_pool(rows, pool, hot).select(
         "user_id", "regionid", "play_start_time", "play_end_time", "channel_id",
         "apk_version", "channel_name", *PARTITION_COLUMNS,
     )

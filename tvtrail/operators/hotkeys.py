@@ -73,22 +73,22 @@ def find_hot_keys(
 ) -> HotKeys:
     """Count rows per key (map-side combined) and return the hot ones.
 
-    The collected list has fewer than ``max_slices`` rows, see above.
+    Ordinary data needs one job that returns one row.  Only where some key is
+    hot are the hot ones listed, fewer than ``max_slices`` of them, see above.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.count(F.lit(1)).alias("_rows"), F.min(ts).alias("_low"), F.max(ts).alias("_high")
     )
-    share = F.greatest(
-        F.lit(min_rows).cast("bigint"),
-        F.ceil(counts.agg(F.sum("_rows") / F.lit(max_slices)).scalar()).cast("bigint"),
-    )
+    total, largest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
+    share = max(min_rows, -(-(total or 0) // max_slices))
+    if (largest or 0) <= share:
+        return HotKeys(key)
     slices = F.least(
-        F.ceil(F.col("_rows") / F.col("_share")).cast("bigint"),
+        F.ceil(F.col("_rows") / share).cast("bigint"),
         F.col("_high") - F.col("_low") + 1,
     )
     hot = (
-        counts.withColumn("_share", share)
-        .where(F.col("_rows") > F.col("_share"))
+        counts.where(F.col("_rows") > share)
         .withColumn("_count", slices)
         .select(
             F.col(key).cast("string").alias(key),

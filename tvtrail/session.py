@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on.  All can be changed on a live session.
 RUNTIME_CONF = {
@@ -15,6 +15,11 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Of a key repeated in a key/value line the last one counts.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # The record layouts make long expressions.  The JVM never compiles methods
+    # above 8,000 bytes of bytecode; past that Spark is to generate smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -73,3 +78,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame several steps read, and read it back.
+
+    The table in the shared folder outlives lost executors, and its readers
+    neither repeat the work nor drag its lineage along.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tvtrail.functions.labels import check_platform
 from tvtrail.functions.regions import telecom_region, unicom_region
 from tvtrail.functions.text import blank_to_empty
-from tvtrail.functions.times import LOG_FORMAT
 from tvtrail.schemas import DEFAULT_REGION
 
 VOD_TEXT_KEYS = {
@@ -60,33 +59,33 @@ def remap_ids(df: DataFrame, renames: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _pairs(line: Column) -> Column:
-    return F.split(F.translate(line, '"\\{}', ""), ",")
+# --- fixed values: the app's time format ---------------------------------------
+APP_TIME_PATTERN = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"
 
 
-def _last_value(pairs: Column, key: str) -> Column:
-    """Everything after the key's colon; the last pair of a key wins."""
-    prefix = f"{key}:"
-    found = F.filter(pairs, lambda pair: F.startswith(pair, F.lit(prefix)))
-    return F.substring(F.try_element_at(found, F.lit(-1)), len(prefix) + 1, 2147483647)
-
-
-def parse_app_vod(lines: DataFrame) -> DataFrame:
-    """Key/value VOD records; times that do not parse are empty."""
-    pairs = lines.withColumn("_pairs", _pairs(F.col("value")))
-    kv = F.col("_pairs")
-
+def _app_view(pairs: Column) -> Column:
     def text(key: str) -> Column:
-        return F.coalesce(F.substring_index(_last_value(kv, key), ":", 1), F.lit(""))
+        return F.coalesce(F.substring_index(F.try_element_at(pairs, F.lit(key)), ":", 1), F.lit(""))
 
     def time(key: str) -> Column:
-        parsed = F.try_to_timestamp(_last_value(kv, key), F.lit("yyyy-MM-dd HH:mm:ss"))
-        return F.coalesce(F.date_format(parsed, LOG_FORMAT), F.lit(""))
+        raw = F.try_element_at(pairs, F.lit(key))
+        valid = raw.rlike(APP_TIME_PATTERN) & raw.try_cast("timestamp").isNotNull()
+        return F.when(valid, F.translate(raw, "- :", "")).otherwise(F.lit(""))
 
     columns = {name: text(key) for name, key in VOD_TEXT_KEYS.items()}
     columns["media_id"] = blank_to_empty(columns["media_id"])
-    return pairs.select(
-        *[column.alias(name) for name, column in columns.items()],
-        time("play_start_time").alias("play_start_time"),
-        time("play_end_time").alias("play_end_time"),
-    )
+    columns["play_start_time"] = time("play_start_time")
+    columns["play_end_time"] = time("play_end_time")
+    return F.struct(*[column.alias(name) for name, column in columns.items()])
+
+
+def parse_app_vod(lines: DataFrame) -> DataFrame:
+    """Key/value VOD records; times that do not parse are empty.
+
+    Quotes, backslashes and braces are ignored; of a repeated key the last value
+    counts (a session setting of ``tvtrail.session``).  A time keeps its colons,
+    any other value ends at its first.  The generator makes each line be taken
+    apart once, not once per filter on a column.
+    """
+    pairs = F.array(F.str_to_map(F.translate(F.col("value"), '"\\{}', ""), F.lit(","), F.lit(":")))
+    return lines.select(F.inline(F.transform(pairs, _app_view)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tvtrail.operators import app_vod, facts, vod
+from tvtrail.session import stored
 from tvtrail.sources import app_lines
 from workbench import frames, wire
 from workbench.registry import query
@@ -181,7 +182,7 @@ _FLAGGED = """flagged AS (SELECT *, CASE WHEN EXISTS (SELECT 1 FROM review WHERE
 def appvod_results(spark, sf_dir):
     """The published rows: both category branches with their flags."""
     return app_vod.app_results(
-        _views(spark, sf_dir), frames.assets(spark, sf_dir), frames.starcor_assists(spark, sf_dir),
+        stored(_views(spark, sf_dir), "app-views"), frames.assets(spark, sf_dir), frames.starcor_assists(spark, sf_dir),
         frames.starcor_categories(spark, sf_dir), frames.products(spark, sf_dir),
         frames.review_words(spark, sf_dir))
 

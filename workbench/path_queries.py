@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tvtrail.operators import orders, paths
+from tvtrail.session import stored
 from workbench import frames
 from workbench.registry import hot_users, query
 from workbench.sql import EV, LOG, PAGES, POOL, with_
@@ -58,12 +59,12 @@ FROM second s WHERE NOT EXISTS (SELECT 1 FROM third t WHERE t.{near}=s.{near} AN
 
 @query(_top("page_name", "page_name2", "page_name3", "0"))
 def path_top20_start(spark, sf_dir):
-    return paths.top_paths(_counts(spark, sf_dir))
+    return paths.top_paths(stored(_counts(spark, sf_dir), "path-counts"))
 
 
 @query(_top("page_name3", "page_name2", "page_name", "1"))
 def path_top20_end(spark, sf_dir):
-    return paths.top_paths(_counts(spark, sf_dir), end=True)
+    return paths.top_paths(stored(_counts(spark, sf_dir), "path-counts"), end=True)
 
 
 @query(with_(*_BASE, """p2 AS (SELECT user_id, len(pages) AS n, list_concat(['',''], pages, ['','']) AS p FROM seq),
