@@ -53,7 +53,7 @@ class HotKeys:
         inside = F.greatest(F.lit(0), F.least(at, F.col("_count") - 1))
         return (
             df.join(self.table(df.sparkSession), self.key, "left")
-            .withColumn(SLICE, F.coalesce(inside, F.lit(COLD)))
+            .withColumn(SLICE, F.when(F.col("_low").isNull(), F.lit(COLD)).otherwise(inside).cast("bigint"))
             .drop("_low", "_width", "_count")
         )
 
