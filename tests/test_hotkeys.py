@@ -42,21 +42,23 @@ def test_slices_are_bounded_and_ordered(df, hot):
     assert hot.split(df, "ts").where("user_id <> 'hot'").select(hk.SLICE).distinct().first()[0] == hk.COLD
 
 
-@pytest.mark.parametrize("forward", [False, True])
-def test_neighbours(df, hot, rows, forward):
-    move = hk.next_value if forward else hk.previous_value
+def test_neighbours(df, hot, rows):
+    values = {"n": F.col("v"), "r": F.col("rid")}
 
     def run(keys):
-        out = move(keys.split(df, "ts"), ["user_id"], ["ts", "rid"],
-                   {"n": F.col("v"), "r": F.col("rid")}, keys)
-        return sorted(tuple(r) for r in out.select("user_id", "ts", "rid", "r", F.coalesce("n", F.lit(-1))).collect())
+        after = {f"{k}_after": v for k, v in values.items()}
+        out = hk.neighbours(keys.split(df, "ts"), ["user_id"], ["ts", "rid"], values, after, keys)
+        return {r.rid: (r.n, r.r, r.n_after, r.r_after) for r in out.collect()}
 
-    assert run(hot) == run(hk.NO_HOT_KEYS)
-    by_rid = {r[2]: r[3] for r in run(hot)}
-    order = sorted((r[1], r[2]) for r in rows if r[0] == "hot")
-    order = order[::-1] if forward else order
-    assert by_rid[order[0][1]] is None
-    assert all(by_rid[b[1]] == a[1] for a, b in zip(order, order[1:]))
+    got = run(hot)
+    assert got == run(hk.NO_HOT_KEYS)
+    v = {r[2]: r[3] for r in rows}
+    for user in {r[0] for r in rows}:
+        order = [r[2] for r in sorted(rows, key=lambda r: (r[1], r[2])) if r[0] == user]
+        for i, rid in enumerate(order):
+            before = order[i - 1] if i else None
+            after = order[i + 1] if i + 1 < len(order) else None
+            assert got[rid] == (v.get(before), before, v.get(after), after)
 
 
 def test_as_of(df, hot, rows):
@@ -64,16 +66,12 @@ def test_as_of(df, hot, rows):
 
     def run(keys):
         out = hk.latest_before(keys.split(df, "ts"), ["user_id"], "ts", {"b": flagged}, keys)
-        out = hk.extremes_after(out, ["user_id"], "ts", {"n": flagged}, {"f": flagged}, keys)
-        return {r.rid: (r.b, r.n, r.f) for r in out.collect()}
+        return {r.rid: r.b for r in out.collect()}
 
     got = run(hot)
     assert got == run(hk.NO_HOT_KEYS)
     for user, ts, rid, _ in rows:
-        times = [t for u, t, _, v in rows if u == user and v == 1]
-        before, after = [t for t in times if t < ts], [t for t in times if t > ts]
-        want = (max(before, default=None), min(after, default=None), max(after, default=None))
-        assert got[rid] == want
+        assert got[rid] == max([t for u, t, _, v in rows if u == user and v == 1 and t < ts], default=None)
 
 
 def test_join_per_key_spreads_hot_facts(spark, df, hot):

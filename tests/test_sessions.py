@@ -69,20 +69,23 @@ def test_named_scenarios(spark):
     assert got == {name: want for name, (_, want) in SCENARIOS.items()}
 
 
-def random_log(seed: int, users: int, per_user: int, hot_rows: int, span: int):
+def random_log(seed: int, users: int, per_user: int, hot_rows: int, span: int, starts: float = 0.6):
     rng = random.Random(seed)
     rows = []
     for u in range(users):
         for _ in range(hot_rows if u == 0 else per_user):
             state = rng.choice([VOD, LIVE, "0x05", "0x06", HEART, HEART, INIT])
-            play = state in folds.VIEWING and rng.random() < 0.6
+            play = state in folds.VIEWING and rng.random() < starts
             rows.append((f"u{u}", state, D + rng.randrange(span), play, len(rows)))
     return rows
 
 
-@pytest.mark.parametrize("seed,span", [(1, 300), (2, 4000), (3, 80000)])
-def test_random_logs_match_the_fold(spark, seed, span):
-    rows = random_log(seed, users=40, per_user=25, hot_rows=400, span=span)
+@pytest.mark.parametrize("seed,span,starts", [
+    (1, 300, 0.6), (2, 4000, 0.6), (3, 80000, 0.6), (4, 4000, 0.02), (5, 80000, 0.01), (6, 20000, 0.05),
+])
+def test_random_logs_match_the_fold(spark, seed, span, starts):
+    """Few starts make gaps that span several slices of the hot user."""
+    rows = random_log(seed, users=40, per_user=25, hot_rows=400, span=span, starts=starts)
     log = spark.createDataFrame(rows, SCHEMA)
     want = folds.sessions(rows)
     hot = hotkeys.find_hot_keys(log, "user_id", "ts", max_slices=12, min_rows=50)

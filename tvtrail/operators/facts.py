@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tvtrail.functions.text import label_if_blank, major_version, search_key_name
-from tvtrail.operators.hotkeys import SLICE, HotKeys, join_per_key, next_value, previous_value
+from tvtrail.operators.hotkeys import SLICE, HotKeys, join_per_key, neighbours
 from tvtrail.operators.words import starting_with
 from tvtrail.schemas import (
     DEFAULT_REGION, ERROR, FIRST_LIVE, LAST_LIVE, LIVE, LOOK_BACK, ORDER, PAGE_VIEW,
@@ -57,9 +57,8 @@ def live_neighbours(found: DataFrame, hot: HotKeys) -> DataFrame:
     ``following_start_time`` hold what those names promise.
     """
     keys, order = ["user_id", "state"], ["start_ts", "end_ts", "rid"]
-    before = F.struct("conf_channel_code", "play_start_time", "play_end_time")
-    out = previous_value(found, keys, order, {"_before": before}, hot)
-    out = next_value(out, keys, order, {"_after": before}, hot)
+    view = F.struct("conf_channel_code", "play_start_time", "play_end_time")
+    out = neighbours(found, keys, order, {"_before": view}, {"_after": view}, hot)
     return out.withColumns({
         "last_code": label_if_blank(F.col("_before.conf_channel_code"), FIRST_LIVE),
         "last_end_time": F.col("_before.play_start_time"),

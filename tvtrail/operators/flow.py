@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tvtrail.functions.times import DAY_SECONDS, day_start, plus_days, to_epoch
-from tvtrail.operators.hotkeys import HotKeys, previous_value
+from tvtrail.operators.hotkeys import HotKeys, neighbours
 
 # --- fixed values: reported channel code -> channel name ----------------------
 MAIN_CHANNEL = "央广购物"
@@ -98,8 +98,8 @@ def flow_events(views: DataFrame, guide: DataFrame, hot: HotKeys) -> DataFrame:
     flows of a box at a programme the first inflow and the last outflow count.
     """
     rows = hot.split(views, "start_ts")
-    rows = previous_value(
-        rows, ["stbid", "day"], ["start_ts", "end_ts", "rid"], {"_prev": F.col("content")}, hot
+    rows = neighbours(
+        rows, ["stbid", "day"], ["start_ts", "end_ts", "rid"], {"_prev": F.col("content")}, {}, hot
     )
     on_main = F.col("content") == MAIN_CHANNEL
     was_main = F.coalesce(F.col("_prev") == MAIN_CHANNEL, F.lit(False))

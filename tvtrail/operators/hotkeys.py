@@ -16,8 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F, types as T
-
-from tvtrail.session import shared_folder
+from pyspark.sql.window import WindowSpec
 
 MAX_SLICES = 4096
 MIN_HOT_ROWS = 2_000_000
@@ -102,114 +101,86 @@ def find_hot_keys(
     return HotKeys(key, tuple(hot.collect()))
 
 
-def settle(df: DataFrame, hot: HotKeys) -> DataFrame:
-    """Cut the lineage before a summary reads the same rows a second time.
+def strictly_before(keys: list[str], ts: str) -> WindowSpec:
+    """Rows of the same keys with a smaller ``ts``."""
+    return (
+        Window.partitionBy(*keys).orderBy(F.col(ts).asc())
+        .rangeBetween(Window.unboundedPreceding, -1)
+    )
 
-    Only on the hot path; ordinary data stays one lazy plan.
-    """
-    if not hot:
-        return df
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
 
+def strictly_after(keys: list[str], ts: str) -> WindowSpec:
+    """Rows of the same keys with a greater ``ts``.
 
-def _carry(df: DataFrame, keys: list[str], ends: dict[str, Column], pick) -> DataFrame:
-    """Summarise each slice to one row, then look across the slices of a key."""
-    summary = (
-        df.where(F.col(SLICE) != COLD)
-        .groupBy(*keys, SLICE)
-        .agg(*[expr.alias(name) for name, expr in ends.items()])
-    )
-    order = Window.partitionBy(*keys).orderBy(SLICE)
-    carried = summary.select(
-        *keys, SLICE, *[pick(F.col(name), order).alias(f"_c_{name}") for name in ends]
+    A descending sort keeps the frame growing by one row at a time; an ascending
+    frame that reaches to the end would be recomputed for every row.
+    """
+    return (
+        Window.partitionBy(*keys).orderBy(F.col(ts).desc())
+        .rangeBetween(Window.unboundedPreceding, -1)
     )
-    return df.join(F.broadcast(carried), [*keys, SLICE], "left")
-
 
-def _neighbour(df, keys, order, values, hot, forward):
-    step, nearest = (F.lead, F.min_by) if forward else (F.lag, F.max_by)
-    if not hot:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({name: step(value).over(window) for name, value in values.items()})
-    df = settle(df, hot)
-    window = Window.partitionBy(*hot.parts(*keys)).orderBy(*order)
-    # Boxed, so that a null value differs from a missing neighbour.
-    boxed = {name: F.struct(value.alias("v")) for name, value in values.items()}
-    ends = {name: nearest(box, F.struct(*order)) for name, box in boxed.items()}
-    out = _carry(df, list(keys), ends, lambda c, w: step(c).over(w))
-    out = out.withColumns({f"_l_{name}": step(box).over(window) for name, box in boxed.items()})
-    out = out.withColumns(
-        {name: F.coalesce(F.col(f"_l_{name}"), F.col(f"_c_{name}"))["v"] for name in values}
-    )
-    return out.drop(*[f"{p}{name}" for name in values for p in ("_l_", "_c_")])
 
+def _slice_ends(df: DataFrame, keys: list[str], ends: list[Column], carried: list) -> DataFrame:
+    """Summarise each slice to one row, look across the slices of a key, join back.
 
-def previous_value(
-    df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column], hot: HotKeys
-) -> DataFrame:
-    """``lag(value)`` per key.  ``order`` must begin with the slicing time."""
-    return _neighbour(df, keys, order, values, hot, forward=False)
+    ``carried`` maps the window over a key's slices to the columns to hand on.
+    """
+    summary = df.where(F.col(SLICE) != COLD).groupBy(*keys, SLICE).agg(*ends)
+    order = Window.partitionBy(*keys).orderBy(SLICE)
+    handed = summary.select(*keys, SLICE, *[make(order) for make in carried])
+    return df.join(F.broadcast(handed), [*keys, SLICE], "left")
 
 
-def next_value(
-    df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column], hot: HotKeys
+def neighbours(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    before: dict[str, Column],
+    after: dict[str, Column],
+    hot: HotKeys,
 ) -> DataFrame:
-    """``lead(value)`` per key.  ``order`` must begin with the slicing time."""
-    return _neighbour(df, keys, order, values, hot, forward=True)
-
+    """``lag`` of the ``before`` values and ``lead`` of the ``after`` values per key.
 
-def _as_of(df, keys, ts, values, hot, after):
-    """values: name -> (column, 'min' | 'max') over rows strictly before/after."""
-    agg = {"min": F.min, "max": F.max}
-    choose = {"min": F.least, "max": F.greatest}
-    order = F.col(ts).desc() if after else F.col(ts).asc()
-    window = (
-        Window.partitionBy(*hot.parts(*keys)).orderBy(order)
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
+    ``order`` must begin with the time the slices were cut by.
+    """
+    window = Window.partitionBy(*hot.parts(*keys)).orderBy(*order)
+    # Boxed, so that a null value differs from a missing neighbour.
+    boxed = [(n, F.struct(v.alias("v")), F.lag, F.max_by) for n, v in before.items()]
+    boxed += [(n, F.struct(v.alias("v")), F.lead, F.min_by) for n, v in after.items()]
     if not hot:
-        return df.withColumns({n: agg[how](v).over(window) for n, (v, how) in values.items()})
-    df = settle(df, hot)
-    lo, hi = (1, Window.unboundedFollowing) if after else (Window.unboundedPreceding, -1)
-    how_of = {n: how for n, (_, how) in values.items()}
-    carried = df
-    for kind in ("min", "max"):
-        ends = {n: agg[kind](v) for n, (v, how) in values.items() if how == kind}
-        if ends:
-            carried = _carry(
-                carried, list(keys), ends, lambda c, w, k=kind: agg[k](c).over(w.rowsBetween(lo, hi))
-            )
-    out = carried.withColumns({f"_l_{n}": agg[how](v).over(window) for n, (v, how) in values.items()})
-    out = out.withColumns(
-        {n: choose[how](F.col(f"_l_{n}"), F.col(f"_c_{n}")) for n, how in how_of.items()}
+        return df.withColumns({n: step(box).over(window)["v"] for n, box, step, _ in boxed})
+    out = _slice_ends(
+        df, keys,
+        [nearest(box, F.struct(*order)).alias(n) for n, box, _, nearest in boxed],
+        [lambda w, n=n, step=step: step(F.col(n)).over(w).alias(f"_c_{n}") for n, _, step, _ in boxed],
     )
-    return out.drop(*[f"{p}{n}" for n in values for p in ("_l_", "_c_")])
+    local = {f"_l_{n}": step(box).over(window) for n, box, step, _ in boxed}
+    out = out.withColumns(local)
+    found = {n: F.coalesce(F.col(f"_l_{n}"), F.col(f"_c_{n}"))["v"] for n, *_ in boxed}
+    return out.withColumns(found).drop(*local, *[f"_c_{n}" for n, *_ in boxed])
 
 
 def latest_before(
     df: DataFrame, keys: list[str], ts: str, values: dict[str, Column], hot: HotKeys
 ) -> DataFrame:
     """Greatest non-null value among the rows of a key strictly before ``ts``."""
-    return _as_of(df, keys, ts, {n: (v, "max") for n, v in values.items()}, hot, after=False)
+    window = strictly_before(hot.parts(*keys), ts)
+    if not hot:
+        return df.withColumns({n: F.max(v).over(window) for n, v in values.items()})
 
+    def earlier(w):
+        return w.rowsBetween(Window.unboundedPreceding, -1)
 
-def extremes_after(
-    df: DataFrame,
-    keys: list[str],
-    ts: str,
-    nearest: dict[str, Column],
-    farthest: dict[str, Column],
-    hot: HotKeys,
-) -> DataFrame:
-    """Smallest / greatest non-null value among the rows strictly after ``ts``.
-
-    A descending sort keeps the frame growing by one row at a time; an ascending
-    frame that reaches to the end would be recomputed for every row.
-    """
-    values = {n: (v, "min") for n, v in nearest.items()}
-    values |= {n: (v, "max") for n, v in farthest.items()}
-    return _as_of(df, keys, ts, values, hot, after=True)
+    out = _slice_ends(
+        df, keys,
+        [F.max(v).alias(n) for n, v in values.items()],
+        [lambda w, n=n: F.max(n).over(earlier(w)).alias(f"_c_{n}") for n in values],
+    )
+    local = {f"_l_{n}": F.max(v).over(window) for n, v in values.items()}
+    out = out.withColumns(local)
+    found = {n: F.greatest(F.col(f"_l_{n}"), F.col(f"_c_{n}")) for n in values}
+    return out.withColumns(found).drop(*local, *[f"_c_{n}" for n in values])
 
 
 def join_per_key(facts: DataFrame, dim: DataFrame, hot: HotKeys, how: str = "inner") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tvtrail.functions.text import major_version
-from tvtrail.operators.hotkeys import HotKeys, join_per_key, next_value, previous_value
+from tvtrail.operators.hotkeys import HotKeys, join_per_key, neighbours
 from tvtrail.schemas import BOOT_PAGE, INIT, OTHER_PAGE, PAGE_VIEW
 
 _META = ("apk_version", "dt", "platform")
@@ -46,9 +46,8 @@ def path_trigrams(events: DataFrame, hot: HotKeys) -> DataFrame:
     pages = hot.split(pages, "ts")
     order = ["ts", "rid", "pagename"]
     key = ["user_id"]
-    pages = previous_value(pages, key, order, {"_one": F.col("pagename")}, hot)
-    pages = previous_value(pages, key, order, {"_two": F.col("_one")}, hot)
-    pages = next_value(pages, key, order, {"_more": F.lit(True)}, hot)
+    pages = neighbours(pages, key, order, {"_one": F.col("pagename")}, {"_more": F.lit(True)}, hot)
+    pages = neighbours(pages, key, order, {"_two": F.col("_one")}, {}, hot)
     one, two = F.coalesce("_one", F.lit("")), F.coalesce("_two", F.lit(""))
     page, blank = F.col("pagename"), F.lit("")
     last = F.col("_more").isNull()
@@ -138,10 +137,9 @@ def in_out_paths(pages: DataFrame, hot: HotKeys) -> DataFrame:
     rows = hot.split(_named_pages(pages), "ts")
     order = ["ts", "rid", "pagename"]
     key = ["user_id"]
-    rows = previous_value(rows, key, order, {"_b1": F.col("pagename")}, hot)
-    rows = previous_value(rows, key, order, {"_b2": F.col("_b1")}, hot)
-    rows = next_value(rows, key, order, {"_f1": F.col("pagename")}, hot)
-    rows = next_value(rows, key, order, {"_f2": F.col("_f1")}, hot)
+    page = F.col("pagename")
+    rows = neighbours(rows, key, order, {"_b1": page}, {"_f1": page}, hot)
+    rows = neighbours(rows, key, order, {"_b2": F.col("_b1")}, {"_f2": F.col("_f1")}, hot)
 
     def path(second: str, third: str, label: int) -> Column:
         return F.struct(

@@ -7,14 +7,14 @@ windows share one partitioning by user, so sessionising costs one shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tvtrail.functions.labels import is_viewing, max_seconds
 from tvtrail.functions.times import DAY_SECONDS, day_start, from_epoch
 from tvtrail.operators.hotkeys import (
-    SLICE, HotKeys, extremes_after, latest_before, next_value,
+    COLD, SLICE, HotKeys, neighbours, strictly_after, strictly_before,
 )
-from tvtrail.schemas import HEART, INIT
+from tvtrail.schemas import HEART, INIT, LIVE
 
 # --- fixed values -----------------------------------------------------------
 ASSUMED_SECONDS = 300        # length of a session nothing is known about
@@ -24,12 +24,9 @@ MIN_SECONDS = 3
 
 def pair_starts(log: DataFrame, hot: HotKeys) -> DataFrame:
     """``stop_ts`` of a start: the very next record of its type, if that is a stop."""
-    out = next_value(
-        log,
-        ["user_id", "state"],
-        ["ts", "play", "rid"],
-        {"_next": F.struct(F.col("ts").alias("ts"), F.col("play").alias("play"))},
-        hot,
+    following = F.struct(F.col("ts").alias("ts"), F.col("play").alias("play"))
+    out = neighbours(
+        log, ["user_id", "state"], ["ts", "play", "rid"], before={}, after={"_next": following}, hot=hot
     )
     stopped = F.when(~F.col("_next.play"), F.col("_next.ts"))
     return out.withColumn("stop_ts", F.when(F.col("play"), stopped)).drop("_next")
@@ -41,33 +38,72 @@ def paired_sessions(log: DataFrame, hot: HotKeys) -> DataFrame:
     return pair_starts(rows, hot).where("play").withColumnRenamed("ts", "start_ts").drop("play")
 
 
-def _with_context(rows: DataFrame, hot: HotKeys) -> DataFrame:
-    """Per row, strictly before it: last heartbeat ``_h`` and the chain ``_p``.
+def _with_context(rows: DataFrame, parts: list[str]) -> DataFrame:
+    """Per row, strictly before it: the last heartbeat ``_h`` and two chains.
 
     ``_p`` is the last power-on ``i1``, the heartbeat ``h1`` before that, the
-    power-on ``i2`` before that and the heartbeat ``h2`` before that.  Each pass
-    hands a power-on or heartbeat what is known before it to the rows after it,
-    so the chain needs no lookups: a maximum over structs that begin with the
-    time picks the latest row.
+    power-on ``i2`` before that and the heartbeat ``h2`` before that.  ``_hc`` is
+    the same from the last heartbeat on (``h1, i2, h2``), with the heartbeat
+    ``h0`` before it.  Each pass hands a power-on or heartbeat what is known
+    before it to the rows after it, so the chains need no lookups: a maximum
+    over structs that begin with the time picks the latest row.
     """
-    ts = F.col("ts")
+    ts, earlier = F.col("ts"), strictly_before(parts, "ts")
     heart, init = F.col("state") == HEART, F.col("state") == INIT
-    user = ["user_id"]
-    rows = latest_before(rows, user, "ts", {"_h": F.when(heart, ts)}, hot)
-    rows = latest_before(
-        rows, user, "ts",
-        {"_i": F.when(init, F.struct(ts.alias("i2"), F.col("_h").alias("h2")))}, hot,
+
+    def latest(test: Column, **known: Column) -> Column:
+        fields = [value.alias(name) for name, value in known.items()]
+        return F.max(F.when(test, F.struct(*fields))).over(earlier)
+
+    rows = rows.withColumn("_h", F.max(F.when(heart, ts)).over(earlier))
+    rows = rows.withColumn("_i", latest(init, i2=ts, h2=F.col("_h")))
+    rows = rows.withColumn(
+        "_hc", latest(heart, h1=ts, i2=F.col("_i.i2"), h2=F.col("_i.h2"), h0=F.col("_h"))
     )
-    rows = latest_before(
-        rows, user, "ts",
-        {"_hc": F.when(heart, F.struct(
-            ts.alias("h1"), F.col("_i.i2").alias("i2"), F.col("_i.h2").alias("h2")))}, hot,
+    return rows.withColumn(
+        "_p", latest(init, i1=ts, h1=F.col("_hc.h1"), i2=F.col("_hc.i2"), h2=F.col("_hc.h2"))
+    ).drop("_i")
+
+
+def _rows_from_later_slices(rows: DataFrame, hot: HotKeys) -> DataFrame:
+    """What the last start in a slice has to know of the slices after it.
+
+    An inferred end depends only on what happens up to the next start.  So of
+    each slice just the part before its first start matters, and only to the
+    nearest earlier slice that holds a start.  Of that part the chains keep at
+    most eight rows; with the first start itself they are added to that slice.
+    """
+    end = F.lit(1 << 60)
+    slices = hot.table(rows.sparkSession).select(
+        "user_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_count") - 1)).alias(SLICE),
+        end.alias("ts"), F.lit("").alias("state"), F.lit(False).alias("play"),
     )
-    return latest_before(
-        rows, user, "ts",
-        {"_p": F.when(init, F.struct(
-            ts.alias("i1"), F.col("_hc.h1").alias("h1"),
-            F.col("_hc.i2").alias("i2"), F.col("_hc.h2").alias("h2")))}, hot,
+    own = ["user_id", SLICE, "ts", "state", "play"]
+    marked = rows.where(F.col(SLICE) != COLD).select(*own).unionByName(slices)
+    marked = _with_context(marked, ["user_id", SLICE])
+    stops = F.col("play") | (F.col("ts") == end)
+    known = F.struct("ts", "_h", "_hc", "_p")
+    first = marked.where(stops).groupBy("user_id", SLICE).agg(F.min_by(known, "ts").alias("_f"))
+    has_start = F.col("_f.ts") < end
+    earlier = Window.partitionBy("user_id").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    target = F.max(F.when(has_start, F.col(SLICE))).over(earlier)
+
+    def row(time: str, state: str, play: bool = False) -> Column:
+        return F.struct(
+            F.col(time).alias("ts"), F.lit(state).alias("state"), F.lit(play).alias("play")
+        )
+
+    kept = F.array(
+        row("_f._h", HEART), row("_f._hc.h0", HEART), row("_f._hc.i2", INIT), row("_f._hc.h2", HEART),
+        row("_f._p.i1", INIT), row("_f._p.h1", HEART), row("_f._p.i2", INIT), row("_f._p.h2", HEART),
+        F.when(has_start, row("_f.ts", LIVE, True)),
+    )
+    kept = F.filter(kept, lambda r: r["ts"].isNotNull())
+    return (
+        first.withColumn("_target", target)
+        .where(F.col("_target").isNotNull())
+        .select("user_id", F.col("_target").alias(SLICE), F.explode(kept).alias("_r"))
+        .select("user_id", SLICE, "_r.*", F.lit(True).alias("_added"))
     )
 
 
@@ -102,18 +138,23 @@ def sessions(log: DataFrame, hot: HotKeys) -> DataFrame:
     The candidate end is the next start of any type, else the last heartbeat.
     """
     rows = log.where(is_viewing(F.col("state")) | F.col("state").isin(HEART, INIT))
-    rows = _with_context(hot.split(rows, "ts"), hot)
-    at = F.struct(
+    rows = hot.split(rows, "ts")
+    if hot:
+        added = _rows_from_later_slices(rows, hot)
+        rows = rows.withColumn("_added", F.lit(False)).unionByName(added, allowMissingColumns=True)
+    parts = hot.parts("user_id")
+    rows = _with_context(rows, parts)
+    here = F.struct(F.col("ts").alias("ts"), F.struct(
         F.col("_p.i1").alias("i1"), F.col("_p.h1").alias("h1"), F.col("_p.i2").alias("i2"),
         F.col("_p.h2").alias("h2"), F.col("_h").alias("h0"),
-    )
-    here = F.struct(F.col("ts").alias("ts"), at.alias("at"))
-    rows = extremes_after(
-        rows, ["user_id"], "ts",
-        nearest={"_start": F.when(F.col("play"), here)},
-        farthest={"_last": F.when(F.col("state") == HEART, here)},
-        hot=hot,
-    ).drop("_h", "_i", "_hc", "_p")
+    ).alias("at"))
+    later = strictly_after(parts, "ts")
+    rows = rows.withColumns({
+        "_start": F.min(F.when(F.col("play"), here)).over(later),
+        "_last": F.max(F.when(F.col("state") == HEART, here)).over(later),
+    }).drop("_h", "_hc", "_p")
+    if hot:
+        rows = rows.where(~F.col("_added")).drop("_added")
     rows = pair_starts(rows.where(is_viewing(F.col("state"))), hot).where("play")
     start = F.col("ts")
     return (
