@@ -35,6 +35,8 @@ def main() -> None:
     names = list(QUERIES) if chosen == "all" else [n for n in chosen.split(",") if n] or list(HEADLINE)
     spark = build("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g",
+        # The tables are small; without this, reducers would merge into one task.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     })
     spark.sparkContext.setLogLevel("ERROR")
     times = {}

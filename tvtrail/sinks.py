@@ -15,9 +15,11 @@ def overwrite_partitions(
     """Replace the partitions present in ``df``; others stay.
 
     The mode is set on the writer, so it does not depend on session settings.
-    ``files`` limits the output files of small tables.
+    Rows are rebalanced by partition first: adaptive execution splits a large
+    partition and merges small ones, so files get an even size instead of one
+    small file per task and partition.  ``files`` limits them for small tables.
     """
-    out = df if files is None else df.coalesce(files)
+    out = df.hint("rebalance", *partitions) if files is None else df.coalesce(files)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

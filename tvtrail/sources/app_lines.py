@@ -17,11 +17,13 @@ VOD_TEXT_KEYS = {
 
 
 def parse_online(lines: DataFrame) -> DataFrame:
-    """Heartbeat JSON; lines that are no JSON or name no box are dropped."""
-    parsed = lines.select(F.from_json("value", "uuid string, apk_version string").alias("j"))
-    return parsed.select("j.uuid", "j.apk_version").where(
-        F.col("uuid").isNotNull() & F.col("uuid").rlike(r"\S")
-    )
+    """Heartbeat JSON; lines that are no JSON or name no box are dropped.
+
+    The generator makes each line be parsed once; as a projection the parse
+    would be repeated in the filter, once per use.
+    """
+    parsed = F.array(F.from_json("value", "uuid string, apk_version string"))
+    return lines.select(F.inline(parsed)).where(F.col("uuid").isNotNull() & F.col("uuid").rlike(r"\S"))
 
 
 def online_regions(

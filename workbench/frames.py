@@ -36,6 +36,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Redistribute a table of fewer files than cores; larger ones keep their splits."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def user_name(number: Column) -> Column:
     return F.concat(pick(USER_PREFIXES, number), number.cast("string"))
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from workbench.frames import AREA_CODES, events
+from workbench import frames
+from workbench.frames import AREA_CODES
 
 PREFIX = "2024-01-01 06:50:19 - 10.0.0.1 - "
 VERSION = "concat('A.', k % 4, '.', k % 3, '.1')"
@@ -15,6 +16,10 @@ AREA = "get(array({}), cast(k % {} as int))".format(
 )
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.spread(frames.events(spark, sf_dir), "event_id")
+
+
 def _row(*fields: str) -> str:
     return f"concat_ws('|', {', '.join(fields)})"
 
