@@ -87,6 +87,39 @@ def test_telecom_day(spark, logs, tmp_path):
     assert files.read_partition(spark, f"{out}/mid_path_statis").count()
 
 
+def test_in_out_paths(spark, logs, tmp_path):
+    out = str(tmp_path / "warehouse")
+    reports_day.in_out_paths(spark, f"{logs}/mobile", out, frames.DAY, "HNYD")
+    counts = files.read_partition(spark, f"{out}/res_full_path", frames.DAY, "HNYD")
+    both = {r.lr: r.n for r in counts.groupBy("lr").agg(F.sum("ct").alias("n")).collect()}
+    assert both[0] == both[1] > 0
+
+
+def test_command_line(spark, logs, tmp_path):
+    from tvtrail import __main__ as cli
+
+    folder = str(tmp_path / "dictionaries")
+    frames.test_prefixes(spark, SF).write.parquet(f"{folder}/test_user_prev")
+    out = str(tmp_path / "warehouse")
+    cli.main(["app-online", "--logs", f"{logs}/apps", "--warehouse", out, "--dictionaries", folder,
+              "--dt", frames.DAY, "--platform", "HNDX"], spark)
+    assert files.read_partition(spark, f"{out}/mid_online_day", frames.DAY, "HNDX", "apk").count()
+    for name, df in {
+        "dict_channel": frames.dict_channel(spark, SF), "dict_cms_media": frames.dict_media(spark, SF),
+        "db_fonsview_category": frames.fonsview(spark, SF), "dict_second_media_vod": frames.assets(spark, SF),
+        "dict_category_filter": frames.review_words(spark, SF).withColumn("operator", F.lit("HNYD")),
+    }.items():
+        df.write.parquet(f"{folder}/{name}")
+    for day, starts in (("20240101", {"20240101"}), (frames.DAY, {"20240101", frames.DAY})):
+        cli.main(["mobile", "--logs", f"{logs}/mobile", "--warehouse", out, "--dictionaries", folder,
+                  "--dt", day, "--platform", "HNYD", "--state", "error"], spark)
+        pool = files.read_partition(spark, f"{out}/user_info_pool", day, "HNYD", "sdk")
+        assert {r.start_date for r in pool.select("start_date").distinct().collect()} <= starts
+        assert pool.where("start_date = '20240101'").count()
+    cli.main(["box-numbers", "--warehouse", out, "--dt", frames.DAY], spark)
+    assert spark.read.parquet(f"{out}/starv_stb_num").count()
+
+
 def test_app_day(spark, logs, tmp_path):
     out = str(tmp_path / "warehouse")
     app_day.online_users(spark, f"{logs}/apps", out, frames.DAY, "HNDX", frames.test_prefixes(spark, SF))

@@ -151,19 +151,24 @@ def flow_counts(events: DataFrame) -> DataFrame:
 def flow_report(counts: DataFrame) -> DataFrame:
     """Counts for every label of every programme, zero where nothing flowed.
 
-    ``imbalance`` is inflow minus outflow of the programme, as measured.
+    A programme has at most as many counts as there are labels, so they fit in
+    one map per programme and filling needs no join.  ``imbalance`` is inflow
+    minus outflow of the programme, as measured.
     """
     labels = F.array(
         *[F.struct(F.lit(INFLOW).alias("type"), F.lit(x).alias("content")) for x in IN_LABELS],
         *[F.struct(F.lit(OUTFLOW).alias("type"), F.lit(x).alias("content")) for x in OUT_LABELS],
     )
-    inflow = F.sum(F.when(F.col("type") == INFLOW, F.col("count")).otherwise(0))
-    outflow = F.sum(F.when(F.col("type") == OUTFLOW, F.col("count")).otherwise(0))
-    programmes = counts.groupBy(*_PROGRAMME).agg((inflow - outflow).cast("bigint").alias("imbalance"))
-    spine = programmes.withColumn("_l", F.explode(labels)).select(*_PROGRAMME, "imbalance", "_l.*")
-    return spine.join(counts, ["type", *_PROGRAMME, "content"], "left").select(
-        "type", *_PROGRAMME, "content", F.coalesce("count", F.lit(0).cast("bigint")).alias("count"),
-        "imbalance",
+    signed = F.when(F.col("type") == INFLOW, F.col("count")).otherwise(-F.col("count"))
+    entry = F.struct(F.struct("type", "content").alias("label"), F.col("count").alias("n"))
+    programmes = counts.groupBy(*_PROGRAMME).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("_m"),
+        F.sum(signed).cast("bigint").alias("imbalance"),
+    )
+    found = F.try_element_at(F.col("_m"), F.col("_l"))
+    return programmes.withColumn("_l", F.explode(labels)).select(
+        "_l.type", *_PROGRAMME, "_l.content",
+        F.coalesce(found, F.lit(0).cast("bigint")).alias("count"), "imbalance",
     )
 
 

@@ -18,7 +18,8 @@ from tvtrail.functions.times import DAY_SECONDS, day_start
 from tvtrail.operators import facts, orders, paths, pool as pools, sessions, vod
 from tvtrail.operators.hotkeys import HotKeys, find_hot_keys
 from tvtrail.schemas import (
-    ERROR, HEART, INIT, LIVE, LOOK_BACK, ORDER, PAGE_VIEW, PARTITION_COLUMNS, TIME_SHIFT, VOD,
+    ERROR, HEART, INIT, LIVE, LOOK_BACK, ORDER, PAGE_VIEW, PARTITION_COLUMNS, POOL_COLUMNS,
+    TIME_SHIFT, VOD,
 )
 from tvtrail.session import prepare, stored
 from tvtrail.sources import files, records
@@ -60,6 +61,13 @@ class Job:
         )
 
 
+def previous_pool(job: Job) -> DataFrame:
+    """Yesterday's pool; empty before the first day."""
+    if not files.existing_paths(job.spark, [job.path("user_info_pool")]):
+        return job.spark.createDataFrame([], ", ".join(f"{c} string" for c in POOL_COLUMNS))
+    return job.read("user_info_pool", pools.yesterday(job.dt))
+
+
 def power_ons(job: Job, logs: str) -> None:
     lines = files.read_lines(
         job.spark, files.day_patterns(logs, [INIT], [job.dt]), optional=True
@@ -124,16 +132,19 @@ def run(
     platform: str,
     state: str,
     dictionaries: Dictionaries,
-    previous_pool: DataFrame,
+    previous: DataFrame | None = None,
 ) -> None:
-    """Run the parts ``state`` names: one record type, ``init``, ``fav`` or ``all``."""
+    """Run the parts ``state`` names: one record type, ``init``, ``fav`` or ``all``.
+
+    ``previous`` replaces yesterday's partition of the pool table.
+    """
     if state not in STATES:
         raise ValueError(f"unknown state {state!r}, expected one of {STATES}")
     job = Job(prepare(spark), warehouse, dt, check_platform(platform))
     if state in ("init", "all"):
         power_ons(job, logs)
     if state not in ("init", "fav"):
-        _process(job, logs, state, dictionaries, previous_pool)
+        _process(job, logs, state, dictionaries, previous_pool(job) if previous is None else previous)
     # After the pool of the day, which favourites are joined with.
     if state in ("fav", "all"):
         favourites(job, logs)

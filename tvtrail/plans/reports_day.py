@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tvtrail import sinks
 from tvtrail.functions.labels import check_platform
 from tvtrail.functions.times import to_epoch
-from tvtrail.operators import flow, minutes, reports
+from tvtrail.operators import flow, minutes, paths, reports
 from tvtrail.operators.hotkeys import find_hot_keys
-from tvtrail.plans.mobile_day import Job
+from tvtrail.plans.mobile_day import PATH_PARTITION, Job
+from tvtrail.schemas import ORDER, PAGE_VIEW
 from tvtrail.session import prepare
-from tvtrail.sources import files
+from tvtrail.sources import files, records
 
 
 def minute_report(spark: SparkSession, warehouse: str, dt: str, platform: str, source_type: str) -> None:
@@ -33,6 +34,16 @@ def box_numbers(spark: SparkSession, warehouse: str, dt: str) -> None:
     sinks.overwrite_partitions(report, job.path("starv_stb_num"), ("create_date",))
 
 
+def in_out_paths(spark: SparkSession, logs: str, warehouse: str, dt: str, platform: str) -> None:
+    """Paths into and out of each page."""
+    job = Job(prepare(spark), warehouse, dt, check_platform(platform))
+    lines = files.read_lines(spark, files.day_patterns(logs, [PAGE_VIEW, ORDER], [dt]), optional=True)
+    pages = records.positional_pages(lines)
+    counts = paths.in_out_counts(pages, find_hot_keys(pages, "user_id", "ts"))
+    labels = {"dt": F.lit(dt), "platform": F.lit(platform)}
+    job.write(counts.withColumns(labels), "res_full_path", PATH_PARTITION)
+
+
 def channel_flow(
     spark: SparkSession, views: DataFrame, guide: DataFrame, out: str
 ) -> None:

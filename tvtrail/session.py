@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on.  All can be changed on a live session.
 RUNTIME_CONF = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -24,7 +23,11 @@ RUNTIME_CONF = {
 
 
 def prepare(spark: SparkSession, time_zone: str | None = None) -> SparkSession:
-    """Apply the runtime settings to a session somebody else created."""
+    """Apply the runtime settings to a session somebody else created.
+
+    The time zone decides where a reporting day begins; it stays as it is unless
+    one is named.
+    """
     for name, value in RUNTIME_CONF.items():
         spark.conf.set(name, value)
     if time_zone:
@@ -41,7 +44,9 @@ START_CONF = {
 }
 
 
-def build(app: str, master: str | None = None, **conf: str) -> SparkSession:
+def build(
+    app: str, master: str | None = None, time_zone: str = "UTC", **conf: str
+) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for name, value in START_CONF.items():
         builder = builder.config(name, value)
@@ -49,7 +54,7 @@ def build(app: str, master: str | None = None, **conf: str) -> SparkSession:
         builder = builder.master(master)
     for name, value in conf.items():
         builder = builder.config(name, value)
-    return prepare(builder.getOrCreate())
+    return prepare(builder.getOrCreate(), time_zone)
 
 
 def shared_folder(spark: SparkSession) -> str:

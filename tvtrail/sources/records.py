@@ -268,6 +268,18 @@ def power_on_records(lines: DataFrame, dt: str, platform: str, source_type: str
     )
 
 
+def positional_pages(lines: DataFrame) -> DataFrame:
+    """User, time and the name in field 10 of every record, whatever its type.
+
+    The in/out path report reads page-view and order logs this way.
+    """
+    f = F.col("f")
+    return split_records(lines).select(
+        F.lit(PAGE_VIEW).alias("state"), field(f, 2).alias("user_id"), "ts",
+        F.xxhash64("f").alias("rid"), field(f, 10).alias("pagename"),
+    )
+
+
 def record_widths(lines: DataFrame, code: str) -> DataFrame:
     """Which field counts occur for a type code (profiling)."""
     first = split_packed(lines).withColumn("f", fields_of(F.col("value")))

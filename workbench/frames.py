@@ -32,7 +32,7 @@ def text(prefix: str, number: Column) -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    prepare(spark)
+    prepare(spark, "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
