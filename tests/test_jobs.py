@@ -30,7 +30,7 @@ def logs(spark, tmp_path_factory):
 def dictionaries(spark):
     return mobile_day.Dictionaries(
         channels=frames.dict_channel(spark, SF), media=frames.dict_media(spark, SF),
-        uploads=frames.fonsview(spark, SF), assets=frames.assets(spark, SF),
+        uploads=frames.upload_map(spark, SF), assets=frames.assets(spark, SF),
         test_users=frames.test_prefixes(spark, SF), review_words=frames.review_words(spark, SF))
 
 
@@ -66,7 +66,7 @@ def test_mobile_day(spark, logs, tmp_path):
 
     reports_day.minute_report(spark, out, frames.DAY, "HNYD", "sdk")
     reports_day.box_numbers(spark, out, frames.DAY)
-    numbers = spark.read.parquet(f"{out}/starv_stb_num")
+    numbers = spark.read.parquet(f"{out}/stb_num_day")
     total = numbers.where("area_code = '14300' and source_type = 'HNYD_ALL'").first().stb_num
     assert total == files.read_partition(spark, f"{out}/mid_online_day").count()
 
@@ -106,7 +106,7 @@ def test_command_line(spark, logs, tmp_path):
     assert files.read_partition(spark, f"{out}/mid_online_day", frames.DAY, "HNDX", "apk").count()
     for name, df in {
         "dict_channel": frames.dict_channel(spark, SF), "dict_cms_media": frames.dict_media(spark, SF),
-        "db_fonsview_category": frames.fonsview(spark, SF), "dict_second_media_vod": frames.assets(spark, SF),
+        "upload_category": frames.upload_map(spark, SF), "dict_second_media_vod": frames.assets(spark, SF),
         "dict_category_filter": frames.review_words(spark, SF).withColumn("operator", F.lit("HNYD")),
     }.items():
         df.write.parquet(f"{folder}/{name}")
@@ -117,7 +117,7 @@ def test_command_line(spark, logs, tmp_path):
         assert {r.start_date for r in pool.select("start_date").distinct().collect()} <= starts
         assert pool.where("start_date = '20240101'").count()
     cli.main(["box-numbers", "--warehouse", out, "--dt", frames.DAY], spark)
-    assert spark.read.parquet(f"{out}/starv_stb_num").count()
+    assert spark.read.parquet(f"{out}/stb_num_day").count()
 
 
 def test_app_day(spark, logs, tmp_path):
@@ -126,7 +126,7 @@ def test_app_day(spark, logs, tmp_path):
     online = files.read_partition(spark, f"{out}/mid_online_day", frames.DAY, "HNDX", "apk")
     assert online.count() and online.where("uuid like 'test%'").count() == 0
     app_day.vod(spark, f"{logs}/apps", out, frames.DAY, frames.test_prefixes(spark, SF), frames.assets(spark, SF),
-                frames.starcor_assists(spark, SF), frames.starcor_categories(spark, SF), frames.products(spark, SF),
+                frames.app_placements(spark, SF), frames.app_categories(spark, SF), frames.products(spark, SF),
                 frames.review_words(spark, SF))
     facts = files.read_partition(spark, f"{out}/mid_vod_day")
     results = files.read_partition(spark, f"{out}/res_vod_day")

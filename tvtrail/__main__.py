@@ -15,9 +15,9 @@ from tvtrail.plans import app_day, mobile_day, reports_day, telecom_day
 from tvtrail.session import build
 
 DICTIONARIES = (
-    "dict_channel", "dict_cms_media", "db_fonsview_category", "dict_second_media_vod", "test_user_prev",
-    "dict_category_filter", "hnlt_user_areacode", "t_hnyd_rela", "db_starcor_assists",
-    "db_starcor_category", "dict_prodasset",
+    "dict_channel", "dict_cms_media", "upload_category", "dict_second_media_vod", "test_user_prev",
+    "dict_category_filter", "hnlt_user_areacode", "t_hnyd_rela", "app_placement",
+    "app_category", "dict_prodasset",
 )
 
 
@@ -61,7 +61,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if args.job == "mobile":
         dictionaries = mobile_day.Dictionaries(
             channels=table("dict_channel"), media=table("dict_cms_media"),
-            uploads=table("db_fonsview_category"), assets=table("dict_second_media_vod"),
+            uploads=table("upload_category"), assets=table("dict_second_media_vod"),
             test_users=table("test_user_prev"), review_words=table("dict_category_filter"),
         )
         mobile_day.run(
@@ -80,7 +80,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.job == "app-vod":
         app_day.vod(
             spark, args.logs, args.warehouse, args.dt, table("test_user_prev"),
-            table("dict_second_media_vod"), table("db_starcor_assists"), table("db_starcor_category"),
+            table("dict_second_media_vod"), table("app_placement"), table("app_category"),
             table("dict_prodasset"), table("dict_category_filter"),
         )
     elif args.job == "in-out-paths":

@@ -29,7 +29,7 @@ def review_categories(categories: DataFrame, review: DataFrame) -> DataFrame:
 def resolve_categories(
     vod: DataFrame,
     media: DataFrame,
-    fonsview: DataFrame,
+    uploads: DataFrame,
     review: DataFrame | None = None,
 ) -> DataFrame:
     """One row per view and category, with one primary row per view and channel.
@@ -66,7 +66,7 @@ def resolve_categories(
             F.coalesce("media_name", F.lit("")) == "", F.coalesce("dict_media_name", F.lit(""))
         ).otherwise(F.col("media_name")),
     )
-    known = upload_categories(fonsview)
+    known = upload_categories(uploads)
     views = views.join(known, views["category_id"] == known["identityno"], "left")
     unmapped = F.col("up_category").isNull()
     rows = views.join(

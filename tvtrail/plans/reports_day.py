@@ -31,7 +31,7 @@ def box_numbers(spark: SparkSession, warehouse: str, dt: str) -> None:
     job = Job(prepare(spark), warehouse, dt)
     online = files.read_partition(spark, job.path("mid_online_day"))
     report = reports.stb_report(online, dt)
-    sinks.overwrite_partitions(report, job.path("starv_stb_num"), ("create_date",))
+    sinks.overwrite_partitions(report, job.path("stb_num_day"), ("create_date",))
 
 
 def in_out_paths(spark: SparkSession, logs: str, warehouse: str, dt: str, platform: str) -> None:
@@ -71,10 +71,13 @@ def new_relations(found: DataFrame, known: DataFrame, fmt: str, **target: str) -
     sinks.append_external(reports.new_relations(found, known), fmt, **target)
 
 
-def copy_programmes(spark: SparkSession, source: dict[str, str], fmt: str, **target: str) -> None:
-    """Copy the programme guide from one store to another."""
-    query = (
-        "select id, day as dt, start_date as start_time, stop_date as end_time, channel_code, "
-        "program_name, channel_name, title from starv_epg"
+def copy_programmes(
+    spark: SparkSession, source: dict[str, str], table: str, fmt: str, **target: str
+) -> None:
+    """Copy the programme guide ``table`` from one store to another."""
+    columns = (
+        "id, day as dt, start_date as start_time, stop_date as end_time, channel_code, "
+        "program_name, channel_name, title"
     )
-    sinks.append_external(files.read_jdbc(spark, source, query), fmt, **target)
+    rows = files.read_jdbc(spark, source, f"select {columns} from {table}")
+    sinks.append_external(rows, fmt, **target)

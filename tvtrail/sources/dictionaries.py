@@ -46,11 +46,11 @@ def media_categories(media: DataFrame) -> DataFrame:
     )
 
 
-def upload_categories(fonsview: DataFrame) -> DataFrame:
+def upload_categories(uploads: DataFrame) -> DataFrame:
     """Category id sent by a box -> real category and channel."""
     best = F.min(F.struct("c_cid", "pc_cid"))
     return (
-        fonsview.where(F.col("identityno").isNotNull())
+        uploads.where(F.col("identityno").isNotNull())
         .groupBy("identityno")
         .agg(best.alias("b"))
         .select("identityno", F.col("b.c_cid").alias("up_category"), F.col("b.pc_cid").alias("up_channel"))

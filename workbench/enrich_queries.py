@@ -49,7 +49,7 @@ resolved AS (SELECT r.*, coalesce(c.category_name,'') AS category_name FROM rows
 def _resolved(spark, sf_dir):
     rows = _vod_records(spark, sf_dir).withColumn("media_uuid", F.lit(""))
     return vod.resolve_categories(
-        rows, frames.dict_media(spark, sf_dir), frames.fonsview(spark, sf_dir),
+        rows, frames.dict_media(spark, sf_dir), frames.upload_map(spark, sf_dir),
         frames.review_words(spark, sf_dir))
 
 
@@ -149,14 +149,14 @@ def _views(spark, sf_dir):
 
 def _sent_rows(spark, sf_dir):
     return app_vod.with_sent_category(
-        _views(spark, sf_dir), frames.assets(spark, sf_dir), frames.starcor_categories(spark, sf_dir),
+        _views(spark, sf_dir), frames.assets(spark, sf_dir), frames.app_categories(spark, sf_dir),
         frames.products(spark, sf_dir))
 
 
 def _found_rows(spark, sf_dir):
     return app_vod.with_found_category(
-        _views(spark, sf_dir), frames.assets(spark, sf_dir), frames.starcor_assists(spark, sf_dir),
-        frames.starcor_categories(spark, sf_dir), frames.products(spark, sf_dir))
+        _views(spark, sf_dir), frames.assets(spark, sf_dir), frames.app_placements(spark, sf_dir),
+        frames.app_categories(spark, sf_dir), frames.products(spark, sf_dir))
 
 
 @query(with_(*_APP, _DIMS, _SENT_ROWS) + "SELECT * FROM sent_rows")
@@ -182,8 +182,8 @@ _FLAGGED = """flagged AS (SELECT *, CASE WHEN EXISTS (SELECT 1 FROM review WHERE
 def appvod_results(spark, sf_dir):
     """The published rows: both category branches with their flags."""
     return app_vod.app_results(
-        stored(_views(spark, sf_dir), "app-views"), frames.assets(spark, sf_dir), frames.starcor_assists(spark, sf_dir),
-        frames.starcor_categories(spark, sf_dir), frames.products(spark, sf_dir),
+        stored(_views(spark, sf_dir), "app-views"), frames.assets(spark, sf_dir), frames.app_placements(spark, sf_dir),
+        frames.app_categories(spark, sf_dir), frames.products(spark, sf_dir),
         frames.review_words(spark, sf_dir))
 
 
@@ -197,7 +197,7 @@ def review_category_flag(spark, sf_dir):
     named = part.select("p_partkey", F.concat(F.lit("cat "), F.lower("p_type"), F.lit(" "), brand).alias("category_name"))
     rows = frames.events(spark, sf_dir).join(named, F.col("k") == F.col("p_partkey")).select("event_id", "category_name")
     return app_vod.with_review_flag(
-        rows, frames.starcor_categories(spark, sf_dir), frames.review_words(spark, sf_dir))
+        rows, frames.app_categories(spark, sf_dir), frames.review_words(spark, sf_dir))
 
 
 @query(with_(EV) + """SELECT event_id, CASE WHEN k%5<3 THEN '0' ELSE '1' END AS isfree FROM ev""")

@@ -187,7 +187,7 @@ def dict_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fonsview(spark: SparkSession, sf_dir: str) -> DataFrame:
+def upload_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     key = F.col("s_suppkey")
     return s.select(
@@ -212,7 +212,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(text("AS", F.col("p_size")).alias("asset_id"))
 
 
-def starcor_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+def app_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     brand = F.substring_index("p_brand", "#", -1)
     return p.select(
@@ -222,7 +222,7 @@ def starcor_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
 
 
-def starcor_assists(spark: SparkSession, sf_dir: str) -> DataFrame:
+def app_placements(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     brand = F.substring_index("p_brand", "#", -1)
     return p.select(
@@ -287,7 +287,7 @@ def online(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def channel_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ocn_live: every event is a view that lasts up to its day's end."""
+    """Channel views: every event is a view that lasts up to its day's end."""
     codes = ("303", "104", "2104", "4104", "4004", "4104", "4904", "4804", "4602", "4104", "1", "2")
     e = events(spark, sf_dir)
     k, s = F.col("k"), F.col("s")

@@ -60,7 +60,7 @@ def vod_record(word: str) -> str:
     tail = f"CASE WHEN event_id % 23 = 0 THEN '||' ELSE concat('|||', {CHANNEL}) END"
     return _row(
         *_head("0x04"), "''", MEDIA, NAME, "'9'", "'26'", "'1282000'", UPLOAD, "'http'", "'5'", STATUS,
-        "'1'", "'mango'", word, "concat('fs', k % 3)", tail,
+        "'1'", "'spid'", word, "concat('fs', k % 3)", tail,
     )
 
 
