@@ -57,6 +57,14 @@ def test_words(spark):
     assert facts.drop_test_users(names, none.withColumnRenamed("w", "key_word"), "_name").count() == names.count()
 
 
+def test_short_and_long_prefix_lists_agree(spark):
+    names = spark.createDataFrame([("test1",), ("atest",), ("x",), ("",), (None,), ("te",)], "_name string")
+    listed = spark.createDataFrame([("test",), ("x",), ("",), (None,), ("x",)], "key_word string")
+    kept = [[r[0] for r in facts.drop_test_users(names, listed, "_name", n).collect()] for n in (2, 1)]
+    assert words.short_list(listed, "key_word", 1) is None
+    assert sorted(kept[0], key=str) == sorted(kept[1], key=str) == ["", None, "atest", "te"]
+
+
 def test_a_view_of_review_categories_only_disappears(spark):
     media = spark.createDataFrame(
         [("m1", "n", "c1", "review x", "ch"), ("m1", "n", "c2", "good", "ch"), ("m1", "n", "c3", "fine", "ch"),

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tvtrail.functions.text import label_if_blank, major_version, search_key_name
 from tvtrail.operators.hotkeys import SLICE, HotKeys, join_per_key, neighbours
-from tvtrail.operators.words import starting_with
+from tvtrail.operators.words import (
+    MAX_INLINE_WORDS, short_list, starting_with, starts_with_any,
+)
 from tvtrail.schemas import (
     DEFAULT_REGION, ERROR, FIRST_LIVE, LAST_LIVE, LIVE, LOOK_BACK, ORDER, PAGE_VIEW,
     PARTITION_COLUMNS, TIME_SHIFT, VOD,
@@ -196,7 +198,16 @@ def with_assets(vod: DataFrame, assets: DataFrame, origin: str = "ltmedia") -> D
     )
 
 
-def drop_test_users(df: DataFrame, prefixes: DataFrame, column: str) -> DataFrame:
-    """Remove ids that start with a listed prefix (``prefixes``: key_word)."""
+def drop_test_users(
+    df: DataFrame, prefixes: DataFrame, column: str, inline: int = MAX_INLINE_WORDS
+) -> DataFrame:
+    """Remove ids that start with a listed prefix (``prefixes``: key_word).
+
+    Up to ``inline`` prefixes are a plain filter in the same pass over the rows;
+    a longer list goes through an anti join.
+    """
+    words = short_list(prefixes, "key_word", inline)
+    if words is not None:
+        return df.where(~starts_with_any(F.col(column), words))
     listed = starting_with(df.select(F.col(column).alias("_name")), prefixes, "key_word")
     return df.join(listed, df[column] == listed["_name"], "left_anti")
