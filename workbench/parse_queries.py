@@ -38,7 +38,7 @@ def log_parse_live(spark, sf_dir):
     return _parsed(spark, sf_dir, "0x03", "channel_id")
 
 
-@query(_rows("0x04", _PLAY, f"{_VIEW} AND k%4=1 AND event_id%23<>0", "'M'||k AS media_id",
+@query(_rows("0x04", _PLAY, f"{_VIEW} AND k%4=1 AND k NOT IN (21,41,61)", "'M'||k AS media_id",
              "'media '||k AS media_name", "'9' AS episodes", "'UP'||(k%20) AS category_id",
              "'CH'||(k%10) AS channel_id"))
 def log_parse_vod(spark, sf_dir):
@@ -125,7 +125,7 @@ def log_parse_error(spark, sf_dir):
 
 
 @query(with_(EV) + f"""SELECT '0x100' AS state, user_id, {_T} AS create_time, false AS play FROM ev
-  WHERE {GOOD} AND ((type='error' AND k%3<>0) OR type='purchase' OR ({_VIEW} AND k%4=1 AND event_id%23=0))""")
+  WHERE {GOOD} AND ((type='error' AND k%3<>0) OR type='purchase' OR ({_VIEW} AND k%4=1 AND k IN (21,41,61)))""")
 def log_heart_fallback(spark, sf_dir):
     """Unknown types, short records and favourites count as heartbeats."""
     return _parsed(spark, sf_dir, "0x100")
@@ -146,11 +146,11 @@ _RECORDS = """recs AS (
     ELSE (['0x03','0x04','0x05','0x06'])[k%4+1] END AS code,
     CASE WHEN type='signup' THEN 24 WHEN type='purchase' THEN 21
       WHEN type='error' THEN CASE WHEN k%3=0 THEN 11 ELSE 7 END
-      WHEN k%4=1 THEN CASE WHEN event_id%23=0 THEN 22 ELSE 23 END
+      WHEN k%4=1 THEN CASE WHEN k IN (21,41,61) THEN 22 ELSE 23 END
       ELSE ([15,0,17,13])[k%4+1] END AS width FROM ev
   UNION ALL
   SELECT event_id, k, type, CASE WHEN type='purchase' THEN '0x04' ELSE '0x07' END,
-    CASE WHEN type='purchase' THEN CASE WHEN event_id%23=0 THEN 22 ELSE 23 END ELSE 26 END
+    CASE WHEN type='purchase' THEN CASE WHEN k IN (21,41,61) THEN 22 ELSE 23 END ELSE 26 END
   FROM ev WHERE type IN ('view','click','purchase'))"""
 
 
@@ -165,7 +165,7 @@ def log_split_packed(spark, sf_dir):
     ).agg(F.count(F.lit(1)).alias("records"))
 
 
-@query(with_(EV, _RECORDS) + f"""SELECT CASE WHEN event_id%10=0 THEN 'prefixed' ELSE 'plain' END AS form,
+@query(with_(EV, _RECORDS) + f"""SELECT CASE WHEN k BETWEEN 40 AND 49 THEN 'prefixed' ELSE 'plain' END AS form,
   code, count(*) AS records FROM recs GROUP BY 1, 2""")
 def log_type_normalised(spark, sf_dir):
     rows = records.split_packed(wire.mobile_lines(spark, sf_dir)).withColumn("f", records.fields_of(F.col("value")))
@@ -184,8 +184,8 @@ def log_bad_time_dropped(spark, sf_dir):
         F.count(F.lit(1)).alias("records"), F.countDistinct("event_id").alias("lines"))
 
 
-@query(with_(EV) + """SELECT DISTINCT CAST(CASE WHEN event_id%23=0 THEN 22 ELSE 23 END AS BIGINT) AS width
-  FROM ev WHERE event_id%10<>0 AND (type='purchase' OR (type IN ('view','click') AND k%4=1))""")
+@query(with_(EV) + """SELECT DISTINCT CAST(CASE WHEN k IN (21,41,61) THEN 22 ELSE 23 END AS BIGINT) AS width
+  FROM ev WHERE k NOT BETWEEN 40 AND 49 AND (type='purchase' OR (type IN ('view','click') AND k%4=1))""")
 def record_widths(spark, sf_dir):
     return records.record_widths(wire.mobile_lines(spark, sf_dir), "0x04")
 

@@ -155,4 +155,4 @@ ONLINE = f"""online AS (SELECT DISTINCT user_id AS uuid, {pick(('14301', '14302'
   CASE WHEN uid//3%2=1 THEN 'apk' WHEN uid%3=2 THEN 'c3' ELSE 'sdk' END AS source_type FROM ev)"""
 
 # Events whose rendered device time is readable.
-GOOD = "event_id%17<>0 AND event_id%19<>0"
+GOOD = "k NOT IN (17,19,34,36,51)"

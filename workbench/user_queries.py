@@ -138,15 +138,16 @@ def insert_if_absent(spark, sf_dir):
 
 @query(with_(EV, """a AS (SELECT strftime(make_timestamp(real_s*1000000),'%Y%m%d') AS dt, count(*)*1000 AS n FROM ev GROUP BY 1)""",
              """b AS (SELECT strftime(make_timestamp(real_s*1000000),'%Y%m%d') AS dt, count(*)*1000 AS n FROM ev
-    WHERE type<>'error' GROUP BY 1 HAVING count(*)%3<>0)""")
+    WHERE type<>'error' AND strftime(make_timestamp(real_s*1000000),'%Y%m%d')>='20240112' GROUP BY 1)""")
        + """SELECT a.dt, a.n AS count, b.n AS other_count, a.n-b.n AS diff FROM a LEFT JOIN b ON a.dt=b.dt
-  WHERE coalesce(a.n-b.n,80000)>40000""")
+  WHERE coalesce(a.n-b.n,134000)>67000""")
 def count_reconcile(spark, sf_dir):
-    """Daily counts of two systems as whitespace-separated text, columns swapped."""
+    """Daily counts of two systems as whitespace-separated text, columns swapped.  The
+    second system started later."""
     e = frames.events(spark, sf_dir).withColumn("dt", frames.day_of(F.col("real_s")))
     n = F.count(F.lit(1))
     left = e.groupBy("dt").agg(n.alias("n"))
-    right = e.where(F.col("type") != "error").groupBy("dt").agg(n.alias("n")).where(F.col("n") % 3 != 0)
+    right = e.where((F.col("type") != "error") & (F.col("dt") >= "20240112")).groupBy("dt").agg(n.alias("n"))
     thousand = (F.col("n") * 1000).cast("string")
     left = left.select(F.concat(F.col("dt"), F.lit("\t "), thousand).alias("value"))
     right = right.select(F.concat(F.lit(" "), thousand, F.lit("  "), F.col("dt")).alias("value"))
@@ -154,7 +155,7 @@ def count_reconcile(spark, sf_dir):
     def counts(lines, *names):
         return files.read_two_columns(lines, *names).withColumn("count", F.col("count").try_cast("bigint"))
 
-    return reports.count_differences(counts(left, "dt", "count"), counts(right, "count", "dt"), 40000)
+    return reports.count_differences(counts(left, "dt", "count"), counts(right, "count", "dt"), 67000)
 
 
 @query(with_(EV) + "SELECT count(*) AS pv FROM ev WHERE type IN ('view','click') AND k%4<>0")

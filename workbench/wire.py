@@ -25,17 +25,17 @@ def _row(*fields: str) -> str:
 
 
 def _time(milliseconds: bool = False) -> str:
-    """Device time; unreadable for every 17th event, month 13 for every 19th."""
+    """Device time; unreadable for some keys, month 13 for one."""
     fmt = r"yyyy-MM-dd\'T\'HH:mm:ss" + (".SSSZ" if milliseconds else "Z")
     return (
-        "CASE WHEN event_id % 17 = 0 THEN 'BAD' WHEN event_id % 19 = 0 THEN '2024-13-01T00:00:00+0000' "
+        "CASE WHEN k IN (17, 34, 36, 51) THEN 'BAD' WHEN k = 19 THEN '2024-13-01T00:00:00+0000' "
         f"ELSE date_format(timestamp_seconds(s), '{fmt}') END"
     )
 
 
 def _code(code: str) -> str:
-    """Type code, with a date and address before it for every tenth event."""
-    return f"CASE WHEN event_id % 10 = 0 THEN '{PREFIX}{code}' ELSE '{code}' END"
+    """Type code, with a date and address before it for keys 40 to 49."""
+    return f"CASE WHEN k BETWEEN 40 AND 49 THEN '{PREFIX}{code}' ELSE '{code}' END"
 
 
 def _head(code: str, ms: bool = False) -> list[str]:
@@ -56,8 +56,8 @@ def live_record(play: str) -> str:
 
 
 def vod_record(word: str) -> str:
-    """23 fields; one short for every 23rd event."""
-    tail = f"CASE WHEN event_id % 23 = 0 THEN '||' ELSE concat('|||', {CHANNEL}) END"
+    """23 fields; one short for some keys."""
+    tail = f"CASE WHEN k IN (21, 41, 61) THEN '||' ELSE concat('|||', {CHANNEL}) END"
     return _row(
         *_head("0x04"), "''", MEDIA, NAME, "'9'", "'26'", "'1282000'", UPLOAD, "'http'", "'5'", STATUS,
         "'1'", "'spid'", word, "concat('fs', k % 3)", tail,
