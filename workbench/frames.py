@@ -289,7 +289,7 @@ def online(spark: SparkSession, sf_dir: str) -> DataFrame:
 def channel_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Channel views: every event is a view that lasts up to its day's end."""
     codes = ("303", "104", "2104", "4104", "4004", "4104", "4904", "4804", "4602", "4104", "1", "2")
-    e = events(spark, sf_dir)
+    e = spread(events(spark, sf_dir), "event_id")
     k, s = F.col("k"), F.col("s")
     day_end = s - (s - EPOCH) % 86400 + 86399
     return e.select(
