@@ -19,13 +19,11 @@ REVIEW, MATCHED, UNMATCHED = "2", "0", "1"
 
 def views_of_day(parsed: DataFrame, dt: str) -> DataFrame:
     """VOD records of the day, 3 s to 4 h long, starts and ends not yet cut."""
-    rows = parsed.where(F.col("data_type") == "vod").withColumns({
-        "start_ts": to_epoch(F.col("play_start_time")),
-        "end_ts": to_epoch(F.col("play_end_time")),
-        "regionid": telecom_region(F.col("uuid")),
-    })
-    rows = rows.where(F.col("start_ts").isNotNull() & F.col("end_ts").isNotNull())
-    return of_day(rows, dt, F.lit(MAX_SECONDS_ON_DEMAND)).select(*COLUMNS)
+    timed = F.col("start_ts").isNotNull() & F.col("end_ts").isNotNull()
+    rows = parsed.where((F.col("data_type") == "vod") & timed)
+    return of_day(rows, dt, F.lit(MAX_SECONDS_ON_DEMAND)).withColumn(
+        "regionid", telecom_region(F.col("uuid"))
+    ).select(*COLUMNS)
 
 
 def occurring_once(rows: DataFrame, columns: tuple[str, ...] = COLUMNS) -> DataFrame:

@@ -69,25 +69,31 @@ def _app_view(pairs: Column) -> Column:
     def text(key: str) -> Column:
         return F.coalesce(F.substring_index(F.try_element_at(pairs, F.lit(key)), ":", 1), F.lit(""))
 
-    def time(key: str) -> Column:
+    def seconds(key: str) -> Column:
         raw = F.try_element_at(pairs, F.lit(key))
-        valid = raw.rlike(APP_TIME_PATTERN) & raw.try_cast("timestamp").isNotNull()
-        return F.when(valid, F.translate(raw, "- :", "")).otherwise(F.lit(""))
+        return F.unix_timestamp(F.when(raw.rlike(APP_TIME_PATTERN), raw.try_cast("timestamp")))
+
+    def time(key: str) -> Column:
+        digits = F.translate(F.try_element_at(pairs, F.lit(key)), "- :", "")
+        return F.when(seconds(key).isNotNull(), digits).otherwise(F.lit(""))
 
     columns = {name: text(key) for name, key in VOD_TEXT_KEYS.items()}
     columns["media_id"] = blank_to_empty(columns["media_id"])
     columns["play_start_time"] = time("play_start_time")
     columns["play_end_time"] = time("play_end_time")
+    columns["start_ts"] = seconds("play_start_time")
+    columns["end_ts"] = seconds("play_end_time")
     return F.struct(*[column.alias(name) for name, column in columns.items()])
 
 
 def parse_app_vod(lines: DataFrame) -> DataFrame:
-    """Key/value VOD records; times that do not parse are empty.
+    """Key/value VOD records with their times as text and as epoch seconds.
 
-    Quotes, backslashes and braces are ignored; of a repeated key the last value
-    counts (a session setting of ``tvtrail.session``).  A time keeps its colons,
-    any other value ends at its first.  The generator makes each line be taken
-    apart once, not once per filter on a column.
+    Times that do not parse are empty, and null as seconds.  Quotes, backslashes
+    and braces are ignored; of a repeated key the last value counts (a session
+    setting of ``tvtrail.session``).  A time keeps its colons, any other value
+    ends at its first.  The generator makes each line be taken apart once, not
+    once per filter on a column.
     """
     pairs = F.array(F.str_to_map(F.translate(F.col("value"), '"\\{}', ""), F.lit(","), F.lit(":")))
     return lines.select(F.inline(F.transform(pairs, _app_view)))

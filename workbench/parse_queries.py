@@ -240,4 +240,4 @@ def json_online_users(spark, sf_dir):
   CASE WHEN k%4=0 THEN '' ELSE {pick(('economy', 'small', 'large', 'standard', 'promo', 'medium'), 'k')} END AS clum_id,
   CASE WHEN k%31=0 THEN 'live' ELSE 'vod' END AS data_type FROM copies""")
 def kv_vod_parse(spark, sf_dir):
-    return app_lines.parse_app_vod(wire.app_vod_lines(spark, sf_dir))
+    return app_lines.parse_app_vod(wire.app_vod_lines(spark, sf_dir)).drop("start_ts", "end_ts")
