@@ -13,7 +13,7 @@ from tvtrail.schemas import (
     DEFAULT_REGION, ERROR, FIRST_LIVE, LAST_LIVE, LIVE, LOOK_BACK, ORDER, PAGE_VIEW,
     PARTITION_COLUMNS, TIME_SHIFT, VOD,
 )
-from tvtrail.sources.dictionaries import channels, media_names, one_per_key
+from tvtrail.sources.dictionaries import channels, media_names
 
 POOL_KEYS = ("user_id", "regionid", "apk_version", *PARTITION_COLUMNS)
 

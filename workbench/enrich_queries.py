@@ -9,7 +9,7 @@ from tvtrail.session import stored
 from tvtrail.sources import app_lines
 from workbench import frames, wire
 from workbench.registry import query
-from workbench.sql import ASSETS, EV, LOG, MEDIA, REVIEW, VERSION, epoch, log_time, pick, telecom_region, with_
+from workbench.sql import ASSETS, EV, LOG, MEDIA, REVIEW, VERSION, log_time, pick, telecom_region, with_
 
 
 def _vod_records(spark, sf_dir):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tvtrail.operators import flow, minutes
 from workbench import frames
 from workbench.registry import hot_users, query

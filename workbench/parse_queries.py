@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tvtrail import sinks
 from tvtrail.operators import facts
 from tvtrail.session import scratch_path
 from tvtrail.sources import app_lines, files, records
@@ -15,7 +14,6 @@ from workbench.sql import EV, GOOD, VERSION, day, log_time, mobile_region, pick,
 from workbench.sql import AREA_CODES
 
 _T = log_time("s")
-_COMMON = "state, user_id, create_time, play"
 
 
 def _parsed(spark, sf_dir, state, *columns):

@@ -9,7 +9,7 @@ from tvtrail.operators import flow
 from tvtrail.sources import app_lines
 from workbench import frames
 from workbench.registry import query
-from workbench.sql import AREA_CODES, EV, VERSION, day, log_time, mobile_region, pick, telecom_region, with_
+from workbench.sql import AREA_CODES, EV, day, log_time, mobile_region, pick, telecom_region, with_
 
 _STAMP = "strftime(make_timestamp(s*1000000),'%Y-%m-%dT%H:%M:%S')"
 

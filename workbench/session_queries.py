@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tvtrail.operators import facts, sessions
 from workbench import frames
 from workbench.registry import hot_users, query
-from workbench.sql import CHANNELS, DAY_SESSIONS, EV, LOG, PAGES, POOL, SESSIONS, VIEW_STATES, log_time, with_
+from workbench.sql import CHANNELS, DAY_SESSIONS, EV, LOG, PAGES, POOL, SESSIONS, VIEW_STATES, with_
 
 _PART = "p.dt, p.platform, p.source_type"
 
@@ -47,9 +47,6 @@ def session_day_clamp(spark, sf_dir):
     return found.select("user_id", "state", "play_start_time", "play_end_time", "rid")
 
 
-_CLAMPED_HALO = """all_kept AS (SELECT * FROM sess WHERE end_ts-start_ts BETWEEN 3 AND lim)"""
-
-
 def _named(spark, sf_dir):
     """Sessions of the day with channel names, and the hot users of the log."""
     log = frames.log(spark, sf_dir)
