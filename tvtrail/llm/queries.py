@@ -4,14 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tvtrail.llm import contamination, sharding
+from tvtrail.llm import contamination, sharding, token_counts, token_files
 from tvtrail.llm.common import text_bytes, text_crc32
+from tvtrail.session import scratch_path
 
 
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_files(spark, sf_dir):
+    path = scratch_path(spark, "token-files")
+    token_files.write(documents(spark, sf_dir), path, tokenizer_path())
+    return token_files.read(spark, path)
+
+
+def op2_token_counts(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text", text_bytes("text").alias("n_bytes"))
+    return token_counts.count_tokens(docs, tokenizer_path()).select(
+        "doc_id", "n_bytes", "tokens.n_tokens", (F.col("tokens.n_tokens") > token_counts.LIMIT).alias("over_limit"),
+        F.col("tokens.fitting").alias("n_chars_fitting"))
+
+
 def op3_sharding(spark, sf_dir):
     sizes = documents(spark, sf_dir).select(
         "doc_id", (text_bytes("text") + 1).alias("size"), text_crc32("text").alias("text_crc32"))
@@ -31,5 +51,5 @@ def op8_contamination(spark, sf_dir):
         (F.col("contamination.n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op3_sharding, op8_contamination)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_sharding, op8_contamination)}
 ORACLES: dict[str, str] = {}
