@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tvtrail.llm import contamination, sharding, token_counts, token_files
+from tvtrail.llm import contamination, mixing, quality, sharding, token_counts, token_files
 from tvtrail.llm.common import text_bytes, text_crc32
 from tvtrail.session import scratch_path
 
@@ -40,6 +40,17 @@ def op3_sharding(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_mixing(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
+    return mixing.mix(docs, F.col("words")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_quality(spark, sf_dir):
+    judged = quality.judge(documents(spark, sf_dir).select("doc_id", "text"))
+    return judged.select("doc_id", *[f"quality.{c}" for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
+
+
 def op8_contamination(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = contamination.mark(documents(spark, sf_dir).select("doc_id", "text"), items)
@@ -51,5 +62,5 @@ def op8_contamination(spark, sf_dir):
         (F.col("contamination.n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_sharding, op8_contamination)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_sharding, op6_mixing, op7_quality, op8_contamination)}
 ORACLES: dict[str, str] = {}
