@@ -5,12 +5,12 @@ document is to be taken on average.  Its whole part is taken outright, its fract
 is an inclusion probability.  The flight of the cube method moves the probabilities
 of a few documents at a time along the null space of the balancing constraints, sums
 of documents and of words, until one of them is 0 or 1, so both totals of the source
-stay as they were.  When fewer documents are undecided than constraints ask for, they
+stay as they were.  A dozen undecided documents, the smallest where there is a choice,
 land: of all ways to decide them the one nearest to the totals is chosen.
 
 Flights run in blocks of bounded size inside a source.  What a block leaves undecided,
 two documents at most, flies on with that of other blocks, so a source of any size ends
-with one landing of at most two documents.
+with one small landing.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from tvtrail.llm.common import number_rows, packed, row_hash, settle, unpacked
 
 BLOCK_ROWS = 20_000
 MOST_COPIES = 3
+LANDING = 12
 _NEAR = 1e-9
 
 
@@ -61,15 +62,14 @@ def targets(sizes: DataFrame, most: int = MOST_COPIES) -> DataFrame:
     return levels.withColumn("target", target.cast("double")).drop("_weight", "_share", "_capped")
 
 
-def fly(chances: list[float], words: list[int]) -> list[float]:
-    """Flight phase: at most two of the chances stay between 0 and 1.
+def fly(chances: list[float], words: list[int], rest: int = 0) -> list[float]:
+    """Flight phase: at most two of the chances stay between 0 and 1, besides the last ``rest``.
 
-    Keeps the sum of chances and the sum of chance times words.  Documents come in the
-    given order, so the last ones are those left to land.
+    Keeps the sum of chances and the sum of chance times words.
     """
     chances = list(chances)
     open_ = []
-    for n in range(len(chances)):
+    for n in range(len(chances) - rest):
         if not _NEAR < chances[n] < 1 - _NEAR:
             chances[n] = float(round(chances[n]))
             continue
@@ -98,13 +98,13 @@ def _move(chances: list[float], places: list[int], move: tuple[int, ...]) -> Non
 
 def land(chances: list[float], words: list[int]) -> list[float]:
     """Decide the few open ones so that words, then documents, come nearest to their sums."""
-    open_ = [n for n, c in enumerate(chances) if 0.0 < c < 1.0]
+    open_ = [n for n, c in enumerate(chances) if _NEAR < c < 1 - _NEAR]
     want_words = sum(chances[n] * words[n] for n in open_)
     want_docs = sum(chances[n] for n in open_)
     best = min(
         itertools.product((0.0, 1.0), repeat=len(open_)),
         key=lambda way: (abs(sum(w * words[n] for w, n in zip(way, open_)) - want_words), abs(sum(way) - want_docs), way))
-    decided = list(chances)
+    decided = [float(round(c)) for c in chances]
     for value, n in zip(best, open_):
         decided[n] = value
     return decided
@@ -129,7 +129,8 @@ def sample(rows: DataFrame, most_blocks: int, block_rows: int = BLOCK_ROWS) -> D
         # Large documents fly first, so that small ones are left to land.
         group = group.sort_values(["_size", "_number"], ascending=[False, True])
         words, blocks = group["_size"].tolist(), int(group["_blocks"].iloc[0])
-        chances = fly(group["_chance"].tolist(), words)
+        rest = min(LANDING - 2, len(words)) if blocks == 1 else 0
+        chances = fly(group["_chance"].tolist(), words, rest)
         return group.assign(
             _chance=land(chances, words) if blocks == 1 else chances, _blocks=_next_blocks(blocks, block_rows))
 
