@@ -5,8 +5,9 @@ document is to be taken on average.  Its whole part is taken outright, its fract
 is an inclusion probability.  The flight of the cube method moves the probabilities
 of a few documents at a time along the null space of the balancing constraints, sums
 of documents and of words, until one of them is 0 or 1, so both totals of the source
-stay as they were.  A dozen undecided documents, the smallest where there is a choice,
-land: of all ways to decide them the one nearest to the totals is chosen.
+stay as they were.  Two dozen undecided documents of all sizes land: the larger ones are
+rounded one by one, each to the side that leaves less to make up for, and of all ways to
+decide the smallest dozen the one nearest to the totals is chosen.
 
 Flights run in blocks of bounded size inside a source.  What a block leaves undecided,
 two documents at most, flies on with that of other blocks, so a source of any size ends
@@ -26,7 +27,8 @@ from tvtrail.llm.common import number_rows, packed, row_hash, settle, unpacked
 
 BLOCK_ROWS = 20_000
 MOST_COPIES = 3
-LANDING = 12
+LANDING = 24
+EXACT = 12
 _NEAR = 1e-9
 
 
@@ -97,15 +99,21 @@ def _move(chances: list[float], places: list[int], move: tuple[int, ...]) -> Non
 
 
 def land(chances: list[float], words: list[int]) -> list[float]:
-    """Decide the few open ones so that words, then documents, come nearest to their sums."""
-    open_ = [n for n, c in enumerate(chances) if _NEAR < c < 1 - _NEAR]
-    want_words = sum(chances[n] * words[n] for n in open_)
-    want_docs = sum(chances[n] for n in open_)
-    best = min(
-        itertools.product((0.0, 1.0), repeat=len(open_)),
-        key=lambda way: (abs(sum(w * words[n] for w, n in zip(way, open_)) - want_words), abs(sum(way) - want_docs), way))
+    """Decide the open ones so that words, then documents, come nearest to their sums."""
     decided = [float(round(c)) for c in chances]
-    for value, n in zip(best, open_):
+    open_ = sorted((n for n, c in enumerate(chances) if _NEAR < c < 1 - _NEAR), key=lambda n: -words[n])
+    owed_words = owed_docs = 0.0
+    for n in open_[:-EXACT]:
+        decided[n] = float(owed_words + chances[n] * words[n] > words[n] / 2)
+        owed_words += (chances[n] - decided[n]) * words[n]
+        owed_docs += chances[n] - decided[n]
+    last = open_[-EXACT:]
+    want_words = owed_words + sum(chances[n] * words[n] for n in last)
+    want_docs = owed_docs + sum(chances[n] for n in last)
+    best = min(
+        itertools.product((0.0, 1.0), repeat=len(last)),
+        key=lambda way: (abs(sum(w * words[n] for w, n in zip(way, last)) - want_words), abs(sum(way) - want_docs), way))
+    for value, n in zip(best, last):
         decided[n] = value
     return decided
 
@@ -126,10 +134,14 @@ def sample(rows: DataFrame, most_blocks: int, block_rows: int = BLOCK_ROWS) -> D
     """
 
     def flight(group: pd.DataFrame) -> pd.DataFrame:
-        # Large documents fly first, so that small ones are left to land.
-        group = group.sort_values(["_size", "_number"], ascending=[False, True])
-        words, blocks = group["_size"].tolist(), int(group["_blocks"].iloc[0])
-        rest = min(LANDING - 2, len(words)) if blocks == 1 else 0
+        # Large documents fly first, so that small ones are left.
+        group = group.sort_values(["_size", "_number"], ascending=[False, True], ignore_index=True)
+        blocks, rest = int(group["_blocks"].iloc[0]), 0
+        if blocks == 1:  # keep some of every size for the landing
+            rest = min(LANDING - 2, len(group))
+            kept = [len(group) * n // rest for n in range(rest)]
+            group = pd.concat([group.drop(index=kept), group.loc[kept]])
+        words = group["_size"].tolist()
         chances = fly(group["_chance"].tolist(), words, rest)
         return group.assign(
             _chance=land(chances, words) if blocks == 1 else chances, _blocks=_next_blocks(blocks, block_rows))
