@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tvtrail.llm import contamination, mixing, quality, sharding, token_counts, token_files
+from tvtrail.llm import contamination, language, mixing, quality, secrets, sharding, token_counts, token_files
 from tvtrail.llm.common import text_bytes, text_crc32
 from tvtrail.session import scratch_path
 
@@ -40,6 +40,23 @@ def op3_sharding(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_secrets(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(docs))
+    return found.select(
+        "doc_id", *[F.size(f"secrets.{k}").cast("bigint").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secrets.listed("secrets", ["assign", "access", "hex"]), 256).alias("base_sha256"),
+        secrets.listed("secrets", ["assign", "access", "hex", "markov"]).alias("spans"))
+
+
+def op5_language(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    out = language.held_out(F.col("doc_id"))
+    model = language.train(docs, ~out)
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", out.alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score")
+
+
 def op6_mixing(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
     return mixing.mix(docs, F.col("words")).select("doc_id", "size", "source_size", "target", "taken")
@@ -62,5 +79,5 @@ def op8_contamination(spark, sf_dir):
         (F.col("contamination.n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_sharding, op6_mixing, op7_quality, op8_contamination)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_sharding, op4_secrets, op5_language, op6_mixing, op7_quality, op8_contamination)}
 ORACLES: dict[str, str] = {}
