@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tvtrail.llm import contamination, language, mixing, quality, secrets, sharding, token_counts, token_files
+from tvtrail.llm import contamination, language, mixing, near_dup, quality, secrets, sharding, token_counts, token_files
 from tvtrail.llm.common import text_bytes, text_crc32
 from tvtrail.session import scratch_path
 
@@ -79,5 +79,9 @@ def op8_contamination(spark, sf_dir):
         (F.col("contamination.n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_sharding, op4_secrets, op5_language, op6_mixing, op7_quality, op8_contamination)}
+def op9_near_dup(spark, sf_dir):
+    return near_dup.near_duplicates(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_sharding, op4_secrets, op5_language, op6_mixing, op7_quality, op8_contamination, op9_near_dup)}
 ORACLES: dict[str, str] = {}

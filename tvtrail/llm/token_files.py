@@ -32,7 +32,7 @@ from tvtrail.llm.wordpieces import Splitter, WordCache, byte_level
 
 MAGIC = 0x0054564C4C4D0001
 NO_ID = -(1 << 63)
-FILE_TEXT_BYTES = 24 << 20
+FILE_TEXT_BYTES = 16 << 20
 
 
 class Encoder:
@@ -154,7 +154,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                file = TokenFile.view(content.as_buffer().to_pybytes())
+                file = TokenFile.view(memoryview(content.as_buffer()))
                 part = int(name.rsplit("/", 1)[-1].split("-")[1])
                 counts = np.diff(np.append(file.offsets, len(file.tokens)).astype(np.int64))
                 sums = [zlib.crc32(file.document(n).astype("<u4").tobytes()) for n in range(len(counts))]

@@ -14,7 +14,7 @@ import unicodedata
 
 from tokenizers import Tokenizer
 
-CACHE_WORDS = 250_000
+CACHE_WORDS = 120_000
 
 # Latin-1 and Latin Extended-A, without controls, other blanks and the dotted capital I.
 _PLAIN = re.compile("[\t\n\r -~\xa1-įı-ſ]*")
