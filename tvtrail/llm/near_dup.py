@@ -93,7 +93,9 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), "<u2").reshape(-1, REGISTERS)
 
 
-@F.arrow_udf("struct<n:bigint,digest:binary,bands:array<bigint>,registers:binary>")
+_SKETCH = "struct<n:bigint,digest:binary,bands:array<bigint>,registers:binary>"
+
+
 def _sketch(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """An empty set has n = 0, no digest and no bands."""
     for column in texts:
@@ -114,14 +116,12 @@ def _sketch(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
              pa.array(rows, pa.binary())], ["n", "digest", "bands", "registers"])
 
 
-@F.arrow_udf("array<bigint>")
 def _set(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for column in texts:
         yield pa.array(
             [s.view(np.int64) for part in batches(utf8(column)) for s in shingle_sets(part)], pa.list_(pa.int64()))
 
 
-@F.arrow_udf("double")
 def _estimate(n: pa.Array, m: pa.Array, first: pa.Array, second: pa.Array) -> pa.Array:
     if not len(n):
         return pa.array([], pa.float64())
@@ -133,7 +133,7 @@ def _estimate(n: pa.Array, m: pa.Array, first: pa.Array, second: pa.Array) -> pa
 def sketches(docs: DataFrame, text: str, key: str) -> DataFrame:
     """Settled (id, n, digest, bands, registers), one row per document row."""
     return settle(
-        docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), _sketch(F.col(f"`{text}`")).alias("s"))
+        docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.arrow_udf(_sketch, _SKETCH)(F.col(f"`{text}`")).alias("s"))
         .select("id", "s.*"), "sketches")
 
 
@@ -141,7 +141,7 @@ def _verified(docs: DataFrame, text: str, key: str, pairs: DataFrame, similarity
     """Of settled (a, b) pairs of ids, those whose full sets are similar enough, settled."""
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     sets = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text")).join(
-        wanted, "id", "left_semi").select("id", _set("text").alias("set"))
+        wanted, "id", "left_semi").select("id", F.arrow_udf(_set, "array<bigint>")("text").alias("set"))
     shared = F.size(F.array_intersect("set_a", "set_b")).cast("bigint")
     whole = F.size("set_a") + F.size("set_b") - shared
     return settle(
@@ -233,7 +233,7 @@ def link(
     def may_link(pairs: DataFrame) -> DataFrame:
         first, second = (sketch.toDF(x, f"n_{x}", f"r_{x}") for x in "ab")
         both = pairs.join(first, "a").join(second, "b")
-        return both.where(_estimate("n_a", "n_b", "r_a", "r_b") >= MIN_ESTIMATE).select("a", "b").distinct()
+        return both.where(F.arrow_udf(_estimate, "double")("n_a", "n_b", "r_a", "r_b") >= MIN_ESTIMATE).select("a", "b").distinct()
 
     tested = settle(may_link(stars), "candidates")
     links = _verified(docs, text, key, tested, similarity)
