@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tvtrail.llm import contamination, language, mixing, near_dup, quality, secrets, sharding, token_counts, token_files
+from tvtrail.llm import contamination, language, mixing, near_dup, quality, repeats, secrets, sharding, token_counts, token_files
 from tvtrail.llm.common import text_bytes, text_crc32
 from tvtrail.session import scratch_path
 
@@ -83,5 +83,12 @@ def op9_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_sharding, op4_secrets, op5_language, op6_mixing, op7_quality, op8_contamination, op9_near_dup)}
+def op10_repeats(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text", text_bytes("text").alias("n_bytes"))
+    return repeats.remove_repeats(docs).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("repeats.kept")).alias("n_removed"),
+        F.size("repeats.spans").cast("bigint").alias("n_spans"), F.sha2("repeats.kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_sharding, op4_secrets, op5_language, op6_mixing, op7_quality, op8_contamination, op9_near_dup, op10_repeats)}
 ORACLES: dict[str, str] = {}
