@@ -121,7 +121,7 @@ def anchors(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
         yield hashes[anchor], text[anchor], place[anchor], place[starts[first]], place[starts[last]]
 
 
-def _batches(batches: Iterator[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterator[dict[str, list]]:
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
     """The rows of a task in lists of bounded text size."""
     rows, size = None, 0
     for batch in batches:
@@ -133,7 +133,7 @@ def _batches(batches: Iterator[pa.RecordBatch], most: int = BATCH_BYTES) -> Iter
             for name, value in row.items():
                 rows[name].append(value)
             size += len(row["text"])
-            if size >= most:
+            if size >= BATCH_BYTES:
                 yield rows
                 rows, size = None, 0
     if rows:
