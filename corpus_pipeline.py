@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tvtrail.llm import contamination, mixing, near_dup, quality, sharding
+from tvtrail.llm.common import packed, unpacked
 from tvtrail.session import stored
 
 SHARDS = 16
@@ -21,8 +22,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the cascade."""
-    judged = quality.judge(docs, into="_quality")
-    return judged.where("_quality.kept").select(docs.columns)
+    judged = quality.judge(packed(docs, text=F.col("text")))
+    return unpacked(judged.where("quality.kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,14 +34,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return contamination.mark(docs, items, into="_found").where("_found.n_hit = 0").select(docs.columns)
+    marked = contamination.mark(packed(docs, text=F.col("text")), items)
+    return unpacked(marked.where("contamination.n_hit = 0"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    mixed = mixing.mix(docs, mixing.word_count(F.col("text")))
-    return mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
-        docs.columns)
+    rows = packed(docs, doc_id=F.col("doc_id"), source=F.col("source"), words=mixing.word_count(F.col("text")))
+    mixed = mixing.mix(rows, F.col("words")).where("copies > 0")
+    return unpacked(mixed.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
