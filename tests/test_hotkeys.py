@@ -23,9 +23,9 @@ def df(spark, rows):
 
 @pytest.fixture(scope="module")
 def hot(df):
-    found = hk.find_hot_keys(df, "user_id", "ts", max_slices=16, min_rows=20)
-    assert [r.user_id for r in found.rows] == ["hot"]
-    assert found.rows[0]["_count"] > 4
+    found = hk.find_hot_keys(df, "user_id", "ts", slice_rows=30)
+    (row,) = found.slices.collect()
+    assert row.user_id == "hot" and len(row["_starts"]) > 4
     return found
 
 
@@ -42,6 +42,29 @@ def test_slices_are_bounded_and_ordered(df, hot):
     assert hot.split(df, "ts").where("user_id <> 'hot'").select(hk.SLICE).distinct().first()[0] == hk.COLD
 
 
+def largest_slice(spark, rows, slice_rows):
+    df = spark.createDataFrame(rows, "user_id string, ts bigint, rid bigint")
+    found = hk.find_hot_keys(df, "user_id", "ts", slice_rows=slice_rows)
+    counts = found.split(df, "ts").where(f"{hk.SLICE} >= 0").groupBy("user_id", hk.SLICE).count()
+    return df, found, counts.agg(F.max("count"), F.count("*")).first()
+
+
+@pytest.mark.parametrize("times", [
+    [0, *range(1_704_000_000, 1_704_002_000)],                           # one stray clock
+    [*range(500), *(10_000 + i // 40 for i in range(1_500))],            # a burst
+    [d * 86_400 + i for d in range(365) for i in range(6)],              # many days
+], ids=["stray", "burst", "days"])
+@pytest.mark.parametrize("user", ["u", None])
+def test_slices_hold_at_most_twice_the_limit(spark, times, user):
+    rows = [(user, t, i) for i, t in enumerate(times)] + [("cold", 5, -1)]
+    df, found, (most, slices) = largest_slice(spark, rows, 64)
+    assert most < 2 * 64 and slices >= len(times) / 128
+    near = hk.neighbours(found.split(df, "ts"), ["user_id"], ["ts", "rid"], {"b": F.col("rid")}, {"a": F.col("rid")}, found)
+    got = {r.rid: (r.b, r.a) for r in near.where("rid >= 0").collect()}
+    order = [r[2] for r in sorted((r for r in rows if r[2] >= 0), key=lambda r: (r[1], r[2]))]
+    assert got == {x: (b, a) for b, x, a in zip([None, *order[:-1]], order, [*order[1:], None])}
+
+
 def test_neighbours(df, hot, rows):
     values = {"n": F.col("v"), "r": F.col("rid")}
 

@@ -91,7 +91,7 @@ def test_flow_matches_the_loop(spark):
     df = spark.createDataFrame(views, "stbid string, day string, start_ts bigint, end_ts bigint, content string, rid bigint")
     epg = flow.programme_times(spark.createDataFrame(rows, "day string, starttime string, endtime string"))
     want = flows(views, guide)
-    hot = hotkeys.find_hot_keys(df, "stbid", "start_ts", max_slices=10, min_rows=40)
+    hot = hotkeys.find_hot_keys(df, "stbid", "start_ts", slice_rows=40)
     assert hot
     for keys in (hotkeys.HotKeys("stbid"), hot):
         counts = flow.flow_counts(flow.flow_events(df, epg, keys))

@@ -24,7 +24,7 @@ def random_events(seed, hot_rows=300):
 
 
 def hot_of(df):
-    hot = hotkeys.find_hot_keys(df, "user_id", "ts", max_slices=10, min_rows=40)
+    hot = hotkeys.find_hot_keys(df, "user_id", "ts", slice_rows=40)
     assert hot
     return hot
 

@@ -16,7 +16,8 @@ def con():
 
 
 def test_contract(spark):
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() > 0
 
 
@@ -40,10 +41,10 @@ def test_query_with_hot_users(spark, con, name, monkeypatch):
     seen = []
 
     def forced(df, key, ts):
-        seen.append(hotkeys.find_hot_keys(df, key, ts, max_slices=400, min_rows=3))
+        seen.append(hotkeys.find_hot_keys(df, key, ts, slice_rows=3))
         return seen[-1]
 
     monkeypatch.setattr(registry, "find_hot_keys", forced)
     ok, note = compare.compare(spark, con, SF, name)
     assert ok, note
-    assert seen and all(hot and max(r["_count"] for r in hot.rows) > 1 for hot in seen)
+    assert seen and all(hot and not hot.slices.where("size(_starts) > 1").isEmpty() for hot in seen)

@@ -88,8 +88,8 @@ def test_random_logs_match_the_fold(spark, seed, span, starts):
     rows = random_log(seed, users=40, per_user=25, hot_rows=400, span=span, starts=starts)
     log = spark.createDataFrame(rows, SCHEMA)
     want = folds.sessions(rows)
-    hot = hotkeys.find_hot_keys(log, "user_id", "ts", max_slices=12, min_rows=50)
-    assert [r.user_id for r in hot.rows] == ["u0"]
+    hot = hotkeys.find_hot_keys(log, "user_id", "ts", slice_rows=50)
+    assert [r.user_id for r in hot.slices.collect()] == ["u0"]
     for keys in (hotkeys.NO_HOT_KEYS, hot):
         found = sessions.sessions(log, keys).select("user_id", "state", "start_ts", "end_ts", "rid")
         assert sorted(tuple(r) for r in found.collect()) == want

@@ -1,59 +1,88 @@
 """Ordered per-key operators that survive a key holding a large share of all rows.
 
-A window over ``partitionBy(user)`` puts one user into one task.  Where a user
-holds more than ``1/MAX_SLICES`` of the rows, its time span is cut into slices
-of about that size, the window runs per (user, slice), and what a slice needs
-from its neighbours is carried over from a one-row-per-slice summary.  Results
-are exact either way; only the task layout changes.
-
-Bounds: at most ``MAX_SLICES`` users can each hold more than ``1/MAX_SLICES``
-of the rows, and their slices number at most ``2 * MAX_SLICES``.  So the hot-key
-list may be collected and the slice summaries may be broadcast at any data size.
+A window over ``partitionBy(user)`` puts one user into one task.  A user with more than
+``SLICE_ROWS`` rows is cut into slices of whole seconds that hold about that many rows
+each, the window runs per (user, slice), and what a slice needs from its neighbours is
+carried over from a one-row-per-slice summary.  Results are exact either way; only the
+task layout changes.
+
+The limit is a number of rows and does not depend on the total.  Slices are cut where
+the running count of a user's rows passes a multiple of the limit, so a stray time or a
+burst costs nothing: a slice holds fewer rows than the limit plus those of one second.
+The list of hot users and the summaries grow with the data, so they stay tables and
+Spark's own size check decides whether to broadcast them.  A null key is a key.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
-MAX_SLICES = 4096
-MIN_HOT_ROWS = 2_000_000
+from tvtrail.session import stored
+
+SLICE_ROWS = 2_000_000
 
 SLICE = "_slice"
 COLD = -1
+# Steps of a binary search over a key's slices, 2 ** 31 at most.
+_STEPS = [1 << n for n in range(30, -1, -1)]
+
+
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Equality of keys of two frames, where null equals null; ``right`` has them as _k0, _k1, ..."""
+    tests = [left[k].eqNullSafe(right[f"_k{n}"]) for n, k in enumerate(keys)]
+    out = tests[0]
+    for test in tests[1:]:
+        out = out & test
+    return out
+
+
+def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumnsRenamed({k: f"_k{n}" for n, k in enumerate(keys)})
+
+
+def _places(starts: Column) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.size(starts).cast("bigint") - 1)
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Which values of ``key`` are hot, and how their time span is sliced."""
+    """Which values of ``key`` are hot, and where their slices begin.
+
+    ``slices`` has one row per hot key: the key and ``_starts``, ascending times.
+    """
 
     key: str
-    rows: tuple[Row, ...] = field(default=())
+    slices: DataFrame | None = None
 
     def __bool__(self) -> bool:
-        return bool(self.rows)
+        return self.slices is not None
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        schema = T.StructType([
-            T.StructField(self.key, T.StringType()),
-            T.StructField("_low", T.LongType()),
-            T.StructField("_width", T.LongType()),
-            T.StructField("_count", T.LongType()),
-        ])
-        return F.broadcast(spark.createDataFrame(list(self.rows), schema))
+    def pieces(self) -> DataFrame:
+        """(key, SLICE) of every slice."""
+        return self.slices.select(
+            self.key, F.explode(_places(F.col("_starts"))).alias(SLICE))
 
     def split(self, df: DataFrame, ts: str) -> DataFrame:
         """Add the slice of each row; ``COLD`` for rows of ordinary keys."""
         if not self:
             return df
-        at = F.floor((F.col(ts) - F.col("_low")) / F.col("_width")).cast("bigint")
-        inside = F.greatest(F.lit(0), F.least(at, F.col("_count") - 1))
+        starts = F.col("_starts")
+
+        def step(at: Column, size: Column) -> Column:
+            begun = (at + size <= F.size(starts)) & (F.get(starts, at + size - 1) <= F.col(ts))
+            return F.when(begun, at + size).otherwise(at)
+
+        # The last slice that has begun; times before all of them belong to the first.
+        place = F.aggregate(F.array(*[F.lit(n) for n in _STEPS]), F.lit(0), step)
+        inside = F.greatest(place - 1, F.lit(0))
+        named = _keyed(self.slices, [self.key])
         return (
-            df.join(self.table(df.sparkSession), self.key, "left")
-            .withColumn(SLICE, F.when(F.col("_low").isNull(), F.lit(COLD)).otherwise(inside).cast("bigint"))
-            .drop("_low", "_width", "_count")
+            df.join(named, _same(df, named, [self.key]), "left")
+            .withColumn(SLICE, F.when(starts.isNull(), F.lit(COLD)).otherwise(inside).cast("bigint"))
+            .drop("_starts", "_k0")
         )
 
     def parts(self, *keys: str) -> list[str]:
@@ -63,42 +92,25 @@ class HotKeys:
 NO_HOT_KEYS = HotKeys(key="")
 
 
-def find_hot_keys(
-    df: DataFrame,
-    key: str,
-    ts: str,
-    max_slices: int = MAX_SLICES,
-    min_rows: int = MIN_HOT_ROWS,
-) -> HotKeys:
-    """Count rows per key (map-side combined) and return the hot ones.
-
-    Ordinary data needs one job that returns one row.  Only where some key is
-    hot are the hot ones listed, fewer than ``max_slices`` of them, see above.
+def find_hot_keys(df: DataFrame, key: str, ts: str, slice_rows: int = SLICE_ROWS) -> HotKeys:
+    """Count rows per key (map-side combined) and cut those with more than ``slice_rows``.
+
+    Ordinary data needs one job that returns one row.  Only where some key is hot, its
+    rows are counted per second and the running count is cut.  ``df`` is read up to
+    three times then, so it should be a stored frame.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(ts).alias("_low"), F.max(ts).alias("_high")
-    )
-    total, largest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
-    share = max(min_rows, -(-(total or 0) // max_slices))
-    if (largest or 0) <= share:
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    if (counts.agg(F.max("_rows")).first()[0] or 0) <= slice_rows:
         return HotKeys(key)
-    slices = F.least(
-        F.ceil(F.col("_rows") / share).cast("bigint"),
-        F.col("_high") - F.col("_low") + 1,
-    )
-    hot = (
-        counts.where(F.col("_rows") > share)
-        .withColumn("_count", slices)
-        .select(
-            F.col(key).cast("string").alias(key),
-            F.col("_low").cast("bigint").alias("_low"),
-            F.ceil((F.col("_high") - F.col("_low") + 1) / F.col("_count"))
-            .cast("bigint")
-            .alias("_width"),
-            F.col("_count").cast("bigint").alias("_count"),
-        )
-    )
-    return HotKeys(key, tuple(hot.collect()))
+    hot = _keyed(counts.where(F.col("_rows") > slice_rows).select(key), [key])
+    rows = df.where(F.col(ts).isNotNull()).select(key, F.col(ts).cast("bigint").alias("_at"))
+    seconds = rows.join(hot, _same(rows, hot, [key]), "left_semi").groupBy(key, "_at").agg(
+        F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    piece = F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / slice_rows)
+    begins = seconds.withColumn("_piece", piece).groupBy(key, "_piece").agg(F.min("_at").alias("_begin"))
+    slices = begins.groupBy(key).agg(F.sort_array(F.collect_list("_begin")).alias("_starts"))
+    return HotKeys(key, stored(slices, "hot-keys"))
 
 
 def strictly_before(keys: list[str], ts: str) -> WindowSpec:
@@ -128,8 +140,8 @@ def _slice_ends(df: DataFrame, keys: list[str], ends: list[Column], carried: lis
     """
     summary = df.where(F.col(SLICE) != COLD).groupBy(*keys, SLICE).agg(*ends)
     order = Window.partitionBy(*keys).orderBy(SLICE)
-    handed = summary.select(*keys, SLICE, *[make(order) for make in carried])
-    return df.join(F.broadcast(handed), [*keys, SLICE], "left")
+    handed = _keyed(summary.select(*keys, SLICE, *[make(order) for make in carried]), [*keys, SLICE])
+    return df.join(handed, _same(df, handed, [*keys, SLICE]), "left").drop(*[f"_k{n}" for n in range(len(keys) + 1)])
 
 
 def neighbours(
@@ -191,12 +203,12 @@ def join_per_key(facts: DataFrame, dim: DataFrame, hot: HotKeys, how: str = "inn
     """
     if not hot:
         return facts.join(dim, hot.key or dim.columns[0], how)
-    slices = F.when(
-        F.col("_count").isNotNull(), F.sequence(F.lit(0).cast("bigint"), F.col("_count") - 1)
-    ).otherwise(F.array(F.lit(COLD).cast("bigint")))
+    named = _keyed(hot.slices, [hot.key])
+    slices = F.when(F.col("_starts").isNotNull(), _places(F.col("_starts"))).otherwise(
+        F.array(F.lit(COLD).cast("bigint")))
     spread = (
-        dim.join(hot.table(dim.sparkSession), hot.key, "left")
+        dim.join(named, _same(dim, named, [hot.key]), "left")
         .withColumn(SLICE, F.explode(slices))
-        .drop("_low", "_width", "_count")
+        .drop("_starts", "_k0")
     )
     return facts.join(spread, [hot.key, SLICE], how)

@@ -74,9 +74,8 @@ def _rows_from_later_slices(rows: DataFrame, hot: HotKeys) -> DataFrame:
     most eight rows; with the first start itself they are added to that slice.
     """
     end = F.lit(1 << 60)
-    slices = hot.table(rows.sparkSession).select(
-        "user_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_count") - 1)).alias(SLICE),
-        end.alias("ts"), F.lit("").alias("state"), F.lit(False).alias("play"),
+    slices = hot.pieces().select(
+        "user_id", SLICE, end.alias("ts"), F.lit("").alias("state"), F.lit(False).alias("play"),
     )
     own = ["user_id", SLICE, "ts", "state", "play"]
     marked = rows.where(F.col(SLICE) != COLD).select(*own).unionByName(slices)
