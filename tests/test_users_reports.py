@@ -29,6 +29,21 @@ def test_unknown_region_does_not_replace_a_known_one(spark):
         "gone": ("14305", "A.1", "20230101", DAY), "new": ("14301", "", DAY, DAY), "new2": ("14303", "", DAY, DAY)}
 
 
+def test_attributes_are_those_of_the_last_power_on(spark):
+    """A later power-on wins although its texts sort lower; its blanks are its own."""
+    log = events(spark, ("u", "0x01", D + 8, "14309", "A.9.1"), ("u", "0x01", D + 20, "14302", "A.10.0"),
+                 ("u", "0x100", D + 30, "14301", ""), ("w", "0x01", D + 8, "14309", "A.9"), ("w", "0x01", D + 9, "14302", ""))
+    got = {r.user_id: (r.regionid, r.apk_version) for r in pool.active_users(log, DAY, "HNYD").collect()}
+    assert got == {"u": ("14302", "A.10.0"), "w": ("14302", "")}
+
+
+def test_pool_merge_joins_once(spark):
+    log = events(spark, ("u", "0x01", D + 8, "14309", "A.9.1"))
+    previous = spark.createDataFrame([], ", ".join(f"{c} string" for c in POOL_COLUMNS))
+    plan = pool.merge_pool(pool.active_users(log, DAY, "HNYD"), previous, DAY)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join FullOuter") == 1 and plan.count("Join") == 2  # and users with their last power-on
+
+
 def test_last_power_on_needs_the_day(spark):
     log = events(spark, ("u", "0x01", D + 5, "14302", "A"), ("u", "0x01", D + 90000, "14303", "B"),
                  ("u", "0x01", D + 9, "14304", "C"), ("v", "0x01", D - 1, "14305", "D"))

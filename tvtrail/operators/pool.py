@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tvtrail.functions.text import choose_new
 from tvtrail.functions.times import DAY_SECONDS, day_start, shift_day
@@ -28,19 +28,16 @@ def last_power_on(events: DataFrame, dt: str) -> DataFrame:
 def active_users(events: DataFrame, dt: str, platform: str, source_type: str = "sdk") -> DataFrame:
     """One row per user seen on the day.
 
-    Attributes come from power-ons only; for a user without one the region is
-    null (unknown), so that it cannot replace a known one in the pool.
+    Attributes are those of the user's last power-on of the day, so they belong to one
+    state of the box.  For a user without one the region is null (unknown), so that it
+    cannot replace a known one in the pool, and the other attributes are blank.
     """
-    on = F.col("state") == INIT
-
-    def top(name: str):
-        if name == "regionid":
-            return F.max(F.when(on, F.col(name))).alias(name)
-        return F.max(F.coalesce(name, F.lit(""))).alias(name)
-
+    others = [name for name in POOL_ATTRIBUTES if name != "regionid"]
+    last = last_power_on(events.select("user_id", "state", "ts", "rid", *POOL_ATTRIBUTES), dt)
     return (
-        events.groupBy("user_id")
-        .agg(*[top(name) for name in POOL_ATTRIBUTES])
+        events.select("user_id").distinct()
+        .join(last.select("user_id", *POOL_ATTRIBUTES), "user_id", "left")
+        .select("user_id", "regionid", *[F.coalesce(name, F.lit("")).alias(name) for name in others])
         .withColumns({
             "dt": F.lit(dt), "platform": F.lit(platform), "source_type": F.lit(source_type),
         })
@@ -55,34 +52,39 @@ def online_day(active: DataFrame) -> DataFrame:
     )
 
 
-def new_users(active: DataFrame, previous: DataFrame) -> DataFrame:
-    """Active users yesterday's pool does not know, in the pool layout."""
-    fresh = active.join(previous.select("user_id"), "user_id", "left_anti")
-    return fresh.withColumns({
+def _as_new() -> dict[str, Column]:
+    """Pool columns of an active user nobody knew before."""
+    return {
         "regionid": F.coalesce("regionid", F.lit(DEFAULT_REGION)),
         "status": F.lit(""),
         "start_date": F.col("dt"),
         "end_date": F.lit(""),
         "create_date": F.col("dt"),
         "uuid": F.col("user_id"),
-    }).select(*POOL_COLUMNS)
+    }
 
 
-def known_users(active: DataFrame, previous: DataFrame, dt: str) -> DataFrame:
-    """Every user of yesterday's pool, with today's non-blank attributes."""
-    today = active.select("user_id", *[F.col(a).alias(f"_{a}") for a in POOL_ATTRIBUTES])
-    merged = previous.join(today, "user_id", "left").withColumns(
-        {a: choose_new(F.col(a), F.col(f"_{a}")) for a in POOL_ATTRIBUTES}
-    )
-    return merged.withColumns({
-        "status": F.lit(""), "end_date": F.lit(""),
-        "uuid": F.col("user_id"), "dt": F.lit(dt),
-    }).select(*POOL_COLUMNS)
+def new_users(active: DataFrame, previous: DataFrame) -> DataFrame:
+    """Active users yesterday's pool does not know, in the pool layout."""
+    fresh = active.join(previous.select("user_id"), "user_id", "left_anti")
+    return fresh.withColumns(_as_new()).select(*POOL_COLUMNS)
 
 
 def merge_pool(active: DataFrame, previous: DataFrame, dt: str) -> DataFrame:
-    """Today's pool: new users plus everybody carried forward."""
-    return new_users(active, previous).unionByName(known_users(active, previous, dt))
+    """Today's pool: new users plus everybody carried forward with today's non-blank attributes.
+
+    One full outer join, so either side is read once.
+    """
+    today = active.withColumns(_as_new() | {"_region": F.col("regionid")}).select(*POOL_COLUMNS, "_region")
+    today = today.select("user_id", *[F.col(c).alias(f"_n_{c}") for c in POOL_COLUMNS if c != "user_id"], "_region")
+    known = previous.select(*POOL_COLUMNS).withColumn("_known", F.lit(True))
+    joined = known.join(today, "user_id", "full_outer")
+    carried = {a: choose_new(F.col(a), F.col("_region" if a == "regionid" else f"_n_{a}")) for a in POOL_ATTRIBUTES}
+    carried |= {"status": F.lit(""), "end_date": F.lit(""), "uuid": F.col("user_id"), "dt": F.lit(dt)}
+    return joined.select("user_id", *[
+        F.when(F.col("_known"), carried.get(c, F.col(c))).otherwise(F.col(f"_n_{c}")).alias(c)
+        for c in POOL_COLUMNS if c != "user_id"
+    ]).select(*POOL_COLUMNS)
 
 
 def yesterday(dt: str) -> str:

@@ -93,7 +93,7 @@ def active_day(events: DataFrame, found: DataFrame, dt: str) -> DataFrame:
     first = day_start(dt)
     today = events.where((F.col("ts") >= first) & (F.col("ts") < first + DAY_SECONDS))
     today = today.where(F.col("state").isin(PAGE_VIEW, ERROR, ORDER, HEART, INIT))
-    return today.select("user_id", "state", *pools.POOL_ATTRIBUTES).unionByName(
+    return today.select("user_id", "state", "ts", "rid", *pools.POOL_ATTRIBUTES).unionByName(
         found.select("user_id", "state"), allowMissingColumns=True
     )
 

@@ -17,9 +17,9 @@ _ON_COLUMNS = f"""{mobile_region(pick(AREA_CODES, 'k'))} AS regionid,
 _ATTRIBUTES = ("apk_version", "mac", "manufacturers", "model", "system_version", "ip", "user_account", "os")
 _ACTIVE = f"""day_log AS (SELECT * FROM log WHERE left(create_time,8)='20240102'),
 ons AS (SELECT user_id, rid, ts, create_time, {_ON_COLUMNS} FROM day_log WHERE state='0x01'),
-active AS (SELECT d.user_id, max(o.regionid) AS regionid,
-  {', '.join(f"coalesce(max(o.{a}),'') AS {a}" for a in _ATTRIBUTES)}
-  FROM day_log d LEFT JOIN ons o USING (user_id) GROUP BY 1)"""
+last_on AS (SELECT * FROM ons QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, rid DESC)=1),
+active AS (SELECT d.user_id, o.regionid, {', '.join(f"coalesce(o.{a},'') AS {a}" for a in _ATTRIBUTES)}
+  FROM (SELECT DISTINCT user_id FROM day_log) d LEFT JOIN last_on o USING (user_id))"""
 _LABELS = "'20240102' AS dt, 'HNYD' AS platform, 'sdk' AS source_type"
 
 
