@@ -22,6 +22,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -137,7 +138,7 @@ class TokenFile:
     @classmethod
     def map(cls, path: str) -> TokenFile:
         """Map a local file; nothing is read before it is used."""
-        return cls.view(np.memmap(path, np.uint8, "r"))
+        return cls.view(np.asarray(np.memmap(path, np.uint8, "r")))
 
     def document(self, n: int) -> np.ndarray:
         end = self.offsets[n + 1] if n + 1 < len(self.offsets) else len(self.tokens)
@@ -147,24 +148,30 @@ class TokenFile:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Per stored document: doc_id, start (tokens of all documents before it), n_tokens, ids_crc32.
 
-    Each file is one row of Spark's binary reader, viewed in place.  A file's base is
-    the prefix sum of the token totals of the files before it (one row per file).
+    A file on a mounted file system (``file:``) is mapped by the task that has it; from
+    other stores Spark's binary reader brings it as one row, viewed in place.  A file's
+    base is the prefix sum of the token totals of the files before it (one row per file).
     """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    mounted = path.startswith(("file:", "/"))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                file = TokenFile.view(memoryview(content.as_buffer()))
+            for n, name in enumerate(batch.column("path").to_pylist()):
+                if mounted:
+                    file = TokenFile.map(unquote(urlparse(name).path))
+                else:
+                    file = TokenFile.view(memoryview(batch.column("content")[n].as_buffer()))
                 part = int(name.rsplit("/", 1)[-1].split("-")[1])
                 counts = np.diff(np.append(file.offsets, len(file.tokens)).astype(np.int64))
-                sums = [zlib.crc32(file.document(n).astype("<u4").tobytes()) for n in range(len(counts))]
+                sums = [zlib.crc32(file.document(d).astype("<u4").tobytes()) for d in range(len(counts))]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(counts), part), pa.int32()),
                     pa.array(file.ids, pa.int64(), mask=file.ids == NO_ID),
                     pa.array(file.offsets.astype(np.int64)), pa.array(counts), pa.array(sums, pa.int64()),
                 ], ["part", "doc_id", "at", "n_tokens", "ids_crc32"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    files = files.select("path") if mounted else files.select("path", "content")
     rows = settle(
         files.mapInArrow(parse, "part int, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint"),
         "token-index")
