@@ -1,9 +1,13 @@
 """The daily jobs end to end, on logs rendered from the smallest driver tables."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from tvtrail.operators import hotkeys
 from tvtrail.plans import app_day, mobile_day, reports_day, telecom_day
+from tvtrail.session import shared_folder
 from tvtrail.sources import files
 from workbench import frames, wire
 
@@ -34,6 +38,11 @@ def dictionaries(spark):
         test_users=frames.test_prefixes(spark, SF), review_words=frames.review_words(spark, SF))
 
 
+def scratch_tables(spark):
+    folder = shared_folder(spark).removeprefix("file:")
+    return sorted(os.listdir(folder))
+
+
 def rows(spark, warehouse, table):
     df = files.read_partition(spark, f"{warehouse}/{table}")
     return sorted(map(str, df.select(sorted(df.columns)).collect()))
@@ -46,11 +55,16 @@ MOBILE_TABLES = (
 )
 
 
-def test_mobile_day(spark, logs, tmp_path):
+def test_mobile_day(spark, logs, tmp_path, monkeypatch):
     out = str(tmp_path / "warehouse")
     args = (spark, f"{logs}/mobile", out, frames.DAY, "HNYD", "all", dictionaries(spark),
             frames.previous_pool(spark, SF))
+    with pytest.raises(FileNotFoundError):  # not every record type has a folder here
+        mobile_day.run(*args)
+    args = (*args, "sdk", True)
+    before = scratch_tables(spark)
     mobile_day.run(*args)
+    assert scratch_tables(spark) == before  # what the steps wrote is removed
     first = {table: rows(spark, out, table) for table in MOBILE_TABLES}
     assert all(first[t] for t in MOBILE_TABLES if t not in ("mid_chnl_day", "mid_timeshift_day", "mid_tvod_day")), {
         t: len(r) for t, r in first.items()}
@@ -64,6 +78,17 @@ def test_mobile_day(spark, logs, tmp_path):
     mobile_day.run(*args)
     assert {table: rows(spark, out, table) for table in MOBILE_TABLES} == first
 
+    # Every user treated as hot gives the same tables.
+    seen = []
+
+    def forced(df, key, ts):
+        seen.append(hotkeys.find_hot_keys(df, key, ts, slice_rows=3))
+        return seen[-1]
+
+    monkeypatch.setattr(mobile_day, "find_hot_keys", forced)
+    mobile_day.run(*args)
+    assert any(seen) and {table: rows(spark, out, table) for table in MOBILE_TABLES} == first
+
     reports_day.minute_report(spark, out, frames.DAY, "HNYD", "sdk")
     reports_day.box_numbers(spark, out, frames.DAY)
     numbers = spark.read.parquet(f"{out}/stb_num_day")
@@ -71,6 +96,60 @@ def test_mobile_day(spark, logs, tmp_path):
     assert total == files.read_partition(spark, f"{out}/mid_online_day").count()
 
 
+def test_a_gap_in_the_pool_is_an_error(spark, logs, tmp_path):
+    out = str(tmp_path / "warehouse")
+    pool = frames.previous_pool(spark, SF)
+    pool.withColumn("dt", F.lit("20231230")).write.partitionBy("dt", "platform", "source_type").parquet(f"{out}/user_info_pool")
+    job = mobile_day.Job(spark, out, frames.DAY, "HNYD")
+    with pytest.raises(FileNotFoundError, match="20231230"):
+        mobile_day.previous_pool(job)
+    assert mobile_day.previous_pool(mobile_day.Job(spark, out, frames.DAY, "HNYD", "sdk", True)).count() == 0
+    assert mobile_day.previous_pool(mobile_day.Job(spark, out, "20231231", "HNYD")).count() == pool.count()
+    assert mobile_day.previous_pool(mobile_day.Job(spark, out, "20231230", "HNYD")).count() == 0  # a rerun of the first day
+
+
+def test_new_names(spark, tmp_path):
+    from tvtrail import __main__ as cli
+
+    out = str(tmp_path)
+    day = {"dt": F.lit(frames.DAY), "platform": F.lit("HNYD"), "source_type": F.lit("sdk")}
+    views = spark.createDataFrame(
+        [("P1", "b", "M1", "m"), ("P1", "a", "M1", "n"), ("P2", "", "M2", ""), (None, "c", "", "x")],
+        "page_id string, pagename string, media_id string, media_name string").withColumns(day)
+    views.write.partitionBy(*day).parquet(f"{out}/mid_pageview_day")
+    paths = spark.createDataFrame([("a", "z", "")], "page_name string, page_name2 string, page_name3 string")
+    paths.withColumns({c: day[c] for c in ("dt", "platform")}).write.partitionBy("dt", "platform").parquet(f"{out}/mid_path_statis")
+    for kind in ("pages", "media", "path-pages", "pages", "path-pages"):  # twice adds nothing
+        cli.main(["names", "--warehouse", out, "--dt", frames.DAY, "--platform", "HNYD", "--kind", kind], spark)
+    assert sorted(map(tuple, spark.read.parquet(f"{out}/page_names").select("page_id", "page_name").collect())) == [
+        ("", "a"), ("", "z"), ("P1", "a")]
+    assert [tuple(r) for r in spark.read.parquet(f"{out}/media_names").select("media_id", "media_name").collect()] == [("M1", "m")]
+
+
+def test_flow_programme_and_relation_commands(spark, tmp_path):
+    from tvtrail import __main__ as cli
+    from tvtrail.operators import flow
+
+    views = frames.channel_views(spark, SF)
+    views.write.parquet(f"{tmp_path}/views")
+    flow.guide_spine(frames.log_days(spark, SF)).write.parquet(f"{tmp_path}/guide")
+    cli.main(["channel-flow", "--views", f"{tmp_path}/views", "--guide", f"{tmp_path}/guide", "--out", f"{tmp_path}/flow"], spark)
+    assert spark.read.text(f"{tmp_path}/flow").count()
+    cli.main(["programmes", "--guide", f"{tmp_path}/guide", "--table", "guide_by_command", "--path", f"{tmp_path}/epg"], spark)
+    assert spark.table("guide_by_command").count() == spark.read.parquet(f"{tmp_path}/guide").count()
+    spark.createDataFrame([("u1", "a"), ("u2", "c")], "userid string, stbid string").write.parquet(f"{tmp_path}/found")
+    spark.createDataFrame([("u2",)], "userid string").write.parquet(f"{tmp_path}/known")
+    cli.main(["relations", "--found", f"{tmp_path}/found", "--known", f"{tmp_path}/known", "--out", f"{tmp_path}/new"], spark)
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/new").collect()] == [("u1", "a")]
+
+
+def test_programme_rows(spark):
+    row = {"id": 1, "day": "d", "start_date": "s", "stop_date": "e", "channel_code": "c", "program_name": "p",
+           "channel_name": "n", "title": "t", "more": "x"}
+    got = reports_day.programme_rows(spark.createDataFrame([row]))
+    assert got.columns == ["id", "dt", "start_time", "end_time", "channel_code", "program_name", "channel_name", "title"]
+
+
 def test_unknown_state_and_platform(spark, tmp_path):
     for platform, state in (("HNYD", "nope"), ("XX", "all")):
         with pytest.raises(ValueError):
@@ -89,7 +168,7 @@ def test_telecom_day(spark, logs, tmp_path):
 
 def test_in_out_paths(spark, logs, tmp_path):
     out = str(tmp_path / "warehouse")
-    reports_day.in_out_paths(spark, f"{logs}/mobile", out, frames.DAY, "HNYD")
+    reports_day.in_out_paths(spark, f"{logs}/mobile", out, frames.DAY, "HNYD", allow_missing=True)
     counts = files.read_partition(spark, f"{out}/res_full_path", frames.DAY, "HNYD")
     both = {r.lr: r.n for r in counts.groupBy("lr").agg(F.sum("ct").alias("n")).collect()}
     assert both[0] == both[1] > 0
@@ -112,7 +191,7 @@ def test_command_line(spark, logs, tmp_path):
         df.write.parquet(f"{folder}/{name}")
     for day, starts in (("20240101", {"20240101"}), (frames.DAY, {"20240101", frames.DAY})):
         cli.main(["mobile", "--logs", f"{logs}/mobile", "--warehouse", out, "--dictionaries", folder,
-                  "--dt", day, "--platform", "HNYD", "--state", "error"], spark)
+                  "--dt", day, "--platform", "HNYD", "--state", "error", "--allow-missing"], spark)
         pool = files.read_partition(spark, f"{out}/user_info_pool", day, "HNYD", "sdk")
         assert {r.start_date for r in pool.select("start_date").distinct().collect()} <= starts
         assert pool.where("start_date = '20240101'").count()
@@ -127,7 +206,7 @@ def test_app_day(spark, logs, tmp_path):
     assert online.count() and online.where("uuid like 'test%'").count() == 0
     app_day.vod(spark, f"{logs}/apps", out, frames.DAY, frames.test_prefixes(spark, SF), frames.assets(spark, SF),
                 frames.app_placements(spark, SF), frames.app_categories(spark, SF), frames.products(spark, SF),
-                frames.review_words(spark, SF))
+                frames.review_words(spark, SF), allow_missing=True)  # the neighbouring days
     facts = files.read_partition(spark, f"{out}/mid_vod_day")
     results = files.read_partition(spark, f"{out}/res_vod_day")
     assert results.select("uuid").distinct().count() == facts.select("uuid").distinct().count()

@@ -111,3 +111,32 @@ def test_programme_over_midnight(spark):
                                "day string, starttime string, endtime string")
     assert sorted((r.starttime, r.endtime) for r in flow.programme_times(df).collect()) == [
         ("20240131010000", "20240131020000"), ("20240131230000", "20240201003000")]
+
+
+def test_null_area_or_channel_keeps_its_seconds(spark):
+    rows = [("a", None, D + 10, D + 110), (None, None, D + 10, D + 30), (None, "x", D + 65, D + 70)]
+    df = spark.createDataFrame(rows, "ch string, area string, start_ts bigint, end_ts bigint")
+    got = minutes.minute_seconds(df, DAY, ["ch", "area"]).groupBy("ch", "area").agg(F.sum("duration"), F.count("*"))
+    assert {(r[0], r[1]): (r[2], r[3]) for r in got.collect()} == {
+        ("a", None): (100, 1440), (None, None): (20, 1440), (None, "x"): (5, 1440)}
+
+
+def test_a_view_without_end_touches_its_days_programmes_only(spark):
+    guide = flow.programme_times(spark.createDataFrame(
+        [("20240102", "000000", "120000"), ("20240102", "230000", "010000")], "day string, starttime string, endtime string"))
+    views = spark.createDataFrame(
+        [("b", "20240102", D + 3600, D + 75 * 365 * 86400, "x", 1), ("c", "20240102", D + 3 * 86400, D + 4 * 86400, "x", 2),
+         ("d", "20240102", D - 7200, D + 60, "x", 3)],
+        "stbid string, day string, start_ts bigint, end_ts bigint, content string, rid bigint")
+    spread = views.select(F.size(flow._slots(F.col("start_ts"), F.col("end_ts"), F.col("day"))))
+    assert max(r[0] for r in spread.collect()) <= 49
+    got = flow.overlapping(views, guide).select("stbid", F.substring("epg_start", 9, 6))
+    assert sorted(map(tuple, got.collect())) == [("b", "000000"), ("b", "230000"), ("d", "000000")]
+
+
+def test_unlisted_channels_flow_under_other(spark):
+    counts = spark.createDataFrame(
+        [(flow.INFLOW, "20240102", "000000", "120000", c, n) for c, n in (("someone", 3), (flow.OTHER, 2), (flow.MAIN_CHANNEL, 1))],
+        "type string, day string, starttime string, endtime string, content string, count bigint")
+    report = flow.flow_report(counts).where("count > 0")
+    assert {(r.content, r["count"]) for r in report.collect()} == {(flow.OTHER, 5), (flow.MAIN_CHANNEL, 1)}

@@ -60,10 +60,14 @@ def test_parsing_takes_a_record_apart_once(spark):
 def test_optional_and_halo_scan(spark, tmp_path):
     for day in ("20240101", "20240102", "20240104"):
         lines(spark, day).write.text(f"{tmp_path}/sdk_0x07/dt={day}")
-    got = files.read_log_days(spark, str(tmp_path), "20240102", ["0x07", "0x09"])
+    codes = ["0x07", "0x09"]
+    with pytest.raises(FileNotFoundError, match="20240103"):  # orders may be absent, a day may not
+        files.read_log_days(spark, str(tmp_path), "20240102", codes)
+    got = files.read_log_days(spark, str(tmp_path), "20240102", codes, allow_missing=True)
     assert sorted(r.value for r in got.collect()) == ["20240101", "20240102"]
+    assert files.read_days(spark, str(tmp_path), codes, ["20240101"]).count() == 1
     assert files.read_lines(spark, [f"{tmp_path}/none/*"], optional=True).count() == 0
-    with pytest.raises(Exception):
+    with pytest.raises(FileNotFoundError):
         files.read_lines(spark, [f"{tmp_path}/none"]).count()
 
 

@@ -72,12 +72,29 @@ def test_words(spark):
     assert facts.drop_test_users(names, none.withColumnRenamed("w", "key_word"), "_name").count() == names.count()
 
 
-def test_short_and_long_prefix_lists_agree(spark):
+def test_prefix_filter_reads_its_input_once(spark, tmp_path):
     names = spark.createDataFrame([("test1",), ("atest",), ("x",), ("",), (None,), ("te",)], "_name string")
     listed = spark.createDataFrame([("test",), ("x",), ("",), (None,), ("x",)], "key_word string")
-    kept = [[r[0] for r in facts.drop_test_users(names, listed, "_name", n).collect()] for n in (2, 1)]
-    assert words.short_list(listed, "key_word", 1) is None
-    assert sorted(kept[0], key=str) == sorted(kept[1], key=str) == ["", None, "atest", "te"]
+    names.write.parquet(str(tmp_path / "names"))
+    kept = facts.drop_test_users(spark.read.parquet(str(tmp_path / "names")), listed, "_name")
+    assert sorted((r[0] for r in kept.collect()), key=str) == ["", None, "atest", "te"]
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_upload_ids_need_an_id_and_a_category(spark):
+    media = spark.createDataFrame([("m", "n", "CAT7", "c", "ch")],
+        "media_id string, media_name string, category_id string, category_name string, channel_id string")
+    uploads = spark.createDataFrame([("UP1", None, None), ("UP1", "CAT1", "ch1"), ("", "WRONG", "w"), (None, "WRONG", "w"),
+        ("UP2", None, "ch2")], "identityno string, c_cid string, pc_cid string")
+    columns = ("uuid", "regionid", "play_start_time", "play_end_time", "media_id", "media_name", "category_id",
+               "apk_version", "media_uuid", "channel_id", "dt", "platform", "source_type")
+    views = [dict.fromkeys(columns, "") | {"uuid": u, "media_id": "m", "category_id": c, "rid": i}
+             for i, (u, c) in enumerate([("a", "UP1"), ("b", ""), ("c", "UP2"), ("d", None)])]
+    schema = ", ".join(f"{c} string" for c in columns) + ", rid int"
+    rows = spark.createDataFrame([tuple(v[c] for c in (*columns, "rid")) for v in views], schema)
+    got = vod.resolve_categories(rows, media, uploads)
+    assert sorted((r.uuid, r.category_id) for r in got.collect()) == [
+        ("a", "CAT1"), ("b", "CAT7"), ("c", ""), ("d", "CAT7")]
 
 
 def test_a_view_of_review_categories_only_disappears(spark):
@@ -115,3 +132,6 @@ def test_reconciliation_and_inserts(spark):
         spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string"),
         spark.createDataFrame([(2,)], "k int"), ["k"])
     assert [tuple(r) for r in new.collect()] == [(1, "a")]
+    twice = spark.createDataFrame([("p", "x"), ("p", "w"), (None, "y"), ("q", None)], "k string, v string")
+    one = reports.rows_to_insert(twice, twice.where("false"), ["k"])
+    assert sorted(map(tuple, one.collect())) == [("p", "w"), ("q", None)]

@@ -32,6 +32,11 @@ def _parser() -> argparse.ArgumentParser:
         "in-out-paths": ("logs", "warehouse", "dt", "platform"),
         "minutes": ("warehouse", "dt", "platform", "source-type"),
         "box-numbers": ("warehouse", "dt"),
+        "names": ("warehouse", "dt", "platform", "kind"),
+        "channel-flow": ("views", "guide", "out"),
+        "programmes": ("guide", "table"),
+        "relations": ("found", "known", "out"),
+        "copy-programmes": ("source-url", "source-table", "target-url", "target-table"),
     }
     for name, needed in options.items():
         job = jobs.add_parser(name)
@@ -39,13 +44,19 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument(f"--{option}", required=True)
         if name == "mobile":
             job.add_argument("--state", default="all", choices=mobile_day.STATES)
+            job.add_argument("--source-type", default="sdk")
+        if "logs" in needed:
+            job.add_argument("--allow-missing", action="store_true", help="absent log folders count as empty")
+        if name == "programmes":
+            job.add_argument("--path", help="folder of the table; managed by the catalog without it")
         job.add_argument("--time-zone", default="UTC", help="zone of the reporting day")
     return parser
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = spark or build(f"tvtrail-{args.job}-{args.dt}", time_zone=args.time_zone)
+    dt = getattr(args, "dt", None)
+    spark = spark or build(f"tvtrail-{args.job}-{dt or 'all'}", time_zone=args.time_zone)
     source_type = "apk" if args.job.startswith("app-") else "sdk"
     platform = getattr(args, "platform", "HNDX")
 
@@ -65,30 +76,45 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             test_users=table("test_user_prev"), review_words=table("dict_category_filter"),
         )
         mobile_day.run(
-            spark, args.logs, args.warehouse, args.dt, args.platform, args.state, dictionaries
+            spark, args.logs, args.warehouse, args.dt, args.platform, args.state, dictionaries,
+            source_type=args.source_type, allow_missing=args.allow_missing,
         )
     elif args.job == "telecom":
         telecom_day.run(
-            spark, args.logs, args.warehouse, args.dt, args.platform, table("test_user_prev")
+            spark, args.logs, args.warehouse, args.dt, args.platform, table("test_user_prev"), args.allow_missing
         )
     elif args.job == "app-online":
         areas = table("hnlt_user_areacode") if args.platform == "HNLT" else None
         renames = table("t_hnyd_rela") if args.platform == "HNYD" else None
         app_day.online_users(
-            spark, args.logs, args.warehouse, args.dt, args.platform, table("test_user_prev"), areas, renames
+            spark, args.logs, args.warehouse, args.dt, args.platform, table("test_user_prev"), areas, renames,
+            args.allow_missing,
         )
     elif args.job == "app-vod":
         app_day.vod(
             spark, args.logs, args.warehouse, args.dt, table("test_user_prev"),
             table("dict_second_media_vod"), table("app_placement"), table("app_category"),
-            table("dict_prodasset"), table("dict_category_filter"),
+            table("dict_prodasset"), table("dict_category_filter"), allow_missing=args.allow_missing,
         )
     elif args.job == "in-out-paths":
-        reports_day.in_out_paths(spark, args.logs, args.warehouse, args.dt, args.platform)
+        reports_day.in_out_paths(
+            spark, args.logs, args.warehouse, args.dt, args.platform, args.allow_missing)
     elif args.job == "minutes":
         reports_day.minute_report(spark, args.warehouse, args.dt, args.platform, args.source_type)
-    else:
+    elif args.job == "box-numbers":
         reports_day.box_numbers(spark, args.warehouse, args.dt)
+    elif args.job == "names":
+        reports_day.new_names(spark, args.warehouse, args.dt, args.platform, args.kind)
+    elif args.job == "channel-flow":
+        reports_day.channel_flow(spark, spark.read.parquet(args.views), spark.read.parquet(args.guide), args.out)
+    elif args.job == "programmes":
+        reports_day.programme_table(spark, spark.read.parquet(args.guide), args.table, args.path)
+    elif args.job == "relations":
+        found, known = spark.read.parquet(args.found), spark.read.parquet(args.known)
+        reports_day.new_relations(found, known, "parquet", path=args.out)
+    else:
+        reports_day.copy_programmes(
+            spark, {"url": args.source_url}, args.source_table, "jdbc", url=args.target_url, dbtable=args.target_table)
 
 
 if __name__ == "__main__":

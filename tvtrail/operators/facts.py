@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tvtrail.functions.text import label_if_blank, major_version, search_key_name
 from tvtrail.operators.hotkeys import SLICE, HotKeys, join_per_key, neighbours
-from tvtrail.operators.words import (
-    MAX_INLINE_WORDS, short_list, starting_with, starts_with_any,
-)
+from tvtrail.operators.words import without_prefixes
 from tvtrail.schemas import (
     DEFAULT_REGION, ERROR, FIRST_LIVE, LAST_LIVE, LIVE, LOOK_BACK, ORDER, PAGE_VIEW,
     PARTITION_COLUMNS, TIME_SHIFT, VOD,
@@ -88,12 +86,17 @@ _SHOWN = (
 def _without_repeats(rows: DataFrame) -> DataFrame:
     """Remove exact repeats of time-shift sessions; live sessions all stay.
 
-    Repeats differ in nothing but their tie breaker, and the smallest one is
-    kept.  The rows are partitioned by user already, so this does not shuffle.
+    Repeats differ in nothing but their tie breaker, and the smallest one is kept.
+    Records sent twice share even that, so live rows are never grouped.  The rows
+    are partitioned by user already, so this does not shuffle.
     """
     extra = [c for c in (SLICE,) if c in rows.columns]
-    own = F.when(F.col("state") == LIVE, F.col("rid")).alias("_own")
-    return rows.groupBy(*_SHOWN, *extra, own).agg(F.min("rid").alias("rid")).drop("_own")
+    same = Window.partitionBy(*_SHOWN, *extra).orderBy("rid")
+    place = F.row_number().over(same)
+    return (
+        rows.select(*_SHOWN, *extra, "rid").withColumn("_place", place)
+        .where((F.col("state") == LIVE) | (F.col("_place") == 1)).drop("_place")
+    )
 
 
 def live_facts(found: DataFrame, pool: DataFrame, hot: HotKeys) -> DataFrame:
@@ -198,16 +201,6 @@ def with_assets(vod: DataFrame, assets: DataFrame, origin: str = "ltmedia") -> D
     )
 
 
-def drop_test_users(
-    df: DataFrame, prefixes: DataFrame, column: str, inline: int = MAX_INLINE_WORDS
-) -> DataFrame:
-    """Remove ids that start with a listed prefix (``prefixes``: key_word).
-
-    Up to ``inline`` prefixes are a plain filter in the same pass over the rows;
-    a longer list goes through an anti join.
-    """
-    words = short_list(prefixes, "key_word", inline)
-    if words is not None:
-        return df.where(~starts_with_any(F.col(column), words))
-    listed = starting_with(df.select(F.col(column).alias("_name")), prefixes, "key_word")
-    return df.join(listed, df[column] == listed["_name"], "left_anti")
+def drop_test_users(df: DataFrame, prefixes: DataFrame, column: str) -> DataFrame:
+    """Remove ids that start with a listed prefix (``prefixes``: key_word)."""
+    return without_prefixes(df, column, prefixes, "key_word")

@@ -29,6 +29,7 @@ OUT_LABELS = (*CHANNELS.values(), STAYED_OUT, OTHER)
 
 MIN_SECONDS = 30
 SLOT_SECONDS = 3600
+LAST_SLOT = 2 * DAY_SECONDS // SLOT_SECONDS
 
 
 def programme_times(guide: DataFrame) -> DataFrame:
@@ -53,13 +54,19 @@ def named_views(views: DataFrame) -> DataFrame:
 
 
 def _slots(start: Column, end: Column, day: Column) -> Column:
-    """Hour slots of the day an interval touches."""
+    """Hour slots an interval touches, of those a programme of the day can lie in.
+
+    A programme ends on the next day at the latest, so a view of any length has 48
+    slots at most.  An interval outside of them has none.
+    """
     first = day_start(day)
 
     def slot(time: Column) -> Column:
         return F.floor((time - first) / SLOT_SECONDS).cast("bigint")
 
-    return F.sequence(slot(start), F.greatest(slot(start), slot(end)))
+    low = F.greatest(slot(start), F.lit(0).cast("bigint"))
+    high = F.least(F.greatest(slot(start), slot(end)), F.lit(LAST_SLOT).cast("bigint"))
+    return F.when(low <= high, F.sequence(low, F.greatest(low, high))).otherwise(F.array().cast("array<bigint>"))
 
 
 def overlapping(views: DataFrame, guide: DataFrame) -> DataFrame:
@@ -161,6 +168,10 @@ def flow_report(counts: DataFrame) -> DataFrame:
     )
     signed = F.when(F.col("type") == INFLOW, F.col("count")).otherwise(-F.col("count"))
     entry = F.struct(F.struct("type", "content").alias("label"), F.col("count").alias("n"))
+    # A channel that is not reported flows under "other".
+    known = F.when(F.col("type") == INFLOW, F.col("content").isin(*IN_LABELS)).otherwise(F.col("content").isin(*OUT_LABELS))
+    counts = counts.withColumn("content", F.when(known, F.col("content")).otherwise(F.lit(OTHER)))
+    counts = counts.groupBy("type", *_PROGRAMME, "content").agg(F.sum("count").alias("count"))
     programmes = counts.groupBy(*_PROGRAMME).agg(
         F.map_from_entries(F.collect_list(entry)).alias("_m"),
         F.sum(signed).cast("bigint").alias("imbalance"),

@@ -47,10 +47,15 @@ def minute_seconds(found: DataFrame, dt: str, keys: list[str]) -> DataFrame:
     spine = sums.select(*keys).distinct().withColumn(
         "minute", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(MINUTES - 1).cast("bigint")))
     )
+    # Added up and not joined, so that null keys keep their seconds.
+    filled = (
+        spine.withColumns({"seconds": zero, "step": zero}).unionByName(sums)
+        .groupBy(*keys, "minute").agg(F.sum("seconds").alias("seconds"), F.sum("step").alias("step"))
+    )
     running = Window.partitionBy(*keys).orderBy("minute").rowsBetween(Window.unboundedPreceding, 0)
-    whole = F.sum(F.coalesce("step", zero)).over(running)
-    return spine.join(sums, [*keys, "minute"], "left").select(
-        *keys, "minute", (F.coalesce("seconds", zero) + whole).alias("duration")
+    whole = F.sum("step").over(running)
+    return filled.select(*keys, "minute", (F.col("seconds") + whole).alias("duration")).where(
+        F.col("minute") < MINUTES
     )
 
 

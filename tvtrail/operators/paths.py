@@ -72,17 +72,16 @@ def path_counts(events: DataFrame, pool: DataFrame, hot: HotKeys) -> DataFrame:
     """How often each path occurs among pool users."""
     users = pool.select("user_id", "apk_version", "dt", "platform")
     joined = join_per_key(path_trigrams(events, hot), users, hot, "inner")
-    return joined.groupBy(*NAMES).agg(
-        F.count(F.lit(1)).alias("ct"),
+    # Rows are counted by hash; only these few counts are sorted for the largest texts.
+    counted = joined.groupBy(*NAMES, *_META).agg(F.count(F.lit(1)).alias("ct"))
+    return counted.groupBy(*NAMES).agg(
+        F.sum("ct").alias("ct"),
         F.max(major_version(F.col("apk_version"))).alias("apk_version"),
         F.max("dt").alias("dt"),
         F.max("platform").alias("platform"),
     )
 
 
-_META = ("apk_version", "dt", "platform")
-
-
 def top_paths(counts: DataFrame, end: bool = False, keep: int = KEPT) -> DataFrame:
     """Top paths from their first page (type 0) or towards their last (type 1).
 

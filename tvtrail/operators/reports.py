@@ -83,8 +83,17 @@ def stb_report(online: DataFrame, dt: str, days: int = WINDOW_DAYS) -> DataFrame
 
 
 def rows_to_insert(candidates: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct candidate rows whose key the target does not have yet."""
-    return candidates.distinct().join(target.select(*keys), keys, "left_anti")
+    """One candidate row for each key the target does not have yet, the smallest.
+
+    Rows without a key, or with a null in it, are left out.
+    """
+    others = [c for c in candidates.columns if c not in keys]
+    whole = candidates.dropna(subset=keys)
+    if others:
+        one = whole.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row")).select(*keys, "_row.*")
+    else:
+        one = whole.select(*keys).distinct()
+    return one.select(*candidates.columns).join(target.select(*keys), keys, "left_anti")
 
 
 def new_relations(found: DataFrame, known: DataFrame) -> DataFrame:
@@ -114,3 +123,18 @@ def page_names(pageviews: DataFrame) -> DataFrame:
     return pageviews.where(F.coalesce("pagename", F.lit("")) != "").select(
         "page_id", F.col("pagename").alias("page_name")
     ).distinct()
+
+
+def media_names(pageviews: DataFrame) -> DataFrame:
+    """Distinct media ids and names of page views."""
+    return pageviews.where(
+        (F.coalesce("media_id", F.lit("")) != "") & (F.coalesce("media_name", F.lit("")) != "")
+    ).select("media_id", "media_name").distinct()
+
+
+def path_page_names(paths: DataFrame) -> DataFrame:
+    """Distinct page names of the path table, with a blank id."""
+    names = F.explode(F.array("page_name", "page_name2", "page_name3")).alias("page_name")
+    return paths.select(names).where(F.coalesce("page_name", F.lit("")) != "").distinct().select(
+        F.lit("").alias("page_id"), "page_name"
+    )

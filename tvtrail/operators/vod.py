@@ -68,11 +68,11 @@ def resolve_categories(
     )
     known = upload_categories(uploads)
     views = views.join(known, views["category_id"] == known["identityno"], "left")
-    unmapped = F.col("up_category").isNull()
+    unmapped = F.col("up_known").isNull()
     rows = views.join(
         options, (views["media_id"] == options["_media"]) & unmapped, "left"
     ).withColumns({
-        "category_id": F.coalesce("up_category", "_category", F.lit("")),
+        "category_id": F.coalesce(F.when(unmapped, F.col("_category")).otherwise(F.col("up_category")), F.lit("")),
         "channel_id": F.when(unmapped, F.coalesce("_channel", F.lit(""))).otherwise(
             F.coalesce("up_channel", F.lit(""))
         ),

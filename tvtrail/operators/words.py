@@ -1,33 +1,27 @@
 """Names that start with, or contain, a word of a list.
 
 Pieces of a name with the lengths words have are matched by an equi-join, so no
-name is compared with every word and neither side has to fit in memory.  A list
-checked to be short is put into the filter itself instead.
+name is compared with every word and neither side has to fit in memory.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from pyspark.sql import DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_INLINE_WORDS = 1000
+def without_prefixes(df: DataFrame, column: str, listed: DataFrame, word: str) -> DataFrame:
+    """Rows whose name starts with no word of the list.
 
-
-def short_list(listed: DataFrame, column: str, limit: int = MAX_INLINE_WORDS) -> list[str] | None:
-    """The distinct words if there are at most ``limit`` of them, else None."""
-    words = listed.where(F.coalesce(column, F.lit("")) != "").select(column).distinct()
-    found = [row[0] for row in words.limit(limit + 1).collect()]
-    return sorted(found) if len(found) <= limit else None
-
-
-def starts_with_any(name: Column, words: list[str]) -> Column:
-    """True where the name starts with a word; one hashed lookup per word length."""
-    by_length: dict[int, list[str]] = {}
-    for word in words:
-        by_length.setdefault(len(word), []).append(word)
-    tests = [F.substring(name, 1, n).isin(same) for n, same in sorted(by_length.items())]
-    return F.coalesce(reduce(lambda a, b: a | b, tests, F.lit(False)), F.lit(False))
+    One anti join per word length, on that many first characters: a single pass over
+    the rows at any length of the list, and Spark broadcasts words that are few.  Only
+    the distinct lengths come to the driver.
+    """
+    words = listed.where(F.coalesce(word, F.lit("")) != "").select(F.col(word).alias("_word")).distinct()
+    lengths = words.select(F.length("_word").alias("n")).distinct().collect()
+    for n in sorted(row.n for row in lengths):
+        same = words.where(F.length("_word") == n)
+        df = df.join(same, F.substring(F.col(column), 1, n) == same["_word"], "left_anti")
+    return df
 
 
 def _names_and_words(names: DataFrame, listed: DataFrame, column: str):

@@ -8,11 +8,9 @@ from tvtrail.functions.labels import check_platform
 from tvtrail.functions.times import halo_days
 from tvtrail.operators import app_vod, facts
 from tvtrail.plans.mobile_day import Job
-from tvtrail.session import prepare, stored
+from tvtrail.session import prepare, stored, working_tables
 from tvtrail.sources import app_lines, files
 
-ONLINE_FILES = 30
-
 
 def online_users(
     spark: SparkSession,
@@ -23,9 +21,10 @@ def online_users(
     test_users: DataFrame,
     areas: DataFrame | None = None,
     renames: DataFrame | None = None,
+    allow_missing: bool = False,
 ) -> None:
     job = Job(prepare(spark), warehouse, dt, check_platform(platform), "apk")
-    lines = files.read_lines(spark, [f"{logs}/itvrun_online/dt={dt}/*"], optional=True)
+    lines = files.read_lines(spark, [f"{logs}/itvrun_online/dt={dt}/*"], optional=allow_missing)
     # Distinct before the region rule: heartbeats repeat all day.
     seen = app_lines.parse_online(lines).distinct()
     rows = app_lines.online_regions(seen, platform, areas, renames).select(
@@ -33,7 +32,7 @@ def online_users(
         F.lit(platform).alias("platform"), F.lit("apk").alias("source_type"),
     )
     kept = facts.drop_test_users(rows.distinct(), test_users, "uuid")
-    job.write(kept.coalesce(ONLINE_FILES), "mid_online_day")
+    job.write(kept, "mid_online_day")
 
 
 def vod(
@@ -48,10 +47,20 @@ def vod(
     products: DataFrame,
     review_words: DataFrame,
     platform: str = "HNDX",
+    allow_missing: bool = False,
+) -> None:
+    """Results of an app day; its tables of the steps are removed at the end."""
+    with working_tables(spark):
+        _vod(spark, logs, warehouse, dt, test_users, assets, assists, categories, products, review_words,
+             platform, allow_missing)
+
+
+def _vod(
+    spark, logs, warehouse, dt, test_users, assets, assists, categories, products, review_words, platform, allow_missing,
 ) -> None:
     job = Job(prepare(spark), warehouse, dt, check_platform(platform), "apk")
     patterns = [f"{logs}/itvrun_vod/dt={day}/*" for day in halo_days(dt)]
-    parsed = app_lines.parse_app_vod(files.read_lines(spark, patterns, optional=True))
+    parsed = app_lines.parse_app_vod(files.read_lines(spark, patterns, optional=allow_missing))
     parsed = facts.drop_test_users(parsed, test_users, "uuid")
     views = stored(app_vod.app_views(parsed, dt), "app-views")
     named = facts.with_assets(

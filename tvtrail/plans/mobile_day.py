@@ -2,8 +2,9 @@
 
 Every table is written to ``<warehouse>/<table>`` and its partition replaced, so
 the job can be run again for a day.  Steps that several tables read (parsed
-events, day sessions, pool, path counts) are written once to the shared folder
-and read back.
+events, day sessions, pool, path counts) are written once to the shared folder,
+read back, and removed when the job ends.  A missing day of logs, or a missing pool
+of yesterday, is an error unless the caller allows gaps.
 """
 
 from __future__ import annotations
@@ -14,14 +15,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tvtrail import sinks
 from tvtrail.functions.labels import check_platform
-from tvtrail.functions.times import DAY_SECONDS, day_start
+from tvtrail.functions.times import day_of
 from tvtrail.operators import facts, orders, paths, pool as pools, sessions, vod
 from tvtrail.operators.hotkeys import HotKeys, find_hot_keys
 from tvtrail.schemas import (
     ERROR, HEART, INIT, LIVE, LOOK_BACK, ORDER, PAGE_VIEW, PARTITION_COLUMNS, POOL_COLUMNS,
     TIME_SHIFT, VOD,
 )
-from tvtrail.session import prepare, stored
+from tvtrail.session import prepare, stored, working_tables
 from tvtrail.sources import files, records
 
 ALL_CODES = [INIT, LIVE, VOD, LOOK_BACK, TIME_SHIFT, PAGE_VIEW, ORDER, ERROR, "0x10"]
@@ -48,6 +49,7 @@ class Job:
     dt: str
     platform: str = "HNYD"
     source_type: str = "sdk"
+    allow_missing: bool = False
 
     def path(self, table: str) -> str:
         return f"{self.warehouse.rstrip('/')}/{table}"
@@ -62,37 +64,48 @@ class Job:
 
 
 def previous_pool(job: Job) -> DataFrame:
-    """Yesterday's pool; empty before the first day."""
-    if not files.existing_paths(job.spark, [job.path("user_info_pool")]):
-        return job.spark.createDataFrame([], ", ".join(f"{c} string" for c in POOL_COLUMNS))
-    return job.read("user_info_pool", pools.yesterday(job.dt))
+    """Yesterday's pool; empty before the first day.
+
+    If only older days are stored, going on would lose their users.
+    """
+    days = files.stored_days(job.spark, job.path("user_info_pool"), job.platform, job.source_type)
+    yesterday = pools.yesterday(job.dt)
+    if yesterday in days:
+        return job.read("user_info_pool", yesterday)
+    earlier = [day for day in days if day < yesterday]
+    if earlier and not job.allow_missing:
+        raise FileNotFoundError(f"no user pool of {yesterday}; the last one is of {earlier[-1]}")
+    return job.spark.createDataFrame([], ", ".join(f"{c} string" for c in POOL_COLUMNS))
 
 
 def power_ons(job: Job, logs: str) -> None:
-    lines = files.read_lines(
-        job.spark, files.day_patterns(logs, [INIT], [job.dt]), optional=True
-    )
-    job.write(records.power_on_records(lines, job.dt, job.platform), "res_power_on_day")
+    lines = files.read_days(job.spark, logs, [INIT], [job.dt], job.allow_missing)
+    rows = records.power_on_records(lines, job.dt, job.platform, job.source_type)
+    job.write(rows, "res_power_on_day")
 
 
 def favourites(job: Job, logs: str) -> None:
-    lines = files.read_lines(job.spark, files.day_patterns(logs, [VOD], [job.dt]), optional=True)
-    rows = records.parse_favourites(lines, job.platform, job.source_type)
+    lines = files.read_days(job.spark, logs, [VOD], [job.dt], job.allow_missing)
+    rows = stored(records.parse_favourites(lines, job.platform, job.source_type), "favourites")
     hot = find_hot_keys(rows, "user_id", "ts")
     job.write(facts.favourite_facts(rows, job.read("user_info_pool"), job.dt, hot), "mid_fav_day")
 
 
 def parsed_events(job: Job, logs: str, test_users: DataFrame) -> DataFrame:
-    lines = files.read_log_days(job.spark, logs, job.dt, ALL_CODES)
+    """Three days of records, stored by day and type: most steps read one of either."""
+    lines = files.read_log_days(job.spark, logs, job.dt, ALL_CODES, allow_missing=job.allow_missing)
     events = records.parse_mobile(lines, job.platform, job.source_type)
-    return stored(facts.drop_test_users(events, test_users, "user_id"), "events")
+    kept = facts.drop_test_users(events, test_users, "user_id").withColumn("day", day_of(F.col("ts")))
+    return stored(kept, "events", ("day", "state"))
+
+
+def of_day(events: DataFrame, dt: str) -> DataFrame:
+    return events.where(F.col("day") == dt).drop("day")
 
 
 def active_day(events: DataFrame, found: DataFrame, dt: str) -> DataFrame:
     """What the active users are counted from: the day's records and sessions."""
-    first = day_start(dt)
-    today = events.where((F.col("ts") >= first) & (F.col("ts") < first + DAY_SECONDS))
-    today = today.where(F.col("state").isin(PAGE_VIEW, ERROR, ORDER, HEART, INIT))
+    today = of_day(events, dt).where(F.col("state").isin(PAGE_VIEW, ERROR, ORDER, HEART, INIT))
     return today.select("user_id", "state", "ts", "rid", *pools.POOL_ATTRIBUTES).unionByName(
         found.select("user_id", "state"), allowMissingColumns=True
     )
@@ -133,33 +146,36 @@ def run(
     state: str,
     dictionaries: Dictionaries,
     previous: DataFrame | None = None,
+    source_type: str = "sdk",
+    allow_missing: bool = False,
 ) -> None:
     """Run the parts ``state`` names: one record type, ``init``, ``fav`` or ``all``.
 
-    ``previous`` replaces yesterday's partition of the pool table.
+    ``previous`` replaces yesterday's partition of the pool table.  With
+    ``allow_missing``, absent log folders and an absent pool of yesterday count as empty.
     """
     if state not in STATES:
         raise ValueError(f"unknown state {state!r}, expected one of {STATES}")
-    job = Job(prepare(spark), warehouse, dt, check_platform(platform))
-    if state in ("init", "all"):
-        power_ons(job, logs)
-    if state not in ("init", "fav"):
-        _process(job, logs, state, dictionaries, previous_pool(job) if previous is None else previous)
-    # After the pool of the day, which favourites are joined with.
-    if state in ("fav", "all"):
-        favourites(job, logs)
+    job = Job(prepare(spark), warehouse, dt, check_platform(platform), source_type, allow_missing)
+    with working_tables(spark):
+        if state in ("init", "all"):
+            power_ons(job, logs)
+        if state not in ("init", "fav"):
+            _process(job, logs, state, dictionaries, previous_pool(job) if previous is None else previous)
+        # After the pool of the day, which favourites are joined with.
+        if state in ("fav", "all"):
+            favourites(job, logs)
 
 
 def _process(job: Job, logs: str, state: str, d: Dictionaries, previous: DataFrame) -> None:
     events = parsed_events(job, logs, d.test_users)
     hot = find_hot_keys(events, "user_id", "ts")
     found = stored(
-        facts.with_channel_names(sessions.day_sessions(events, job.dt, hot), d.channels), "sessions"
+        facts.with_channel_names(sessions.day_sessions(events.drop("day"), job.dt, hot), d.channels), "sessions"
     )
     pool = user_pool(job, events, found, previous)
 
-    first = day_start(job.dt)
-    day = events.where((F.col("ts") >= first) & (F.col("ts") < first + DAY_SECONDS))
+    day = of_day(events, job.dt)
 
     def wanted(*names: str) -> bool:
         return state == "all" or state in names

@@ -11,10 +11,17 @@ from tvtrail.operators import flow, minutes, paths, reports
 from tvtrail.operators.hotkeys import find_hot_keys
 from tvtrail.plans.mobile_day import PATH_PARTITION, Job
 from tvtrail.schemas import ORDER, PAGE_VIEW
-from tvtrail.session import prepare
+from tvtrail.session import prepare, stored, working_tables
 from tvtrail.sources import files, records
 
 
+# --- fixed values: columns of the programme guide, and the names published for some ---
+PROGRAMME_SOURCE = (
+    "id", "day", "start_date", "stop_date", "channel_code", "program_name", "channel_name", "title",
+)
+PROGRAMME_COLUMNS = {"day": "dt", "start_date": "start_time", "stop_date": "end_time"}
+
+
 def minute_report(spark: SparkSession, warehouse: str, dt: str, platform: str, source_type: str) -> None:
     """Watched seconds per minute from matched live viewing."""
     job = Job(prepare(spark), warehouse, dt, check_platform(platform), source_type)
@@ -34,14 +41,17 @@ def box_numbers(spark: SparkSession, warehouse: str, dt: str) -> None:
     sinks.overwrite_partitions(report, job.path("stb_num_day"), ("create_date",))
 
 
-def in_out_paths(spark: SparkSession, logs: str, warehouse: str, dt: str, platform: str) -> None:
+def in_out_paths(
+    spark: SparkSession, logs: str, warehouse: str, dt: str, platform: str, allow_missing: bool = False
+) -> None:
     """Paths into and out of each page."""
     job = Job(prepare(spark), warehouse, dt, check_platform(platform))
-    lines = files.read_lines(spark, files.day_patterns(logs, [PAGE_VIEW, ORDER], [dt]), optional=True)
-    pages = records.positional_pages(lines)
-    counts = paths.in_out_counts(pages, find_hot_keys(pages, "user_id", "ts"))
-    labels = {"dt": F.lit(dt), "platform": F.lit(platform)}
-    job.write(counts.withColumns(labels), "res_full_path", PATH_PARTITION)
+    lines = files.read_days(spark, logs, [PAGE_VIEW, ORDER], [dt], allow_missing)
+    with working_tables(spark):
+        pages = stored(records.positional_pages(lines), "pages")
+        counts = paths.in_out_counts(pages, find_hot_keys(pages, "user_id", "ts"))
+        labels = {"dt": F.lit(dt), "platform": F.lit(platform)}
+        job.write(counts.withColumns(labels), "res_full_path", PATH_PARTITION)
 
 
 def channel_flow(
@@ -53,17 +63,36 @@ def channel_flow(
     named = flow.named_views(views)
     if "rid" not in named.columns:
         named = named.withColumn("rid", F.xxhash64(*sorted(views.columns)))
-    hot = find_hot_keys(named, "stbid", "start_ts")
-    counts = flow.flow_counts(flow.flow_events(named, flow.programme_times(guide), hot))
-    sinks.write_text(flow.flow_lines(flow.flow_report(counts)), out)
+    with working_tables(spark):
+        named = stored(named, "channel-views")
+        hot = find_hot_keys(named, "stbid", "start_ts")
+        counts = flow.flow_counts(flow.flow_events(named, flow.programme_times(guide), hot))
+        sinks.write_text(flow.flow_lines(flow.flow_report(counts)), out)
 
 
 def programme_table(spark: SparkSession, guide: DataFrame, name: str, path: str | None = None) -> None:
     sinks.save_table(flow.programme_times(guide), name, path)
 
 
-def new_page_names(pageviews: DataFrame, stored: DataFrame, path: str) -> None:
-    sinks.insert_missing(reports.page_names(pageviews), stored, path, ["page_id"])
+# Where new names come from: fact table, its rows, the table of known names, its key.
+NAMES = {
+    "pages": ("mid_pageview_day", reports.page_names, "page_names", ("page_id",)),
+    "media": ("mid_pageview_day", reports.media_names, "media_names", ("media_id",)),
+    # Path pages have a blank id; there the name is what tells them apart.
+    "path-pages": ("mid_path_statis", reports.path_page_names, "page_names", ("page_id", "page_name")),
+}
+
+
+def new_names(spark: SparkSession, warehouse: str, dt: str, platform: str, kind: str) -> None:
+    """Append the names of a day that the table of names lacks."""
+    source, names, known, keys = NAMES[kind]
+    job = Job(prepare(spark), warehouse, dt, check_platform(platform))
+    found = names(files.read_partition(spark, job.path(source), dt, platform))
+    if files.existing_paths(spark, [job.path(known)]):
+        target = spark.read.parquet(job.path(known))
+    else:
+        target = spark.createDataFrame([], found.schema)
+    sinks.insert_missing(found, target, job.path(known), list(keys))
 
 
 def new_relations(found: DataFrame, known: DataFrame, fmt: str, **target: str) -> None:
@@ -71,13 +100,14 @@ def new_relations(found: DataFrame, known: DataFrame, fmt: str, **target: str) -
     sinks.append_external(reports.new_relations(found, known), fmt, **target)
 
 
+def programme_rows(programmes: DataFrame) -> DataFrame:
+    """A programme guide with the columns it is published with."""
+    return programmes.select(*[F.col(name).alias(PROGRAMME_COLUMNS.get(name, name)) for name in PROGRAMME_SOURCE])
+
+
 def copy_programmes(
     spark: SparkSession, source: dict[str, str], table: str, fmt: str, **target: str
 ) -> None:
     """Copy the programme guide ``table`` from one store to another."""
-    columns = (
-        "id, day as dt, start_date as start_time, stop_date as end_time, channel_code, "
-        "program_name, channel_name, title"
-    )
-    rows = files.read_jdbc(spark, source, f"select {columns} from {table}")
-    sinks.append_external(rows, fmt, **target)
+    rows = files.read_jdbc(spark, source, f"select {', '.join(PROGRAMME_SOURCE)} from {table}")
+    sinks.append_external(programme_rows(rows), fmt, **target)

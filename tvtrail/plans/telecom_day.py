@@ -9,7 +9,7 @@ from tvtrail.operators import facts, orders, pool as pools
 from tvtrail.operators.hotkeys import find_hot_keys
 from tvtrail.plans.mobile_day import PATH_PARTITION, Job, path_tables
 from tvtrail.schemas import INIT, ORDER, PAGE_VIEW
-from tvtrail.session import prepare, stored
+from tvtrail.session import prepare, stored, working_tables
 from tvtrail.sources import files, records
 
 
@@ -21,13 +21,18 @@ def users_of_day(events: DataFrame, dt: str) -> DataFrame:
 
 
 def run(
-    spark: SparkSession, logs: str, warehouse: str, dt: str, platform: str, test_users: DataFrame
+    spark: SparkSession, logs: str, warehouse: str, dt: str, platform: str, test_users: DataFrame,
+    allow_missing: bool = False,
 ) -> None:
     """Order logs are read where they exist; the job does without them otherwise."""
-    job = Job(prepare(spark), warehouse, dt, check_platform(platform))
-    lines = files.read_lines(
-        spark, files.day_patterns(logs, [INIT, PAGE_VIEW, ORDER], [dt]), optional=True
-    )
+    job = Job(prepare(spark), warehouse, dt, check_platform(platform), allow_missing=allow_missing)
+    with working_tables(spark):
+        _process(job, logs, platform, test_users)
+
+
+def _process(job: Job, logs: str, platform: str, test_users: DataFrame) -> None:
+    dt = job.dt
+    lines = files.read_days(job.spark, logs, [INIT, PAGE_VIEW, ORDER], [dt], job.allow_missing)
     events = records.parse_telecom(lines, platform)
     events = stored(facts.drop_test_users(events, test_users, "user_id"), "telecom-events")
     hot = find_hot_keys(events, "user_id", "ts")

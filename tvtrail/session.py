@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,8 +68,6 @@ def shared_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(named)
         return named
     current = sc.getCheckpointDir()
     if current:
@@ -85,12 +84,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, partitions: tuple[str, ...] = ()) -> DataFrame:
     """Write a frame several steps read, and read it back.
 
     The table in the shared folder outlives lost executors, and its readers
-    neither repeat the work nor drag its lineage along.
+    neither repeat the work nor drag its lineage along.  Filters on columns of
+    ``partitions`` read only their folders.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    for tables in _open:
+        tables.append(path)
+    if not partitions:
+        df.write.parquet(path)
+        return df.sparkSession.read.parquet(path)
+    df.hint("rebalance", *partitions).write.partitionBy(*partitions).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_open: list[list[str]] = []
+
+
+@contextmanager
+def working_tables(spark: SparkSession):
+    """Remove the tables ``stored`` inside the block when it ends, however it ends."""
+    tables: list[str] = []
+    _open.append(tables)
+    try:
+        yield
+    finally:
+        _open.remove(tables)
+        for name in tables:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

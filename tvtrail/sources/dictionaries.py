@@ -47,11 +47,17 @@ def media_categories(media: DataFrame) -> DataFrame:
 
 
 def upload_categories(uploads: DataFrame) -> DataFrame:
-    """Category id sent by a box -> real category and channel."""
-    best = F.min(F.struct("c_cid", "pc_cid"))
+    """Category id sent by a box -> real category and channel, ``up_known`` true.
+
+    Blank ids are no ids.  Of several rows the smallest that names a category counts.
+    """
+    best = F.min(F.when(F.col("c_cid").isNotNull(), F.struct("c_cid", "pc_cid")))
     return (
-        uploads.where(F.col("identityno").isNotNull())
+        uploads.where(F.coalesce("identityno", F.lit("")) != "")
         .groupBy("identityno")
         .agg(best.alias("b"))
-        .select("identityno", F.col("b.c_cid").alias("up_category"), F.col("b.pc_cid").alias("up_channel"))
+        .select(
+            "identityno", F.col("b.c_cid").alias("up_category"), F.col("b.pc_cid").alias("up_channel"),
+            F.lit(True).alias("up_known"),
+        )
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tvtrail.functions.times import halo_days
+from tvtrail.schemas import ORDER
 
 
 def existing_paths(spark: SparkSession, patterns: list[str]) -> list[str]:
@@ -20,25 +21,55 @@ def existing_paths(spark: SparkSession, patterns: list[str]) -> list[str]:
     return found
 
 
-def read_lines(spark: SparkSession, patterns: list[str], optional: bool = False) -> DataFrame:
-    """Raw lines in a column ``value``.  With ``optional``, missing inputs are skipped."""
-    if optional:
-        patterns = existing_paths(spark, patterns)
-        if not patterns:
-            return spark.createDataFrame([], "value string")
-    return spark.read.text(patterns)
+def read_lines(
+    spark: SparkSession, patterns: list[str], optional: list[str] | bool = False
+) -> DataFrame:
+    """Raw lines in a column ``value``; a pattern without a file is an error.
+
+    ``optional`` lists further patterns that are skipped where nothing matches; True
+    makes all of them optional.
+    """
+    required, extra = ([], patterns) if optional is True else (patterns, optional or [])
+    there = set(existing_paths(spark, [*required, *extra]))
+    missing = [p for p in required if p not in there]
+    if missing:
+        raise FileNotFoundError(f"no input at {', '.join(missing)}")
+    found = [p for p in (*required, *extra) if p in there]
+    return spark.read.text(found) if found else spark.createDataFrame([], "value string")
 
 
 def day_patterns(root: str, codes: list[str], days: list[str]) -> list[str]:
     return [f"{root}/sdk_{code}/dt={day}/*" for code in codes for day in days]
 
 
+def read_days(
+    spark: SparkSession, root: str, codes: list[str], days: list[str], allow_missing: bool = False
+) -> DataFrame:
+    """The record types ``codes`` of some days.
+
+    Only order logs may be absent, unless the caller allows gaps.
+    """
+    needed = [code for code in codes if code != ORDER]
+    orders = [code for code in codes if code == ORDER]
+    if allow_missing:
+        return read_lines(spark, day_patterns(root, codes, days), optional=True)
+    return read_lines(spark, day_patterns(root, needed, days), day_patterns(root, orders, days))
+
+
 def read_log_days(
-    spark: SparkSession, root: str, day: str, codes: list[str], halo: int = 1
+    spark: SparkSession, root: str, day: str, codes: list[str], halo: int = 1, allow_missing: bool = False
 ) -> DataFrame:
     """The day and its neighbours, so sessions that cross midnight are whole."""
-    days = halo_days(day, halo, halo)
-    return read_lines(spark, day_patterns(root, codes, days), optional=True)
+    return read_days(spark, root, codes, halo_days(day, halo, halo), allow_missing)
+
+
+def stored_days(spark: SparkSession, path: str, platform: str, source_type: str) -> list[str]:
+    """The days of a table that hold a platform and source, from the folder names."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/dt=*/platform={platform}/source_type={source_type}")
+    matches = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    days = [m.getPath().getParent().getParent().getName() for m in matches or []]
+    return sorted(day.split("=", 1)[1] for day in days)
 
 
 def read_partition(

@@ -29,8 +29,9 @@ def vod_asset_left_join(spark, sf_dir):
     return rows.select("rid", "uuid", "media_id", "media_uuid", "media_second_name", "asset_id", "orgin_id")
 
 
-_RESOLVE = """up AS (SELECT k AS identityno, min(v) AS v FROM (SELECT 'UP'||(s_suppkey%15) AS k,
-    ('CAT'||s_nationkey, 'CHN_'||(s_suppkey%6)) AS v FROM supplier WHERE s_nationkey<>7) GROUP BY 1),
+_RESOLVE = """up AS (SELECT k AS identityno, min(v) FILTER (s_suppkey%3<>0) AS v FROM (SELECT s_suppkey,
+    CASE WHEN s_nationkey=8 THEN '' WHEN s_nationkey<>7 THEN 'UP'||(s_suppkey%15) END AS k,
+    ('CAT'||s_nationkey, 'CHN_'||(s_suppkey%6)) AS v FROM supplier) WHERE k<>'' GROUP BY 1),
 options AS (SELECT media_id, category_id, min(channel_id) AS channel_id FROM media GROUP BY 1,2),
 cat_names AS (SELECT category_id, min(category_name) AS category_name FROM media GROUP BY 1),
 banned AS (SELECT DISTINCT category_id FROM cat_names, review WHERE starts_with(category_name, word)),
@@ -39,8 +40,8 @@ views AS (SELECT l.rid, l.user_id AS uuid, l.media_id, CASE WHEN l.media_name=''
   FROM log l LEFT JOIN media_names n ON n.media_id=l.media_id
   LEFT JOIN up ON up.identityno=l.category_id WHERE l.state='0x04'),
 rows_ AS (SELECT rid, uuid, views.media_id, media_name,
-    CASE WHEN hit IS NOT NULL THEN v[1] ELSE coalesce(o.category_id,'') END AS category_id,
-    CASE WHEN hit IS NOT NULL THEN v[2] ELSE coalesce(o.channel_id,'') END AS channel_id
+    CASE WHEN hit IS NOT NULL THEN coalesce(v[1],'') ELSE coalesce(o.category_id,'') END AS category_id,
+    CASE WHEN hit IS NOT NULL THEN coalesce(v[2],'') ELSE coalesce(o.channel_id,'') END AS channel_id
   FROM views LEFT JOIN options o ON o.media_id=views.media_id AND hit IS NULL),
 resolved AS (SELECT r.*, coalesce(c.category_name,'') AS category_name FROM rows_ r
   LEFT JOIN cat_names c USING (category_id) WHERE r.category_id NOT IN (SELECT category_id FROM banned))"""
@@ -122,25 +123,30 @@ chans AS (SELECT DISTINCT upper(nns_id) AS nns_id, nns_name FROM cats),
 assists AS (SELECT DISTINCT 'M'||(p_partkey%100) AS nns_video_id, upper(p_type) AS assist,
   'CAT'||split_part(p_brand,'#',2) AS nns_category_id FROM part),
 prods AS (SELECT DISTINCT 'AS'||p_size AS asset_id FROM part)"""
-_SENT_ROWS = """sent_rows AS (SELECT DISTINCT a.uuid, a.regionid, play_start_time, play_end_time, a.media_id,
-  coalesce(b.midianame, a.media_name, '') AS media_name, a.category_id,
-  coalesce(c.nns_category_name,'') AS category_name, a.apk_version, coalesce(b.uuid,'') AS media_uuid,
-  coalesce(b.cp,'') AS cp, a.pro_id, upper(a.clum_id) AS channel_id, coalesce(h.nns_name,'') AS channel_name,
-  CASE WHEN d.asset_id IS NULL THEN '0' ELSE '1' END AS isfree
-  FROM cleaned a LEFT JOIN assets b ON a.media_id=b.media_id
-  LEFT JOIN cats c ON upper(a.clum_id)=upper(c.nns_id) AND a.category_id=c.nns_category_id
-  LEFT JOIN prods d ON d.asset_id=b.dxmedia LEFT JOIN chans h ON upper(a.clum_id)=h.nns_id
-  WHERE a.category_id<>'')"""
-_FOUND_ROWS = """found_rows AS (SELECT a.uuid, a.regionid, play_start_time, play_end_time, a.media_id,
-  coalesce(b.midianame, a.media_name, '') AS media_name, d.nns_category_id AS category_id,
-  coalesce(e.nns_category_name,'') AS category_name, a.apk_version, coalesce(b.uuid,'') AS media_uuid,
-  coalesce(b.cp,'') AS cp, a.pro_id, d.assist AS channel_id, coalesce(h.nns_name,'') AS channel_name,
-  CASE WHEN f.asset_id IS NULL THEN '0' ELSE '1' END AS isfree
-  FROM (SELECT DISTINCT * FROM cleaned WHERE category_id='') a LEFT JOIN assets b ON a.media_id=b.media_id
-  LEFT JOIN assists d ON a.media_id=d.nns_video_id
-    AND d.assist=CASE WHEN a.clum_id<>'' THEN upper(a.clum_id) ELSE d.assist END
-  LEFT JOIN cats e ON d.assist=upper(e.nns_id) AND d.nns_category_id=e.nns_category_id
-  LEFT JOIN prods f ON f.asset_id=b.dxmedia LEFT JOIN chans h ON d.assist=h.nns_id)"""
+# What a row shows of its media, and how category and channel ids read.
+_LOOKUPS = """media_info AS (SELECT media_id, midianame, uuid AS media_uuid, cp,
+  CASE WHEN dxmedia IN (SELECT asset_id FROM prods) THEN '1' ELSE '0' END AS isfree FROM assets),
+places AS (SELECT upper(nns_id) AS place_channel, nns_category_id AS place_category, nns_category_name AS label FROM cats),
+channel_names AS (SELECT nns_id AS named_channel, nns_name AS channel_name FROM chans)"""
+
+
+def _published(name: str, rows: str) -> str:
+    """Rows with ``category_id`` and ``channel_id`` settled, as they are published."""
+    return f"""{name} AS (SELECT DISTINCT uuid, regionid, play_start_time, play_end_time, media_id,
+  coalesce(midianame, media_name, '') AS media_name, category_id, coalesce(label, '') AS category_name, apk_version,
+  coalesce(media_uuid, '') AS media_uuid, coalesce(cp, '') AS cp, pro_id, channel_id,
+  coalesce(channel_name, '') AS channel_name, coalesce(isfree, '0') AS isfree FROM ({rows}) AS settled
+  LEFT JOIN media_info USING (media_id)
+  LEFT JOIN places ON place_channel=channel_id AND place_category=category_id
+  LEFT JOIN channel_names ON named_channel=channel_id)"""
+
+
+_SENT_ROWS = _LOOKUPS + ",\n" + _published(
+    "sent_rows", "SELECT *, upper(clum_id) AS channel_id FROM cleaned WHERE category_id<>''")
+# Without a category, one row for each place of the media, on the channel that was sent if any.
+_FOUND_ROWS = _published("found_rows", """SELECT seen.* REPLACE (nns_category_id AS category_id), assist AS channel_id
+  FROM (SELECT * FROM cleaned WHERE category_id='') AS seen
+  LEFT JOIN assists ON nns_video_id=media_id AND (coalesce(clum_id, '')='' OR assist=upper(clum_id))""")
 
 
 def _views(spark, sf_dir):
@@ -164,7 +170,7 @@ def appvod_multi_left(spark, sf_dir):
     return _sent_rows(spark, sf_dir)
 
 
-@query(with_(*_APP, _DIMS, _FOUND_ROWS) + "SELECT * FROM found_rows")
+@query(with_(*_APP, _DIMS, _LOOKUPS, _FOUND_ROWS) + "SELECT * FROM found_rows")
 def appvod_conditional_join(spark, sf_dir):
     return _found_rows(spark, sf_dir)
 

@@ -8,12 +8,14 @@ from workbench.registry import hot_users, query
 from workbench.sql import EV, day, log_time, pick, telecom_region, with_
 
 _FIRST = 1704067200 + 86400
-_SECONDS = f"""v AS (SELECT 'CH'||(k%10) AS ch, {telecom_region('user_id')} AS area, s-{_FIRST} AS b,
+_SECONDS = f"""v AS (SELECT CASE WHEN k%19<>0 THEN 'CH'||(k%10) END AS ch,
+  CASE WHEN k%17<>0 THEN {telecom_region('user_id')} END AS area, s-{_FIRST} AS b,
   least(s+k*37, s-(s-1704067200)%86400+86399)-{_FIRST} AS e FROM ev WHERE type='view' AND {day('s')}='20240102'),
 m AS (SELECT ch, area, minute, CAST(sum(least(e,(minute+1)*60)-greatest(b,minute*60)) AS BIGINT) AS sec
   FROM v, unnest(range(b//60, e//60+1)) AS t(minute) GROUP BY 1,2,3),
 spine AS (SELECT ch, area, minute FROM (SELECT DISTINCT ch, area FROM v), range(0,1440) AS r(minute)),
-base AS (SELECT ch, area, minute, coalesce(sec,0) AS sec FROM spine LEFT JOIN m USING (ch, area, minute))"""
+base AS (SELECT s.ch, s.area, s.minute, coalesce(sec,0) AS sec FROM spine s LEFT JOIN m
+  ON m.ch IS NOT DISTINCT FROM s.ch AND m.area IS NOT DISTINCT FROM s.area AND m.minute=s.minute)"""
 _KEYS = ["conf_channel_id", "area_code", "platform", "source_type"]
 
 

@@ -36,12 +36,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Redistribute a table of fewer files than cores; larger ones keep their splits."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
-
-
 def user_name(number: Column) -> Column:
     return F.concat(pick(USER_PREFIXES, number), number.cast("string"))
 
@@ -166,9 +160,10 @@ def day_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- dictionaries and stored tables ------------------------------------------
 
 def dict_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation").where(F.col("n_regionkey") != 2)
+    n = table(spark, sf_dir, "nation")
+    prefix = F.when(F.col("n_regionkey") == 2, F.lit("OLD")).otherwise(F.lit("CH"))
     return n.select(
-        text("CH", F.col("n_nationkey")).alias("channel_name"),
+        F.concat(prefix, F.col("n_nationkey").cast("string")).alias("channel_name"),
         text("CONF", F.col("n_nationkey")).alias("conf_channel_id"),
         F.col("n_name").alias("conf_channel_name"),
     )
@@ -188,11 +183,13 @@ def dict_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upload_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category ids of uploads; some rows have no id, a blank one, or no category."""
     s = table(spark, sf_dir, "supplier")
-    key = F.col("s_suppkey")
+    key, nation = F.col("s_suppkey"), F.col("s_nationkey")
+    blank = F.when(nation == 8, F.lit(""))
     return s.select(
-        F.when(F.col("s_nationkey") != 7, text("UP", key % 15)).alias("identityno"),
-        text("CAT", F.col("s_nationkey")).alias("c_cid"),
+        blank.otherwise(F.when(nation != 7, text("UP", key % 15))).alias("identityno"),
+        F.when(key % 3 != 0, text("CAT", nation)).alias("c_cid"),
         text("CHN_", key % 6).alias("pc_cid"),
     )
 
@@ -200,8 +197,9 @@ def upload_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     key = F.col("p_partkey")
-    return p.where(F.col("p_brand") != "Brand#3").select(
-        text("M", key).alias("thremdeiaid"), text("UUID", key).alias("uuid"),
+    prefix = F.when(F.col("p_brand") == "Brand#3", F.lit("X")).otherwise(F.lit("M"))
+    return p.select(
+        F.concat(prefix, key.cast("string")).alias("thremdeiaid"), text("UUID", key).alias("uuid"),
         F.col("p_name").alias("midianame"), text("YD", key).alias("ydmedia"),
         text("LT", key).alias("ltmedia"), text("AS", key % 60).alias("dxmedia"),
         F.col("p_brand").alias("cp"),
@@ -250,19 +248,20 @@ def test_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def previous_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yesterday's pool: customers outside one segment."""
-    c = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "BUILDING")
+    """Yesterday's pool; customers of one segment carry ids that no log has."""
+    c = table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     blank = F.lit("")
+    user = F.when(F.col("c_mktsegment") == "BUILDING", text("gone", key)).otherwise(user_name(key))
     return c.select(
-        user_name(key).alias("user_id"), telecom_region(user_name(key)).alias("regionid"),
+        user.alias("user_id"), telecom_region(user).alias("regionid"),
         blank.alias("status"), F.lit("20231201").alias("start_date"), blank.alias("end_date"),
         F.lit("20231201").alias("create_date"),
         F.concat(F.lit("B."), (key % 5).cast("string"), F.lit(".0.2")).alias("apk_version"),
         text("OLDMAC", key).alias("mac"), text("OLDMK", key % 4).alias("manufacturers"),
         text("OLDMD", key % 7).alias("model"), F.lit("4.4").alias("system_version"),
         text("10.1.0.", key % 200).alias("ip"), text("OLDACC", key).alias("user_account"),
-        user_name(key).alias("uuid"), F.lit("android").alias("os"),
+        user.alias("uuid"), F.lit("android").alias("os"),
         F.lit("20240101").alias("dt"), F.lit("HNYD").alias("platform"),
         F.lit("sdk").alias("source_type"),
     )
@@ -309,8 +308,8 @@ def minute_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, s = F.col("k"), F.col("s")
     day_end = s - (s - EPOCH) % 86400 + 86399
     return e.select(
-        text("CH", k % 10).alias("conf_channel_id"),
-        telecom_region(F.col("user_id")).alias("area_code"),
+        F.when(k % 19 != 0, text("CH", k % 10)).alias("conf_channel_id"),
+        F.when(k % 17 != 0, telecom_region(F.col("user_id"))).alias("area_code"),
         s.alias("start_ts"), F.least(s + k * 37, day_end).alias("end_ts"),
         F.lit("HNYD").alias("platform"), F.lit("sdk").alias("source_type"),
     )

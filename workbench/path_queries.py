@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tvtrail.operators import orders, paths
+from tvtrail.operators import orders, paths, reports
 from tvtrail.session import stored
 from workbench import frames
 from workbench.registry import hot_users, query
@@ -44,6 +44,17 @@ def path_counts(spark, sf_dir):
     return _counts(spark, sf_dir)
 
 
+@query(with_(*_BASE, POOL, _COUNTS) + """SELECT DISTINCT '' AS page_id, name AS page_name FROM (
+    SELECT unnest([page_name, page_name2, page_name3]) AS name FROM counts)
+  WHERE name<>'' AND name NOT IN (SELECT 'page_'||n_nationkey FROM nation)""")
+def insert_path_names(spark, sf_dir):
+    """Names of path pages; their id is blank, so id and name are the key."""
+    names = reports.path_page_names(_counts(spark, sf_dir))
+    known = frames.table(spark, sf_dir, "nation").select(
+        F.lit("").alias("page_id"), frames.text("page_", F.col("n_nationkey")).alias("page_name"))
+    return reports.rows_to_insert(names, known, ["page_id", "page_name"])
+
+
 def _top(near: str, middle: str, far: str, kind: str) -> str:
     meta = "max(apk_version) AS apk_version, max(dt) AS dt, max(platform) AS platform"
     return with_(*_BASE, POOL, _COUNTS, f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY {near},{middle}

@@ -68,7 +68,7 @@ _UNICOM_USER = "(['073108','073102','073105','0734','0730','0746','U'])[k%7+1]||
 
 
 def _unicom_areas(spark, sf_dir):
-    c = frames.table(spark, sf_dir, "customer").where(F.col("c_nationkey") < 12)
+    c = frames.table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     users = F.concat(F.lit("U"), key.cast("string"))
     area = F.when(F.col("c_nationkey") == 0, F.lit("")).when(F.col("c_nationkey") == 1, F.lit("9999")).otherwise(
@@ -77,7 +77,7 @@ def _unicom_areas(spark, sf_dir):
 
 
 @query(with_(EV, """areas AS (SELECT 'U'||c_custkey AS userid, CASE c_nationkey WHEN 0 THEN '' WHEN 1 THEN '9999'
-    ELSE lpad(CAST(c_nationkey+1 AS VARCHAR),4,'0') END AS area FROM customer WHERE c_nationkey<12)""",
+    ELSE lpad(CAST(c_nationkey+1 AS VARCHAR),4,'0') END AS area FROM customer)""",
     f"""u AS (SELECT event_id, {_UNICOM_USER} AS uuid FROM ev)""",
     """coded AS (SELECT event_id, uuid, CASE WHEN coalesce(area,'')<>'' THEN area
       WHEN left(uuid,6)='073108' THEN '0001' WHEN left(uuid,6)='073102' THEN '0002'
@@ -99,17 +99,24 @@ def region_dictionary(spark, sf_dir):
 
 
 @query(with_(EV) + f"""SELECT event_id,
-  CASE uid%3 WHEN 0 THEN {mobile_region(pick(AREA_CODES, 'k'))} WHEN 1 THEN '14301'
-    ELSE {telecom_region('user_id')} END AS regionid FROM ev""")
+  CASE WHEN uid%3=0 AND k%7=0 THEN 'N'||k ELSE user_id END AS uuid,
+  CASE WHEN uid%3=2 THEN {telecom_region('user_id')} WHEN uid%3=1 AND starts_with(user_id,'0736') THEN '14307'
+    ELSE '14301' END AS regionid FROM ev""")
 def region_by_platform(spark, sf_dir):
-    """Every platform's rule on its own boxes (unicom boxes here are in no dictionary)."""
+    """Every platform's rule on its own boxes (unicom boxes here are in no dictionary).
+
+    Mobile boxes get the default region, and their ids the new name a relation gives.
+    """
     e = frames.events(spark, sf_dir).withColumn("platform", frames.pick(frames.PLATFORM_OF, F.col("uid")))
-    area = frames.pick(frames.AREA_CODES, F.col("k"))
-    unknown = F.lit(None).cast("string")
-    rule = F.when(F.col("platform") == "HNYD", regions.mobile_region(area)).when(
-        F.col("platform") == "HNLT", regions.unicom_region(F.concat(F.lit("U"), F.col("user_id")), unknown)
-    ).otherwise(regions.telecom_region(F.col("user_id")))
-    return e.select("event_id", rule.alias("regionid"))
+    named = F.when((F.col("platform") == "HNYD") & (F.col("k") % 7 == 0), frames.text("old", F.col("k")))
+    rows = e.select("event_id", "platform", F.coalesce(named, F.col("user_id")).alias("uuid"))
+    areas = _unicom_areas(spark, sf_dir).withColumn("userid", F.concat(F.lit("none"), F.col("userid")))
+    renames = e.select(frames.text("old", F.col("k")).alias("userid"), frames.text("N", F.col("k")).alias("stbid"))
+    parts = [
+        app_lines.online_regions(rows.where(F.col("platform") == platform).drop("platform"), platform, areas, renames)
+        for platform in frames.PLATFORM_OF
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("event_id", "uuid", "regionid")
 
 
 @query(with_(EV) + """SELECT event_id, platform||'_'||upper(coalesce(source,'all')) AS label FROM (
@@ -165,15 +172,16 @@ def epg_fix(spark, sf_dir):
     return flow.programme_times(flow.guide_spine(frames.log_days(spark, sf_dir)))
 
 
-@query(with_(EV, """pairs AS (SELECT 'M'||p_partkey AS old, 'N'||min(p_size) AS new FROM part
-    WHERE p_type='SMALL' GROUP BY 1)""")
+@query(with_(EV, """pairs AS (SELECT CASE WHEN p_type='SMALL' THEN 'M' ELSE 'Z' END||p_partkey AS old, 'N'||min(p_size) AS new
+    FROM part GROUP BY 1)""")
        + "SELECT event_id, coalesce(new,'M'||k) AS uuid, '14301' AS regionid FROM ev LEFT JOIN pairs ON old='M'||k")
 def id_remap(spark, sf_dir):
     """Mobile apps: ids renamed through the relation table, others kept."""
     e = frames.events(spark, sf_dir)
-    p = frames.table(spark, sf_dir, "part").where(F.col("p_type") == "SMALL")
+    p = frames.table(spark, sf_dir, "part")
+    prefix = F.when(F.col("p_type") == "SMALL", F.lit(" M")).otherwise(F.lit(" Z"))
     relations = p.select(
-        F.concat(F.lit(" M"), F.col("p_partkey").cast("string")).alias("userid"),
+        F.concat(prefix, F.col("p_partkey").cast("string")).alias("userid"),
         F.concat(F.lit("N"), F.col("p_size").cast("string"), F.lit(" ")).alias("stbid"))
     rows = e.select("event_id", frames.text("M", F.col("k")).alias("uuid"))
     return app_lines.online_regions(rows, "HNYD", renames=relations)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tvtrail.operators import facts, sessions
-from workbench import frames
+from tvtrail.sources import records
+from workbench import frames, wire
 from workbench.registry import hot_users, query
-from workbench.sql import CHANNELS, DAY_SESSIONS, EV, LOG, PAGES, POOL, SESSIONS, VIEW_STATES, with_
+from workbench.sql import CHANNELS, DAY_SESSIONS, EV, GOOD, LOG, PAGES, POOL, SESSIONS, VIEW_STATES, with_
 
 _PART = "p.dt, p.platform, p.source_type"
 
@@ -106,6 +107,23 @@ def live_facts(spark, sf_dir):
     return facts.live_facts(found, frames.pool(spark, sf_dir), hot)
 
 
+_LIVE_EVENTS = f"SELECT * FROM all_ev WHERE type IN ('view','click') AND k%4=0 AND {GOOD}"
+
+
+@query(with_(EV.replace("ev AS", "all_ev AS", 1), f"ev AS ({_LIVE_EVENTS} UNION ALL {_LIVE_EVENTS} AND k%3=0)", LOG,
+             SESSIONS, DAY_SESSIONS, POOL) + """SELECT user_id, play_start_time, play_end_time, count(*) AS n
+  FROM day_sess JOIN pool p USING (user_id) GROUP BY ALL""")
+def live_resends(spark, sf_dir):
+    """Live lines through the parser, a third of them sent twice: every session stays a fact."""
+    lines = wire.mobile_lines(spark, sf_dir).where("type IN ('view', 'click') AND k % 4 = 0")
+    parsed = records.parse_mobile(lines.unionByName(lines.where("k % 3 = 0")).select("value"), "HNYD")
+    hot = hot_users(parsed)
+    found = facts.with_channel_names(
+        sessions.day_sessions(parsed, frames.DAY, hot), frames.dict_channel(spark, sf_dir))
+    rows = facts.live_facts(found, frames.pool(spark, sf_dir), hot)
+    return rows.groupBy("user_id", "play_start_time", "play_end_time").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(with_(*_SESSION_CTES, POOL) + f"""SELECT DISTINCT user_id, p.regionid, play_start_time, play_end_time,
   channel_id, p.apk_version, channel_name, {_PART} FROM named JOIN pool p USING (user_id) WHERE state='0x06'""")
 def timeshift_facts(spark, sf_dir):

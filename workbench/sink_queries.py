@@ -31,12 +31,12 @@ def sink_partition_overwrite(spark, sf_dir):
 
 
 @query(with_(EV, ONLINE) + """SELECT uuid, regionid, '20240111' AS dt, 'HNDX' AS platform, 'apk' AS source_type
-  FROM online WHERE dt='20240111'""")
+  FROM online""")
 def sink_static_partition(spark, sf_dir):
     path = scratch_path(spark, "static")
     online = frames.online(spark, sf_dir)
     for day in ("20240110", "20240111"):
-        rows = online.where(F.col("dt") == day).select("uuid", "regionid")
+        rows = online.select("uuid", "regionid")
         sinks.overwrite_static(rows, path, dt=day, platform="HNDX", source_type="apk")
     return files.read_partition(spark, path, dt="20240111").select("uuid", "regionid", *_PART)
 

@@ -5,8 +5,6 @@ Each constant is one common table expression; ``with_`` chains them.
 
 from __future__ import annotations
 
-from tvtrail.functions.regions import MOBILE_AREAS, TELECOM_PREFIXES
-
 EPOCH = 1704067200
 VIEW_STATES = "'0x03','0x04','0x05','0x06'"
 
@@ -32,20 +30,48 @@ def pick(values, index: str) -> str:
     return f"([{listed}])[CAST(({index}) % {len(values)} AS INT)+1]"
 
 
+# --- fixed values, stated here a second time so that the SQL does not lean on the package:
+# telecom regions with the prefixes of a user id, in rule order ...
+TELECOM_RULES = """14302 ZZ LL YX CL 732 07312
+14303 XT 733 07315
+14307 CD 736 0736
+14306 YY 730 0730
+14309 IY 737 0737
+14313 LD 738 0738
+14331 JS 743 0743
+14308 ZJ 744 0744
+14312 HH 745 0745
+14305 wg sn SY 739 0739
+14310 CZ AR GD GY JQ JH LW RC YX 735 0735
+14311 YZ DA DX JH LS NY QY SP YZ ZS 746 0746
+14304 HY HN LY HS HD QD CN 734 0734"""
+# ... and mobile regions with their area code.
+MOBILE_RULES = """14302 07312
+14303 07311
+14304 07340
+14305 07390
+14306 07300
+14307 07360
+14308 07440
+14309 07370
+14310 07350
+14311 07460
+14312 07450
+14313 07380
+14331 07430"""
+
+
 def telecom_region(user: str) -> str:
-    rules = " ".join(
-        "WHEN " + " OR ".join(f"starts_with({user},'{p}')" for p in dict.fromkeys(prefixes))
-        + f" THEN '{region}'"
-        for region, prefixes in TELECOM_PREFIXES
-    )
-    return f"CASE {rules} ELSE '14301' END"
+    """Constant rules, each on the first characters of the id."""
+    rules = [line.split() for line in TELECOM_RULES.splitlines()]
+    tests = [f"WHEN regexp_matches({user}, '^({'|'.join(prefixes)})') THEN '{region}'" for region, *prefixes in rules]
+    return f"CASE {' '.join(tests)} ELSE '14301' END"
 
 
 def mobile_region(code: str) -> str:
-    rules = " ".join(
-        f"WHEN {code} IN ('{area}','{region}') THEN '{region}'" for area, region in MOBILE_AREAS.items()
-    )
-    return f"CASE {rules} ELSE '14301' END"
+    rules = [line.split() for line in MOBILE_RULES.splitlines()]
+    tests = [f"WHEN {code} IN ('{region}', '{area}') THEN '{region}'" for region, area in rules]
+    return f"CASE {' '.join(tests)} ELSE '14301' END"
 
 
 USER_PREFIXES = ("YX", "JH", "0736", "U", "732", "07312", "wg", "test")
@@ -125,8 +151,8 @@ day_sess AS (SELECT * REPLACE (greatest(start_ts,{_FIRST}) AS start_ts, least(en
   {log_time(f'greatest(start_ts,{_FIRST})')} AS play_start_time,
   {log_time(f'least(end_ts,{_LAST})')} AS play_end_time FROM day_kept)"""
 
-CHANNELS = """channels AS (SELECT 'CH'||n_nationkey AS channel_id, 'CONF'||n_nationkey AS conf_channel_id,
-  n_name AS conf_channel_name FROM nation WHERE n_regionkey<>2)"""
+CHANNELS = """channels AS (SELECT CASE WHEN n_regionkey=2 THEN 'OLD' ELSE 'CH' END||n_nationkey AS channel_id,
+  'CONF'||n_nationkey AS conf_channel_id, n_name AS conf_channel_name FROM nation)"""
 
 MEDIA = """media AS (SELECT 'M'||(p_partkey%100) AS media_id, p_name AS media_name,
   'CAT'||split_part(p_brand,'#',2) AS category_id,
@@ -134,18 +160,21 @@ MEDIA = """media AS (SELECT 'M'||(p_partkey%100) AS media_id, p_name AS media_na
   'CHN_'||p_type AS channel_id FROM part),
 media_names AS (SELECT media_id, min(media_name) AS name FROM media GROUP BY 1)"""
 
-POOL = f"""prev_pool AS (SELECT {user_name('c_custkey')} AS user_id,
-  {telecom_region('(' + user_name('c_custkey') + ')')} AS regionid, '' AS status, '20231201' AS start_date,
+# Customers of one segment carry ids that no log has.
+_CUSTOMER = f"CASE WHEN c_mktsegment='BUILDING' THEN 'gone'||c_custkey ELSE {user_name('c_custkey')} END"
+
+POOL = f"""prev_pool AS (SELECT {_CUSTOMER} AS user_id,
+  {telecom_region('(' + _CUSTOMER + ')')} AS regionid, '' AS status, '20231201' AS start_date,
   '' AS end_date, '20231201' AS create_date, 'B.'||(c_custkey%5)||'.0.2' AS apk_version,
   'OLDMAC'||c_custkey AS mac, 'OLDMK'||(c_custkey%4) AS manufacturers, 'OLDMD'||(c_custkey%7) AS model,
   '4.4' AS system_version, '10.1.0.'||(c_custkey%200) AS ip, 'OLDACC'||c_custkey AS user_account,
-  {user_name('c_custkey')} AS uuid, 'android' AS os, '20240101' AS dt, 'HNYD' AS platform,
-  'sdk' AS source_type FROM customer WHERE c_mktsegment<>'BUILDING'),
+  {_CUSTOMER} AS uuid, 'android' AS os, '20240101' AS dt, 'HNYD' AS platform,
+  'sdk' AS source_type FROM customer),
 pool AS (SELECT * REPLACE ('{_DAY}' AS dt) FROM prev_pool)"""
 
-ASSETS = """assets AS (SELECT 'M'||p_partkey AS media_id, 'UUID'||p_partkey AS uuid, p_name AS midianame,
+ASSETS = """assets AS (SELECT CASE WHEN p_brand='Brand#3' THEN 'X' ELSE 'M' END||p_partkey AS media_id, 'UUID'||p_partkey AS uuid, p_name AS midianame,
   'YD'||p_partkey AS ydmedia, 'LT'||p_partkey AS ltmedia, 'AS'||(p_partkey%60) AS dxmedia,
-  p_brand AS cp FROM part WHERE p_brand<>'Brand#3')"""
+  p_brand AS cp FROM part)"""
 
 REVIEW = """review AS (SELECT CASE r_regionkey WHEN 1 THEN 'small' WHEN 2 THEN 'cat economy 1'
   ELSE lower(r_name) END AS word FROM region)"""

@@ -84,14 +84,14 @@ def favourite_facts(spark, sf_dir):
     return facts.favourite_facts(rows, frames.pool(spark, sf_dir), frames.DAY, hot_users(rows))
 
 
-_RANGE = "dt BETWEEN '20240105' AND '20240125'"
+_RANGE = "dt BETWEEN '20231027' AND '20240125'"
 
 
 @query(with_(EV, ONLINE) + f"""SELECT regionid, platform, source_type, count(DISTINCT uuid) AS stbnum
   FROM online WHERE {_RANGE} GROUP BY 1,2,3""")
 def distinct_90d(spark, sf_dir):
-    """Trailing window, here of 20 days before the day (both ends count)."""
-    return reports.distinct_users(frames.online(spark, sf_dir), "20240125", 20)
+    """The 90 days before the day (both ends count)."""
+    return reports.distinct_users(frames.online(spark, sf_dir), "20240125")
 
 
 _RESIDUAL = f"""(SELECT count(DISTINCT uuid) FROM online WHERE {_RANGE} AND platform='HNYD' AND source_type='sdk')
@@ -102,7 +102,7 @@ _RESIDUAL = f"""(SELECT count(DISTINCT uuid) FROM online WHERE {_RANGE} AND plat
 @query(with_(EV, ONLINE) + f"""SELECT {_RESIDUAL} AS stbnum, '14301' AS regionid, 'HNYD' AS platform,
   'sdk' AS source_type""")
 def area_residual(spark, sf_dir):
-    return reports.residual_region(frames.online(spark, sf_dir), "20240125", 20)
+    return reports.residual_region(frames.online(spark, sf_dir), "20240125")
 
 
 @query(with_(EV, ONLINE, f"""base AS (SELECT regionid, platform, source_type, count(DISTINCT uuid) AS n FROM online
@@ -115,7 +115,7 @@ sources AS (SELECT * FROM nonzero UNION ALL
        + """SELECT '20240125' AS create_date, regionid AS area_code, platform, label AS source_type, n AS stb_num
   FROM sources UNION ALL SELECT '20240125', '14300', platform, label, CAST(sum(n) AS BIGINT) FROM sources GROUP BY 3,4""")
 def stb_report_rollup(spark, sf_dir):
-    return reports.stb_report(frames.online(spark, sf_dir), "20240125", 20)
+    return reports.stb_report(frames.online(spark, sf_dir), "20240125")
 
 
 @query(with_(EV, """found AS (SELECT user_id AS userid, max('N'||k) AS stbid FROM ev GROUP BY 1)""", POOL)
@@ -127,15 +127,26 @@ def new_relations_anti(spark, sf_dir):
     return reports.new_relations(found, known)
 
 
-@query(with_(EV) + """SELECT DISTINCT 'P'||(k%40) AS page_id, 'page_'||(k%40) AS page_name FROM ev
+@query(with_(EV) + """SELECT 'P'||(k%40) AS page_id, min('page_'||(k%40)||' '||(k%4)) AS page_name FROM ev
   WHERE type IN ('view','click') AND k%13<>0
-  AND 'P'||(k%40) NOT IN (SELECT 'P'||n_nationkey FROM nation)""")
+  AND 'P'||(k%40) NOT IN (SELECT 'P'||n_nationkey FROM nation) GROUP BY 1""")
 def insert_if_absent(spark, sf_dir):
-    names = reports.page_names(frames.page_views(spark, sf_dir))
+    """A page id may come with several names; one goes in."""
+    pages = frames.page_views(spark, sf_dir)
+    several = F.concat(F.col("pagename"), F.lit(" "), F.substring("offset_id", 3, 1))
+    names = reports.page_names(pages.withColumn("pagename", F.when(F.col("pagename") != "", several)))
     stored = frames.table(spark, sf_dir, "nation").select(frames.text("P", F.col("n_nationkey")).alias("page_id"))
     return reports.rows_to_insert(names, stored, ["page_id"]).select("page_id", "page_name")
 
 
+@query(with_(EV, LOG) + """SELECT media_id, min(media_name) AS media_name FROM log WHERE media_id<>'' AND media_name<>''
+  AND media_id NOT IN (SELECT 'M'||n_nationkey FROM nation) GROUP BY 1""")
+def insert_media_names(spark, sf_dir):
+    names = reports.media_names(frames.log(spark, sf_dir))
+    known = frames.table(spark, sf_dir, "nation").select(frames.text("M", F.col("n_nationkey")).alias("media_id"))
+    return reports.rows_to_insert(names, known, ["media_id"])
+
+
 @query(with_(EV, """a AS (SELECT strftime(make_timestamp(real_s*1000000),'%Y%m%d') AS dt, count(*)*1000 AS n FROM ev GROUP BY 1)""",
              """b AS (SELECT strftime(make_timestamp(real_s*1000000),'%Y%m%d') AS dt, count(*)*1000 AS n FROM ev
     WHERE type<>'error' AND strftime(make_timestamp(real_s*1000000),'%Y%m%d')>='20240112' GROUP BY 1)""")

@@ -17,7 +17,7 @@ AREA = "get(array({}), cast(k % {} as int))".format(
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frames.spread(frames.events(spark, sf_dir), "event_id")
+    return frames.events(spark, sf_dir)
 
 
 def _row(*fields: str) -> str:
