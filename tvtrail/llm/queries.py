@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tvtrail.llm import contamination, language, mixing, near_dup, quality, repeats, secrets, sharding, token_counts, token_files
+from tvtrail.llm import contamination, language, mixing, near_dup, oracles, quality, repeats, secrets, sharding, token_counts, token_files
 from tvtrail.llm.common import text_bytes, text_crc32
 from tvtrail.session import scratch_path
 
@@ -91,4 +91,8 @@ def op10_repeats(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_sharding, op4_secrets, op5_language, op6_mixing, op7_quality, op8_contamination, op9_near_dup, op10_repeats)}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op7_quality": oracles.QUALITY,
+    "op8_contamination": oracles.CONTAMINATION,
+    "op9_near_dup": oracles.NEAR_DUPLICATES,
+}
