@@ -20,6 +20,7 @@ from tvtrail.schemas import HEART, INIT, LIVE
 ASSUMED_SECONDS = 300        # length of a session nothing is known about
 HEARTBEAT_GRACE = 1200       # a last heartbeat this close to the end proves the end
 MIN_SECONDS = 3
+_OWN = ("user_id", "ts", "state", "play", "rid")
 
 
 def pair_starts(log: DataFrame, hot: HotKeys) -> DataFrame:
@@ -134,9 +135,14 @@ def _inferred_end(start: Column, limit: Column) -> Column:
 def sessions(log: DataFrame, hot: HotKeys) -> DataFrame:
     """One row per start: ``start_ts``, ``end_ts``, ``inferred`` and the payload.
 
-    The candidate end is the next start of any type, else the last heartbeat.
+    The candidate end is the next start of any type, else the last heartbeat.  The
+    payload goes along with starts only: heartbeats, power-ons and stops, by far the
+    most rows, are five narrow columns in the shuffle and the windows.
     """
+    payload = [c for c in log.columns if c not in _OWN]
     rows = log.where(is_viewing(F.col("state")) | F.col("state").isin(HEART, INIT))
+    if payload:
+        rows = rows.select(*_OWN, F.when(F.col("play"), F.struct(*payload)).alias("_payload"))
     rows = hot.split(rows, "ts")
     if hot:
         added = _rows_from_later_slices(rows, hot)
@@ -156,7 +162,7 @@ def sessions(log: DataFrame, hot: HotKeys) -> DataFrame:
         rows = rows.where(~F.col("_added")).drop("_added")
     rows = pair_starts(rows.where(is_viewing(F.col("state"))), hot).where("play")
     start = F.col("ts")
-    return (
+    found = (
         rows.withColumn("inferred", F.col("stop_ts").isNull())
         .withColumn(
             "end_ts",
@@ -165,6 +171,7 @@ def sessions(log: DataFrame, hot: HotKeys) -> DataFrame:
         .withColumnRenamed("ts", "start_ts")
         .drop("_start", "_last", "stop_ts", "play")
     )
+    return found.select("*", "_payload.*").drop("_payload") if payload else found
 
 
 def of_day(found: DataFrame, dt: str, limit: Column | None = None) -> DataFrame:
