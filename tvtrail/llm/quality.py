@@ -111,9 +111,8 @@ def order_rules(docs: DataFrame, text: str, rules=RULES, sample_rows: int = SAMP
     """Rules by falling rejection per second, measured on about ``sample_rows`` rows."""
     rows = docs.count()
     share = min(1.0, sample_rows / max(1, rows))
-    value = F.col(f"`{text}`")
-    sample = settle(
-        docs.select(value.alias("text"), measures(value).alias("m")).sample(share, seed=7), "quality-sample")
+    chosen = docs.select(F.col(f"`{text}`").alias("text")).sample(share, seed=7)
+    sample = settle(chosen.select("text", measures(F.col("text")).alias("m")), "quality-sample")
     scored = []
     for rule in rules:
         rejected = F.coalesce(rule.rejects(F.col("text"), F.col("m")), F.lit(False))
