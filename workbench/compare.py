@@ -29,6 +29,12 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# DuckDB types and what a column of theirs must be in Spark.
+TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "BOOLEAN": "boolean", "DOUBLE": "double", "DATE": "date",
+}
+
+
 def _canonical(columns: list[str], rows) -> tuple[list[str], Counter]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return [columns[i] for i in order], Counter(tuple(row[i] for i in order) for row in rows)
@@ -43,6 +49,10 @@ def compare(spark, con, sf_dir: str, name: str) -> tuple[bool, str]:
     want_columns, want = _canonical([d[0] for d in cursor.description], cursor.fetchall())
     if got_columns != want_columns:
         return False, f"columns {got_columns} != {want_columns}"
+    kinds, asked = dict(frame.dtypes), {d[0]: str(d[1]) for d in cursor.description}
+    other = {c: (kinds[c], asked[c]) for c in got_columns if TYPES.get(asked[c], kinds[c]) != kinds[c]}
+    if other:
+        return False, f"types {other}"
     if got != want:
         extra, missing = got - want, want - got
         return False, (
