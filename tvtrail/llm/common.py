@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tvtrail.session import stored
+from tvtrail.session import scratch_path
 
 # Separators of words, as in the character class [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
@@ -18,22 +18,24 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     Later steps start from the written table, so a lost executor never costs
     more than the tasks of the step at hand.
     """
-    conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP, "false")
-    conf.set(_CLEANUP, "true")
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
     try:
-        return stored(df, name)
+        df.write.parquet(path)
     finally:
-        conf.set(_CLEANUP, before)
+        spark.conf.set(_CLEANUP, before)
+    table = spark.read.parquet(path)
+    table.settled_at = path
+    return table
 
 
-def discard(*frames: DataFrame) -> None:
+def discard(*tables: DataFrame) -> None:
     """Delete settled tables that nothing reads any more."""
-    for df in frames:
-        spark = df.sparkSession
-        for file in df.inputFiles()[:1]:
-            path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.settled_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def utf8(column: pa.Array) -> list[bytes | None]:
