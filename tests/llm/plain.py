@@ -57,7 +57,9 @@ def passes(text):
     import unicodedata
     kinds = Counter(unicodedata.category(c) for c in text)
     letters = sum(v for k, v in kinds.items() if k[0] == "L")
-    return not (failed or 10 * symbols > n or 2 * dup > lines or chars > 50 * n
+    words = BLANK.findall(text)
+    stutter = sum(a == b for a, b in zip(words, words[1:]))
+    return not (failed or 4 * stutter > n or 10 * symbols > n or 2 * dup > lines or chars > 50 * n
                 or kinds["Lu"] > kinds["Ll"] or 4 * letters < chars)
 
 

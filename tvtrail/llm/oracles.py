@@ -15,11 +15,11 @@ grams AS (SELECT doc_id, i, words[i:i+4] AS g FROM w, unnest(range(1, len(words)
 twice AS (SELECT doc_id, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g)>1),
 covered AS (SELECT doc_id, count(DISTINCT i+k) AS n FROM twice, range(0, 5) AS r(k) GROUP BY 1),
 m AS (SELECT doc_id, text, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
-  {_count('[#*$%&|<>]')} AS n_symbols, len(lines)-len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines,
+  len([i for i in range(2, len(words)+1) if words[i]=words[i-1]]) AS n_stutter, {_count('[#*$%&|<>]')} AS n_symbols, len(lines)-len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines,
   coalesce(covered.n, 0) AS n_repeat_words FROM w LEFT JOIN covered USING (doc_id)),
 f AS (SELECT *, n_words<10 OR 100*n_repeat_words>20*n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR 10*n_symbols>n_words OR 2*n_dup_lines>n_lines OR word_chars>50*n_words
+  NOT (base_failed OR 10*n_symbols>n_words OR 2*n_dup_lines>n_lines OR word_chars>50*n_words OR 4*n_stutter>n_words
     OR {_count(r'\p{Lu}')}>{_count(r'\p{Ll}')} OR 4*{_count(r'\p{L}')}<word_chars) AS kept FROM f"""
 
 CONTAMINATION = rf"""WITH iw AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_FOLDED}') AS words FROM benchmark),

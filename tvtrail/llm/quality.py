@@ -62,12 +62,13 @@ def measures(text: Column) -> Column:
 
     n_words, word_chars (code points in words), n_symbols, n_lines (with a word),
     n_dup_lines (equal to an earlier line), n_repeat_words (in a window of five words
-    found twice or more in the text).  Windows are compared by 64-bit hashes.
+    found twice or more in the text), n_stutter (equal to the word before).  Windows are compared by 64-bit hashes.
     """
     text = F.coalesce(text, F.lit(""))
     by_words = let(_words(text), lambda w: F.struct(
         F.size(w).cast("bigint").alias("n_words"),
         F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
+        F.size(F.filter(w, lambda word, i: F.get(w, i - 1) == word)).cast("bigint").alias("n_stutter"),
         _repeat_words(w).cast("bigint").alias("n_repeat_words")))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     by_lines = let(lines, lambda n: F.struct(
@@ -77,7 +78,7 @@ def measures(text: Column) -> Column:
         m["w"]["n_words"].alias("n_words"), m["w"]["word_chars"].alias("word_chars"),
         F.regexp_count(text, F.lit(_SYMBOLS)).cast("bigint").alias("n_symbols"),
         m["l"]["n_lines"].alias("n_lines"), m["l"]["n_dup_lines"].alias("n_dup_lines"),
-        m["w"]["n_repeat_words"].alias("n_repeat_words")))
+        m["w"]["n_repeat_words"].alias("n_repeat_words"), m["w"]["n_stutter"].alias("n_stutter")))
 
 
 @dataclass(frozen=True)
@@ -93,6 +94,8 @@ RULES = (
     Rule("symbols", lambda text, m: m["n_symbols"] * 10 > m["n_words"]),
     # More than half of the lines stand earlier in the text.
     Rule("lines", lambda text, m: m["n_dup_lines"] * 2 > m["n_lines"]),
+    # More than a quarter of the words repeat the word before.
+    Rule("stutter", lambda text, m: m["n_stutter"] * 4 > m["n_words"]),
     # Words of more than 50 characters on average.
     Rule("length", lambda text, m: m["word_chars"] > m["n_words"] * 50),
     # More than half of the letters with case are capitals.
