@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tvtrail.llm.common import text_bytes, utf8
+from tvtrail.llm.common import utf8
 
 WINDOW = 10
 # Benchmark bytes compiled into one automaton; larger benchmarks take several scans.
@@ -113,27 +113,26 @@ def mark(
 ) -> DataFrame:
     """``docs`` with a struct: n_words, n_hit, items (ids, sorted), spans (bytes, end exclusive).
 
-    Each group of benchmark items is one automaton of bounded size, broadcast and
-    scanned in the same pass; no row is shuffled.  Null texts have no words, items
+    Each group of benchmark items is one automaton of bounded size; a task holds one at
+    a time, and no row is shuffled.  Null texts have no words, items
     without words match nothing, a null item id counts as an item but is not listed.
     """
     groups = list(_groups(docs.sparkSession, items, item_text, item_key, group_bytes))
 
     def scan_all(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scanners = None
+        only = Scanner(groups[0].value, window) if len(groups) == 1 else None
         for batch in batches:
-            if scanners is None:
-                scanners = [Scanner(g.value, window) for g in groups]
             rows = []
-            for value in utf8(batch):
-                folded = (value or b"").translate(FOLD)
-                words = folded.split()
-                ranges, found = [], set()
-                for scanner in scanners:
-                    more, ids = scanner.scan(words)
+            texts = [(value or b"").translate(FOLD) for value in utf8(batch)]
+            marks = [([], set()) for _ in texts]
+            for group in groups:  # one automaton at a time
+                scanner = only or Scanner(group.value, window)
+                for folded, (ranges, found) in zip(texts, marks):
+                    more, ids = scanner.scan(folded.split())
                     ranges += more
                     found |= ids
-                hit = 0
+            for folded, (ranges, found) in zip(texts, marks):
+                words, hit = folded.split(), 0
                 if ranges:
                     flags = np.zeros(len(words) + 1, np.int64)
                     np.add.at(flags, [a for a, _ in ranges], 1)
@@ -146,8 +145,3 @@ def mark(
             yield pa.array(rows, _ARROW)
 
     return docs.withColumn(into, F.arrow_udf(scan_all, RESULT)(F.col(text)))
-
-
-def benchmark_bytes(items: DataFrame, text: str = "text") -> int:
-    """Size of a benchmark, to choose ``group_bytes`` by."""
-    return items.agg(F.sum(text_bytes(text))).first()[0] or 0
