@@ -1,8 +1,8 @@
 """Passages of 50 bytes or more that an earlier document has, found by a suffix index family.
 
 A 50-byte string starts at every byte, far too many to move.  So each string is led by
-its anchor, the 16 bytes in it with the smallest hash: equal strings have equal anchors,
-and neighbouring strings mostly share one.  Three steps, each a Spark shuffle:
+its anchor, the 16 bytes in it that come first in a random order: equal strings have
+equal anchors, and neighbouring strings mostly share one.  Three steps, each a shuffle:
 
 1. Anchors that occur in more than one document are looked for.  A task sends each
    distinct anchor of a batch once, with the smallest document that has it.
@@ -36,13 +36,16 @@ ANCHOR = 16
 REACH = LENGTH - ANCHOR + 1
 NO_ID = (1 << 63) - 1
 # Text of one batch in a task, of one numpy step, and of what one bucket stands for.
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 16 << 20
 STEP_BYTES = 1 << 19
 BUCKET_BYTES = 8 << 20
-INDEX_BATCH = 1 << 18
+INDEX_BATCH = 1 << 19
+# Text of the documents whose results are gathered by one task.
+DEST_BYTES = 32 << 20
 
 _LETTERS = np.random.default_rng(50).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
+_ORDER = np.uint64(0xD6E8FEB86659FD93)
 
 
 def gram_hashes(data: np.ndarray, length: int) -> np.ndarray:
@@ -112,7 +115,8 @@ def anchors(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
         hashes = gram_hashes(data, ANCHOR)
         here = np.arange(len(hashes), dtype=np.uint64)
         low = np.uint64(20)
-        leader = _smallest((hashes >> low << low) | here, REACH)  # smallest hash, then leftmost
+        # Smallest in an order of its own, so that anchors spread over all hashes; then leftmost.
+        leader = _smallest((hashes * _ORDER >> low << low) | here, REACH)
         starts = np.flatnonzero(left[:len(leader)] >= LENGTH)
         led_by = (leader[starts] & np.uint64((1 << 20) - 1)).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], led_by[1:] != led_by[:-1])))
@@ -156,19 +160,60 @@ def _split(order_key: np.ndarray) -> Iterator[tuple[int, int]]:
     yield from zip(at, np.concatenate((at[1:], [len(order_key)])))
 
 
-def _number(packed: bytes) -> int:
-    return int(np.frombuffer(packed, np.int64)[0])
+_ENTRIES = "dest bigint, ids binary, ties binary, starts binary, lengths binary"
+_KINDS = (np.int64, np.int64, np.uint32, np.uint32)
 
 
-_POSTINGS = "bucket bigint, found boolean, keys binary, ids binary, places binary"
+def _dest_of(ids: np.ndarray, dests: int) -> np.ndarray:
+    return (mix(ids.view(np.uint64)) % np.uint64(dests)).astype(np.int64)
 
 
-def _send_anchors(buckets: int):
+def _packed(columns: tuple[np.ndarray, ...], dests: int) -> Iterator[tuple]:
+    """Entries (id, tie, start, length) as one row per destination, a group of documents."""
+    dest = _dest_of(columns[0], dests)
+    order = np.argsort(dest, kind="stable")
+    dest, columns = dest[order], [c[order] for c in columns]
+    if len(dest):
+        for a, b in _split(dest):
+            yield int(dest[a]), *(c[a:b].astype(k).tobytes() for c, k in zip(columns, _KINDS))
+
+
+def _unpacked(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    return tuple(
+        np.frombuffer(b"".join(rows[c]), k) for c, k in zip(("ids", "ties", "starts", "lengths"), _KINDS))
+
+
+def _by_document(rows: pd.DataFrame) -> pd.DataFrame:
+    """One row per document of a destination, with all its entries."""
+    ids, ties, starts, lengths = _unpacked(rows)
+    order = np.lexsort((starts, ties, ids))
+    ids, ties, starts, lengths = ids[order], ties[order], starts[order], lengths[order]
+    first = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1]))))
+    last = np.concatenate((first[1:], [len(ids)]))
+    return pd.DataFrame({
+        "id": ids[first], "tie": ties[first],
+        "starts": [starts[a:b].tobytes() for a, b in zip(first, last)],
+        "lengths": [lengths[a:b].tobytes() for a, b in zip(first, last)],
+    })
+
+
+_POSTINGS = f"bucket bigint, keys binary, {_ENTRIES}"
+
+
+def _record_batches(out: list[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
+    kinds = {"bucket": pa.int64(), "dest": pa.int64()}
+    for a in range(0, len(out), 1024):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, kinds.get(n, pa.binary())) for c, n in zip(zip(*out[a:a + 1024]), names)], names)
+
+
+def _send_anchors(buckets: int, dests: int):
     """Distinct anchors of a batch, by bucket, with their smallest document.
 
-    Anchors that several documents of the batch have are known to be shared: their other
-    occurrences go out as found already (no keys, one row per document).
+    Anchors that several documents of the batch have are known to be shared: all places
+    of them go out as found already (rows without keys).
     """
+    names = ["bucket", "keys", "dest", "ids", "ties", "starts", "lengths"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _batches(batches):
@@ -177,84 +222,67 @@ def _send_anchors(buckets: int):
             if not parts:
                 continue
             keys, owner, place = (np.concatenate(c) for c in zip(*parts))
-            order = np.lexsort((place, owner, keys))
+            order = np.lexsort((owner, keys))
             keys, owner, place = keys[order], owner[order], place[order]
             first = _runs(keys)
-            lowest = np.repeat(owner[first], np.diff(np.concatenate((first, [len(keys)]))))
-            other = np.flatnonzero(owner != lowest)
-            out = []
-            head = keys[first], owner[first], place[first].astype(np.uint32)
-            where = _buckets_of(head[0], buckets)
-            for a, b in _split(where):
-                out.append((int(where[a]), False, head[0][a:b].tobytes(), head[1][a:b].tobytes(), head[2][a:b].tobytes()))
-            # The smallest document is shared as well, at every place it has the anchor.
-            multiple = np.zeros(len(keys), bool)
-            if len(other):
-                shared = np.zeros(len(first), bool)
-                shared[np.searchsorted(first, other, "right") - 1] = True
-                multiple = np.repeat(shared, np.diff(np.concatenate((first, [len(keys)]))))
-            # Places of an unshared anchor beyond the first follow the answer of the first.
-            again = np.ones(len(keys), bool)
-            again[first] = False
-            again &= ~multiple
-            if again.any():
-                where = _buckets_of(keys, buckets)
-                for a, b in _split(where[again]):
-                    out.append((int(where[again][a]), False, keys[again][a:b].tobytes(), owner[again][a:b].tobytes(),
-                                place[again][a:b].astype(np.uint32).tobytes()))
-            if multiple.any():
-                by = np.lexsort((place[multiple], owner[multiple]))
-                who, at = owner[multiple][by], place[multiple][by].astype(np.uint32)
-                for a, b in _split(who):
-                    out.append((int(who[a]) % buckets, True, b"", who[a:a + 1].tobytes(), at[a:b].tobytes()))
-            for a in range(0, len(out), 4096):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out[a:a + 4096]), (
-                        pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()))],
-                    ["bucket", "found", "keys", "ids", "places"])
+            counts = np.diff(np.concatenate((first, [len(keys)])))
+            shared = np.repeat(owner[first] != owner[first + counts - 1], counts)
+            # A shared anchor goes out once, others at every place they have.
+            sent = ~shared
+            sent[first] = True
+            where = _buckets_of(keys[sent], buckets)
+            out = [(int(where[a]), keys[sent][a:b].tobytes(), 0, owner[sent][a:b].tobytes(), b"",
+                    place[sent][a:b].astype(np.uint32).tobytes(), b"") for a, b in _split(where)]
+            none = np.zeros(int(shared.sum()), np.int64)
+            for dest, *entries in _packed((owner[shared], none, place[shared], none), dests):
+                out.append((dest % buckets, b"", dest, *entries))
+            yield from _record_batches(out, names)
 
     return run
 
 
-def _shared_anchors(rows: pd.DataFrame) -> pd.DataFrame:
-    """Places of anchors that more than one document has, one row per document."""
-    known, sent = rows[rows["found"]], rows[~rows["found"]]
-    out = [(_number(i), p) for i, p in zip(known["ids"], known["places"])]
-    if len(sent):
-        keys, owner, place = (
-            np.frombuffer(b"".join(sent[c]), t) for c, t in (("keys", np.uint64), ("ids", np.int64), ("places", np.uint32)))
-        order = np.argsort(keys, kind="stable")
-        keys, owner, place = keys[order], owner[order], place[order]
-        first = _runs(keys)
-        many = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
-        keep = np.repeat(many, np.diff(np.concatenate((first, [len(keys)]))))
-        owner, place = owner[keep], place[keep]
-        order = np.argsort(owner, kind="stable")
-        owner, place = owner[order], place[order]
-        if len(owner):
-            out += [(int(owner[a]), place[a:b].tobytes()) for a, b in _split(owner)]
-    return pd.DataFrame(out, columns=["id", "places"])
+def _shared_anchors(dests: int):
+    """Places of anchors that more than one document has, by destination."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        known = rows["keys"].map(len) == 0
+        out = [tuple(r) for r in rows.loc[known, ["dest", "ids", "ties", "starts", "lengths"]].itertuples(index=False)]
+        sent = rows[~known]
+        if len(sent):
+            keys, owner, place = (
+                np.frombuffer(b"".join(sent[c]), t) for c, t in (("keys", np.uint64), ("ids", np.int64), ("starts", np.uint32)))
+            order = np.lexsort((owner, keys))
+            keys, owner, place = keys[order], owner[order], place[order]
+            first = _runs(keys)
+            counts = np.diff(np.concatenate((first, [len(keys)])))
+            many = np.repeat(owner[first] != owner[first + counts - 1], counts)
+            none = np.zeros(int(many.sum()), np.int64)
+            out += _packed((owner[many], none, place[many], none), dests)
+        return pd.DataFrame(out, columns=["dest", "ids", "ties", "starts", "lengths"])
+
+    return run
 
 
-_SURROUNDINGS = "bucket bigint, found boolean, ids binary, ties binary, starts binary, lengths binary, texts binary"
+_SURROUNDINGS = f"bucket bigint, texts binary, {_ENTRIES}"
 
 
-def _send_surroundings(buckets: int):
+def _send_surroundings(buckets: int, dests: int):
     """Surroundings of shared anchors by bucket; equal ones of a batch once, from the smallest document.
 
-    Found rows are spans matched in the batch itself, ``starts`` and ``lengths`` of one document.
+    Rows without texts are spans matched in the batch itself.
     """
+    names = ["bucket", "texts", "dest", "ids", "ties", "starts", "lengths"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _batches(batches):
             texts, ids, ties = rows["text"], np.array(rows["id"], np.int64), np.array(rows["tie"], np.int64)
-            wanted = [np.unique(np.frombuffer(b"".join(p), np.uint32)) for p in rows["places"]]
+            wanted = [np.unique(np.frombuffer(p, np.uint32)) for p in rows["places"]]
             sizes = np.array([len(w) for w in wanted])
             marks = np.repeat(np.arange(len(wanted)), sizes) << 32 | np.concatenate(wanted).astype(np.int64)
             parts = []
             for k, t, p, low, high in anchors(texts):
                 mark = t.astype(np.int64) << 32 | p
-                keep = np.isin(mark, marks)
+                keep = marks[np.minimum(np.searchsorted(marks, mark), len(marks) - 1)] == mark
                 parts.append((k[keep], t[keep], low[keep], high[keep] + LENGTH - low[keep]))
             if not parts:
                 continue
@@ -267,29 +295,19 @@ def _send_surroundings(buckets: int):
             same, keys, text, start, length = same[order], keys[order], text[order], start[order], length[order]
             owner, tie = ids[text], ties[text]
             first = _runs(same)
-            lowest = np.repeat(owner[first], np.diff(np.concatenate((first, [len(same)]))))
-            matched = owner > lowest
+            matched = owner > np.repeat(owner[first], np.diff(np.concatenate((first, [len(same)]))))
             out = []
-            if matched.any():
-                by = np.lexsort((start[matched], text[matched]))
-                who, at, n = text[matched][by], start[matched][by].astype(np.uint32), length[matched][by].astype(np.uint32)
-                for a, b in _split(who):
-                    one = slice(int(who[a]), int(who[a]) + 1)
-                    out.append((int(ids[who[a]]) % buckets, True, ids[one].tobytes(), ties[one].tobytes(),
-                                at[a:b].tobytes(), n[a:b].tobytes(), b""))
+            for dest, *entries in _packed((owner[matched], tie[matched], start[matched], length[matched]), dests):
+                out.append((dest % buckets, b"", dest, *entries))
             send = np.flatnonzero(~matched)
             where = _buckets_of(keys[send], buckets)
             by = np.argsort(where, kind="stable")
             send, where = send[by], where[by]
             for a, b in _split(where):
-                rows_ = send[a:b]
-                out.append((int(where[a]), False, owner[rows_].tobytes(), tie[rows_].tobytes(),
-                            start[rows_].astype(np.uint32).tobytes(), length[rows_].astype(np.uint32).tobytes(),
-                            b"".join(around[order[r]] for r in rows_)))
-            for a in range(0, len(out), 1024):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out[a:a + 1024]), (pa.int64(), pa.bool_(), *[pa.binary()] * 5))],
-                    ["bucket", "found", "ids", "ties", "starts", "lengths", "texts"])
+                part = send[a:b]
+                out.append((int(where[a]), b"".join(around[r] for r in order[part].tolist()), 0, *(
+                    c[part].astype(k).tobytes() for c, k in zip((owner, tie, start, length), _KINDS))))
+            yield from _record_batches(out, names)
 
     return run
 
@@ -302,19 +320,19 @@ class IndexFamily:
 
     def scan_and_add(self, strings: np.ndarray, owner: np.ndarray) -> np.ndarray:
         """Which of a batch's strings (fingerprints) a smaller document has; the batch joins the family."""
-        order = np.lexsort((owner, strings))
+        order = np.argsort(strings, kind="stable")  # documents ascend, so the first is the smallest
         ordered, who = strings[order], owner[order]
         first = _runs(ordered)
-        lowest = np.repeat(who[first], np.diff(np.concatenate((first, [len(ordered)]))))
-        found = who > lowest
+        found = who > np.repeat(who[first], np.diff(np.concatenate((first, [len(ordered)]))))
         new, least = ordered[first], who[first]
         for level, ids in self.levels:
-            at = np.minimum(np.searchsorted(level, ordered), len(level) - 1)
-            found |= (level[at] == ordered) & (ids[at] < who)
+            at = np.minimum(np.searchsorted(level, new), len(level) - 1)
+            older = np.where(level[at] == new, ids[at], NO_ID)
+            found |= np.repeat(older, np.diff(np.concatenate((first, [len(ordered)])))) < who
         while self.levels and len(self.levels[-1][0]) <= 2 * len(new):
             old, ids = self.levels.pop()
             both, least = np.concatenate((old, new)), np.concatenate((ids, least))
-            merged = np.lexsort((least, both))
+            merged = np.argsort(both, kind="stable")  # two sorted runs; the older one first
             both, least = both[merged], least[merged]
             keep = _runs(both)
             new, least = both[keep], least[keep]
@@ -324,58 +342,55 @@ class IndexFamily:
         return out
 
 
-def _scan_bucket(rows: pd.DataFrame) -> pd.DataFrame:
-    """Spans of a bucket's strings that a smaller document has, one row per document."""
-    known, sent = rows[rows["found"]], rows[~rows["found"]]
-    out = [(_number(i), _number(t), s, n)
-           for i, t, s, n in zip(known["ids"], known["ties"], known["starts"], known["lengths"])]
-    if len(sent):
-        owner, tie, start, length = (
-            np.frombuffer(b"".join(sent[c]), t)
-            for c, t in (("ids", np.int64), ("ties", np.int64), ("starts", np.uint32), ("lengths", np.uint32)))
-        data = np.frombuffer(b"".join(sent["texts"]), np.uint8)
-        at = np.cumsum(length, dtype=np.int64) - length
-        order = np.lexsort((start, tie, owner))
-        family, spans = IndexFamily(), []
-        counts = length.astype(np.int64)[order] - LENGTH + 1
-        cuts = np.searchsorted(np.cumsum(counts), np.arange(INDEX_BATCH, int(counts.sum()) + INDEX_BATCH, INDEX_BATCH))
-        for a, b in zip(np.concatenate(([0], cuts + 1)), np.concatenate((cuts + 1, [len(order)]))):
-            batch = order[a:min(b, len(order))]
-            if not len(batch):
-                continue
-            lengths = length[batch].astype(np.int64)
-            ends = np.cumsum(lengths)
-            inside = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)
-            bytes_ = data[np.repeat(at[batch], lengths) + inside]
-            entry = np.repeat(np.arange(len(batch)), lengths)
-            whole = np.flatnonzero(inside + LENGTH <= np.repeat(lengths, lengths))
-            strings = gram_hashes(bytes_, LENGTH)[whole]
-            found = whole[family.scan_and_add(strings, owner[batch][entry[whole]])]
-            if len(found):
-                gap = np.concatenate(([True], (found[1:] != found[:-1] + 1) | (entry[found[1:]] != entry[found[:-1]])))
-                first = np.flatnonzero(gap)
-                last = np.concatenate((first[1:], [len(found)])) - 1
-                rows_ = batch[entry[found[first]]]
-                spans.append((rows_, start[rows_] + inside[found[first]], found[last] - found[first] + LENGTH))
-        if spans:
-            rows_, starts, lengths = (np.concatenate(c) for c in zip(*spans))
-            who, which = owner[rows_], tie[rows_]
-            by = np.lexsort((starts, which, who))
-            who, which = who[by], which[by]
-            starts, lengths = starts[by].astype(np.uint32), lengths[by].astype(np.uint32)
-            change = np.concatenate(([True], (who[1:] != who[:-1]) | (which[1:] != which[:-1])))
-            first = np.flatnonzero(change)
-            for a, b in zip(first, np.concatenate((first[1:], [len(who)]))):
-                out.append((int(who[a]), int(which[a]), starts[a:b].tobytes(), lengths[a:b].tobytes()))
-    return pd.DataFrame(out, columns=["id", "tie", "starts", "lengths"])
-
-
-def _cut(text: bytes, starts: list[bytes], lengths: list[bytes]) -> tuple[list[tuple[int, int]], bytes]:
+def _scan_bucket(dests: int):
+    """Spans of a bucket's strings that a smaller document has, by destination."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        known = rows["texts"].map(len) == 0
+        out = [tuple(r) for r in rows.loc[known, ["dest", "ids", "ties", "starts", "lengths"]].itertuples(index=False)]
+        sent = rows[~known]
+        if len(sent):
+            out += _packed(_spans(np.frombuffer(b"".join(sent["texts"]), np.uint8), *_unpacked(sent)), dests)
+        return pd.DataFrame(out, columns=["dest", "ids", "ties", "starts", "lengths"])
+
+    return run
+
+
+def _spans(data, owner, tie, start, length) -> tuple[np.ndarray, ...]:
+    """Entries of strings that a smaller document has; ``data`` holds the surroundings one after another."""
+    at = np.cumsum(length, dtype=np.int64) - length
+    order = np.argsort(owner, kind="stable")
+    family, spans = IndexFamily(), []
+    counts = length.astype(np.int64)[order] - LENGTH + 1
+    cuts = np.searchsorted(np.cumsum(counts), np.arange(INDEX_BATCH, int(counts.sum()) + INDEX_BATCH, INDEX_BATCH))
+    for a, b in zip(np.concatenate(([0], cuts + 1)), np.concatenate((cuts + 1, [len(order)]))):
+        batch = order[a:min(b, len(order))]
+        if not len(batch):
+            continue
+        lengths = length[batch].astype(np.int64)
+        ends = np.cumsum(lengths)
+        inside = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)
+        entry = np.repeat(np.arange(len(batch)), lengths)
+        whole = np.flatnonzero(inside + LENGTH <= lengths[entry])
+        strings = gram_hashes(data[at[batch][entry] + inside], LENGTH)[whole]
+        found = whole[family.scan_and_add(strings, owner[batch][entry[whole]])]
+        if len(found):
+            gap = np.concatenate(([True], (found[1:] != found[:-1] + 1) | (entry[found[1:]] != entry[found[:-1]])))
+            first = np.flatnonzero(gap)
+            last = np.concatenate((first[1:], [len(found)])) - 1
+            rows = batch[entry[found[first]]]
+            spans.append((owner[rows], tie[rows], start[rows] + inside[found[first]], found[last] - found[first] + LENGTH))
+    if not spans:
+        return tuple(np.zeros(0, k) for k in _KINDS)
+    return tuple(np.concatenate(c) for c in zip(*spans))
+
+
+def _cut(text: bytes, starts: bytes, lengths: bytes) -> tuple[list[tuple[int, int]], bytes]:
     """Maximal removed runs, and what is left."""
     cover = np.zeros(len(text) + 1, np.int32)
-    begin = np.frombuffer(b"".join(starts), np.uint32).astype(np.int64)
+    begin = np.frombuffer(starts, np.uint32).astype(np.int64)
     np.add.at(cover, begin, 1)
-    np.add.at(cover, begin + np.frombuffer(b"".join(lengths), np.uint32), -1)
+    np.add.at(cover, begin + np.frombuffer(lengths, np.uint32), -1)
     gone = np.cumsum(cover[:-1]) > 0
     edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0]))))
     return list(zip(edges[::2].tolist(), edges[1::2].tolist())), np.frombuffer(text, np.uint8)[~gone].tobytes()
@@ -399,22 +414,24 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", int
     larger than any other; a null text is empty.
     """
     total = docs.agg(F.sum(text_bytes(F.col(f"`{text}`")))).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET_BYTES))
+    buckets, dests = max(1, -(-total // BUCKET_BYTES)), max(1, -(-total // DEST_BYTES))
     own_id = F.coalesce(F.col(f"`{key}`").cast("bigint"), F.lit(NO_ID))
     own_text = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     own_tie = F.xxhash64(own_text)
     plain = docs.select(own_id.alias("id"), own_tie.alias("tie"), own_text.alias("text"))
-    shared = settle(
-        plain.select("id", "text").mapInArrow(_send_anchors(buckets), _POSTINGS)
-        .groupBy("bucket").applyInPandas(_shared_anchors, "id bigint, places binary"), "shared-anchors")
-    places = shared.groupBy("id").agg(F.collect_list("places").alias("places"))
+    found = "id bigint, tie bigint, starts binary, lengths binary"
+    places = settle(
+        plain.select("id", "text").mapInArrow(_send_anchors(buckets, dests), _POSTINGS)
+        .groupBy("bucket").applyInPandas(_shared_anchors(dests), _ENTRIES)
+        .groupBy("dest").applyInPandas(_by_document, found), "shared-anchors")
     spans = settle(
-        plain.join(places.hint("shuffle_hash"), "id").select("id", "tie", "text", "places")
-        .mapInArrow(_send_surroundings(buckets), _SURROUNDINGS)
-        .groupBy("bucket").applyInPandas(_scan_bucket, "id bigint, tie bigint, starts binary, lengths binary"), "repeat-spans")
-    discard(shared)
-    by_row = spans.groupBy(F.col("id").alias("_id"), F.col("tie").alias("_tie")).agg(
-        F.collect_list("starts").alias("_starts"), F.collect_list("lengths").alias("_lengths"))
+        plain.join(places.select("id", F.col("starts").alias("places")).hint("shuffle_hash"), "id")
+        .select("id", "tie", "text", "places")
+        .mapInArrow(_send_surroundings(buckets, dests), _SURROUNDINGS)
+        .groupBy("bucket").applyInPandas(_scan_bucket(dests), _ENTRIES)
+        .groupBy("dest").applyInPandas(_by_document, found), "repeat-spans")
+    discard(places)
+    by_row = spans.toDF("_id", "_tie", "_starts", "_lengths")
     rows = docs.withColumns({"_id": own_id, "_tie": own_tie})
     return rows.join(by_row.hint("shuffle_hash"), ["_id", "_tie"], "left").withColumn(
         into, F.arrow_udf(_remove, "struct<spans:array<struct<start:bigint,end:bigint>>,kept:binary>")(
