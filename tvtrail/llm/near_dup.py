@@ -10,9 +10,10 @@ confirmed on their full sets.
 Documents of equal sets are one class.  In a band's bucket every class is first
 compared with the smallest one only, so a bucket costs its size and not its square.
 Links make components; a bucket whose classes are one component is settled, since no
-further link could change anything.  Other buckets are gone through pair by pair
-across components: in blocks, on registers alone, best estimates first, verified page
-by page until no untested pair across components is left.
+further link could change anything.  In the other buckets all pairs across components
+are looked at, in blocks spread over tasks: on registers first, then, where the estimate
+allows, on the full sets at once, so that only confirmed links leave a task.  Buckets
+with the same classes are looked at once.
 """
 
 from __future__ import annotations
@@ -37,8 +38,8 @@ REGISTERS = BANDS * BAND_REGISTERS
 BASE, RATE, TOP = 1.001, 20.0, 65_534
 # Pairs estimated below are not verified; more than five standard errors under the threshold.
 MIN_ESTIMATE = 0.55
-BLOCK = 1_024
-FIRST_PAGE = 8
+BLOCK = 512
+CHUNK_PAIRS = 1 << 15
 
 _RANDOM = np.random.default_rng(97)
 _FLIP = _RANDOM.integers(0, 1 << 32, REGISTERS, dtype=np.uint32)
@@ -137,78 +138,107 @@ def sketches(docs: DataFrame, text: str, key: str) -> DataFrame:
         .select("id", "s.*"), "sketches")
 
 
-def _verified(docs: DataFrame, text: str, key: str, pairs: DataFrame, similarity: int) -> DataFrame:
-    """Of settled (a, b) pairs of ids, those whose full sets are similar enough, settled."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text")).join(
-        wanted, "id", "left_semi").select("id", F.arrow_udf(_set, "array<bigint>")("text").alias("set"))
+def _sets(docs: DataFrame, text: str, key: str, wanted: DataFrame) -> DataFrame:
+    """Settled (node, set) of the ids in ``wanted`` (node)."""
+    rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("node"), F.col(f"`{text}`").alias("text"))
+    # Hashed on the ids, so that texts are neither sorted nor, at some sizes only, left in place.
+    return settle(rows.join(wanted.hint("shuffle_hash"), "node", "left_semi").select(
+        "node", F.arrow_udf(_set, "array<bigint>")("text").alias("set")), "shingle-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Of (a, b) pairs those whose full sets are similar enough, settled."""
+    first, second = (sets.toDF(x, f"set_{x}") for x in "ab")
     shared = F.size(F.array_intersect("set_a", "set_b")).cast("bigint")
     whole = F.size("set_a") + F.size("set_b") - shared
     return settle(
-        pairs.select("a", "b")
-        .join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
-        .join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
-        .where(shared * 100 >= whole * similarity).select("a", "b").distinct(), "links")
-
+        pairs.hint("shuffle_hash").join(first, "a").join(second, "b").where(shared * 100 >= whole * similarity).select("a", "b").distinct(),
+        "links")
 
-def _block_pairs(low: int, high: int):
-    """Pairs of one block pair of a bucket, across components, of estimate rank low..high-1.
 
-    Ranks count all partners that may reach the threshold, so they do not depend on the
-    components found so far.  A row of nulls tells that ranks from ``high`` on remain.
+def _near_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, apart: np.ndarray):
+    """Places (i, j) where ``apart`` holds and the estimate allows a link, best first."""
+    equal = np.zeros(apart.shape, np.int16)
+    for k in range(REGISTERS):
+        equal += a[:, k, None] == b[None, :, k]
+    left, right = np.nonzero(apart & (equal >= int(REGISTERS * (MIN_ESTIMATE - 0.1))))
+    guess = np.zeros(len(left))
+    for at in range(0, len(left), CHUNK_PAIRS):
+        i, j = left[at:at + CHUNK_PAIRS], right[at:at + CHUNK_PAIRS]
+        x, y = a[i], b[j]
+        guess[at:at + CHUNK_PAIRS] = likeliest((x > y).sum(axis=1), (x < y).sum(axis=1), n[i], m[j])
+    good = np.flatnonzero(guess >= MIN_ESTIMATE)
+    good = good[np.argsort(-guess[good], kind="stable")]
+    return left[good].tolist(), right[good].tolist()
+
+
+def _link_blocks(similarity: int):
+    """Confirmed links across components between two blocks of a bucket.
+
+    A link joins its components, so pairs that it makes needless are skipped.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("node", ignore_index=True)
-        one, two = int(rows["one"].iloc[0]), int(rows["two"].iloc[0])
-        left = rows[rows["block"] == one]
-        right = rows[rows["block"] == two]
-        a, b = _matrix(left["registers"]), _matrix(right["registers"])
-        n, m = left["n"].to_numpy(float), right["n"].to_numpy(float)
-        equal = np.zeros((len(a), len(b)), np.int16)
-        for k in range(REGISTERS):
-            equal += a[:, k, None] == b[None, :, k]
-        near = equal >= int(REGISTERS * (MIN_ESTIMATE - 0.1))
-        if one == two:
-            near &= np.triu(np.ones_like(near), 1)
-        i, j = np.nonzero(near)
-        estimate = likeliest((a[i] > b[j]).sum(axis=1), (a[i] < b[j]).sum(axis=1), n[i], m[j]) if len(i) else np.zeros(0)
-        good = estimate >= MIN_ESTIMATE
-        i, j, estimate = i[good], j[good], estimate[good]
-        order = np.lexsort((j, -estimate, i))
-        i, j = i[order], j[order]
-        rank = np.arange(len(i)) - np.searchsorted(i, i)
-        apart = left["component"].to_numpy()[i] != right["component"].to_numpy()[j]
-        take = apart & (rank >= low) & (rank < high)
-        found = pd.DataFrame({"a": left["node"].to_numpy()[i[take]], "b": right["node"].to_numpy()[j[take]]}, dtype="Int64")
-        if (apart & (rank >= high)).any():
-            found.loc[len(found)] = [pd.NA, pd.NA]
-        return found
+        one, two = rows[rows["block"] == rows["one"]], rows[rows["block"] == rows["two"]]
+        comp_a, comp_b = one["component"].to_numpy(), two["component"].to_numpy()
+        apart = comp_a[:, None] != comp_b[None, :]
+        if rows["one"].iloc[0] == rows["two"].iloc[0]:
+            apart = np.triu(apart, 1)
+        left, right = _near_pairs(
+            _matrix(one["registers"]), _matrix(two["registers"]), one["n"].to_numpy(float), two["n"].to_numpy(float), apart)
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        sets_a, sets_b = one["set"].tolist(), two["set"].tolist()
+        nodes_a, nodes_b = one["node"].tolist(), two["node"].tolist()
+        found = []
+        for i, j in zip(left, right):
+            x, y = find(comp_a[i]), find(comp_b[j])
+            if x != y:
+                s, t = sets_a[i], sets_b[j]
+                shared = len(np.intersect1d(s, t, assume_unique=True))
+                if 100 * shared >= similarity * (len(s) + len(t) - shared):
+                    found.append((nodes_a[i], nodes_b[j]))
+                    root[x] = y
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return run
 
 
-def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Bucket rows (key, node, component) of buckets of three or more classes in several components."""
-    known = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = known.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"),
-    ).where("size > 2 AND low <> high").select("key", "size")
-    return known.join(mixed, "key")
-
+def _open_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (key, node, component, size) of buckets of three or more classes in several components.
 
-def _across(buckets: DataFrame, sketch: DataFrame, low: int, high: int) -> DataFrame:
-    """Candidate pairs across components in open buckets; blocks bound the size of a task."""
+    Of buckets with the same classes one is kept.
+    """
+    known = shared.where("size > 2").select("key", "node", "size").join(labels, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+    mixed = known.groupBy("key", "size").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.bit_xor(F.xxhash64("node")).alias("mark"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("more"),
+    ).where("low <> high")
+    once = mixed.groupBy("size", "mark", "more").agg(F.min("key").alias("key")).select("key")
+    return known.join(once, "key")
+
+
+def _across(buckets: DataFrame, sketch: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Links across components in open buckets; blocks bound what a task holds."""
     place = F.row_number().over(Window.partitionBy("key").orderBy("node")) - 1
     count = F.ceil(F.col("size") / BLOCK).cast("int")
     rows = (
         buckets.withColumn("block", F.floor(place / BLOCK).cast("int"))
-        .join(sketch, "node")
+        .hint("shuffle_hash").join(sketch, "node").hint("shuffle_hash").join(sets, "node")
         .withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
         .withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
     )
-    return rows.select("key", "node", "component", "n", "registers", "block", "one", "two").groupBy(
-        "key", "one", "two").applyInPandas(_block_pairs(low, high), "a bigint, b bigint")
+    return settle(
+        rows.select("key", "node", "component", "n", "registers", "set", "block", "one", "two")
+        .groupBy("key", "one", "two").applyInPandas(_link_blocks(similarity), "a bigint, b bigint")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
 
 
 def link(
@@ -228,34 +258,20 @@ def link(
     sketch = nodes.select("node", "n", "registers")
     members = nodes.select("node", F.explode("bands").alias("key"))
     center = members.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    stars = members.join(center, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-
-    def may_link(pairs: DataFrame) -> DataFrame:
-        first, second = (sketch.toDF(x, f"n_{x}", f"r_{x}") for x in "ab")
-        both = pairs.join(first, "a").join(second, "b")
-        return both.where(F.arrow_udf(_estimate, "double")("n_a", "n_b", "r_a", "r_b") >= MIN_ESTIMATE).select("a", "b").distinct()
-
-    tested = settle(may_link(stars), "candidates")
-    links = _verified(docs, text, key, tested, similarity)
+    shared = settle(members.join(center, "key"), "shared-buckets")
+    stars = settle(shared.where("node <> a").select("a", F.col("node").alias("b")).distinct(), "stars")
+    sets = _sets(docs, text, key, stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct())
+    one, two = (sketch.toDF(x, f"n_{x}", f"r_{x}") for x in "ab")
+    estimate = F.arrow_udf(_estimate, "double")("n_a", "n_b", "r_a", "r_b")
+    likely = stars.join(one, "a").join(two, "b").where(estimate >= MIN_ESTIMATE).select("a", "b")
+    links = _verified(likely.distinct(), sets, similarity)
     labels = components(links)
-    low, high = 0, FIRST_PAGE
-    while True:
-        buckets = settle(_open_buckets(members, labels), "open-buckets")
-        if buckets.isEmpty():
-            break
-        page = settle(_across(buckets, sketch, low, high), "across")
-        fresh = settle(
-            page.where("a IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            .join(tested, ["a", "b"], "left_anti"), "candidates")
-        more = not page.where("a IS NULL").isEmpty()
-        discard(buckets, page)
-        if not fresh.isEmpty():
-            links = links.unionByName(_verified(docs, text, key, fresh, similarity))
-            tested = tested.unionByName(fresh)
-            labels = components(links)
-        if not more:
-            break
-        low, high = high, high * 4
+    buckets = settle(_open_buckets(shared, labels), "open-buckets")
+    if not buckets.isEmpty():
+        more = _across(buckets, sketch, sets, similarity)
+        if not more.isEmpty():
+            labels = components(links.unionByName(more))
+    discard(shared, stars, sets, buckets)
     # Copies belong to the component of their class.
     joined = same.join(labels, "node", "left").select(
         F.col("id").alias("node"), F.coalesce("component", "node").alias("component"))
