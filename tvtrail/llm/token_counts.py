@@ -16,9 +16,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tvtrail.llm.wordpieces import CACHE_WORDS, Splitter, WordCache, byte_level, text_of
+from tvtrail.llm.wordpieces import Splitter, WordCache, byte_level, text_of
 
 LIMIT = 2048
+# Words whose counts a task keeps; a count costs more to make again than a word's ids.
+COUNTED_WORDS = 250_000
 
 
 class PrefixCounter:
@@ -35,9 +37,10 @@ class PrefixCounter:
         self._longest = max(map(len, self._vocab))
         self._fits: dict[tuple[str, str, bool], bool] = {}
         # Last token and count of each prefix inside a word, from those of shorter ones.
-        self._inner = WordCache(lambda text: self._step(text, False) if text else ("", 0), 2 * CACHE_WORDS)
-        self._coded = WordCache(self._total)
-        self._plain = WordCache(lambda word: self._total(word if word.isalpha() and word.isascii() else byte_level(word)))
+        self._inner = WordCache(lambda text: self._step(text, False) if text else ("", 0), 2 * COUNTED_WORDS)
+        self._coded = WordCache(self._total, COUNTED_WORDS)
+        self._plain = WordCache(
+            lambda word: self._total(word if word.isalpha() and word.isascii() else byte_level(word)), COUNTED_WORDS)
 
     def _merge(self, text: str, end: bool) -> list[str]:
         """Plain BPE of a short string; decides which pairs of tokens stay apart."""
@@ -98,7 +101,7 @@ class PrefixCounter:
     def _trim(self) -> None:
         for cache in (self._coded, self._plain, self._inner):
             cache.trim()
-        if len(self._fits) > 8 * CACHE_WORDS:
+        if len(self._fits) > 8 * COUNTED_WORDS:
             self._fits.clear()
 
     def count(self, text: str | None) -> int:
