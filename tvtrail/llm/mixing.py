@@ -185,7 +185,8 @@ def mix(
         "_number", "_source", "_size", (F.col("_rate") - F.col("_whole")).alias("_chance"), "_blocks")
     decided = sample(chances, most_blocks, block_rows).select("_number", F.col("_chance").cast("bigint").alias("_extra"))
     copies = F.col("_whole") + F.col("_extra")
-    mixed = rows.join(decided, "_number").join(goal, F.col("_source").eqNullSafe(F.col("source")))
+    # Hashed on the decisions at any size, so that the rows are not sorted.
+    mixed = rows.join(decided.hint("shuffle_hash"), "_number").join(goal, F.col("_source").eqNullSafe(F.col("source")))
     return unpacked(
         mixed, size=F.col("_size"), source_size=F.col("source_size"), target=F.col("target"), copies=copies,
         taken=F.col("_size") * copies)
