@@ -252,7 +252,9 @@ def link(
     made = sketches(docs, text, key)
     usable = made.where("id IS NOT NULL AND n > 0")
     classes = usable.groupBy("digest").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"))
-    same = settle(usable.select("id", "digest").join(classes.where("copies > 1"), "digest").select("id", "node").distinct(), "copies")
+    # Settled first, so that the join can split the rows of a class that holds many copies.
+    copied = settle(classes.where("copies > 1").select("digest", "node"), "copied-classes")
+    same = settle(usable.select("id", "digest").join(copied, "digest").select("id", "node").distinct(), "copies")
     first = usable.join(same.where("id <> node").select("id").distinct(), "id", "left_anti")
     nodes = settle(first.dropDuplicates(["id", "digest"]).select(F.col("id").alias("node"), "n", "registers", "bands"), "classes")
     sketch = nodes.select("node", "n", "registers")
@@ -271,7 +273,7 @@ def link(
         more = _across(buckets, sketch, sets, similarity)
         if not more.isEmpty():
             labels = components(links.unionByName(more))
-    discard(shared, stars, sets, buckets)
+    discard(copied, shared, stars, sets, buckets)
     # Copies belong to the component of their class.
     joined = same.join(labels, "node", "left").select(
         F.col("id").alias("node"), F.coalesce("component", "node").alias("component"))
