@@ -227,10 +227,9 @@ def _open_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _across(buckets: DataFrame, sketch: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Links across components in open buckets; blocks bound what a task holds."""
-    place = F.row_number().over(Window.partitionBy("key").orderBy("node")) - 1
     count = F.ceil(F.col("size") / BLOCK).cast("int")
     rows = (
-        buckets.withColumn("block", F.floor(place / BLOCK).cast("int"))
+        buckets.withColumn("block", F.pmod(F.xxhash64("node"), count).cast("int"))
         .hint("shuffle_hash").join(sketch, "node").hint("shuffle_hash").join(sets, "node")
         .withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
         .withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
