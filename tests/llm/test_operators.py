@@ -2,6 +2,7 @@
 
 import random
 import string
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -144,6 +145,20 @@ def test_op2_every_prefix(spark, table):
         assert counts == counter.table(text).tolist()
 
 
+def test_op2_long_words_take_linear_memory():
+    counter = token_counts.PrefixCounter(plain.TOKENIZER)
+    texts = ["".join(random.Random(seed).choice(letters) for _ in range(20_000))
+             for seed, letters in enumerate(("acgt", "a", "-", "'-", "漢字"))]
+    tracemalloc.start()
+    totals = [counter.count(t) for t in texts]
+    places = [counter.fitting(t, 2048, n) for t, n in zip(texts[:4], totals)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6
+    assert totals == [len(plain.ids(t)) for t in texts]
+    assert all(len(plain.ids(t[:n])) <= 2048 < len(plain.ids(t[:n + 1])) for t, n in zip(texts, places) if n < len(t))
+
+
 def check_shards(rows, n, shards):
     by = defaultdict(list)
     for shard, slot in rows:

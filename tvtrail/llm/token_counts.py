@@ -10,7 +10,9 @@ mark.  Counts at word ends add up over the text.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,27 @@ from tvtrail.llm.wordpieces import Splitter, WordCache, byte_level, text_of
 LIMIT = 2048
 # Words whose counts a task keeps; a count costs more to make again than a word's ids.
 COUNTED_WORDS = 250_000
+# Longest word kept, in letters of the byte-level alphabet: with the overhead of a dict some
+# 300 bytes each, in two caches of two halves.
+KEPT_LETTERS = 64
+# Pairs of tokens whose fit a task keeps, as numbers.
+KEPT_PAIRS = 2_000_000
+# Stands for the token before the first one.
+START = -1
+
+
+class ShortWords(WordCache):
+    """Keeps words of at most ``KEPT_LETTERS``; longer ones are counted anew each time they come."""
+
+    def __missing__(self, word):
+        return super().__missing__(word) if len(word) <= KEPT_LETTERS else self._make(word)
+
+
+class Walk:
+    """Last token and count of the prefixes of a word, by place: a few bytes per letter."""
+
+    def __init__(self, last=(START,), counts=(0,)):
+        self.last, self.counts = array("i", last), array("i", counts)
 
 
 class PrefixCounter:
@@ -31,17 +54,27 @@ class PrefixCounter:
         model = self.splitter.spec["model"]
         if model["type"] != "BPE":
             raise ValueError("prefix counts need a BPE tokenizer")
-        self._mark = model["end_of_word_suffix"] or ""
+        self._mark = mark = model["end_of_word_suffix"] or ""
         self._rank = {tuple(m.split(" ") if isinstance(m, str) else m): r for r, m in enumerate(model["merges"])}
-        self._vocab = frozenset(model["vocab"])
-        self._longest = max(map(len, self._vocab))
-        self._fits: dict[tuple[str, str, bool], bool] = {}
-        # Last token and count of each prefix inside a word, from those of shorter ones.
-        self._inner = WordCache(lambda text: self._step(text, False) if text else ("", 0), 2 * COUNTED_WORDS)
-        self._coded = WordCache(self._total, COUNTED_WORDS)
-        self._plain = WordCache(
+        # Ids by letters: of tokens inside a word, and of those that end one.
+        self._inside = {t: i for t, i in model["vocab"].items() if not mark or not t.endswith(mark)}
+        self._ending = {t[:len(t) - len(mark)]: i for t, i in model["vocab"].items() if t.endswith(mark)}
+        self._names = {i: t for t, i in model["vocab"].items()}
+        self._longest = max(map(len, [*self._inside, *self._ending]))
+        self._reach = {False: self._longest_by_end(self._inside), True: self._longest_by_end(self._ending)}
+        self._fits: dict[int, bool] = {}
+        self._coded = ShortWords(self._total, COUNTED_WORDS)
+        self._plain = ShortWords(
             lambda word: self._total(word if word.isalpha() and word.isascii() else byte_level(word)), COUNTED_WORDS)
 
+    @staticmethod
+    def _longest_by_end(tokens) -> dict[str, int]:
+        """Letters of the longest token with these last three (or fewer, if that is all of it)."""
+        longest: dict[str, int] = {}
+        for token in tokens:
+            longest[token[-3:]] = max(len(token), longest.get(token[-3:], 0))
+        return longest
+
     def _merge(self, text: str, end: bool) -> list[str]:
         """Plain BPE of a short string; decides which pairs of tokens stay apart."""
         parts = list(text)
@@ -56,59 +89,61 @@ class PrefixCounter:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _fit(self, before: str, token: str, end: bool) -> bool:
-        key = (before, token, end)
+    def _fit(self, before: int, token: int, end: bool) -> bool:
+        key = (before * len(self._names) + token) * 2 + end
         known = self._fits.get(key)
         if known is None:
-            want = [t for t in (before, token + self._mark if end else token) if t]
-            known = self._fits[key] = self._merge(before + token, end) == want
+            want = [self._names[t] for t in (before, token) if t != START]
+            letters = "".join(want)
+            if end:
+                letters = letters[:len(letters) - len(self._mark)]
+            if len(self._fits) >= KEPT_PAIRS:
+                self._fits.clear()
+            known = self._fits[key] = self._merge(letters, end) == want
         return known
 
-    def _step(self, text: str, end: bool) -> tuple[str, int]:
-        """Last token and count of ``text`` from those of its prefixes."""
-        for size in range(min(len(text), self._longest), 0, -1):
-            token = text[-size:]
-            if (token + self._mark if end else token) in self._vocab:
-                before, count = self._inner[text[:-size]]
-                if self._fit(before, token, end):
-                    return token, count + 1
-        raise ValueError(f"no token ends {text!r}")
-
-    def _prepare(self, word: str) -> None:
-        """Fill in the prefixes of a word, shortest first."""
-        known = len(word) - 1
-        while known > 0 and word[:known] not in self._inner:
-            known -= 1
-        for n in range(known + 1, len(word)):
-            self._inner[word[:n]]
+    def _step(self, coded: str, n: int, walk: Walk, end: bool) -> tuple[int, int]:
+        """Last token and count of the first ``n`` letters from those of shorter prefixes."""
+        tokens, last, fits, size = self._ending if end else self._inside, walk.last, self._fits, len(self._names)
+        for at in range(max(0, n - max(2, self._reach[end].get(coded[max(0, n - 3):n], 0))), n):
+            token = tokens.get(coded[at:n])
+            if token is not None:
+                known = fits.get((last[at] * size + token) * 2 + end)
+                if known or known is None and self._fit(last[at], token, end):
+                    return token, walk.counts[at] + 1
+        raise ValueError(f"no token ends {coded[max(0, n - self._longest):n]!r}")
+
+    def _walk(self, coded: str, walk: Walk) -> Walk:
+        """Carry a walk on up to the last letter but one, shortest prefix first."""
+        for n in range(len(walk.last), len(coded)):
+            token, count = self._step(coded, n, walk, False)
+            walk.last.append(token)
+            walk.counts.append(count)
+        return walk
 
     def _total(self, word: str) -> int:
         """Tokens of a byte-level word."""
-        self._prepare(word)
-        return self._step(word, True)[1]
+        self._trim()
+        return self._step(word, len(word), self._walk(word, Walk()), True)[1]
 
     def _ends(self, word: str) -> list[int]:
         """Counts of the prefixes of a plain word at its characters, each taken as a word."""
-        if word[0] == "'" and len(word) > 2:  # a part of 're, 've or 'll is two words
+        if word in ("'re", "'ve", "'ll"):  # a part of them is two words
             return [sum(self._plain[w] for w in self.splitter.plain_words(word[:n]))
                     for n in range(1, len(word) + 1)]
         coded = byte_level(word)
-        self._prepare(coded)
-        places = range(1, len(coded) + 1) if word.isascii() else (
-            len(word[:n].encode()) for n in range(1, len(word) + 1))
-        return [self._step(coded[:n], True)[1] for n in places]
+        walk = self._walk(coded, Walk())
+        places = range(1, len(coded) + 1) if word.isascii() else accumulate(len(c.encode()) for c in word)
+        return [self._step(coded, n, walk, True)[1] for n in places]
 
     def _trim(self) -> None:
-        for cache in (self._coded, self._plain, self._inner):
-            cache.trim()
-        if len(self._fits) > 8 * COUNTED_WORDS:
-            self._fits.clear()
+        self._coded.trim()
+        self._plain.trim()
 
     def count(self, text: str | None) -> int:
         """Tokens of the whole text."""
         if not text:
             return 0
-        self._trim()
         if self.splitter.plain(text):
             return sum(map(self._plain.__getitem__, self.splitter.plain_words(text)))
         return sum(1 if isinstance(w, int) else self._coded[w] for _, w in self.splitter.pieces(text))
@@ -149,7 +184,8 @@ def count_tokens(
 ) -> DataFrame:
     """``docs`` with a struct: n_tokens and fitting, the characters that ``limit`` tokens hold.
 
-    Null and empty texts have no tokens.  Nothing is shuffled; caches are bounded.
+    Null and empty texts have no tokens.  Nothing is shuffled; caches are bounded in words
+    and letters, and a word of any length takes memory linear in it.
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
