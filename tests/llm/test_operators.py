@@ -3,6 +3,7 @@
 import random
 import string
 import tracemalloc
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -159,6 +160,33 @@ def test_op2_long_words_take_linear_memory():
     assert all(len(plain.ids(t[:n])) <= 2048 < len(plain.ids(t[:n + 1])) for t, n in zip(texts, places) if n < len(t))
 
 
+def test_op2_places_of_any_script():
+    counter = token_counts.PrefixCounter(plain.TOKENIZER)
+    decomposed = unicodedata.normalize("NFD", "déjà vu Việt Nam 한국어 각 がぎぐげご ÅÉÎ don'té 're\u0301 'r\u00e9")
+    texts = [
+        "“Quotes” — it’s  a\n\n\n dash…  😀😀😀😀 end", "Привет, МИР! ещё раз", "हिन्दी में लिखा हुआ क़ पाठ", "漢字かな交じり文。「長い」", "İstanbul İİ ΣΑΣ ǅ ﬁ",
+        decomposed, "か\u3099" * 30, "e\u0301" * 25 + "x", "--" * 6 + "=\u0338" * 9, "a\u0323\u0307\u0301 a\u0301\u0307\u0323", "a\x85\u2003 \u200b b\u3000\u0301c",
+        "“x”--<|endoftext|><|startoftext|> é'<|endoftext|>re", "\u0301x", "'r\u212b'ré 've\u0301",
+    ]
+    rng = random.Random(4)
+    letters = "aer's'--1 \n“”éДж漢字が\u3099\u0301\u0323İΣ한\u1112\u1161\u11ab\u0915\u093c😀\u200d"
+    texts += ["".join(rng.choice(letters) for _ in range(60)) for _ in range(60)]
+    for text in texts:
+        want = [len(plain.ids(text[:n])) for n in range(len(text) + 1)]
+        assert counter.table(text).tolist() == want, text
+        for limit in (0, 1, 2, 7, 20, want[-1] - 1):
+            if limit >= 0:
+                best = max(n for n, c in enumerate(want) if c <= limit)
+                assert counter.fitting(text, limit, want[-1]) == best, (text, limit)
+
+
+def test_op2_fitting_is_a_place_in_the_text(spark):
+    text = "\n\n   ".join(f"“{w}” — said" for w in words(2000, 8))
+    out = token_counts.count_tokens(spark.createDataFrame([(text,)], "text string"), plain.TOKENIZER)
+    (n, place), = collected(out, "tokens.n_tokens", "tokens.fitting")
+    assert n == len(plain.ids(text)) and len(plain.ids(text[:place])) == 2048 < len(plain.ids(text[:place + 1]))
+
+
 def check_shards(rows, n, shards):
     by = defaultdict(list)
     for shard, slot in rows:

@@ -5,12 +5,15 @@ it is when the two are encoded together.  So the encoding of a prefix ends with
 one token that fits the last token of the shorter prefix before it, and last token
 and count of every prefix follow from shorter ones.  For tokenizers that mark word
 ends, a prefix of a word is counted as a word of its own: its last token carries the
-mark.  Counts at word ends add up over the text.
+mark.  Counts at word ends add up over the text.  Places are those of the text as it
+stands: blanks and special tokens cut it into units that are normalised on their own,
+and where the next character would change the last ones, the prefix is followed apart.
 """
 
 from __future__ import annotations
 
 from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -18,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tvtrail.llm.wordpieces import Splitter, WordCache, byte_level, text_of
+from tvtrail.llm.wordpieces import Splitter, WordCache, byte_level
 
 LIMIT = 2048
 # Words whose counts a task keeps; a count costs more to make again than a word's ids.
@@ -28,6 +31,8 @@ COUNTED_WORDS = 250_000
 KEPT_LETTERS = 64
 # Pairs of tokens whose fit a task keeps, as numbers.
 KEPT_PAIRS = 2_000_000
+# Characters that tell how a run of letters or signs goes on.
+SEEN = 4
 # Stands for the token before the first one.
 START = -1
 
@@ -148,35 +153,89 @@ class PrefixCounter:
             return sum(map(self._plain.__getitem__, self.splitter.plain_words(text)))
         return sum(1 if isinstance(w, int) else self._coded[w] for _, w in self.splitter.pieces(text))
 
+    def _unit_ends(self, part: str) -> list[int]:
+        """Counts of the prefixes of a unit at its characters, each taken as a text."""
+        if self.splitter.plain(part):
+            ends, base = [], 0
+            for word in self.splitter.plain_words(part):
+                ends += [base + c for c in self._ends(word)]
+                base = ends[-1]
+            return ends
+        normal, places = self.splitter.prefixes(part)
+        # By place in the normalised unit: its count, and word and letters it ends in.
+        counts, starts, walks, base = [0], [0], {}, 0
+        for coded, (start, end) in self.splitter.words(normal):
+            word = normal[start:end]
+            own = self._ends(word)
+            counts += [base + c for c in own]
+            starts += [start] * len(word)
+            base += own[-1]
+        return [counts[n] if not rest else self._changed(normal, n, rest, counts, starts, walks) for n, rest in places]
+
+    def _changed(self, normal: str, n: int, rest: str, counts, starts, walks: dict) -> int:
+        """Tokens of the first ``n`` characters of a normalised unit with another ``rest`` behind them."""
+        start = starts[n]
+        if n - start <= 2 * SEEN:
+            if start and normal[start - 1] == "'" and starts[start] == start - 1:
+                start -= 1  # the rest may make a contraction
+            return counts[start] + sum(self._coded[w] for w, _ in self.splitter.words(normal[start:n] + rest))
+        # Inside a long run: words of its last characters and the rest, the first carried on from the walk.
+        (first, _), *others = self.splitter.words(normal[n - SEEN:n] + rest)
+        if start not in walks:
+            run = normal[start:bisect_right(starts, start) - 1]
+            coded = byte_level(run)
+            walks[start] = coded, self._walk(coded, Walk()), [0, *accumulate(len(c.encode()) for c in run)]
+        coded, walk, sizes = walks[start]
+        at, more = sizes[n - start], first[len(normal[n - SEEN:n].encode()):]
+        low = max(0, at - 2 * self._longest)
+        tail = coded[low:at] + more
+        carried = self._walk(tail, Walk(walk.last[low:at], walk.counts[low:at]))
+        return counts[start] + self._step(tail, len(tail), carried, True)[1] + sum(self._coded[w] for w, _ in others)
+
+    def _units(self, text: str) -> Iterator[tuple[int, str, int, str | None]]:
+        """(start, part, tokens of the part, special token behind it or None)."""
+        for start, part, special in self.splitter.units(text):
+            yield start, part, self.count(part), special
+
     def table(self, text: str) -> np.ndarray:
         """Token count of every prefix of a text, of 0 to all its characters."""
-        if not self.splitter.plain(text):
+        if not self.splitter.known:
             return np.array([self.count(text[:n]) for n in range(len(text) + 1)], np.int64)
         counts, base, at = np.zeros(len(text) + 1, np.int64), 0, 0
-        for start, word in self.splitter.plain_places(text):
+        for start, part, size, special in self._units(text):
             counts[at + 1:start + 1] = base
-            counts[start + 1:start + len(word) + 1] = base + np.array(self._ends(word))
-            at, base = start + len(word), base + self._plain[word]
+            # A part of a special token is text like any other.
+            ends = self._unit_ends(part + (special or "")[:-1])
+            counts[start + 1:start + len(ends) + 1] = base + np.array(ends, np.int64)
+            at, base = start + len(part), base + size
+            if special:
+                at, base = at + len(special), base + 1
+                counts[at] = base
         counts[at + 1:] = base
         return counts
 
     def fitting(self, text: str | None, limit: int, total: int) -> int:
-        """Characters of the longest prefix with at most ``limit`` tokens.
-
-        Outside plain Latin script they count in the text as the tokenizer normalises
-        it, where the places of its words are known; a special token is not cut.
-        """
+        """Characters of the longest prefix of the text, as it stands, with at most ``limit`` tokens."""
         if total <= limit:
             return len(text or "")
-        plain = self.splitter.plain(text)
-        base = 0
-        for start, word in self.splitter.plain_places(text) if plain else self.splitter.pieces(text):
-            size = 1 if isinstance(word, int) else (self._plain if plain else self._coded)[word]
-            if base + size > limit:
-                ends = [] if isinstance(word, int) else self._ends(word if plain else text_of(word))
-                return start + max((n for n, c in enumerate(ends, 1) if base + c <= limit), default=0)
-            base += size
-        raise ValueError("the total is above the limit, so one word must be")
+        if self.splitter.plain(text):
+            base = 0
+            for start, word in self.splitter.plain_places(text):
+                size = self._plain[word]
+                if base + size > limit:
+                    return start + max((n for n, c in enumerate(self._ends(word), 1) if base + c <= limit), default=0)
+                base += size
+        elif not self.splitter.known:
+            return int(np.flatnonzero(self.table(text) <= limit)[-1])
+        else:
+            base = 0
+            for start, part, size, special in self._units(text):
+                whole = size + (special is not None)
+                if base + whole > limit:
+                    ends = self._unit_ends(part + (special or "")[:-1])
+                    return start + max((n for n, c in enumerate(ends, 1) if base + c <= limit), default=0)
+                base += whole
+        raise ValueError("the total is above the limit, so one part must be")
 
 
 def count_tokens(

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from functools import cached_property
 
 from tokenizers import Tokenizer
 
@@ -71,6 +72,68 @@ class Splitter:
             and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
         )
 
+    @property
+    def known(self) -> bool:
+        """True if the file normalises and cuts as ``units`` takes it."""
+        return self._short_cut and not any(self._blank_run.search(t) for t in self.special)
+
+    def normal(self, text: str) -> str:
+        return self.tokenizer.normalizer.normalize_str(text)
+
+    def words(self, normal: str) -> list[tuple[str, tuple[int, int]]]:
+        """Byte-level words of a normalised text, with their places."""
+        return self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
+
+    @cached_property
+    def _blank_run(self):
+        """What the file takes for blanks: they end words, and nothing is normalised across them."""
+        doubtful = (c for c in map(chr, range(0x10000)) if c.isspace() or unicodedata.category(c)[0] in "ZC" and not (
+            "\ud800" <= c <= "\uf8ff"))
+        return re.compile("[" + "".join(re.escape(c) for c in doubtful if self.normal(f"a{c}b") == "a b") + "]+")
+
+    def units(self, text: str):
+        """Parts of a text that are normalised and cut on their own: (start, part, special or None).
+
+        They lie between blanks and special tokens; the special token given follows the part.
+        """
+        at = 0
+        for match in [*self._special.finditer(text), None]:
+            end = match.start() if match else len(text)
+            for blank in self._blank_run.finditer(text, at, end):
+                if at < blank.start():
+                    yield at, text[at:blank.start()], None
+                at = blank.end()
+            if at < end or match:
+                yield at, text[at:end], match and match.group()
+            at = match.end() if match else end
+
+    def prefixes(self, part: str):
+        """Normalised form of a unit and of its prefixes.
+
+        Of each prefix from one character on: (n, rest), the first n characters of the
+        normalised unit and then ``rest``, which is not empty only where what follows the
+        prefix changes its last characters.
+        """
+        normal, places, at, start = self.normal(part), [], 0, 0
+        if normal == part:  # then the prefixes stay as they are too
+            return normal, [(n, "") for n in range(1, len(part) + 1)]
+        while start < len(part):
+            end = start + 1
+            while end < len(part) and _joins(part[end]):
+                end += 1
+            whole = self.normal(part[start:end])
+            if whole == part[start:end]:
+                places += [(at + n, "") for n in range(1, end - start + 1)]
+            else:
+                for n in range(start + 1, end):
+                    prefix = self.normal(part[start:n])
+                    places.append((at + len(prefix), "") if whole.startswith(prefix) else (at, prefix))
+                places.append((at + len(whole), ""))
+            at, start = at + len(whole), end
+        if at != len(normal):
+            raise ValueError("characters were normalised together across a boundary")
+        return normal, places
+
     def plain(self, text: str) -> bool:
         return self._short_cut and _PLAIN.fullmatch(text) is not None and self._special.search(text) is None
 
@@ -95,6 +158,12 @@ class Splitter:
                 at, base = match.end(), base + len(match.group())
 
 
+def _joins(c: str) -> bool:
+    """True if normalisation may join or reorder a character with one before it (or might, if unknown)."""
+    return (unicodedata.category(c)[0] == "M" or unicodedata.category(c) == "Cn" or unicodedata.combining(c) > 0
+            or "\u1160" <= c <= "\u11ff")
+
+
 class WordCache(dict):
     """Values by word, computed where missing.
 
