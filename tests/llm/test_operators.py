@@ -254,6 +254,20 @@ def test_op4_many_matches_keep_their_places(spark):
     assert len(found) == 700 and all(text[s["start"]:s["end"]] == s["text"] for s in found)
 
 
+def test_op4_short_keys(spark):
+    models = secrets.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    rng, rows = random.Random(6), []
+    for name, letters, size, share in (
+            ("alnum", string.ascii_letters + string.digits, 16, 0.95), ("base64", string.ascii_letters + string.digits + "+/", 16, 0.95),
+            ("upper", string.ascii_uppercase + string.digits, 20, 0.75), ("HEX", "0123456789ABCDEF", 32, 0.5)):
+        rows += [(name, share, f"see {''.join(rng.choice(letters) for _ in range(size))} there") for _ in range(200)]
+    rows.append(("words", 0.0, " ".join(words(3000, 9))))
+    found = secrets.scan(spark.createDataFrame(rows, "name string, share double, text string"), models)
+    shares = found.groupBy("name", "share").agg(F.avg((F.size("secrets.markov") > 0).cast("int")).alias("got")).collect()
+    assert all(r["got"] >= r["share"] if r["share"] else r["got"] == 0 for r in shares), shares
+    assert models.shortest() < 16
+
+
 def test_op5_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     truth = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")

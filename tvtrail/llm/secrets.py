@@ -2,7 +2,7 @@
 
 Two first-order character models are trained, one of random strings and one of
 ordinary identifiers, from samples the fixed patterns label: what they match against
-the other words of texts.  A long string whose log-likelihood ratio between the models
+the other words of texts.  A string of any length whose log-likelihood ratio between the models
 is high enough is reported too, unless a fixed pattern has found it.  Everything is
 built-in column functions; the models travel as one literal array of fixed size.
 """
@@ -22,14 +22,18 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 ASSIGN_VALUE = 6
 
-STRING = r"[A-Za-z0-9+/_=-]{20,}"
+STRING = r"[A-Za-z0-9+/_=-]"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 # Documents the models are trained on: bounds of the samples of random strings and identifiers.
 RANDOM_DOCS = 20_000
 IDENTIFIER_DOCS = 2_000
-# A string is reported above this sum of log ratios, and this mean per character pair.
-MIN_TOTAL = 16.0
-MIN_MEAN = 0.6
+# A string of any length is reported from this sum of log ratios, and this mean per character
+# pair.  The shorter a string, the more words are like it: each character below FULL_LENGTH
+# asks for more.  Set on strings of several alphabets and on words of documents not trained on.
+MIN_TOTAL = 12.0
+MIN_MEAN = 0.3
+FULL_LENGTH = 16
+SHORT_TOTAL = 2.0
 
 _BLOCK = 128
 _SPAN = "array<struct<start:int,end:int,text:string,value:string>>"
@@ -89,6 +93,19 @@ class Models:
     def column(self) -> Column:
         return F.split(F.lit(",".join(f"{r:.4f}" for r in self.ratios)), ",").cast("array<double>")
 
+    def shortest(self) -> int:
+        """Length of the shortest strings that can be reported; nothing shorter need be scored."""
+        size = len(ALPHABET)
+        rows = [self.ratios[a * size:(a + 1) * size] for a in range(size)]
+        best, length = [0.0] * size, 1
+        while max(best) < MIN_TOTAL + SHORT_TOTAL * max(0, FULL_LENGTH - length):
+            further = [max(best[a] + rows[a][b] for a in range(size)) for b in range(size)]
+            length += 1
+            if length > size and max(further) <= 0:
+                return length  # no string can: all ratios are against it
+            best = further
+        return length
+
     def score(self, string: Column) -> Column:
         """Sum of the log ratios of all character pairs of a string over the alphabet."""
         def place(i: Column) -> Column:
@@ -146,9 +163,11 @@ def scan(docs: DataFrame, models: Models, text: str = "text", into: str = "secre
     Places are code points, end exclusive.  A null text is an empty one.  Nothing is shuffled.
     """
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    strings = f"{STRING}{{{models.shortest()},}}"
 
     def looks_random(span: Column) -> Column:
-        return let(models.score(span["text"]), lambda score: (score >= MIN_TOTAL) & (
+        return let(models.score(span["text"]), lambda score: (
+            score >= MIN_TOTAL + SHORT_TOTAL * F.greatest(F.lit(0), FULL_LENGTH - F.length(span["text"]))) & (
             score >= MIN_MEAN * (F.length(span["text"]) - 1)))
 
     def clear(span: Column, base: Column) -> Column:
@@ -158,7 +177,7 @@ def scan(docs: DataFrame, models: Models, text: str = "text", into: str = "secre
 
     found = let(base_spans(value), lambda base: F.struct(
         base["assign"].alias("assign"), base["access"].alias("access"), base["hex"].alias("hex"),
-        F.filter(occurrences(value, STRING), lambda s: clear(s, base) & looks_random(s)).alias("markov")))
+        F.filter(occurrences(value, strings), lambda s: clear(s, base) & looks_random(s)).alias("markov")))
     return docs.withColumn(into, found)
 
 
