@@ -356,6 +356,25 @@ def test_op7_hard(hard, empty):
     assert quality.judge(empty).count() == 0
 
 
+def test_op7_scripts_without_blanks(spark):
+    """Lines of clean text stay; long words of other scripts, or with a few such letters, do not."""
+    scripts = {
+        "Han": "的一是不了人我在有他这为之大来以个中上们", "Japanese": "これはひらがなとカタカナと漢字の文章です", "Thai": "ภาษาไทยเขียนติดกันโดยไม่เว้นวรรค",
+        "Lao": "ພາສາລາວບໍ່ມີການຍະຫວ່າງ", "Khmer": "ភាសាខ្មែរសរសេរជាប់គ្នា", "Myanmar": "မြန်မာဘာသာစကားကိုရေးသည်",
+    }
+    rng = random.Random(12)
+
+    def lines(letters):
+        return "\n".join("".join(rng.choice(letters) for _ in range(70)) for _ in range(14))
+
+    rows = [(name, True, lines(letters)) for name, letters in scripts.items()]
+    rows += [("latin", False, lines("abcdefghij")), ("few", False, lines("abcdefghijklmnopqrst") + "漢字かな"),
+             ("digits", False, lines("0123456789"))]
+    judged = quality.judge(spark.createDataFrame(rows, "name string, want boolean, text string"))
+    assert all(r["want"] == r["kept"] for r in judged.select("name", "want", "quality.kept").collect())
+    assert judged.where("quality.n_words = 14 AND quality.word_chars > 50 * quality.n_words").count() == len(rows)
+
+
 def test_op7_order_does_not_matter(hard):
     a = quality.judge(hard, rules=quality.RULES)
     b = quality.judge(hard, rules=quality.RULES[::-1])

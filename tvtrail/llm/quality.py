@@ -22,6 +22,10 @@ WINDOW = 5
 SAMPLE_ROWS = 2_000
 _BLANK = r"[\x20\x09-\x0D]+"
 _SYMBOLS = r"[#*$%&|<>]"
+# Letters of scripts that set no blanks between words.
+_UNSPACED = r"[\p{L}&&[" + "".join(rf"\p{{Is{s}}}" for s in (
+    "Han", "Hiragana", "Katakana", "Bopomofo", "Yi", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan", "Tai_Le",
+    "New_Tai_Lue", "Tai_Tham", "Tai_Viet", "Javanese", "Balinese")) + "]]"
 
 
 def _words(text: Column) -> Column:
@@ -96,8 +100,9 @@ RULES = (
     Rule("lines", lambda text, m: m["n_dup_lines"] * 2 > m["n_lines"]),
     # More than a quarter of the words repeat the word before.
     Rule("stutter", lambda text, m: m["n_stutter"] * 4 > m["n_words"]),
-    # Words of more than 50 characters on average.
-    Rule("length", lambda text, m: m["word_chars"] > m["n_words"] * 50),
+    # Words of more than 50 characters on average, unless most letters are of scripts without blanks.
+    Rule("length", lambda text, m: (m["word_chars"] > m["n_words"] * 50) & (
+        F.regexp_count(text, F.lit(_UNSPACED)) * 2 <= F.regexp_count(text, F.lit(r"\p{L}")))),
     # More than half of the letters with case are capitals.
     Rule("capitals", lambda text, m:
          F.regexp_count(text, F.lit(r"\p{Lu}")) > F.regexp_count(text, F.lit(r"\p{Ll}"))),
