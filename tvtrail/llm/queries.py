@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tvtrail.llm import contamination, language, mixing, near_dup, oracles, quality, repeats, secrets, sharding, token_counts, token_files
+from tvtrail.llm import (
+    contamination, language, licenses, manifest, mixing, near_dup, oracles, quality, repeats, secrets, sharding, spelling,
+    token_counts, token_files,
+)
 from tvtrail.llm.common import text_bytes, text_crc32
 from tvtrail.session import scratch_path
 
@@ -90,9 +93,37 @@ def op10_repeats(spark, sf_dir):
         F.size("repeats.spans").cast("bigint").alias("n_spans"), F.sha2("repeats.kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_sharding, op4_secrets, op5_language, op6_mixing, op7_quality, op8_contamination, op9_near_dup, op10_repeats)}
+def op11_spelling(spark, sf_dir):
+    return spelling.variants(documents(spark, sf_dir))
+
+
+def op12_manifest(spark, sf_dir):
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 0
+    later = {"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    return manifest.prove(documents(spark, sf_dir), changed=later).select("doc_id", "manifest.*")
+
+
+def op13_licenses(spark, sf_dir):
+    found = licenses.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    spans = F.col("licenses.spans")
+    base = F.filter(spans, lambda s: s["exact"])
+
+    def labels(of):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(of, lambda s: s["label"]))), ",")
+
+    starts = F.transform(base, lambda s: s["start"])
+    return found.select(
+        "doc_id", "licenses.n_words", F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(starts).cast("bigint").alias("first_word"), F.array_max(starts).cast("bigint").alias("last_word"),
+        labels(base).alias("base_labels"), labels(spans).alias("labels"),
+        F.coalesce(F.array_max(F.transform(spans, lambda s: s["score"])), F.lit(0.0)).alias("score"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_token_counts, op3_sharding, op4_secrets, op5_language, op6_mixing, op7_quality, op8_contamination, op9_near_dup, op10_repeats, op11_spelling, op12_manifest, op13_licenses)}
 ORACLES = {
     "op7_quality": oracles.QUALITY,
     "op8_contamination": oracles.CONTAMINATION,
     "op9_near_dup": oracles.NEAR_DUPLICATES,
+    "op12_manifest": oracles.MANIFEST,
+    "op13_licenses": oracles.LICENSES,
 }
