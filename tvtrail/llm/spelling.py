@@ -2,11 +2,11 @@
 
 Two words one edit apart differ by one in at most two of their letter counts, so the
 squared distance of their count vectors is 1 (one letter more) or 2 (one replaced).
-Letters are dealt into three classes; two words whose counts differ in two letters at
-most agree on all counts of at least one class.  So words are blocked by length and by
-their letters of one class, and within a block, and between neighbouring lengths, one
-matrix product gives all squared distances.  What is near by counts is verified letter
-by letter.
+Letters are dealt into four classes of about equal use; two words whose counts differ in
+two letters at most agree on all counts of at least two classes.  So words are blocked by
+length and by their letters of two classes, and within a block, and between neighbouring
+lengths, a matrix product gives the squared distances.  What is near by counts is
+verified letter by letter.
 """
 
 from __future__ import annotations
@@ -14,10 +14,12 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tvtrail.llm.common import discard, settle
@@ -28,25 +30,33 @@ MIN_COUNT = 2
 SLIP = 31
 # A form is at least this many times as frequent as the word.
 DOMINANCE = 10
-CLASSES = 3
-# Words of a block compared by one product; larger blocks are cut into tiles.
-TILE = 2_048
-
-_RUN = re.compile("[A-Za-zÀ-ÿ]+")
-_LOWER = {u: u + 32 for u in range(ord("A"), ord("Z") + 1)}
-# Of a letter's Latin-1 code: the class it is dealt to.
-_CLASS = np.arange(256) % CLASSES
+CLASSES = 4
+# Pairs of classes: words are blocked by each.
+PARTS = tuple(combinations(range(CLASSES), 2))
+# Words of a block compared at once; larger blocks are cut into tiles.
+TILE = 1_024
+# Longer words are verified one by one.
+_WIDTH = 48
+# Rows of a matrix product, and rows whose letters are counted together.
+_ROWS = 256
+_BATCH = 16_384
+
+# Shorter runs never count: a slip only shortens.
+_RUN = re.compile(f"[A-Za-zÀ-ÿ]{{{MIN_LETTERS},}}")
 _HELD_WORDS = 200_000
 _HELD_LETTERS = 16 << 20
+# Up to this length, distances are exact in single precision.
+_SINGLE = 2_000
 
 
 def _runs(text: str) -> Iterator[str]:
-    return (m.group() for m in _RUN.finditer(text)) if len(text) > 1 << 20 else iter(_RUN.findall(text))
+    lowered = text.encode().lower().decode()  # of bytes, only A-Z
+    return (m.group() for m in _RUN.finditer(lowered)) if len(text) > 1 << 20 else iter(_RUN.findall(lowered))
 
 
 def slipped(doc: str, run: str) -> str:
     """A lower-cased run as it counts in a document: one in ``SLIP`` loses a letter."""
-    chance = zlib.crc32(f"{doc}:{run}".encode())
+    chance = zlib.crc32(run.encode(), zlib.crc32(f"{doc}:".encode()))
     if chance % SLIP:
         return run
     at = chance % len(run)
@@ -64,10 +74,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for doc, text in zip(*(column.to_pylist() for column in batch.columns)):
-            runs: Counter[str] = Counter()
-            for raw, n in Counter(_runs(text or "")).items():
-                runs[raw.translate(_LOWER)] += n
-            for run, n in runs.items():
+            for run, n in Counter(_runs(text or "")).items():
                 word = slipped(doc, run)
                 if len(word) >= MIN_LETTERS:
                     if word not in held:
@@ -88,29 +95,45 @@ def count_words(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Dat
     return settle(counts.where(F.col("n") >= MIN_COUNT), "spelling-words")
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words to the blocks they are in: per class, that of their own length and of the length below."""
-    for batch in batches:
-        rows: dict[str, list] = {"block": [], "class": [], "longer": [], "word": [], "n": []}
-        for word, n in zip(*(column.to_pylist() for column in batch.columns)):
-            letters = sorted(word.encode("latin-1"))
-            for c in range(CLASSES):
-                part = bytes(x for x in letters if x % CLASSES == c).decode("latin-1")
+def deal_letters(words: DataFrame) -> dict[str, int]:
+    """Letters to classes, so that all are used about equally; one row per letter comes to the driver."""
+    used = words.select(F.explode(F.split("word", "")).alias("letter")).groupBy("letter").count().collect()
+    classes, load = {}, [0] * CLASSES
+    for letter, n in sorted(((r["letter"], r["count"]) for r in used), key=lambda r: (-r[1], r[0])):
+        classes[letter] = load.index(min(load))
+        load[classes[letter]] += n
+    return classes
+
+
+def _members(classes: dict[str, int]) -> Callable:
+    """Words to the blocks they are in: per pair of classes, that of their own length and of the length below."""
+    without = [str.maketrans("", "", "".join(x for x, c in classes.items() if c not in part)) for part in PARTS]
+    fields = [("block", pa.string()), ("part", pa.int32()), ("longer", pa.bool_()), ("word", pa.string()), ("n", pa.int64())]
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            letters = ["".join(sorted(w)) for w in words]
+            for part, gone in enumerate(without):
+                kept = [x.translate(gone) for x in letters]
                 for longer in (False, True):
-                    for name, value in zip(rows, (f"{c}:{len(word) - longer}:{part}", c, longer, word, n)):
-                        rows[name].append(value)
-        yield pa.RecordBatch.from_pydict(rows, pa.schema([
-            ("block", pa.string()), ("class", pa.int32()), ("longer", pa.bool_()), ("word", pa.string()), ("n", pa.int64())]))
+                    blocks = [f"{part}:{len(w) - longer}:{x}" for w, x in zip(words, kept)]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(blocks, pa.string()), pa.array([part] * len(words), pa.int32()),
+                        pa.array([longer] * len(words)), batch.column(0), batch.column(1)], schema=pa.schema(fields))
+
+    return put
 
 
-def letter_counts(words: list[str]) -> np.ndarray:
+def letter_counts(words: list[str]) -> tuple[np.ndarray, list[str]]:
     """A row per word of counts of the letters that occur in any; and the letters."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     letters = np.frombuffer("".join(words).encode("latin-1"), np.uint8)
     used, place = np.unique(letters, return_inverse=True)
     row = np.repeat(np.arange(len(words)), lengths)
     table = np.bincount(row * len(used) + place, minlength=len(words) * len(used))
-    return table.reshape(len(words), len(used)).astype(np.float64), used
+    exact = np.float32 if lengths.max(initial=0) <= _SINGLE else np.float64
+    return table.reshape(len(words), len(used)).astype(exact), list(bytes(used.tolist()).decode("latin-1"))
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -122,64 +145,113 @@ def one_edit(a: str, b: str) -> bool:
         same += 1
     if len(a) == len(b):
         return same < len(a) and a[same + 1:] == b[same + 1:]
-    return len(b) == len(a) + 1 and a[same:] == b[same + 1:]
+    return len(b) == len(a) + 1 and a[same:] == b[same:][1:]
 
 
-def near_pairs(words: list[str], longer: np.ndarray, side: np.ndarray, own: int) -> list[tuple[int, int]]:
-    """Places of the pairs of a block that are one edit apart.
+def verified(words: list[str], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``one_edit`` of the words at places i and j, whose lengths differ by one at most, for many pairs at once.
 
-    ``longer`` words are compared with the others only.  ``side``: words of side 0 and of side 1, two tiles of a
-    block, are compared across; those of side -1, one tile, among themselves.  ``own``: the class of the
-    block; a pair that agrees on an earlier class is left to that class's block.
+    What both begin with and what both end with must leave one letter of the longer word.
+    """
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    width = min(_WIDTH, int(lengths.max(initial=0)))
+    ways = []
+    for cut in ([w[:width] for w in words], [w[::-1][:width] for w in words]):
+        filled = "".join(w.ljust(width, "\0") for w in cut).encode("latin-1")
+        ways.append(np.frombuffer(filled, np.uint8).reshape(len(words), width))
+    longest = np.maximum(lengths[i], lengths[j])
+    kept = np.zeros(len(i), bool)
+    for at in range(0, len(i), _BATCH):
+        a, b = i[at:at + _BATCH], j[at:at + _BATCH]
+        same = np.zeros(len(a), np.int64)
+        for letters in ways:
+            differ = letters[a] != letters[b]
+            same += np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+        kept[at:at + _BATCH] = same >= longest[at:at + _BATCH] - 1
+    for k in np.flatnonzero(longest > width):
+        kept[k] = one_edit(words[i[k]], words[j[k]])
+    return kept
+
+
+def near_pairs(words: list[str], ends: list[int], longer: np.ndarray, side: np.ndarray, part: np.ndarray,
+               classes: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of words of a tile that are one edit apart; tile t ends at ``ends[t]``.
+
+    ``longer`` words come last in a tile and are compared with the others only.  ``side``: words of side 0 and of
+    side 1, two tiles of a block, are compared across; those of side -1 among themselves.  ``part``: the pair of
+    classes the block is of; a pair of words that agrees on an earlier one is left to that one's block.
     """
-    counts, used = letter_counts(words)
-    squares = (counts * counts).sum(axis=1)
-    first = np.flatnonzero(~longer)
-    distance = squares[first, None] + squares[None, :] - 2 * (counts[first] @ counts.T)
-    i, j = np.nonzero((distance >= 1) & (distance <= 2))
-    i = first[i]
-    keep = (longer[j] | (i < j)) & ((side[i] < 0) | (side[i] != side[j]))
-    i, j = i[keep], j[keep]
-    for earlier in range(own):
-        part = counts[:, _CLASS[used] == earlier]
-        differ = (part[i] != part[j]).any(axis=1)
-        i, j = i[differ], j[differ]
-    return [(a, b) for a, b in zip(i.tolist(), j.tolist()) if one_edit(words[a], words[b])]
-
-
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members sorted by tile -> (word, near, near_n), both ways.  Holds one tile at a time."""
+    counts, letters = letter_counts(words)
+    squares = (counts * counts).sum(axis=1, keepdims=True)
+    ones = np.ones_like(squares)
+    # One product gives |x|^2 + |y|^2 - 2 xy.
+    rows, columns = np.hstack([-2 * counts, ones, squares]), np.hstack([counts, squares, ones]).T
+    left, right = [], []
+    for start, end in zip([0, *ends], ends):
+        first = end - int(np.count_nonzero(longer[start:end]))
+        for row in range(start, first if end - start > 1 else start, _ROWS):
+            last = min(row + _ROWS, first)
+            distance = rows[row:last] @ columns[:, row:end]
+            i, j = np.nonzero(distance < 2.5)
+            apart = (distance[i, j] > 0.5) & (i < j)
+            left.append(i[apart] + row)
+            right.append(j[apart] + row)
+    i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+    across = (side[i] < 0) | (side[i] != side[j])
+    i, j = i[across], j[across]
+    of = np.array([classes[x] for x in letters])
+    left, right = [], []
+    for at in range(0, len(i), _BATCH):
+        a, b = i[at:at + _BATCH], j[at:at + _BATCH]
+        same = counts[a] == counts[b]
+        agree = [same[:, of == c].all(axis=1) for c in range(CLASSES)]
+        earliest = np.full(len(a), len(PARTS))
+        for k in reversed(range(len(PARTS))):
+            earliest[agree[PARTS[k][0]] & agree[PARTS[k][1]]] = k
+        mine = earliest == part[a]
+        left.append(a[mine])
+        right.append(b[mine])
+    i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+    kept = verified(words, i, j)
+    return i[kept], j[kept]
+
+
+def _compare(classes: dict[str, int]) -> Callable:
+    """Members sorted by tile -> (word, near, near_n), both ways.  Holds a batch of tiles, or one tile, at a time."""
     schema = pa.schema([("word", pa.string()), ("near", pa.string()), ("near_n", pa.int64())])
-    tile, rows, found = None, [], []
-
-    def close() -> None:
-        if len(rows) > 1 and not all(r[0] for r in rows):
-            words = [r[1] for r in rows]
-            pairs = near_pairs(words, np.array([r[0] for r in rows]), np.array([r[3] for r in rows]), rows[0][4])
-            for a, b in pairs:
-                found.append((words[a], words[b], rows[b][2]))
-                found.append((words[b], words[a], rows[a][2]))
-
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), schema.types)], schema=schema)
 
-    for batch in batches:
-        for key, *row in zip(*(column.to_pylist() for column in batch.columns)):
-            if key != tile:
-                close()
-                tile, rows = key, []
-                if len(found) > 50_000:
-                    yield out()
-                    found = []
-            rows.append(row)
-    close()
-    if found:
-        yield out()
+    def compared(rows: pa.Table) -> pa.RecordBatch:
+        ends = pc.run_end_encode(rows["tile"].combine_chunks()).run_ends.to_pylist()
+        words = rows["word"].to_pylist()
+        longer, side, part = (rows[c].to_numpy() for c in ("longer", "side", "part"))
+        i, j = near_pairs(words, ends, longer, side, part, classes)
+        own, other = pa.array(np.concatenate([i, j])), pa.array(np.concatenate([j, i]))
+        return pa.RecordBatch.from_arrays([rows["word"].take(own).combine_chunks(), rows["word"].take(other).combine_chunks(),
+                                           rows["n"].take(other).combine_chunks()], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            if len(held) < _BATCH:
+                continue
+            # The last tile may go on in the next batch.
+            last = pc.index(held["tile"], held["tile"][-1]).as_py()
+            if last:
+                yield compared(held.slice(0, last))
+                held = held.slice(last)
+        if held is not None and len(held):
+            yield compared(held)
+
+    return run
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """Settled (word, near, near_n), one row for each direction of each near pair, from (word, n)."""
-    members = settle(words.mapInArrow(_members, "block string, class int, longer boolean, word string, n bigint"), "spelling-members")
+    classes = deal_letters(words)
+    members = settle(
+        words.mapInArrow(_members(classes), "block string, part int, longer boolean, word string, n bigint"), "spelling-members")
     crowded = settle(
         members.groupBy("block").count().where(F.col("count") > TILE)
         .select("block", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")), "spelling-crowded")
@@ -187,11 +259,11 @@ def near_words(words: DataFrame) -> DataFrame:
     own = F.pmod(F.xxhash64("word"), F.col("tiles")).cast("int")
     tiled = members.join(crowded, "block", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1))).withColumn("own", own)
     paired = tiled.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")).select(
-        F.concat_ws(":", "block", F.least("own", "other"), F.greatest("own", "other")).alias("tile"),
-        "longer", "word", "n",
-        F.when(F.col("own") == F.col("other"), -1).otherwise((F.col("own") > F.col("other")).cast("int")).alias("side"), "class")
-    # Several tiles share a partition; sorting brings the rows of one together.
-    near = paired.repartition("tile").sortWithinPartitions("tile").mapInArrow(_compare, "word string, near string, near_n bigint")
+        F.concat_ws(":", F.least("own", "other"), F.greatest("own", "other"), "block").alias("tile"), "longer", "word", "n",
+        F.when(F.col("own") == F.col("other"), -1).otherwise((F.col("own") > F.col("other")).cast("int")).alias("side"), "part")
+    # Several tiles share a partition; sorting brings the rows of one together, the longer words last.
+    sorted_ = paired.repartition("tile").sortWithinPartitions("tile", "longer")
+    near = sorted_.mapInArrow(_compare(classes), "word string, near string, near_n bigint")
     table = settle(near, "spelling-near")
     discard(members, crowded)
     return table
