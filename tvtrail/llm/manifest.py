@@ -3,8 +3,9 @@
 Each row is a leaf.  The leaves of a group, in order, are hashed two by two up to the
 group's root; the roots of the groups, in order, likewise up to the root of all.
 Levels are stored every ``HEIGHT`` levels, as node rows that link to their parent, the node
-``HEIGHT`` levels up, and hold the siblings on the way.  A recursive query then climbs from
-every leaf at once, appends the siblings and folds the leaf's hash with them.
+``HEIGHT`` levels up, and hold the siblings on the way; a leaf's own row is the first of its
+way.  A recursive query then climbs from every leaf at once, appends the siblings and folds
+the leaf's hash with them.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from tvtrail.llm.common import discard, number_rows, settle
 
@@ -24,19 +26,19 @@ HEIGHT = 10
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 _TOP = -1  # level of a climber that has arrived
-_PATH = "array<struct<before:binary,after:binary>>"
-_STEP = f"_tree bigint, _size bigint, _first bigint, _place bigint, path {_PATH}, top string"
+_PATH = ArrayType(StructType().add("before", "binary").add("after", "binary"))
 # A climb takes a step per stored level, whatever the number of leaves.
 _LIMITS = {"spark.sql.cteRecursionRowLimit": "-1", "spark.sql.cteRecursionLevelLimit": "100"}
 
-CLIMB = """WITH RECURSIVE climb(leaf, node, level, folded, proof) AS (
-    SELECT leaf, node, level, folded, X'' FROM {starts}
+_FOLD = "aggregate({path}, {hash}, (hash, step) -> sha2(concat(lower(hex(step.before)), hash, lower(hex(step.after))), 256))"
+_APPEND = "aggregate({path}, {proof}, (found, step) -> concat(found, step.before, step.after))"
+CLIMB = f"""WITH RECURSIVE climb(leaf, node, level, folded, proof) AS (
+    SELECT leaf, parent, parent_level, {_FOLD.format(path='path', hash='folded')}, {_APPEND.format(path='path', proof="X''")}
+    FROM {{leaves}}
   UNION ALL
-    SELECT c.leaf, n.parent, n.parent_level,
-      aggregate(n.path, c.folded, (hash, step) -> sha2(concat(lower(hex(step.before)), hash, lower(hex(step.after))), 256)),
-      aggregate(n.path, c.proof, (found, step) -> concat(found, step.before, step.after))
-    FROM climb c JOIN {nodes} n ON n.node = c.node AND n.level = c.level)
-SELECT leaf, folded, proof FROM climb WHERE level = {top}"""
+    SELECT c.leaf, n.parent, n.parent_level, {_FOLD.format(path='n.path', hash='c.folded')}, {_APPEND.format(path='n.path', proof='c.proof')}
+    FROM climb c JOIN {{nodes}} n ON n.node = c.node AND n.level = c.level)
+SELECT leaf, folded, proof FROM climb WHERE level = {_TOP}"""
 
 
 def leaf_hash(values: list[Column]) -> Column:
@@ -67,13 +69,12 @@ def fold_block(hashes: list[str], height: int) -> tuple[list[list[dict]], str]:
     return paths, level[0]
 
 
-def _fold(key: tuple, block: pa.Table) -> pa.Table:
+def _fold(block: pa.Table) -> pa.Table:
     block = block.sort_by("_place")
     paths, top = fold_block(block["hash"].to_pylist(), block["_height"][0].as_py())
     step = pa.struct([("before", pa.binary()), ("after", pa.binary())])
-    return pa.table({
-        **{c: block[c] for c in ("_tree", "_size", "_first", "_place")},
-        "path": pa.array(paths, pa.list_(step)), "top": pa.array([top] * len(paths), pa.string())})
+    block = block.drop_columns(["_height", "_block"]).append_column("path", pa.array(paths, pa.list_(step)))
+    return block.append_column("top", pa.array([top] * len(paths), pa.string()))
 
 
 def _depth() -> Column:
@@ -84,14 +85,15 @@ def _depth() -> Column:
 def _levels(hashes: DataFrame, deepest: int) -> list[DataFrame]:
     """Settled node rows of levels 0, HEIGHT, ... of all trees.
 
-    From (``_tree``, ``_size`` in leaves, ``_first``, ``_place``, hash).  A node row has the steps to its
-    parent, and the parent's hash as ``top``.
+    From (``_tree``, ``_size`` in leaves, ``_first``, ``_place``, hash, and what else leaves have).  A node row
+    has the steps to its parent, and the parent's hash as ``top``.
     """
     nodes, stored = hashes, []
     for level in range(0, max(1, deepest), HEIGHT):
+        given = StructType(list(nodes.schema.fields)).add("path", _PATH).add("top", "string")
         rows = nodes.withColumn("_height", F.least(F.lit(HEIGHT), _depth() - level))
-        steps = rows.withColumn("_block", F.shiftright("_place", HEIGHT)).groupBy("_tree", "_block").applyInArrow(_fold, _STEP)
-        stored.append(settle(steps, "manifest-nodes"))
+        blocks = rows.withColumn("_block", F.shiftright("_place", HEIGHT)).groupBy("_tree", "_block")
+        stored.append(settle(blocks.applyInArrow(_fold, given), "manifest-nodes"))
         nodes = stored[-1].where(_leads() & (_depth() > level + HEIGHT)).select(
             "_tree", "_size", "_first", F.shiftright("_place", HEIGHT).alias("_place"), F.col("top").alias("hash"))
     return stored
@@ -104,8 +106,8 @@ def _leads() -> Column:
 
 @dataclass(frozen=True)
 class Manifest:
-    """``leaves``: settled (``_number``, ``_own``, leaf, changed, subroot).  ``nodes``: settled (node, level, path,
-    parent, parent_level).  ``root``: hash of all, null without rows."""
+    """``leaves``: settled (``_number``, ``_own``, leaf, changed, subroot, path, parent, parent_level).  ``nodes``:
+    settled (node, level, path, parent, parent_level).  ``root``: hash of all, null without rows."""
 
     leaves: DataFrame
     nodes: DataFrame
@@ -133,60 +135,59 @@ def build(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group: str = "lang"
         ["_group"], "manifest-groups").withColumnRenamed("_number", "_tree")
     groups = settle(groups, "manifest-groups")
     largest, n_groups = groups.agg(F.max("_size"), F.count(F.lit(1))).first()
-    placed = settle(
-        numbered.join(groups, numbered["_group"].eqNullSafe(groups["_group"])).select(
-            "_number", "_own", "leaf", "changed", "_tree", "_size", "_first", (F.col("_number") - F.col("_first")).alias("_place")),
-        "manifest-placed")
-    low = _levels(placed.withColumnRenamed("leaf", "hash"), (max(largest or 1, 1) - 1).bit_length())
-    subroots = settle(
-        _roots(low).join(groups.select("_tree", "_first", "_size"), "_tree"), "manifest-subroots")
+    placed = numbered.join(groups, numbered["_group"].eqNullSafe(groups["_group"])).select(
+        "_own", F.col("leaf").alias("hash"), "changed", "_tree", "_size", "_first", (F.col("_number") - F.col("_first")).alias("_place"))
+    low = _levels(placed, (max(largest or 1, 1) - 1).bit_length())
+    subroots = settle(_roots(low), "manifest-subroots")
     of_groups = subroots.select(
         F.lit(0).cast("bigint").alias("_tree"), F.lit(n_groups).cast("bigint").alias("_size"),
         F.lit(0).cast("bigint").alias("_first"), F.col("_tree").alias("_place"), F.col("root").alias("hash"))
     high = _levels(of_groups, (max(n_groups, 1) - 1).bit_length())
     root = _roots(high).first()
-    nodes = settle(_linked(low, high), "manifest-node-rows")
-    leaves = settle(placed.join(subroots.select("_tree", F.col("root").alias("subroot")), "_tree").select(
-        "_number", "_own", "leaf", "changed", "subroot"), "manifest-proved")
-    discard(hashed, groups, placed, subroots, *low, *high)
+    nodes = settle(_upper(low, high), "manifest-upper")
+    leaves = settle(low[0].join(subroots.withColumnRenamed("root", "subroot"), "_tree").select(
+        (F.col("_first") + F.col("_place")).alias("_number"), "_own", F.col("hash").alias("leaf"), "changed", "subroot",
+        "path", _block().alias("parent"), _parent_level(0, len(low)).alias("parent_level")), "manifest-proved")
+    discard(hashed, groups, subroots, *low, *high)
     return Manifest(leaves, nodes, root["root"] if root else None)
 
 
 def _roots(levels: list[DataFrame]) -> DataFrame:
     """(``_tree``, root): the parent that ends each tree."""
     last = F.floor((F.greatest(_depth(), F.lit(1)) - 1) / HEIGHT)
-    ends = [table.where((F.col("_place") == 0) & (last == n)) for n, table in enumerate(levels)]
-    return reduce(DataFrame.unionByName, ends).select("_tree", F.col("top").alias("root"))
+    ends = [table.where((F.col("_place") == 0) & (last == n)).select("_tree", F.col("top").alias("root"))
+            for n, table in enumerate(levels)]
+    return reduce(DataFrame.unionByName, ends)
 
 
-def _linked(low: list[DataFrame], high: list[DataFrame]) -> DataFrame:
-    """Node rows for the climb, (node, level, path, parent, parent_level).
+def _block() -> Column:
+    """The number of the first leaf of a leaf's block: the 2 ** HEIGHT leaves below one node of the first stored level."""
+    return F.col("_first") + F.shiftleft(F.shiftright("_place", HEIGHT), HEIGHT)
 
-    A leaf's node is its number.  Above, a leaf climbs in the name of its block, the 2 ** HEIGHT leaves
-    below one node of the first stored level: an upper node has a row for every such block below
-    it, so that no row of the table is met by more leaves than a block has.
-    """
-    block = F.col("_first") + F.shiftleft(F.shiftright("_place", HEIGHT), HEIGHT)
-    levels = len(low)  # the levels of the groups' own tree are numbered on from there
 
-    def parent_level(n: int) -> Column:
-        return F.when(_depth() > (n + 1) * HEIGHT, n + 1).otherwise(levels)
+def _parent_level(n: int, levels: int) -> Column:
+    """The stored levels of the groups' own tree are numbered on from those of the groups."""
+    return F.when(_depth() > (n + 1) * HEIGHT, n + 1).otherwise(levels)
+
 
-    rows = low[0].select(
-        (F.col("_first") + F.col("_place")).alias("node"), F.lit(0).alias("level"), "path",
-        block.alias("parent"), parent_level(0).alias("parent_level"))
-    blocks = low[0].where(_leads()).select(
-        F.col("_tree").alias("_of"), F.shiftright("_place", HEIGHT).alias("_at"), block.alias("node"))
+def _upper(low: list[DataFrame], high: list[DataFrame]) -> DataFrame:
+    """Node rows above the leaves, (node, level, path, parent, parent_level).
+
+    Above, a leaf climbs in the name of its block: a node has a row for every block below it, so that no
+    row of the table is met by more leaves than a block has.
+    """
+    levels, rows = len(low), []
+    blocks = low[0].where(_leads()).select(F.col("_tree").alias("_of"), F.shiftright("_place", HEIGHT).alias("_at"), _block().alias("node"))
     for n, table in enumerate(low[1:], start=1):
         below = blocks.withColumn("_place", F.shiftright("_at", (n - 1) * HEIGHT))
-        rows = rows.unionByName(below.join(table.withColumnRenamed("_tree", "_of"), ["_of", "_place"]).select(
-            "node", F.lit(n).alias("level"), "path", F.col("node").alias("parent"), parent_level(n).alias("parent_level")))
+        rows.append(below.join(table.withColumnRenamed("_tree", "_of"), ["_of", "_place"]).select(
+            "node", F.lit(n).alias("level"), "path", F.col("node").alias("parent"), _parent_level(n, levels).alias("parent_level")))
     for n, table in enumerate(high):
         below = blocks.withColumn("_place", F.shiftright("_of", n * HEIGHT))
-        rows = rows.unionByName(below.join(table, "_place").select(
+        rows.append(below.join(table, "_place").select(
             "node", F.lit(levels + n).alias("level"), "path", F.col("node").alias("parent"),
             F.lit(levels + n + 1 if n + 1 < len(high) else _TOP).alias("parent_level")))
-    return rows
+    return reduce(DataFrame.unionByName, rows)
 
 
 @contextmanager
@@ -201,15 +202,14 @@ def _limits(spark: SparkSession):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def climb(nodes: DataFrame, starts: DataFrame) -> DataFrame:
-    """Settled (leaf, folded, proof) from starts (leaf: number, folded: hash of the row as it is found).
+def climb(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Settled (leaf, folded, proof) from (leaf: number, folded: hash of the row as it is found, path, parent, parent_level).
 
     ``proof`` is the siblings in the order of the climb, as bytes; ``folded`` the root that the hash leads to.
     """
     spark = nodes.sparkSession
-    asked = starts.select("leaf", F.col("leaf").alias("node"), F.lit(0).alias("level"), "folded")
     with _limits(spark):
-        return settle(spark.sql(CLIMB, starts=asked, nodes=nodes, top=_TOP), "manifest-climb")
+        return settle(spark.sql(CLIMB, leaves=leaves, nodes=nodes), "manifest-climb")
 
 
 def prove(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group: str = "lang", order: str = "doc_id",
@@ -223,7 +223,8 @@ def prove(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group: str = "lang"
     a lone group's root is the root.  Equal rows are leaves side by side, each with its proof.  No rows give no rows.
     """
     made = build(docs, fields, group, order, keep, changed)
-    climbed = climb(made.nodes, made.leaves.select(F.col("_number").alias("leaf"), F.col("changed").alias("folded")))
+    climbed = climb(made.leaves.select(
+        F.col("_number").alias("leaf"), F.col("changed").alias("folded"), "path", "parent", "parent_level"), made.nodes)
     discard(made.nodes)
     found = made.leaves.join(climbed.withColumnRenamed("leaf", "_number"), "_number")
     root = F.lit(made.root)
