@@ -59,6 +59,20 @@ def day_of(seconds: Column) -> Column:
     return F.date_format(F.timestamp_seconds(seconds), DAY_FORMAT)
 
 
+# Where a time lies, seen from the day of a job.
+BEFORE, OWN, AFTER, ELSEWHERE = "before", "own", "after", "elsewhere"
+
+
+def near_day(seconds: Column, day: str) -> Column:
+    """One of four places, however many days the clocks of the boxes show; no time is elsewhere."""
+    found = day_of(seconds)
+    places = {shift_day(day, -1): BEFORE, day: OWN, shift_day(day, 1): AFTER}
+    out = F.lit(ELSEWHERE)
+    for name, place in places.items():
+        out = F.when(found == name, F.lit(place)).otherwise(out)
+    return out
+
+
 def day_start(day: str | Column) -> Column:
     """Epoch second at which a ``yyyyMMdd`` day begins."""
     text = F.lit(day) if isinstance(day, str) else day

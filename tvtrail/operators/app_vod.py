@@ -9,6 +9,7 @@ from tvtrail.functions.regions import telecom_region
 from tvtrail.functions.times import from_epoch, to_epoch
 from tvtrail.operators.sessions import clamp_to_day, of_day
 from tvtrail.operators.words import containing
+from tvtrail.session import Keep, as_it_is
 
 COLUMNS = (
     "uuid", "regionid", "play_start_time", "play_end_time", "media_id", "media_name",
@@ -76,10 +77,12 @@ def is_free(asset: Column) -> Column:
     return F.when(present, F.lit("1")).otherwise(F.lit("0"))
 
 
-def with_review_flag(rows: DataFrame, categories: DataFrame, review: DataFrame) -> DataFrame:
+def with_review_flag(
+    rows: DataFrame, categories: DataFrame, review: DataFrame, keep: Keep = as_it_is
+) -> DataFrame:
     """``review`` true where the category name contains a review word."""
     names = categories.select(F.col("nns_category_name").alias("_name"))
-    listed = containing(names, review, "category_name").withColumn("review", F.lit(True))
+    listed = keep(containing(names, review, "category_name").withColumn("review", F.lit(True)), "review-names")
     return (
         rows.join(listed, rows.category_name == listed["_name"], "left")
         .drop("_name")
@@ -100,6 +103,25 @@ def _channel_names(categories: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _placements(categories: DataFrame) -> DataFrame:
+    return categories.select(
+        F.upper("nns_id").alias("_channel"), F.col("nns_category_id").alias("_known"),
+        F.col("nns_category_name").alias("category_name"),
+    ).distinct()
+
+
+def _with_names(
+    rows: DataFrame, channel: str, category: str, assets_of: str, categories: DataFrame, products: DataFrame, keep: Keep
+) -> DataFrame:
+    """The category's name, the product's asset and the channel's name."""
+    known = keep(_placements(categories), "app-placements")
+    owned = keep(products.select("asset_id").distinct(), "app-products")
+    names = keep(_channel_names(categories), "app-channels")
+    rows = rows.join(known, (rows[channel] == known["_channel"]) & (rows[category] == known["_known"]), "left")
+    rows = rows.join(owned, rows[assets_of] == owned["asset_id"], "left")
+    return rows.join(names, rows[channel] == names["_h_channel"], "left")
+
+
 def _named(rows: DataFrame) -> DataFrame:
     return rows.withColumns({
         "media_name": F.coalesce("midianame", "media_name", F.lit("")),
@@ -119,24 +141,14 @@ RESULT = (
 
 
 def with_sent_category(
-    views: DataFrame, assets: DataFrame, categories: DataFrame, products: DataFrame
+    views: DataFrame, assets: DataFrame, categories: DataFrame, products: DataFrame, keep: Keep = as_it_is
 ) -> DataFrame:
     """Views that name their category: four dictionary joins, then distinct."""
-    known = categories.select(
-        F.upper("nns_id").alias("_channel"), F.col("nns_category_id").alias("_category"),
-        F.col("nns_category_name").alias("category_name"),
-    ).distinct()
-    owned = products.select("asset_id").distinct()
     rows = views.where(F.col("category_id") != "").distinct().withColumn(
         "_up", F.upper("clum_id")
     )
-    rows = rows.join(_media(assets), "media_id", "left")
-    rows = rows.join(
-        known, (rows["_up"] == known["_channel"]) & (rows["category_id"] == known["_category"]), "left"
-    )
-    rows = rows.join(owned, rows["dxmedia"] == owned["asset_id"], "left")
-    names = _channel_names(categories)
-    rows = rows.join(names, rows["_up"] == names["_h_channel"], "left")
+    rows = rows.join(keep(_media(assets), "app-media"), "media_id", "left")
+    rows = _with_names(rows, "_up", "category_id", "dxmedia", categories, products, keep)
     rows = rows.withColumn("channel_id", F.coalesce("_up", F.lit("")))
     return _named(rows).select(*RESULT).distinct()
 
@@ -147,6 +159,7 @@ def with_found_category(
     assists: DataFrame,
     categories: DataFrame,
     products: DataFrame,
+    keep: Keep = as_it_is,
 ) -> DataFrame:
     """Views without a category: every placement of the media.
 
@@ -158,13 +171,8 @@ def with_found_category(
         F.upper("nns_assist_id").alias("_placed"),
         F.col("nns_category_id").alias("_category"),
     )
-    known = categories.select(
-        F.upper("nns_id").alias("_channel"), F.col("nns_category_id").alias("_known"),
-        F.col("nns_category_name").alias("category_name"),
-    )
-    owned = products.select("asset_id").distinct()
     rows = views.where(F.col("category_id") == "").distinct().drop("category_id")
-    rows = rows.join(_media(assets), "media_id", "left")
+    rows = rows.join(keep(_media(assets), "app-media"), "media_id", "left")
     any_channel = F.coalesce("clum_id", F.lit("")) == ""
     rows = rows.join(
         placed,
@@ -172,12 +180,7 @@ def with_found_category(
         & (any_channel | (placed["_placed"] == F.upper("clum_id"))),
         "left",
     )
-    rows = rows.join(
-        known, (rows["_placed"] == known["_channel"]) & (rows["_category"] == known["_known"]), "left"
-    )
-    rows = rows.join(owned, rows["dxmedia"] == owned["asset_id"], "left")
-    names = _channel_names(categories)
-    rows = rows.join(names, rows["_placed"] == names["_h_channel"], "left")
+    rows = _with_names(rows, "_placed", "_category", "dxmedia", categories, products, keep)
     rows = rows.withColumns({
         "category_id": F.col("_category"),
         "channel_id": F.when(F.col("_placed") == "", F.upper("clum_id")).otherwise(F.col("_placed")),
@@ -185,17 +188,17 @@ def with_found_category(
     return _named(rows).select(*RESULT)
 
 
-def flag_sent(rows: DataFrame, categories: DataFrame, review: DataFrame) -> DataFrame:
+def flag_sent(rows: DataFrame, categories: DataFrame, review: DataFrame, keep: Keep = as_it_is) -> DataFrame:
     flag = F.when(F.col("review"), F.lit(REVIEW)).otherwise(F.lit(MATCHED))
-    return with_review_flag(rows, categories, review).withColumn("flag", flag).drop("review")
+    return with_review_flag(rows, categories, review, keep).withColumn("flag", flag).drop("review")
 
 
-def flag_found(rows: DataFrame, categories: DataFrame, review: DataFrame) -> DataFrame:
+def flag_found(rows: DataFrame, categories: DataFrame, review: DataFrame, keep: Keep = as_it_is) -> DataFrame:
     """Review rows get 2; of the others one row per view and channel gets 0, the rest 1.
 
     Rows of one view and channel are as many as the media has placements there.
     """
-    checked = with_review_flag(rows, categories, review)
+    checked = with_review_flag(rows, categories, review, keep)
     order = [F.col(c).asc_nulls_last() for c in (
         "category_id", "category_name", "regionid", "media_name", "apk_version", "pro_id",
         "media_uuid", "cp", "channel_name", "isfree",
@@ -218,9 +221,10 @@ def app_results(
     categories: DataFrame,
     products: DataFrame,
     review: DataFrame,
+    keep: Keep = as_it_is,
 ) -> DataFrame:
-    sent = flag_sent(with_sent_category(views, assets, categories, products), categories, review)
+    sent = flag_sent(with_sent_category(views, assets, categories, products, keep), categories, review, keep)
     found = flag_found(
-        with_found_category(views, assets, assists, categories, products), categories, review
+        with_found_category(views, assets, assists, categories, products, keep), categories, review, keep
     )
     return sent.unionByName(found)

@@ -11,14 +11,15 @@ from tvtrail.schemas import (
     DEFAULT_REGION, ERROR, FIRST_LIVE, LAST_LIVE, LIVE, LOOK_BACK, ORDER, PAGE_VIEW,
     PARTITION_COLUMNS, TIME_SHIFT, VOD,
 )
+from tvtrail.session import Keep, as_it_is
 from tvtrail.sources.dictionaries import channels, media_names
 
 POOL_KEYS = ("user_id", "regionid", "apk_version", *PARTITION_COLUMNS)
 
 
-def with_channel_names(events: DataFrame, dict_channel: DataFrame) -> DataFrame:
+def with_channel_names(events: DataFrame, dict_channel: DataFrame, keep: Keep = as_it_is) -> DataFrame:
     """Configured channel code and name; ``live_flag`` -1 where none is known."""
-    known = channels(dict_channel)
+    known = keep(channels(dict_channel), "channels")
     code = F.coalesce("conf_channel_id", F.lit(""))
     return (
         events.drop("conf_channel_code", "channel_name", "live_flag")
@@ -32,11 +33,11 @@ def with_channel_names(events: DataFrame, dict_channel: DataFrame) -> DataFrame:
     )
 
 
-def with_search_names(pages: DataFrame, media: DataFrame) -> DataFrame:
+def with_search_names(pages: DataFrame, media: DataFrame, keep: Keep = as_it_is) -> DataFrame:
     """Media name of a page view, and the part of it the keyword covered."""
     return (
         pages.drop("media_name", "keyname")
-        .join(media_names(media), "media_id", "left")
+        .join(keep(media_names(media), "media-names"), "media_id", "left")
         .withColumn("media_name", F.coalesce("dict_media_name", F.lit("")))
         .withColumn("keyname", search_key_name(F.col("media_name"), F.col("key")))
         .drop("dict_media_name")

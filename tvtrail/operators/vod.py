@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tvtrail.operators.words import starting_with
 from tvtrail.schemas import PARTITION_COLUMNS
+from tvtrail.session import Keep, as_it_is
 from tvtrail.sources.dictionaries import (
     category_names, media_categories, media_names, upload_categories,
 )
@@ -31,6 +32,7 @@ def resolve_categories(
     media: DataFrame,
     uploads: DataFrame,
     review: DataFrame | None = None,
+    keep: Keep = as_it_is,
 ) -> DataFrame:
     """One row per view and category, with one primary row per view and channel.
 
@@ -39,8 +41,8 @@ def resolve_categories(
     not depend on the view, so the flag is computed on the dictionary and the
     views themselves are never grouped.
     """
-    names = category_names(media)
-    banned = None if review is None else review_categories(names, review)
+    names = keep(category_names(media), "category-names")
+    banned = None if review is None else keep(review_categories(names, review), "review-categories")
     category = F.coalesce("category_id", F.lit(""))
     options = media_categories(media).withColumns({
         "_category": category,
@@ -56,17 +58,17 @@ def resolve_categories(
         )
     first = Window.partitionBy("media_id", "_channel", "_banned").orderBy("_category")
     primary = F.when(F.row_number().over(first) == 1, F.lit(PRIMARY)).otherwise(F.lit(SECONDARY))
-    options = options.select(
+    options = keep(options.select(
         F.col("media_id").alias("_media"), "_category", "_channel", primary.alias("_flag")
-    )
+    ), "media-categories")
 
-    views = vod.join(media_names(media), "media_id", "left").withColumn(
+    views = vod.join(keep(media_names(media), "media-names"), "media_id", "left").withColumn(
         "media_name",
         F.when(
             F.coalesce("media_name", F.lit("")) == "", F.coalesce("dict_media_name", F.lit(""))
         ).otherwise(F.col("media_name")),
     )
-    known = upload_categories(uploads)
+    known = keep(upload_categories(uploads), "upload-categories")
     views = views.join(known, views["category_id"] == known["identityno"], "left")
     unmapped = F.col("up_known").isNull()
     rows = views.join(

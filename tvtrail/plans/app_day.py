@@ -8,8 +8,8 @@ from tvtrail.functions.labels import check_platform
 from tvtrail.functions.times import halo_days
 from tvtrail.operators import app_vod, facts
 from tvtrail.plans.mobile_day import Job
-from tvtrail.session import prepare, stored, working_tables
-from tvtrail.sources import app_lines, files
+from tvtrail.session import prepare, stored, stored_once, working_tables
+from tvtrail.sources import app_lines, files, rejects
 
 
 def online_users(
@@ -25,14 +25,18 @@ def online_users(
 ) -> None:
     job = Job(prepare(spark), warehouse, dt, check_platform(platform), "apk")
     lines = files.read_lines(spark, [f"{logs}/itvrun_online/dt={dt}/*"], optional=allow_missing)
-    # Distinct before the region rule: heartbeats repeat all day.
-    seen = app_lines.parse_online(lines).distinct()
-    rows = app_lines.online_regions(seen, platform, areas, renames).select(
-        "uuid", "regionid", "apk_version", F.lit(dt).alias("dt"),
-        F.lit(platform).alias("platform"), F.lit("apk").alias("source_type"),
-    )
-    kept = facts.drop_test_users(rows.distinct(), test_users, "uuid")
-    job.write(kept, "mid_online_day")
+    with working_tables(spark):
+        # Counted before the region rule: heartbeats repeat all day, and bad lines share a row per reason.
+        parsed = app_lines.parse_online(lines, rejects=True)
+        counted = stored(parsed.groupBy("uuid", "apk_version", "reject").agg(F.count(F.lit(1)).alias("lines")), "online")
+        job.write_rejects("app-online", rejects.line_rejects(counted, "online", "lines"), rejects.ONLINE_REASONS, F.col("lines"))
+        seen = counted.where(F.col("reject").isNull()).select("uuid", "apk_version")
+        rows = app_lines.online_regions(seen, platform, areas, renames, stored_once()).select(
+            "uuid", "regionid", "apk_version", F.lit(dt).alias("dt"),
+            F.lit(platform).alias("platform"), F.lit("apk").alias("source_type"),
+        )
+        kept = facts.drop_test_users(rows.distinct(), test_users, "uuid")
+        job.write(kept, "mid_online_day")
 
 
 def vod(
@@ -60,13 +64,15 @@ def _vod(
 ) -> None:
     job = Job(prepare(spark), warehouse, dt, check_platform(platform), "apk")
     patterns = [f"{logs}/itvrun_vod/dt={day}/*" for day in halo_days(dt)]
-    parsed = app_lines.parse_app_vod(files.read_lines(spark, patterns, optional=allow_missing))
-    parsed = facts.drop_test_users(parsed, test_users, "uuid")
+    lines = files.read_lines(spark, patterns, optional=allow_missing)
+    checked = stored(app_lines.parse_app_vod(lines, rejects=True), "app-lines")
+    job.write_rejects("app-vod", rejects.line_rejects(checked, "vod"), rejects.APP_VOD_REASONS)
+    parsed = facts.drop_test_users(checked.where(F.col("reject").isNull()).drop("reject"), test_users, "uuid")
     views = stored(app_vod.app_views(parsed, dt), "app-views")
     named = facts.with_assets(
         views.withColumnRenamed("clum_id", "channel_id").drop("pro_id"), assets, "dxmedia"
     )
     labels = {"dt": F.lit(dt), "platform": F.lit(platform), "source_type": F.lit("apk")}
     job.write(named.withColumns(labels), "mid_vod_day")
-    results = app_vod.app_results(views, assets, assists, categories, products, review_words)
+    results = app_vod.app_results(views, assets, assists, categories, products, review_words, stored_once())
     job.write(results.withColumns(labels), "res_vod_day")

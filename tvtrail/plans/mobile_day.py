@@ -15,19 +15,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tvtrail import sinks
 from tvtrail.functions.labels import check_platform
-from tvtrail.functions.times import day_of
+from tvtrail.functions.times import OWN, near_day
 from tvtrail.operators import facts, orders, paths, pool as pools, sessions, vod
 from tvtrail.operators.hotkeys import HotKeys, find_hot_keys
 from tvtrail.schemas import (
-    ERROR, HEART, INIT, LIVE, LOOK_BACK, ORDER, PAGE_VIEW, PARTITION_COLUMNS, POOL_COLUMNS,
+    ERROR, HEART, HEARTBEAT, INIT, LIVE, LOOK_BACK, ORDER, PAGE_VIEW, PARTITION_COLUMNS, POOL_COLUMNS,
     TIME_SHIFT, VOD,
 )
-from tvtrail.session import prepare, stored, working_tables
-from tvtrail.sources import files, records
+from tvtrail.session import Keep, prepare, stored, stored_once, working_tables
+from tvtrail.sources import files, records, rejects
 
-ALL_CODES = [INIT, LIVE, VOD, LOOK_BACK, TIME_SHIFT, PAGE_VIEW, ORDER, ERROR, "0x10"]
+ALL_CODES = [INIT, LIVE, VOD, LOOK_BACK, TIME_SHIFT, PAGE_VIEW, ORDER, ERROR, HEARTBEAT]
 STATES = ("init", "fav", "all", "live", "timeshift", "vod", "lookback", "pageview", "order", "error")
 PATH_PARTITION = ("dt", "platform")
+REJECT_PARTITION = (*PARTITION_COLUMNS, "job")
 
 
 @dataclass(frozen=True)
@@ -57,6 +58,12 @@ class Job:
     def write(self, df: DataFrame, table: str, partitions=PARTITION_COLUMNS) -> None:
         sinks.overwrite_partitions(df, self.path(table), partitions)
 
+    def write_rejects(self, name: str, rows: DataFrame, reasons=rejects.RECORD_REASONS, n=None) -> None:
+        """Publish how many records the job ``name`` could not use, by type and reason."""
+        counts = rejects.report(rows, reasons, n).withColumns({
+            "dt": F.lit(self.dt), "platform": F.lit(self.platform), "source_type": F.lit(self.source_type), "job": F.lit(name)})
+        sinks.overwrite_partitions(counts, self.path("bad_records"), REJECT_PARTITION, files=1)
+
     def read(self, table: str, dt: str | None = None) -> DataFrame:
         return files.read_partition(
             self.spark, self.path(table), dt or self.dt, self.platform, self.source_type
@@ -80,32 +87,44 @@ def previous_pool(job: Job) -> DataFrame:
 
 def power_ons(job: Job, logs: str) -> None:
     lines = files.read_days(job.spark, logs, [INIT], [job.dt], job.allow_missing)
-    rows = records.power_on_records(lines, job.dt, job.platform, job.source_type)
-    job.write(rows, "res_power_on_day")
+    rows = stored(records.power_on_records(lines, job.dt, job.platform, job.source_type, rejects=True), "power-ons")
+    job.write(rows.where(F.col("reject").isNull()).drop("code", "reject"), "res_power_on_day")
+    job.write_rejects("power-on", rejects.record_rejects(rows))
 
 
 def favourites(job: Job, logs: str) -> None:
     lines = files.read_days(job.spark, logs, [VOD], [job.dt], job.allow_missing)
-    rows = stored(records.parse_favourites(lines, job.platform, job.source_type), "favourites")
+    parsed = stored(records.parse_favourites(lines, job.platform, job.source_type, rejects=True), "favourites")
+    job.write_rejects("favourites", rejects.record_rejects(parsed))
+    rows = parsed.where(F.col("reject").isNull()).drop("code", "reject")
     hot = find_hot_keys(rows, "user_id", "ts")
     job.write(facts.favourite_facts(rows, job.read("user_info_pool"), job.dt, hot), "mid_fav_day")
 
 
 def parsed_events(job: Job, logs: str, test_users: DataFrame) -> DataFrame:
-    """Three days of records, stored by day and type: most steps read one of either."""
+    """Three days of records, stored by place of the day and type: most steps read one of either.
+
+    Bad records are among them, as a state of their own.  Boxes whose clock is wrong send days of all
+    kinds; these share one folder.
+    """
     lines = files.read_log_days(job.spark, logs, job.dt, ALL_CODES, allow_missing=job.allow_missing)
-    events = records.parse_mobile(lines, job.platform, job.source_type)
-    kept = facts.drop_test_users(events, test_users, "user_id").withColumn("day", day_of(F.col("ts")))
-    return stored(kept, "events", ("day", "state"))
+    events = records.parse_mobile(lines, job.platform, job.source_type, rejects=True)
+    kept = facts.drop_test_users(events, test_users, "user_id").withColumn("near", near_day(F.col("ts"), job.dt))
+    return stored(kept, "events", ("near", "state"))
+
+
+def good_events(events: DataFrame) -> DataFrame:
+    return events.where(F.col("state") != rejects.REJECT).drop("code", "reject")
 
 
-def of_day(events: DataFrame, dt: str) -> DataFrame:
-    return events.where(F.col("day") == dt).drop("day")
+def of_day(events: DataFrame) -> DataFrame:
+    """Records of the day of the job."""
+    return events.where(F.col("near") == OWN).drop("near")
 
 
-def active_day(events: DataFrame, found: DataFrame, dt: str) -> DataFrame:
+def active_day(events: DataFrame, found: DataFrame) -> DataFrame:
     """What the active users are counted from: the day's records and sessions."""
-    today = of_day(events, dt).where(F.col("state").isin(PAGE_VIEW, ERROR, ORDER, HEART, INIT))
+    today = of_day(events).where(F.col("state").isin(PAGE_VIEW, ERROR, ORDER, HEART, INIT))
     return today.select("user_id", "state", "ts", "rid", *pools.POOL_ATTRIBUTES).unionByName(
         found.select("user_id", "state"), allowMissingColumns=True
     )
@@ -113,7 +132,7 @@ def active_day(events: DataFrame, found: DataFrame, dt: str) -> DataFrame:
 
 def user_pool(job: Job, events: DataFrame, found: DataFrame, previous: DataFrame) -> DataFrame:
     active = stored(
-        pools.active_users(active_day(events, found, job.dt), job.dt, job.platform, job.source_type),
+        pools.active_users(active_day(events, found), job.dt, job.platform, job.source_type),
         "active",
     )
     job.write(pools.online_day(active), "mid_online_day")
@@ -121,10 +140,10 @@ def user_pool(job: Job, events: DataFrame, found: DataFrame, previous: DataFrame
     return job.read("user_info_pool")
 
 
-def vod_tables(job: Job, found: DataFrame, pool: DataFrame, d: Dictionaries, hot: HotKeys) -> None:
+def vod_tables(job: Job, found: DataFrame, pool: DataFrame, d: Dictionaries, hot: HotKeys, keep: Keep) -> None:
     views = stored(facts.with_assets(facts.vod_facts(found, pool, hot), d.assets), "vod")
     job.write(views.drop("rid"), "mid_vod_day")
-    resolved = vod.resolve_categories(views, d.media, d.uploads, d.review_words)
+    resolved = vod.resolve_categories(views, d.media, d.uploads, d.review_words, keep)
     job.write(resolved.drop("rid"), "res_vod_day")
 
 
@@ -168,14 +187,17 @@ def run(
 
 
 def _process(job: Job, logs: str, state: str, d: Dictionaries, previous: DataFrame) -> None:
-    events = parsed_events(job, logs, d.test_users)
+    parsed = parsed_events(job, logs, d.test_users)
+    job.write_rejects("mobile", rejects.record_rejects(parsed))
+    events = good_events(parsed)
     hot = find_hot_keys(events, "user_id", "ts")
+    keep = stored_once()
     found = stored(
-        facts.with_channel_names(sessions.day_sessions(events.drop("day"), job.dt, hot), d.channels), "sessions"
+        facts.with_channel_names(sessions.day_sessions(events.drop("near"), job.dt, hot), d.channels, keep), "sessions"
     )
     pool = user_pool(job, events, found, previous)
 
-    day = of_day(events, job.dt)
+    day = of_day(events)
 
     def wanted(*names: str) -> bool:
         return state == "all" or state in names
@@ -184,11 +206,11 @@ def _process(job: Job, logs: str, state: str, d: Dictionaries, previous: DataFra
         job.write(facts.live_facts(found, pool, hot), "mid_chnl_day")
         job.write(facts.timeshift_facts(found, pool, hot), "mid_timeshift_day")
     if wanted("vod"):
-        vod_tables(job, found, pool, d, hot)
+        vod_tables(job, found, pool, d, hot, keep)
     if wanted("lookback"):
         job.write(facts.lookback_facts(found, pool, hot), "mid_tvod_day")
     if wanted("pageview"):
-        pages = facts.with_search_names(day.where(F.col("state") == PAGE_VIEW), d.media)
+        pages = facts.with_search_names(day.where(F.col("state") == PAGE_VIEW), d.media, keep)
         job.write(facts.pageview_facts(pages, pool, hot), "mid_pageview_day")
         job.write(facts.topic_visits(day, pool, hot), "mid_subject")
         path_tables(job, day, pool, hot)

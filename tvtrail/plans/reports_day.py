@@ -12,7 +12,7 @@ from tvtrail.operators.hotkeys import find_hot_keys
 from tvtrail.plans.mobile_day import PATH_PARTITION, Job
 from tvtrail.schemas import ORDER, PAGE_VIEW
 from tvtrail.session import prepare, stored, working_tables
-from tvtrail.sources import files, records
+from tvtrail.sources import files, records, rejects
 
 
 # --- fixed values: columns of the programme guide, and the names published for some ---
@@ -48,7 +48,9 @@ def in_out_paths(
     job = Job(prepare(spark), warehouse, dt, check_platform(platform))
     lines = files.read_days(spark, logs, [PAGE_VIEW, ORDER], [dt], allow_missing)
     with working_tables(spark):
-        pages = stored(records.positional_pages(lines), "pages")
+        parsed = stored(records.positional_pages(lines, rejects=True), "pages")
+        job.write_rejects("in-out-paths", rejects.record_rejects(parsed))
+        pages = parsed.where(F.col("reject").isNull()).drop("code", "reject")
         counts = paths.in_out_counts(pages, find_hot_keys(pages, "user_id", "ts"))
         labels = {"dt": F.lit(dt), "platform": F.lit(platform)}
         job.write(counts.withColumns(labels), "res_full_path", PATH_PARTITION)

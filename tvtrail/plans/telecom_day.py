@@ -10,7 +10,7 @@ from tvtrail.operators.hotkeys import find_hot_keys
 from tvtrail.plans.mobile_day import PATH_PARTITION, Job, path_tables
 from tvtrail.schemas import INIT, ORDER, PAGE_VIEW
 from tvtrail.session import prepare, stored, working_tables
-from tvtrail.sources import files, records
+from tvtrail.sources import files, records, rejects
 
 
 def users_of_day(events: DataFrame, dt: str) -> DataFrame:
@@ -33,8 +33,10 @@ def run(
 def _process(job: Job, logs: str, platform: str, test_users: DataFrame) -> None:
     dt = job.dt
     lines = files.read_days(job.spark, logs, [INIT, PAGE_VIEW, ORDER], [dt], job.allow_missing)
-    events = records.parse_telecom(lines, platform)
-    events = stored(facts.drop_test_users(events, test_users, "user_id"), "telecom-events")
+    parsed = records.parse_telecom(lines, platform, rejects=True)
+    parsed = stored(facts.drop_test_users(parsed, test_users, "user_id"), "telecom-events")
+    job.write_rejects("telecom", rejects.record_rejects(parsed))
+    events = parsed.where(F.col("reject").isNull()).drop("code", "reject")
     hot = find_hot_keys(events, "user_id", "ts")
     pool = stored(users_of_day(events, dt), "telecom-users")
     job.write(facts.pageview_facts(events, pool, hot), "mid_pageview_day")

@@ -10,6 +10,7 @@ LOOK_BACK = "0x05"
 TIME_SHIFT = "0x06"
 PAGE_VIEW = "0x07"
 ORDER = "0x09"
+HEARTBEAT = "0x10"
 ERROR = "0x11"
 HEART = "0x100"
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,6 +102,29 @@ def stored(df: DataFrame, name: str, partitions: tuple[str, ...] = ()) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Where an operator puts a small table that large ones are joined with.  Adaptive execution splits
+# the hot keys of a join only if both sides come straight from a shuffle: a side that is still to be
+# aggregated keeps the rows of a key in one task, one that was stored before does not.
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def as_it_is(df: DataFrame, name: str) -> DataFrame:
+    """Leave the table a part of the plan."""
+    return df
+
+
+def stored_once() -> Keep:
+    """Store each table the first time its name comes up; its later users read the same one."""
+    tables: dict[str, DataFrame] = {}
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if name not in tables:
+            tables[name] = stored(df, name)
+        return tables[name]
+
+    return keep
+
+
 _open: list[list[str]] = []
 
 

@@ -1,7 +1,8 @@
 """Dictionary tables, reduced to one row per key with a fixed choice of value.
 
 None of them is collected or hinted: they stay tables, and the size threshold
-of Spark decides between broadcasting and shuffling.
+of Spark decides between broadcasting and shuffling.  Their users take a ``keep``:
+a job stores each reduced dictionary once, so that a hot key of its joins can be split.
 """
 
 from __future__ import annotations

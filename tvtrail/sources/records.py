@@ -16,6 +16,7 @@ from tvtrail.schemas import (
     DEFAULT_REGION, ERROR, EVENT_TEXT_COLUMNS, HEART, INIT, LIVE, LOOK_BACK, ORDER,
     PAGE_VIEW, TIME_SHIFT, VOD,
 )
+from tvtrail.sources.rejects import NO_TIME, REJECT, SHORT
 
 # Kinds that share the wire code of VOD.
 FAVOURITE = "favourite"
@@ -88,9 +89,11 @@ def type_code(first: Column) -> Column:
     return F.when(prefixed, F.regexp_extract(first, r".*(0x.*)$", 1)).otherwise(first)
 
 
-def _records(lines: DataFrame, kind, value: str, milliseconds: bool) -> DataFrame:
+def _records(lines: DataFrame, kind, value: str, milliseconds: bool, rejects: bool = False) -> DataFrame:
     """Columns ``f``, ``code``, ``kind``, ``at`` and ``ts`` per valid record.
 
+    With ``rejects``, bad records stay too, as kind REJECT with their reason in ``reject``.
+
     A record is taken apart once, inside the generator.  Filters on its columns
     stop there; written as plain projections they would be pushed below and
     split every record once per use.
@@ -112,17 +115,24 @@ def _records(lines: DataFrame, kind, value: str, milliseconds: bool) -> DataFram
     found = F.transform(F.transform(parts, describe), classify)
     records = lines.select(*[c for c in lines.columns if c != value], F.inline(found))
     long_enough = (F.col("code") != INIT) | (F.size("f") >= 15)
-    valid = records.where(long_enough & F.col("at").isNotNull())
-    return valid.withColumn("ts", F.unix_timestamp("at"))
+    timed = records.withColumn("ts", F.unix_timestamp("at"))
+    if not rejects:
+        return timed.where(long_enough & F.col("at").isNotNull())
+    reason = F.when(~long_enough, F.lit(SHORT)).when(F.col("at").isNull(), F.lit(NO_TIME))
+    marked = timed.withColumn("reject", reason)
+    return marked.withColumn("kind", F.when(F.col("reject").isNotNull(), F.lit(REJECT)).otherwise(F.col("kind")))
 
 
-def split_records(lines: DataFrame, value: str = "value", milliseconds: bool = False) -> DataFrame:
+def split_records(
+    lines: DataFrame, value: str = "value", milliseconds: bool = False, rejects: bool = False
+) -> DataFrame:
     """Records with a valid device time: fields ``f``, ``code``, time ``at``, ``ts``.
 
     A power-on record carries its time in another field; one that is too short
     for that field has no valid time and is dropped like any other bad record.
+    With ``rejects``, bad records are kept and ``reject`` names their reason.
     """
-    return _records(lines, _mobile_kind, value, milliseconds)
+    return _records(lines, _mobile_kind, value, milliseconds, rejects)
 
 
 def _position(fields: Column, word: Column) -> Column:
@@ -183,7 +193,8 @@ def _layout_columns(f: str, kind: str, layout: dict) -> dict[str, Column]:
 
 def _events(records, kind, columns, play, platform, source_type, milliseconds=False):
     f = F.col("f")
-    user = F.when(kind == INIT, field(f, 9)).otherwise(field(f, 2))
+    user = F.when(kind == INIT, field(f, 9)).when(kind == REJECT, F.lit("")).otherwise(field(f, 2))
+    bad = [c for c in ("code", "reject") if "reject" in records.columns]
     state = F.when(kind == FAVOURITE, F.lit(VOD)).otherwise(kind)
     fmt = LOG_FORMAT + "SSS" if milliseconds else LOG_FORMAT
     return records.select(
@@ -195,17 +206,20 @@ def _events(records, kind, columns, play, platform, source_type, milliseconds=Fa
         *[columns[name].alias(name) for name in EVENT_TEXT_COLUMNS],
         F.lit(platform).alias("platform"),
         F.lit(source_type).alias("source_type"),
-        F.xxhash64("f").alias("rid"),
+        F.xxhash64("f").alias("rid"), *bad,
     )
 
 
-def parse_mobile(lines: DataFrame, platform: str = "HNYD", source_type: str = "sdk") -> DataFrame:
+def parse_mobile(
+    lines: DataFrame, platform: str = "HNYD", source_type: str = "sdk", rejects: bool = False
+) -> DataFrame:
     """All record kinds of the mobile boxes; anything unknown is a heartbeat.
 
     ``rid``, a hash of the record text, breaks ties between equal times the same
-    way on every run.
+    way on every run.  With ``rejects``, bad records are rows of state REJECT that name no
+    user, and every row has its type ``code`` and its reason ``reject``, null for good ones.
     """
-    records = _records(lines, _mobile_kind, "value", False)
+    records = _records(lines, _mobile_kind, "value", False, rejects)
     f, kind = F.col("f"), F.col("kind")
     columns = _layout_columns("f", "kind", MOBILE_LAYOUT)
 
@@ -232,8 +246,10 @@ def parse_mobile(lines: DataFrame, platform: str = "HNYD", source_type: str = "s
     return _events(records, kind, columns, play, platform, source_type)
 
 
-def parse_favourites(lines: DataFrame, platform: str = "HNYD", source_type: str = "sdk") -> DataFrame:
-    records = _records(lines, _favourite_kind, "value", False)
+def parse_favourites(
+    lines: DataFrame, platform: str = "HNYD", source_type: str = "sdk", rejects: bool = False
+) -> DataFrame:
+    records = _records(lines, _favourite_kind, "value", False, rejects)
     f, kind = F.col("f"), F.col("kind")
     columns = _layout_columns("f", "kind", FAVOURITE_LAYOUT)
     columns["regionid"] = F.when(kind == INIT, mobile_region(field(f, 14))).otherwise(
@@ -242,9 +258,11 @@ def parse_favourites(lines: DataFrame, platform: str = "HNYD", source_type: str
     return _events(records, kind, columns, F.lit(False), platform, source_type)
 
 
-def parse_telecom(lines: DataFrame, platform: str = "HNDX", source_type: str = "sdk") -> DataFrame:
+def parse_telecom(
+    lines: DataFrame, platform: str = "HNDX", source_type: str = "sdk", rejects: bool = False
+) -> DataFrame:
     """Telecom boxes: millisecond times, wider page views."""
-    records = _records(lines, _telecom_kind, "value", True)
+    records = _records(lines, _telecom_kind, "value", True, rejects)
     f, kind = F.col("f"), F.col("kind")
     columns = _layout_columns("f", "kind", TELECOM_LAYOUT)
     columns["regionid"] = F.when(kind == INIT, telecom_region(field(f, 9))).otherwise(
@@ -253,9 +271,15 @@ def parse_telecom(lines: DataFrame, platform: str = "HNDX", source_type: str = "
     return _events(records, kind, columns, F.lit(False), platform, source_type, milliseconds=True)
 
 
-def power_on_records(lines: DataFrame, dt: str, platform: str, source_type: str = "sdk") -> DataFrame:
-    """The daily power-on fact, one row per power-on record."""
-    records = split_records(lines).where(F.col("code") == INIT)
+def power_on_records(
+    lines: DataFrame, dt: str, platform: str, source_type: str = "sdk", rejects: bool = False
+) -> DataFrame:
+    """The daily power-on fact, one row per power-on record.
+
+    With ``rejects``, bad records of any type are rows too, with ``code`` and ``reject``.
+    """
+    records = split_records(lines, rejects=rejects)
+    records = records.where((F.col("code") == INIT) | F.col("reject").isNotNull() if rejects else F.col("code") == INIT)
     f = F.col("f")
     return records.select(
         field(f, 9).alias("uuid"),
@@ -265,18 +289,20 @@ def power_on_records(lines: DataFrame, dt: str, platform: str, source_type: str
         F.lit(dt).alias("dt"),
         F.lit(platform).alias("platform"),
         F.lit(source_type).alias("source_type"),
+        *(["code", "reject"] if rejects else []),
     )
 
 
-def positional_pages(lines: DataFrame) -> DataFrame:
+def positional_pages(lines: DataFrame, rejects: bool = False) -> DataFrame:
     """User, time and the name in field 10 of every record, whatever its type.
 
     The in/out path report reads page-view and order logs this way.
     """
     f = F.col("f")
-    return split_records(lines).select(
+    return split_records(lines, rejects=rejects).select(
         F.lit(PAGE_VIEW).alias("state"), field(f, 2).alias("user_id"), "ts",
         F.xxhash64("f").alias("rid"), field(f, 10).alias("pagename"),
+        *(["code", "reject"] if rejects else []),
     )
 
 

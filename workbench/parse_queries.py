@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tvtrail.operators import facts
 from tvtrail.session import scratch_path
-from tvtrail.sources import app_lines, files, records
+from tvtrail.sources import app_lines, files, records, rejects
 from tvtrail.functions.times import day_of, day_start
 from workbench import frames, wire
 from workbench.registry import query
@@ -239,3 +239,46 @@ def json_online_users(spark, sf_dir):
   CASE WHEN k%31=0 THEN 'live' ELSE 'vod' END AS data_type FROM copies""")
 def kv_vod_parse(spark, sf_dir):
     return app_lines.parse_app_vod(wire.app_vod_lines(spark, sf_dir)).drop("start_ts", "end_ts")
+
+
+_REASONS = "(VALUES " + ", ".join(f"('{t}','{r}')" for t, r in (
+    ("0x01", "short"), *((c, "no time") for c in (
+        "0x01", "0x03", "0x04", "0x05", "0x06", "0x07", "0x09", "0x11", "0x10", "other")))) + ") AS g(type, reason)"
+_BAD = f"""bad AS (SELECT CASE WHEN type='error' AND event_id%7=0 THEN 'other' ELSE code END AS type,
+  CASE WHEN type='signup' AND event_id%5=0 THEN 'short' WHEN NOT ({GOOD}) OR (type='error' AND event_id%7=0) THEN 'no time' END AS reason
+  FROM recs)"""
+
+
+def _damaged(lines):
+    """Some power-ons cut short, some other records replaced by noise."""
+    return lines.withColumn("value", F.when(
+        (F.col("type") == "signup") & (F.col("event_id") % 5 == 0), F.substring_index("value", "|", 13)).when(
+        (F.col("type") == "error") & (F.col("event_id") % 7 == 0), F.lit("?|no record|")).otherwise(F.col("value")))
+
+
+@query(with_(EV, _RECORDS, _BAD) + f"""SELECT g.type, g.reason, count(bad.type) AS n FROM {_REASONS}
+  LEFT JOIN bad ON bad.type=g.type AND bad.reason=g.reason GROUP BY 1, 2""")
+def bad_records(spark, sf_dir):
+    """Records no step can use, by type and reason, counted from the parsed table."""
+    parsed = records.parse_mobile(_damaged(wire.mobile_lines(spark, sf_dir)), rejects=True)
+    return rejects.report(rejects.record_rejects(parsed), rejects.RECORD_REASONS)
+
+
+@query(with_(EV) + """SELECT 'online' AS type, g.reason, count(ev.k) AS n FROM (VALUES ('no json'),('no box')) AS g(reason)
+  LEFT JOIN ev ON g.reason = CASE WHEN k%10=0 THEN 'no json' WHEN k%10<=2 THEN 'no box' END GROUP BY 1, 2""")
+def bad_online_lines(spark, sf_dir):
+    parsed = app_lines.parse_online(wire.online_lines(spark, sf_dir), rejects=True)
+    return rejects.report(rejects.line_rejects(parsed, "online"), rejects.ONLINE_REASONS)
+
+
+@query(with_(EV, "copies AS (SELECT *, unnest(CASE k%10 WHEN 0 THEN [0,1] WHEN 1 THEN [0,2] WHEN 2 THEN [0,3] ELSE [0] END) AS c FROM ev WHERE type='view')")
+       + """SELECT 'vod' AS type, g.reason, count(copies.k) AS n FROM (VALUES ('no pairs'),('no time')) AS g(reason)
+  LEFT JOIN copies ON g.reason = CASE WHEN k%23=0 THEN 'no pairs' WHEN k%31<>0 AND k%13=0 THEN 'no time' END GROUP BY 1, 2""")
+def bad_vod_lines(spark, sf_dir):
+    """Some lines lose what they hold, some the month of their start."""
+    lines = wire.app_vod_lines(spark, sf_dir)
+    k = F.regexp_extract("value", r'sndlvl_name":"media (\d+)"', 1).cast("int")
+    broken = F.when(k % 23 == 0, F.lit("{}")).when(
+        k % 13 == 0, F.regexp_replace("value", r'(start_time":"\d{4})-\d\d', "$1-13")).otherwise(F.col("value"))
+    parsed = app_lines.parse_app_vod(lines.withColumn("value", broken), rejects=True)
+    return rejects.report(rejects.line_rejects(parsed, "vod"), rejects.APP_VOD_REASONS)
