@@ -12,6 +12,7 @@ from tvtrail.session import build  # noqa: E402
 def spark(tmp_path_factory):
     session = build("tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "4",
+        "spark.tvtrail.buckets": "4",
         "spark.driver.memory": "4g",
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),

@@ -47,6 +47,8 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--source-type", default="sdk")
         if "logs" in needed:
             job.add_argument("--allow-missing", action="store_true", help="absent log folders count as empty")
+        if name == "box-numbers":
+            job.add_argument("--rebuild", action="store_true", help="count from all days, after a correction of earlier ones")
         if name == "programmes":
             job.add_argument("--path", help="folder of the table; managed by the catalog without it")
         job.add_argument("--time-zone", default="UTC", help="zone of the reporting day")
@@ -102,7 +104,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.job == "minutes":
         reports_day.minute_report(spark, args.warehouse, args.dt, args.platform, args.source_type)
     elif args.job == "box-numbers":
-        reports_day.box_numbers(spark, args.warehouse, args.dt)
+        reports_day.box_numbers(spark, args.warehouse, args.dt, args.rebuild)
     elif args.job == "names":
         reports_day.new_names(spark, args.warehouse, args.dt, args.platform, args.kind)
     elif args.job == "channel-flow":

@@ -9,7 +9,7 @@ from tvtrail.functions.times import shift_day
 from tvtrail.schemas import ALL_REGIONS, DEFAULT_REGION
 
 WINDOW_DAYS = 90
-_KEYS = ("regionid", "platform", "source_type")
+KEYS = ("regionid", "platform", "source_type")
 
 
 def _window(online: DataFrame, dt: str, days: int) -> DataFrame:
@@ -18,8 +18,8 @@ def _window(online: DataFrame, dt: str, days: int) -> DataFrame:
 
 def distinct_users(online: DataFrame, dt: str, days: int = WINDOW_DAYS) -> DataFrame:
     """Distinct boxes per region, platform and source over the trailing days."""
-    seen = _window(online, dt, days).select("uuid", *_KEYS).where(F.col("uuid").isNotNull()).distinct()
-    return seen.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("stbnum"))
+    seen = _window(online, dt, days).select("uuid", *KEYS).where(F.col("uuid").isNotNull()).distinct()
+    return seen.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("stbnum"))
 
 
 def residual_region(
@@ -53,17 +53,20 @@ def stb_report(online: DataFrame, dt: str, days: int = WINDOW_DAYS) -> DataFrame
     the sources, area 14300 sums the areas; both totals come from one
     aggregation over the base rows.
     """
-    base = distinct_users(online, dt, days)
-    residual = residual_region(online, dt, days)
+    return rollup(distinct_users(online, dt, days), residual_region(online, dt, days), dt)
+
+
+def rollup(base: DataFrame, residual: DataFrame, dt: str) -> DataFrame:
+    """The report of a day from the counts per area, platform and source, and the residual."""
     replaced = (
         (F.col("regionid") == DEFAULT_REGION)
         & (F.col("platform") == "HNYD") & (F.col("source_type") == "sdk")
     )
-    kept = base.where(~F.coalesce(replaced, F.lit(False))).select("stbnum", *_KEYS)
+    kept = base.where(~F.coalesce(replaced, F.lit(False))).select("stbnum", *KEYS)
     rows = kept.unionByName(residual.where(F.col("stbnum") > 0)).where(
         F.col("regionid") != ALL_REGIONS
     )
-    region, platform, source = (F.col(c) for c in _KEYS)
+    region, platform, source = (F.col(c) for c in KEYS)
     totals = rows.groupingSets(
         [[region, platform, source], [region, platform], [platform, source], [platform]],
         region, platform, source,

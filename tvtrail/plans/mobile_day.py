@@ -23,7 +23,7 @@ from tvtrail.schemas import (
     TIME_SHIFT, VOD,
 )
 from tvtrail.session import Keep, prepare, stored, stored_once, working_tables
-from tvtrail.sources import files, records, rejects
+from tvtrail.sources import buckets, files, records, rejects
 
 ALL_CODES = [INIT, LIVE, VOD, LOOK_BACK, TIME_SHIFT, PAGE_VIEW, ORDER, ERROR, HEARTBEAT]
 STATES = ("init", "fav", "all", "live", "timeshift", "vod", "lookback", "pageview", "order", "error")
@@ -70,15 +70,20 @@ class Job:
         )
 
 
+def pool_folder(job: Job, dt: str) -> str:
+    return f"{job.path('user_info_pool')}/dt={dt}/platform={job.platform}/source_type={job.source_type}"
+
+
 def previous_pool(job: Job) -> DataFrame:
-    """Yesterday's pool; empty before the first day.
+    """Yesterday's pool, bucketed by user if it was written so; empty before the first day.
 
     If only older days are stored, going on would lose their users.
     """
     days = files.stored_days(job.spark, job.path("user_info_pool"), job.platform, job.source_type)
     yesterday = pools.yesterday(job.dt)
     if yesterday in days:
-        return job.read("user_info_pool", yesterday)
+        labels = {"dt": F.lit(yesterday), "platform": F.lit(job.platform), "source_type": F.lit(job.source_type)}
+        return buckets.read(job.spark, pool_folder(job, yesterday), "user_id").withColumns(labels).select(*POOL_COLUMNS)
     earlier = [day for day in days if day < yesterday]
     if earlier and not job.allow_missing:
         raise FileNotFoundError(f"no user pool of {yesterday}; the last one is of {earlier[-1]}")
@@ -130,13 +135,18 @@ def active_day(events: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def user_pool(job: Job, events: DataFrame, found: DataFrame, previous: DataFrame) -> DataFrame:
+def user_pool(job: Job, events: DataFrame, found: DataFrame, previous: DataFrame | None) -> DataFrame:
+    """Write the pool of the day, bucketed by user: merging a day shuffles its active users only."""
     active = stored(
         pools.active_users(active_day(events, found), job.dt, job.platform, job.source_type),
         "active",
     )
     job.write(pools.online_day(active), "mid_online_day")
-    job.write(pools.merge_pool(active, previous, job.dt), "user_info_pool")
+    n = buckets.setting(job.spark)
+    stored_before = buckets.bucket_count(job.spark, pool_folder(job, pools.yesterday(job.dt)))
+    merged = pools.merge_pool(active, previous_pool(job) if previous is None else previous, job.dt)
+    buckets.write(
+        merged.drop(*PARTITION_COLUMNS), pool_folder(job, job.dt), "user_id", n, aligned=previous is None and stored_before == n)
     return job.read("user_info_pool")
 
 
@@ -180,13 +190,15 @@ def run(
         if state in ("init", "all"):
             power_ons(job, logs)
         if state not in ("init", "fav"):
-            _process(job, logs, state, dictionaries, previous_pool(job) if previous is None else previous)
+            _process(job, logs, state, dictionaries, previous)
         # After the pool of the day, which favourites are joined with.
         if state in ("fav", "all"):
             favourites(job, logs)
 
 
-def _process(job: Job, logs: str, state: str, d: Dictionaries, previous: DataFrame) -> None:
+def _process(job: Job, logs: str, state: str, d: Dictionaries, previous: DataFrame | None) -> None:
+    if previous is None:
+        previous_pool(job)  # a gap is an error before any work is done
     parsed = parsed_events(job, logs, d.test_users)
     job.write_rejects("mobile", rejects.record_rejects(parsed))
     events = good_events(parsed)

@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tvtrail import sinks
 from tvtrail.functions.labels import check_platform
 from tvtrail.functions.times import to_epoch
-from tvtrail.operators import flow, minutes, paths, reports
+from tvtrail.operators import flow, last_seen, minutes, paths, pool as pools, reports
 from tvtrail.operators.hotkeys import find_hot_keys
 from tvtrail.plans.mobile_day import PATH_PARTITION, Job
 from tvtrail.schemas import ORDER, PAGE_VIEW
 from tvtrail.session import prepare, stored, working_tables
-from tvtrail.sources import files, records, rejects
+from tvtrail.sources import buckets, files, records, rejects
 
 
 # --- fixed values: columns of the programme guide, and the names published for some ---
@@ -34,10 +34,28 @@ def minute_report(spark: SparkSession, warehouse: str, dt: str, platform: str, s
     job.write(minutes.minute_report(found, dt), "kd_live_minute")
 
 
-def box_numbers(spark: SparkSession, warehouse: str, dt: str) -> None:
+def box_state(job: Job, rebuild: bool = False) -> DataFrame:
+    """When each box was last seen, after the day of the job; written to ``box_last_seen``.
+
+    Yesterday's state and the day's online users give it.  Without that state, or to ``rebuild``, all
+    days of the window are read, as after a correction of earlier days.
+    """
+    online = files.read_partition(job.spark, job.path("mid_online_day"))
+    before, now = (f"{job.path('box_last_seen')}/dt={dt}" for dt in (pools.yesterday(job.dt), job.dt))
+    n, known = buckets.setting(job.spark), buckets.bucket_count(job.spark, before)
+    if rebuild or known is None:
+        state = last_seen.state_of(online, job.dt)
+    else:
+        state = last_seen.advance(
+            buckets.read(job.spark, before, "uuid"), online.where(F.col("dt") == job.dt), job.dt)
+    buckets.write(state, now, "uuid", n, aligned=not rebuild and known == n)
+    return buckets.read(job.spark, now, "uuid")
+
+
+def box_numbers(spark: SparkSession, warehouse: str, dt: str, rebuild: bool = False) -> None:
     job = Job(prepare(spark), warehouse, dt)
-    online = files.read_partition(spark, job.path("mid_online_day"))
-    report = reports.stb_report(online, dt)
+    state = box_state(job, rebuild)
+    report = reports.rollup(last_seen.distinct_users(state, dt), last_seen.residual_region(state, dt), dt)
     sinks.overwrite_partitions(report, job.path("stb_num_day"), ("create_date",))
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tvtrail.operators import facts, pool, reports
-from tvtrail.sources import files, records
+from tvtrail.operators import facts, last_seen, pool, reports
+from tvtrail.session import scratch_path
+from tvtrail.sources import buckets, files, records
 from workbench import frames, wire
-from workbench.registry import hot_users, query
+from workbench.registry import ORACLES, hot_users, query
 from workbench.sql import AREA_CODES, EV, GOOD, LOG, ONLINE, POOL, VERSION, log_time, mobile_region, pick, with_
 
 _ON_COLUMNS = f"""{mobile_region(pick(AREA_CODES, 'k'))} AS regionid,
@@ -69,6 +70,14 @@ def pool_merge(spark, sf_dir):
     return pool.merge_pool(_active(spark, sf_dir), frames.previous_pool(spark, sf_dir), frames.DAY)
 
 
+@query(ORACLES["pool_merge"])
+def pool_merge_bucketed(spark, sf_dir):
+    """Yesterday's pool is a table bucketed by user, and is not shuffled."""
+    folder = scratch_path(spark, "pool")
+    buckets.write(frames.previous_pool(spark, sf_dir), folder, "user_id", 8)
+    return pool.merge_pool(_active(spark, sf_dir), buckets.read(spark, folder, "user_id"), frames.DAY)
+
+
 @query(with_(EV) + f"""SELECT user_id AS uuid, {log_time('s')} AS powertime, {mobile_region(pick(AREA_CODES, 'k'))} AS regionid,
   {VERSION} AS apk_version, {_LABELS} FROM ev WHERE {GOOD} AND type='signup'""")
 def power_on_facts(spark, sf_dir):
@@ -118,6 +127,28 @@ def stb_report_rollup(spark, sf_dir):
     return reports.stb_report(frames.online(spark, sf_dir), "20240125")
 
 
+def _last_seen(spark, sf_dir):
+    """The state of 22 January, then three days, each merged with what was stored the day before."""
+    online, path = frames.online(spark, sf_dir), scratch_path(spark, "last-seen")
+    buckets.write(last_seen.state_of(online, "20240122"), f"{path}/dt=20240122", "uuid", 8)
+    for before, dt in (("20240122", "20240123"), ("20240123", "20240124"), ("20240124", "20240125")):
+        state = buckets.read(spark, f"{path}/dt={before}", "uuid")
+        buckets.write(last_seen.advance(state, online.where(F.col("dt") == dt), dt), f"{path}/dt={dt}", "uuid", 8, aligned=True)
+    return buckets.read(spark, f"{path}/dt=20240125", "uuid")
+
+
+@query(ORACLES["distinct_90d"])
+def distinct_90d_state(spark, sf_dir):
+    return last_seen.distinct_users(_last_seen(spark, sf_dir), "20240125")
+
+
+@query(ORACLES["stb_report_rollup"])
+def stb_report_state(spark, sf_dir):
+    state = _last_seen(spark, sf_dir)
+    return reports.rollup(
+        last_seen.distinct_users(state, "20240125"), last_seen.residual_region(state, "20240125"), "20240125")
+
+
 @query(with_(EV, """found AS (SELECT user_id AS userid, max('N'||k) AS stbid FROM ev GROUP BY 1)""", POOL)
        + "SELECT userid, stbid FROM found WHERE userid NOT IN (SELECT user_id FROM prev_pool)")
 def new_relations_anti(spark, sf_dir):
