@@ -30,6 +30,7 @@ def _parser() -> argparse.ArgumentParser:
         "app-online": ("logs", "warehouse", "dictionaries", "dt", "platform"),
         "app-vod": ("logs", "warehouse", "dictionaries", "dt"),
         "in-out-paths": ("logs", "warehouse", "dt", "platform"),
+        "path-period": ("warehouse", "since", "dt", "platform"),
         "minutes": ("warehouse", "dt", "platform", "source-type"),
         "box-numbers": ("warehouse", "dt"),
         "names": ("warehouse", "dt", "platform", "kind"),
@@ -101,6 +102,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.job == "in-out-paths":
         reports_day.in_out_paths(
             spark, args.logs, args.warehouse, args.dt, args.platform, args.allow_missing)
+    elif args.job == "path-period":
+        reports_day.path_period(spark, args.warehouse, args.since, args.dt, args.platform)
     elif args.job == "minutes":
         reports_day.minute_report(spark, args.warehouse, args.dt, args.platform, args.source_type)
     elif args.job == "box-numbers":

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tvtrail.functions.times import DAY_SECONDS, day_start, plus_days, to_epoch
+from tvtrail.operators.extremes import extreme
 from tvtrail.operators.hotkeys import HotKeys, neighbours
+from tvtrail.session import Keep, as_it_is
 
 # --- fixed values: reported channel code -> channel name ----------------------
 MAIN_CHANNEL = "央广购物"
@@ -30,6 +32,8 @@ OUT_LABELS = (*CHANNELS.values(), STAYED_OUT, OTHER)
 MIN_SECONDS = 30
 SLOT_SECONDS = 3600
 LAST_SLOT = 2 * DAY_SECONDS // SLOT_SECONDS
+# Views of one hour that one task joins; more are dealt over salts.
+VIEWS_PER_SALT = 500_000
 
 
 def programme_times(guide: DataFrame) -> DataFrame:
@@ -69,12 +73,20 @@ def _slots(start: Column, end: Column, day: Column) -> Column:
     return F.when(low <= high, F.sequence(low, F.greatest(low, high))).otherwise(F.array().cast("array<bigint>"))
 
 
-def overlapping(views: DataFrame, guide: DataFrame) -> DataFrame:
+def _salts(spread: DataFrame, per_salt: int) -> int:
+    """Into how many parts the views of the fullest hour fall; one count comes to the driver."""
+    fullest = spread.groupBy("day", "_slot").count().agg(F.max("count")).first()[0] or 0
+    return max(1, -(-fullest // per_salt))
+
+
+def overlapping(views: DataFrame, guide: DataFrame, per_salt: int | None = None) -> DataFrame:
     """Views with the programmes of their day they overlap.
 
-    Both sides are spread over the hours they touch and joined on (day, hour),
+    Both sides are spread over the hours they touch and joined on (day, hour, salt),
     so the join stays an equi-join at any size; a pair that shares several hours
-    is taken in the first shared one only.
+    is taken in the first shared one only.  Hours are few, and an evening hour may hold most
+    views: as many salts as the fullest hour needs divide its views, and the far fewer
+    programmes are copied to each.
     """
     programmes = guide.withColumns({
         "_from": to_epoch(F.col("starttime")), "_to": to_epoch(F.col("endtime")),
@@ -90,19 +102,24 @@ def overlapping(views: DataFrame, guide: DataFrame) -> DataFrame:
     programmes = programmes.withColumns({"_p0": F.get("_slots", F.lit(0)), "_slot": F.explode("_slots")})
     spread = views.withColumn("_vslots", _slots(F.col("start_ts"), F.col("end_ts"), F.col("day")))
     spread = spread.withColumns({"_v0": F.get("_vslots", F.lit(0)), "_slot": F.explode("_vslots")})
-    pairs = spread.join(programmes.drop("_slots"), ["day", "_slot"])
+    salts = _salts(spread.select("day", "_slot"), per_salt or VIEWS_PER_SALT)
+    spread = spread.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in views.columns]), F.lit(salts)))
+    copies = programmes.drop("_slots").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    pairs = spread.join(copies, ["day", "_slot", "_salt"])
     return pairs.where(
         (F.col("start_ts") <= F.col("_to"))
         & (F.col("end_ts") > F.col("_from"))
         & (F.col("_slot") == F.greatest("_p0", "_v0"))
-    ).drop("_slot", "_vslots", "_v0", "_p0")
+    ).drop("_slot", "_salt", "_vslots", "_v0", "_p0")
 
 
-def flow_events(views: DataFrame, guide: DataFrame, hot: HotKeys) -> DataFrame:
+def flow_events(views: DataFrame, guide: DataFrame, hot: HotKeys, keep: Keep = as_it_is) -> DataFrame:
     """In- and outflows of each box and day, one per type and programme.
 
     ``views``: stbid, day, start_ts, end_ts, content (a name), rid.  Of several
-    flows of a box at a programme the first inflow and the last outflow count.
+    flows of a box at a programme the first inflow and the last outflow count.  ``keep``: where
+    steps go that are read twice, to be counted and to be joined.
     """
     rows = hot.split(views, "start_ts")
     rows = neighbours(
@@ -111,7 +128,7 @@ def flow_events(views: DataFrame, guide: DataFrame, hot: HotKeys) -> DataFrame:
     on_main = F.col("content") == MAIN_CHANNEL
     was_main = F.coalesce(F.col("_prev") == MAIN_CHANNEL, F.lit(False))
     # Views that are not on the main channel and do not leave it cause no flow.
-    pairs = overlapping(rows.where(on_main | was_main), guide)
+    pairs = overlapping(keep(rows.where(on_main | was_main), "flow-views"), guide)
 
     def flow(kind: str, start: str, end: str, label: Column) -> Column:
         return F.struct(
@@ -135,16 +152,15 @@ def flow_events(views: DataFrame, guide: DataFrame, hot: HotKeys) -> DataFrame:
         ),
         lambda f: f.isNotNull(),
     )
-    moment = F.struct("start_ts", "end_ts", "rid", "_from")
-    events = pairs.select("stbid", "day", moment.alias("_at"), F.explode(flows).alias("_f"))
-    chosen = events.groupBy("stbid", "day", "_f.type", "_f.epg_start").agg(
-        F.min_by(F.struct("_f.label", "_f.epg_end"), "_at").alias("_first"),
-        F.max_by(F.struct("_f.label", "_f.epg_end"), "_at").alias("_last"),
-    )
-    pick = F.when(F.col("type") == INFLOW, F.col("_first")).otherwise(F.col("_last"))
-    return chosen.withColumn("_c", pick).select(
+    moment = ["start_ts", "end_ts", "rid", "_from"]
+    events = keep(pairs.select("stbid", "day", *moment, F.explode(flows).alias("_f")).select(
+        "stbid", "day", *moment, "_f.*"), "flow-events")
+    keys, shown = ["stbid", "day", "type", "epg_start"], ["label", "epg_end"]
+    chosen = extreme(events.where(F.col("type") == INFLOW), keys, moment, shown, last=False).unionByName(
+        extreme(events.where(F.col("type") == OUTFLOW), keys, moment, shown))
+    return chosen.select(
         "stbid", "day", "type", F.substring("epg_start", -6, 6).alias("starttime"),
-        F.substring("_c.epg_end", -6, 6).alias("endtime"), F.col("_c.label").alias("content"),
+        F.substring("epg_end", -6, 6).alias("endtime"), F.col("label").alias("content"),
     )
 
 

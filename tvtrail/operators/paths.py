@@ -82,6 +82,15 @@ def path_counts(events: DataFrame, pool: DataFrame, hot: HotKeys) -> DataFrame:
     )
 
 
+def add_counts(counts: DataFrame) -> DataFrame:
+    """Counts of several days, in any number of rows per path, to one row per path.
+
+    The counts of a day hold every path, so they add up exactly: the top of any period comes from
+    the stored days, without the events.
+    """
+    return counts.groupBy(*NAMES).agg(F.sum("ct").alias("ct"), *[F.max(c).alias(c) for c in _META])
+
+
 def top_paths(counts: DataFrame, end: bool = False, keep: int = KEPT) -> DataFrame:
     """Top paths from their first page (type 0) or towards their last (type 1).
 

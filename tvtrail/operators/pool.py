@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tvtrail.functions.text import choose_new
 from tvtrail.functions.times import DAY_SECONDS, day_start, shift_day
+from tvtrail.operators.extremes import extreme
 from tvtrail.schemas import (
     DEFAULT_REGION, INIT, PARTITION_COLUMNS, POOL_ATTRIBUTES, POOL_COLUMNS,
 )
@@ -17,12 +18,7 @@ def last_power_on(events: DataFrame, dt: str) -> DataFrame:
     rows = events.where(
         (F.col("state") == INIT) & (F.col("ts") >= first) & (F.col("ts") < first + DAY_SECONDS)
     )
-    payload = F.struct(*[c for c in rows.columns if c != "user_id"])
-    return (
-        rows.groupBy("user_id")
-        .agg(F.max_by(payload, F.struct("ts", "rid")).alias("_r"))
-        .select("user_id", "_r.*")
-    )
+    return extreme(rows, ["user_id"], ["ts", "rid"], [c for c in rows.columns if c != "user_id"])
 
 
 def active_users(events: DataFrame, dt: str, platform: str, source_type: str = "sdk") -> DataFrame:

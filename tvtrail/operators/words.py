@@ -12,16 +12,17 @@ from pyspark.sql import DataFrame, functions as F
 def without_prefixes(df: DataFrame, column: str, listed: DataFrame, word: str) -> DataFrame:
     """Rows whose name starts with no word of the list.
 
-    One anti join per word length, on that many first characters: a single pass over
-    the rows at any length of the list, and Spark broadcasts words that are few.  Only
-    the distinct lengths come to the driver.
+    One anti join at any number of word lengths: on as many first characters as the shortest
+    word has, and then on the whole word.  Spark broadcasts words that are few.  Only the
+    shortest length comes to the driver.
     """
     words = listed.where(F.coalesce(word, F.lit("")) != "").select(F.col(word).alias("_word")).distinct()
-    lengths = words.select(F.length("_word").alias("n")).distinct().collect()
-    for n in sorted(row.n for row in lengths):
-        same = words.where(F.length("_word") == n)
-        df = df.join(same, F.substring(F.col(column), 1, n) == same["_word"], "left_anti")
-    return df
+    shortest = words.agg(F.min(F.length("_word"))).first()[0]
+    if shortest is None:
+        return df
+    name, entry = F.col(column), words["_word"]
+    same = F.substring(name, 1, shortest) == F.substring(entry, 1, shortest)
+    return df.join(words, same & F.startswith(name, entry), "left_anti")
 
 
 def _names_and_words(names: DataFrame, listed: DataFrame, column: str):

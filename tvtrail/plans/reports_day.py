@@ -74,6 +74,17 @@ def in_out_paths(
         job.write(counts.withColumns(labels), "res_full_path", PATH_PARTITION)
 
 
+def path_period(spark: SparkSession, warehouse: str, first: str, last: str, platform: str) -> None:
+    """Top paths of all days from ``first`` to ``last``, from the stored counts of the days."""
+    job = Job(prepare(spark), warehouse, last, check_platform(platform))
+    days = files.read_partition(spark, job.path("mid_path_statis"), platform=platform).where(F.col("dt").between(first, last))
+    with working_tables(spark):
+        counts = stored(paths.add_counts(days), "period-counts")
+        top = paths.top_paths(counts).unionByName(paths.top_paths(counts, end=True))
+        labels = {"dt": F.lit(last), "since": F.lit(first), "platform": F.lit(platform)}
+        job.write(top.withColumns(labels), "path_period_result", ("since", "dt", "platform"))
+
+
 def channel_flow(
     spark: SparkSession, views: DataFrame, guide: DataFrame, out: str
 ) -> None:
@@ -86,7 +97,7 @@ def channel_flow(
     with working_tables(spark):
         named = stored(named, "channel-views")
         hot = find_hot_keys(named, "stbid", "start_ts")
-        counts = flow.flow_counts(flow.flow_events(named, flow.programme_times(guide), hot))
+        counts = flow.flow_counts(flow.flow_events(named, flow.programme_times(guide), hot, stored))
         sinks.write_text(flow.flow_lines(flow.flow_report(counts)), out)
 
 

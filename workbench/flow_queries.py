@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tvtrail.operators import flow, minutes
+from tvtrail.session import stored
 from workbench import frames
 from workbench.registry import hot_users, query
 from workbench.sql import EV, day, log_time, pick, telecom_region, with_
@@ -78,7 +79,7 @@ def flow_overlap(spark, sf_dir):
 def _counts(spark, sf_dir):
     views = _views(spark, sf_dir)
     hot = hot_users(views, "stbid", "start_ts")
-    return flow.flow_counts(flow.flow_events(views, _guide(spark, sf_dir), hot))
+    return flow.flow_counts(flow.flow_events(views, _guide(spark, sf_dir), hot, stored))
 
 
 @query(with_(EV, _VIEWS, _FLOWS) + "SELECT * FROM counts")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
 
+from pyspark.sql import DataFrame, functions as F
+
+from tvtrail.functions.times import day_of
 from tvtrail.operators import orders, paths, reports
 from tvtrail.session import stored
 from workbench import frames
 from workbench.registry import hot_users, query
-from workbench.sql import EV, LOG, PAGES, POOL, with_
+from workbench.sql import EV, LOG, PAGES, POOL, day, with_
 
 # Pages in order per user, with a boot page first where a power-on precedes them.
 _SEQ = """named AS (SELECT user_id, ts, rid, pagename FROM pages_seen WHERE pagename<>''),
@@ -55,9 +58,9 @@ def insert_path_names(spark, sf_dir):
     return reports.rows_to_insert(names, known, ["page_id", "page_name"])
 
 
-def _top(near: str, middle: str, far: str, kind: str) -> str:
+def _top(near: str, middle: str, far: str, kind: str, base=(*_BASE, POOL, _COUNTS)) -> str:
     meta = "max(apk_version) AS apk_version, max(dt) AS dt, max(platform) AS platform"
-    return with_(*_BASE, POOL, _COUNTS, f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY {near},{middle}
+    return with_(*base, f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY {near},{middle}
     ORDER BY ct DESC, {far}) AS rn FROM counts),
 second AS (SELECT * EXCLUDE (rn) FROM ranked WHERE rn<=19 UNION ALL BY NAME
   SELECT {near}, {middle}, 'other' AS {far}, CAST(sum(ct) AS BIGINT) AS ct, {meta} FROM ranked WHERE rn>19 GROUP BY 1,2),
@@ -78,6 +81,23 @@ def path_top20_end(spark, sf_dir):
     return paths.top_paths(stored(_counts(spark, sf_dir), "path-counts"), end=True)
 
 
+# The paths of each day by itself: a user is another one on another day.
+_DAILY = (
+    f"pages_day AS (SELECT *, user_id||'@'||{day('ts')} AS who FROM pages_seen)",
+    f"log_day AS (SELECT *, user_id||'@'||{day('ts')} AS who FROM log)",
+    _SEQ.replace("user_id", "who").replace("FROM pages_seen", "FROM pages_day").replace("FROM log", "FROM log_day"))
+_DAILY_COUNTS = _COUNTS.replace("paths JOIN pool USING (user_id)", "paths JOIN pool ON pool.user_id=split_part(who,'@',1)")
+
+
+@query(_top("page_name", "page_name2", "page_name3", "0", (EV, LOG, PAGES, *_DAILY, POOL, _DAILY_COUNTS)))
+def path_period_start(spark, sf_dir):
+    """Top paths of three days, from the stored counts of each."""
+    events, pool = frames.path_events(spark, sf_dir), frames.pool(spark, sf_dir)
+    days = [events.where(day_of(F.col("ts")) == dt) for dt in ("20240101", "20240102", "20240103")]
+    daily = [stored(paths.path_counts(rows, pool, hot_users(rows)), "day-counts") for rows in days]
+    return paths.top_paths(stored(paths.add_counts(reduce(DataFrame.unionByName, daily)), "period-counts"))
+
+
 @query(with_(*_BASE, """p2 AS (SELECT user_id, len(pages) AS n, list_concat(['',''], pages, ['','']) AS p FROM seq),
 inout AS (SELECT p[i] AS page_name, p[i+1] AS page_name2, p[i+2] AS page_name3, 0 AS lr FROM p2, unnest(range(3,n+3)) AS t(i)
   UNION ALL SELECT p[i], p[i-1], p[i-2], 1 FROM p2, unnest(range(3,n+3)) AS t(i))""")
