@@ -97,7 +97,7 @@ def _byte_spans(folded: bytes, ranges: list[tuple[int, int]]) -> list[tuple[int,
 def _groups(spark: SparkSession, items: DataFrame, text: str, key: str, limit: int):
     """The benchmark in groups of at most ``limit`` bytes (a single longer item is its own)."""
     group, size = [], 0
-    for row in items.select(F.col(key).cast("bigint"), F.col(text).cast("binary")).toLocalIterator():
+    for row in items.select(F.col(f"`{key}`").cast("bigint"), F.col(f"`{text}`").cast("binary")).toLocalIterator():
         length = len(row[1] or b"")
         if group and size + length > limit:
             yield spark.sparkContext.broadcast(group)
@@ -144,4 +144,4 @@ def mark(
                 })
             yield pa.array(rows, _ARROW)
 
-    return docs.withColumn(into, F.arrow_udf(scan_all, RESULT)(F.col(text)))
+    return docs.withColumn(into, F.arrow_udf(scan_all, RESULT)(F.col(f"`{text}`")))

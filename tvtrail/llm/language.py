@@ -35,7 +35,6 @@ FAMILIES = {
     "malayic": ("id", "ms", "jv", "su"),
 }
 _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes}
-_LETTER = re.compile(r"[^\W\d_]")
 _FOLD = bytes(c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 
 
@@ -80,8 +79,8 @@ class Model:
     pairs: dict[tuple[str, str], np.ndarray] = field(default_factory=dict)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """Language and a score from 0 to 1; ``und`` and 0 for a text without letters."""
-        if not self.families or not text or not _LETTER.search(text):
+        """Language and a score from 0 to 1; ``und`` and 0 for a text without letters (category L)."""
+        if not self.families or not text or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         x = features(text)
         names = list(self.families)

@@ -9,6 +9,9 @@ equal anchors, and neighbouring strings mostly share one.  Three steps, each a s
 2. Only these anchors send their surroundings, which hold all 50-byte strings they lead,
    to the bucket of the anchor.  A batch sends equal surroundings once; later documents
    of the batch that have them too are matched where they are.
+   An anchor of a line that many documents have meets another text around it in each.  Buckets
+   that would hold many places are known from step 1; there every string goes by its own
+   hash to one of several parts of the bucket, and strings that a row repeats go once.
 3. In a bucket documents come in ascending order, in batches.  A batch gets its suffix
    array (the starts of its strings in the order of their fingerprints), is merge-scanned
    against the arrays of earlier batches for strings of smaller documents, and joins them;
@@ -26,9 +29,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tvtrail.llm.common import discard, settle, text_bytes, utf8
+from tvtrail.llm.common import discard, packed, settle, text_bytes, unpacked, utf8
 from tvtrail.llm.shingles import mix
 
 LENGTH = 50
@@ -40,6 +44,9 @@ BATCH_BYTES = 16 << 20
 STEP_BYTES = 1 << 19
 BUCKET_BYTES = 8 << 20
 INDEX_BATCH = 1 << 19
+# Places of shared anchors from which on a bucket is divided, and those of one part.
+HOT_PLACES = 250_000
+PART_PLACES = 30_000
 # Text of the documents whose results are gathered by one task.
 DEST_BYTES = 32 << 20
 
@@ -186,6 +193,8 @@ def _unpacked(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
 def _by_document(rows: pd.DataFrame) -> pd.DataFrame:
     """One row per document of a destination, with all its entries."""
     ids, ties, starts, lengths = _unpacked(rows)
+    if not len(ids):
+        return pd.DataFrame({"id": ids, "tie": ties, "starts": [], "lengths": []})
     order = np.lexsort((starts, ties, ids))
     ids, ties, starts, lengths = ids[order], ties[order], starts[order], lengths[order]
     first = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1]))))
@@ -211,7 +220,8 @@ def _send_anchors(buckets: int, dests: int):
     """Distinct anchors of a batch, by bucket, with their smallest document.
 
     Anchors that several documents of the batch have are known to be shared: all places
-    of them go out as found already (rows without keys).
+    of them go out as found already (rows without keys).  ``lengths`` counts the places that
+    an entry stands for.
     """
     names = ["bucket", "keys", "dest", "ids", "ties", "starts", "lengths"]
 
@@ -231,8 +241,9 @@ def _send_anchors(buckets: int, dests: int):
             sent = ~shared
             sent[first] = True
             where = _buckets_of(keys[sent], buckets)
+            stands = np.where(shared, np.repeat(counts, counts), 1)[sent].astype(np.uint32)
             out = [(int(where[a]), keys[sent][a:b].tobytes(), 0, owner[sent][a:b].tobytes(), b"",
-                    place[sent][a:b].astype(np.uint32).tobytes(), b"") for a, b in _split(where)]
+                    place[sent][a:b].astype(np.uint32).tobytes(), stands[a:b].tobytes()) for a, b in _split(where)]
             none = np.zeros(int(shared.sum()), np.int64)
             for dest, *entries in _packed((owner[shared], none, place[shared], none), dests):
                 out.append((dest % buckets, b"", dest, *entries))
@@ -241,28 +252,47 @@ def _send_anchors(buckets: int, dests: int):
     return run
 
 
+_SHARED = f"{_ENTRIES}, bucket bigint, places bigint"
+_FOUND = "id bigint, tie bigint, starts binary, lengths binary"
+
+
 def _shared_anchors(dests: int):
-    """Places of anchors that more than one document has, by destination."""
+    """Places of anchors that more than one document has, by destination; and how many the bucket has."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         known = rows["keys"].map(len) == 0
-        out = [tuple(r) for r in rows.loc[known, ["dest", "ids", "ties", "starts", "lengths"]].itertuples(index=False)]
+        none = (None, None)
+        out = [(*r, *none) for r in rows.loc[known, ["dest", "ids", "ties", "starts", "lengths"]].itertuples(index=False)]
         sent = rows[~known]
         if len(sent):
-            keys, owner, place = (
-                np.frombuffer(b"".join(sent[c]), t) for c, t in (("keys", np.uint64), ("ids", np.int64), ("starts", np.uint32)))
+            keys, owner, place, stands = (np.frombuffer(b"".join(sent[c]), t) for c, t in (
+                ("keys", np.uint64), ("ids", np.int64), ("starts", np.uint32), ("lengths", np.uint32)))
             order = np.lexsort((owner, keys))
-            keys, owner, place = keys[order], owner[order], place[order]
+            keys, owner, place, stands = keys[order], owner[order], place[order], stands[order]
             first = _runs(keys)
             counts = np.diff(np.concatenate((first, [len(keys)])))
             many = np.repeat(owner[first] != owner[first + counts - 1], counts)
-            none = np.zeros(int(many.sum()), np.int64)
-            out += _packed((owner[many], none, place[many], none), dests)
-        return pd.DataFrame(out, columns=["dest", "ids", "ties", "starts", "lengths"])
+            zeros = np.zeros(int(many.sum()), np.int64)
+            out += [(*r, *none) for r in _packed((owner[many], zeros, place[many], zeros), dests)]
+            out.append((int(key[0]) % dests, b"", b"", b"", b"", int(key[0]), int(stands[many | (stands > 1)].sum())))
+        names = ["dest", "ids", "ties", "starts", "lengths", "bucket", "places"]
+        return pd.DataFrame(out, columns=names).astype({"bucket": "Int64", "places": "Int64"})
 
     return run
 
 
+def _places_by_document(rows: pd.DataFrame) -> pd.DataFrame:
+    """As ``_by_document``, with the counts of buckets as rows without id."""
+    counted = rows["bucket"].notna()
+    documents, counts = _by_document(rows[~counted]), rows.loc[counted, ["bucket", "places"]]
+    # Nullable integers throughout: ids and hashes need all their 64 bits.
+    parts = [documents.astype({"id": "Int64", "tie": "Int64"}), counts.astype("Int64")]
+    names = {"id": "Int64", "tie": "Int64", "starts": object, "lengths": object, "bucket": "Int64", "places": "Int64"}
+    return pd.DataFrame({
+        n: pd.concat([p[n] if n in p else pd.Series([None] * len(p), dtype=kind) for p in parts], ignore_index=True).astype(kind)
+        for n, kind in names.items()})
+
+
 _SURROUNDINGS = f"bucket bigint, texts binary, {_ENTRIES}"
 
 
@@ -342,20 +372,102 @@ class IndexFamily:
         return out
 
 
+_DEALT = f"bucket bigint, part bigint, texts binary, strings binary, {_ENTRIES}"
+
+
+def _strings(data, length) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All strings of surroundings that lie one after another: fingerprint, surrounding, place in it."""
+    lengths = length.astype(np.int64)
+    ends = np.cumsum(lengths)
+    inside = np.arange(len(data)) - np.repeat(ends - lengths, lengths)
+    entry = np.repeat(np.arange(len(lengths)), lengths)
+    whole = np.flatnonzero(inside + LENGTH <= lengths[entry])
+    return gram_hashes(data, LENGTH)[whole], entry[whole], inside[whole]
+
+
+def _joined(owner, tie, start) -> tuple[np.ndarray, ...]:
+    """Spans of strings: those at neighbouring places of a text become one."""
+    order = np.lexsort((start, tie, owner))
+    owner, tie, start = owner[order], tie[order], start[order].astype(np.int64)
+    if not len(owner):
+        return owner, tie, start, start
+    gap = (owner[1:] != owner[:-1]) | (tie[1:] != tie[:-1]) | (start[1:] > start[:-1] + 1)
+    first = np.flatnonzero(np.concatenate(([True], gap)))
+    last = np.concatenate((first[1:], [len(owner)])) - 1
+    return owner[first], tie[first], start[first], start[last] - start[first] + LENGTH
+
+
+def _deal_strings(buckets: int, dests: int):
+    """Rows of ordinary buckets as they are; the strings of the others, by their hash, to the parts.
+
+    Strings that several documents of a row have go out once, from the smallest; for the others
+    they are found already.
+    """
+    kinds = {n: pa.int64() for n in ("bucket", "part", "dest")}
+    names = [c.split()[0] for c in _DEALT.split(", ")]
+
+    def dealt(row: dict) -> Iterator[tuple]:
+        data = np.frombuffer(row["texts"], np.uint8)
+        owner, tie, start, length = (np.frombuffer(row[c], k) for c, k in zip(("ids", "ties", "starts", "lengths"), _KINDS))
+        strings, entry, inside = _strings(data, length)
+        owner, tie, start = owner[entry], tie[entry], start[entry] + inside
+        order = np.lexsort((owner, strings))
+        strings, owner, tie, start = strings[order], owner[order], tie[order], start[order]
+        first = _runs(strings)
+        found = owner > np.repeat(owner[first], np.diff(np.concatenate((first, [len(strings)]))))
+        for dest, *entries in _packed(_joined(owner[found], tie[found], start[found]), dests):
+            yield (dest % buckets, 0, b"", b"", dest, *entries)
+        send = np.flatnonzero(~found)
+        part = (mix(strings[send]) % np.uint64(row["parts"])).astype(np.int64)
+        by = np.argsort(part, kind="stable")
+        send, part = send[by], part[by]
+        for a, b in _split(part):
+            some = send[a:b]
+            yield (row["bucket"], int(part[a]), b"", strings[some].tobytes(), 0, owner[some].tobytes(), tie[some].tobytes(),
+                   start[some].astype(np.uint32).tobytes(), b"")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hot = np.array([p is not None and n > 0 for p, n in zip(
+                batch.column("parts").to_pylist(), pc.binary_length(batch.column("texts")).to_pylist())], bool)
+            plain = batch.filter(pa.array(~hot))
+            if plain.num_rows:
+                more = {"part": pa.array(np.zeros(plain.num_rows, np.int64)), "strings": pa.array([b""] * plain.num_rows, pa.binary())}
+                yield pa.RecordBatch.from_arrays([more[n] if n in more else plain.column(n) for n in names], names)
+            for row in batch.filter(pa.array(hot)).to_pylist() if hot.any() else ():
+                out = list(dealt(row))
+                yield pa.RecordBatch.from_arrays([pa.array(c, kinds.get(n, pa.binary())) for c, n in zip(zip(*out), names)], names)
+
+    return run
+
+
 def _scan_bucket(dests: int):
-    """Spans of a bucket's strings that a smaller document has, by destination."""
+    """Spans of the strings of a bucket, or of its part, that a smaller document has, by destination."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        known = rows["texts"].map(len) == 0
-        out = [tuple(r) for r in rows.loc[known, ["dest", "ids", "ties", "starts", "lengths"]].itertuples(index=False)]
-        sent = rows[~known]
+        texts, strings = rows["texts"].map(len) > 0, rows["strings"].map(len) > 0
+        out = [tuple(r) for r in rows.loc[~(texts | strings), ["dest", "ids", "ties", "starts", "lengths"]].itertuples(index=False)]
+        sent = rows[texts]
         if len(sent):
             out += _packed(_spans(np.frombuffer(b"".join(sent["texts"]), np.uint8), *_unpacked(sent)), dests)
+        alone = rows[strings]
+        if len(alone):
+            out += _packed(_string_spans(np.frombuffer(b"".join(alone["strings"]), np.uint64), *_unpacked(alone)[:3]), dests)
         return pd.DataFrame(out, columns=["dest", "ids", "ties", "starts", "lengths"])
 
     return run
 
 
+def _string_spans(strings, owner, tie, start) -> tuple[np.ndarray, ...]:
+    """As ``_spans``, for strings that come one by one."""
+    order = np.argsort(owner, kind="stable")
+    family, found = IndexFamily(), np.zeros(len(strings), bool)
+    for at in range(0, len(order), INDEX_BATCH):
+        batch = order[at:at + INDEX_BATCH]
+        found[batch] = family.scan_and_add(strings[batch], owner[batch])
+    return _joined(owner[found], tie[found], start[found])
+
+
 def _spans(data, owner, tie, start, length) -> tuple[np.ndarray, ...]:
     """Entries of strings that a smaller document has; ``data`` holds the surroundings one after another."""
     at = np.cumsum(length, dtype=np.int64) - length
@@ -419,20 +531,24 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", int
     own_text = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     own_tie = F.xxhash64(own_text)
     plain = docs.select(own_id.alias("id"), own_tie.alias("tie"), own_text.alias("text"))
-    found = "id bigint, tie bigint, starts binary, lengths binary"
-    places = settle(
+    shared = settle(
         plain.select("id", "text").mapInArrow(_send_anchors(buckets, dests), _POSTINGS)
-        .groupBy("bucket").applyInPandas(_shared_anchors(dests), _ENTRIES)
-        .groupBy("dest").applyInPandas(_by_document, found), "shared-anchors")
+        .groupBy("bucket").applyInPandas(_shared_anchors(dests), _SHARED)
+        .groupBy("dest").applyInPandas(_places_by_document, f"{_FOUND}, bucket bigint, places bigint"), "shared-anchors")
+    # Stored by itself, so that Spark knows how small it is.
+    hot = settle(shared.where(F.col("places") > HOT_PLACES).select(
+        "bucket", F.ceil(F.col("places") / PART_PLACES).alias("parts")), "hot-buckets")
+    places = shared.where(F.col("id").isNotNull()).select("id", F.col("starts").alias("places"))
     spans = settle(
-        plain.join(places.select("id", F.col("starts").alias("places")).hint("shuffle_hash"), "id")
+        plain.join(places.hint("shuffle_hash"), "id")
         .select("id", "tie", "text", "places")
         .mapInArrow(_send_surroundings(buckets, dests), _SURROUNDINGS)
-        .groupBy("bucket").applyInPandas(_scan_bucket(dests), _ENTRIES)
-        .groupBy("dest").applyInPandas(_by_document, found), "repeat-spans")
-    discard(places)
+        .join(hot, "bucket", "left")
+        .mapInArrow(_deal_strings(buckets, dests), _DEALT)
+        .groupBy("bucket", "part").applyInPandas(_scan_bucket(dests), _ENTRIES)
+        .groupBy("dest").applyInPandas(_by_document, _FOUND), "repeat-spans")
+    discard(shared, hot)
     by_row = spans.toDF("_id", "_tie", "_starts", "_lengths")
-    rows = docs.withColumns({"_id": own_id, "_tie": own_tie})
-    return rows.join(by_row.hint("shuffle_hash"), ["_id", "_tie"], "left").withColumn(
-        into, F.arrow_udf(_remove, "struct<spans:array<struct<start:bigint,end:bigint>>,kept:binary>")(
-            own_text, F.col("_starts"), F.col("_lengths"))).drop("_id", "_tie", "_starts", "_lengths")
+    rows = packed(docs, _id=own_id, _tie=own_tie).join(by_row.hint("shuffle_hash"), ["_id", "_tie"], "left")
+    cut = F.arrow_udf(_remove, "struct<spans:array<struct<start:bigint,end:bigint>>,kept:binary>")
+    return unpacked(rows, **{into: cut(F.coalesce(F.col("_row")[text], F.lit("")), F.col("_starts"), F.col("_lengths"))})

@@ -148,12 +148,14 @@ class TokenFile:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Per stored document: doc_id, start (tokens of all documents before it), n_tokens, ids_crc32.
 
-    A file on a mounted file system (``file:``) is mapped by the task that has it; from
-    other stores Spark's binary reader brings it as one row, viewed in place.  A file's
+    A file on a mounted file system is mapped by the task that has it; from other stores
+    Spark's binary reader brings it as one row, viewed in place.  The store is that which the
+    path leads to: one without a scheme belongs to the default file system.  A file's
     base is the prefix sum of the token totals of the files before it (one row per file).
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    mounted = path.startswith(("file:", "/"))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    mounted = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

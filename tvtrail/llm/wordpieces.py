@@ -16,6 +16,8 @@ from functools import cached_property
 from tokenizers import Tokenizer
 
 CACHE_WORDS = 120_000
+# Longer words are never kept, so a cache is bounded in bytes too.
+KEPT_LETTERS = 64
 
 # Latin-1 and Latin Extended-A, without controls, other blanks and the dotted capital I.
 _PLAIN = re.compile("[\t\n\r -~\xa1-įı-ſ]*")
@@ -179,7 +181,8 @@ class WordCache(dict):
         value = self._older.get(word)
         if value is None:
             value = self._make(word)
-        self[word] = value
+        if len(word) <= KEPT_LETTERS:
+            self[word] = value
         return value
 
     def trim(self) -> None:
