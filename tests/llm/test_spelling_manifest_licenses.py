@@ -230,10 +230,10 @@ def test_op12_small_trees(spark, rows, monkeypatch):
         same(proofs(frame(spark, got)), plain_manifest(got))
 
 
-def test_op12_limits_are_restored(spark):
-    before = {k: spark.conf.get(k, None) for k in manifest._LIMITS}
+def test_op12_limit_is_restored(spark):
+    before = spark.conf.get(manifest._ROW_LIMIT, None)
     proofs(frame(spark, numbered(5, ("en",))))
-    assert {k: spark.conf.get(k, None) for k in manifest._LIMITS} == before
+    assert spark.conf.get(manifest._ROW_LIMIT, None) == before
 
 
 def test_op12_no_node_row_meets_many_leaves(spark, monkeypatch):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -12,6 +15,17 @@ BLANKS = " \t\n\x0b\x0c\r"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the jobs of a block, restored after it."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a step to the shared folder, free its shuffle files, read it back.
 
@@ -19,12 +33,8 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     more than the tasks of the step at hand.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with setting(spark, _CLEANUP, "true"):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
     table = spark.read.parquet(path)
     table.settled_at = path
     return table

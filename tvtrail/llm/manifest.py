@@ -11,15 +11,14 @@ the leaf's hash with them.
 from __future__ import annotations
 
 import hashlib
-from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from tvtrail.llm.common import discard, number_rows, settle
+from tvtrail.llm.common import discard, number_rows, setting, settle
 
 # Levels from a stored node to its parent; a task group holds 2 ** HEIGHT hashes.
 HEIGHT = 10
@@ -28,7 +27,7 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 _TOP = -1  # level of a climber that has arrived
 _PATH = ArrayType(StructType().add("before", "binary").add("after", "binary"))
 # A climb takes a step per stored level, whatever the number of leaves.
-_LIMITS = {"spark.sql.cteRecursionRowLimit": "-1", "spark.sql.cteRecursionLevelLimit": "100"}
+_ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
 
 _FOLD = "aggregate({path}, {hash}, (hash, step) -> sha2(concat(lower(hex(step.before)), hash, lower(hex(step.after))), 256))"
 _APPEND = "aggregate({path}, {proof}, (found, step) -> concat(found, step.before, step.after))"
@@ -190,25 +189,13 @@ def _upper(low: list[DataFrame], high: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-@contextmanager
-def _limits(spark: SparkSession):
-    before = {name: spark.conf.get(name, None) for name in _LIMITS}
-    for name, value in _LIMITS.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
 def climb(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
     """Settled (leaf, folded, proof) from (leaf: number, folded: hash of the row as it is found, path, parent, parent_level).
 
     ``proof`` is the siblings in the order of the climb, as bytes; ``folded`` the root that the hash leads to.
     """
     spark = nodes.sparkSession
-    with _limits(spark):
+    with setting(spark, _ROW_LIMIT, "-1"):
         return settle(spark.sql(CLIMB, leaves=leaves, nodes=nodes), "manifest-climb")
 
 

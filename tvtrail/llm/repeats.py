@@ -24,6 +24,7 @@ A fingerprint is compared inside the bucket of one anchor hash range only.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tvtrail.llm.common import discard, packed, settle, text_bytes, unpacked, utf8
+from tvtrail.llm.common import discard, packed, setting, settle, text_bytes, unpacked, utf8
 from tvtrail.llm.shingles import mix
 
 LENGTH = 50
@@ -50,6 +51,8 @@ PART_PLACES = 30_000
 # Text of the documents whose results are gathered by one task.
 DEST_BYTES = 32 << 20
 
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _LETTERS = np.random.default_rng(50).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _ORDER = np.uint64(0xD6E8FEB86659FD93)
@@ -331,7 +334,7 @@ def _send_surroundings(buckets: int, dests: int):
                 out.append((dest % buckets, b"", dest, *entries))
             send = np.flatnonzero(~matched)
             where = _buckets_of(keys[send], buckets)
-            by = np.argsort(where, kind="stable")
+            by = np.lexsort((keys[send], where))  # an anchor's surroundings together
             send, where = send[by], where[by]
             for a, b in _split(where):
                 part = send[a:b]
@@ -407,8 +410,16 @@ def _deal_strings(buckets: int, dests: int):
     names = [c.split()[0] for c in _DEALT.split(", ")]
 
     def dealt(row: dict) -> Iterator[tuple]:
-        data = np.frombuffer(row["texts"], np.uint8)
-        owner, tie, start, length = (np.frombuffer(row[c], k) for c, k in zip(("ids", "ties", "starts", "lengths"), _KINDS))
+        lengths = np.frombuffer(row["lengths"], np.uint32)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        cuts = np.unique(np.append(np.searchsorted(ends, np.arange(STEP_BYTES, int(ends[-1]), STEP_BYTES)), len(ends)))
+        columns = [np.frombuffer(row[c], k) for c, k in zip(("ids", "ties", "starts"), _KINDS)]
+        for a, b in zip([0, *cuts], cuts):
+            if a < b:
+                data = np.frombuffer(row["texts"], np.uint8)[ends[a] - lengths[a]:ends[b - 1]]
+                yield from some(row, data, *(c[a:b] for c in columns), lengths[a:b])
+
+    def some(row: dict, data, owner, tie, start, length) -> Iterator[tuple]:
         strings, entry, inside = _strings(data, length)
         owner, tie, start = owner[entry], tie[entry], start[entry] + inside
         order = np.lexsort((owner, strings))
@@ -422,9 +433,9 @@ def _deal_strings(buckets: int, dests: int):
         by = np.argsort(part, kind="stable")
         send, part = send[by], part[by]
         for a, b in _split(part):
-            some = send[a:b]
-            yield (row["bucket"], int(part[a]), b"", strings[some].tobytes(), 0, owner[some].tobytes(), tie[some].tobytes(),
-                   start[some].astype(np.uint32).tobytes(), b"")
+            one = send[a:b]
+            yield (row["bucket"], int(part[a]), b"", strings[one].tobytes(), 0, owner[one].tobytes(), tie[one].tobytes(),
+                   start[one].astype(np.uint32).tobytes(), b"")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -434,9 +445,10 @@ def _deal_strings(buckets: int, dests: int):
             if plain.num_rows:
                 more = {"part": pa.array(np.zeros(plain.num_rows, np.int64)), "strings": pa.array([b""] * plain.num_rows, pa.binary())}
                 yield pa.RecordBatch.from_arrays([more[n] if n in more else plain.column(n) for n in names], names)
-            for row in batch.filter(pa.array(hot)).to_pylist() if hot.any() else ():
-                out = list(dealt(row))
-                yield pa.RecordBatch.from_arrays([pa.array(c, kinds.get(n, pa.binary())) for c, n in zip(zip(*out), names)], names)
+            for n in np.flatnonzero(hot).tolist():
+                out = dealt(batch.slice(n, 1).to_pylist()[0])
+                while rows := list(itertools.islice(out, 256)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kinds.get(n, pa.binary())) for c, n in zip(zip(*rows), names)], names)
 
     return run
 
@@ -539,14 +551,16 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", int
     hot = settle(shared.where(F.col("places") > HOT_PLACES).select(
         "bucket", F.ceil(F.col("places") / PART_PLACES).alias("parts")), "hot-buckets")
     places = shared.where(F.col("id").isNotNull()).select("id", F.col("starts").alias("places"))
-    spans = settle(
-        plain.join(places.hint("shuffle_hash"), "id")
-        .select("id", "tie", "text", "places")
-        .mapInArrow(_send_surroundings(buckets, dests), _SURROUNDINGS)
-        .join(hot, "bucket", "left")
-        .mapInArrow(_deal_strings(buckets, dests), _DEALT)
-        .groupBy("bucket", "part").applyInPandas(_scan_bucket(dests), _ENTRIES)
-        .groupBy("dest").applyInPandas(_by_document, _FOUND), "repeat-spans")
+    # A row holds a batch's share of a bucket: few of them make an Arrow batch.
+    with setting(docs.sparkSession, _ARROW_ROWS, "16"):
+        spans = settle(
+            plain.join(places.hint("shuffle_hash"), "id")
+            .select("id", "tie", "text", "places")
+            .mapInArrow(_send_surroundings(buckets, dests), _SURROUNDINGS)
+            .join(hot, "bucket", "left")
+            .mapInArrow(_deal_strings(buckets, dests), _DEALT)
+            .groupBy("bucket", "part").applyInPandas(_scan_bucket(dests), _ENTRIES)
+            .groupBy("dest").applyInPandas(_by_document, _FOUND), "repeat-spans")
     discard(shared, hot)
     by_row = spans.toDF("_id", "_tie", "_starts", "_lengths")
     rows = packed(docs, _id=own_id, _tie=own_tie).join(by_row.hint("shuffle_hash"), ["_id", "_tie"], "left")
