@@ -24,6 +24,7 @@ A fingerprint is compared inside the bucket of one anchor hash range only.
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 from collections.abc import Iterator
 
@@ -41,9 +42,9 @@ ANCHOR = 16
 REACH = LENGTH - ANCHOR + 1
 NO_ID = (1 << 63) - 1
 # Text of one batch in a task, of one numpy step, and of what one bucket stands for.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 6 << 20
 STEP_BYTES = 1 << 19
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 INDEX_BATCH = 1 << 19
 # Places of shared anchors from which on a bucket is divided, and those of one part.
 HOT_PLACES = 250_000
@@ -154,6 +155,14 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         yield rows
 
 
+def _tidy() -> None:
+    """Give memory that is free back to the system; two workers share a task's place in this operator."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _runs(sorted_values: np.ndarray) -> np.ndarray:
     """Where each run of equal values starts."""
     return np.flatnonzero(np.concatenate(([True], sorted_values[1:] != sorted_values[:-1])))
@@ -251,6 +260,7 @@ def _send_anchors(buckets: int, dests: int):
             for dest, *entries in _packed((owner[shared], none, place[shared], none), dests):
                 out.append((dest % buckets, b"", dest, *entries))
             yield from _record_batches(out, names)
+            _tidy()
 
     return run
 
@@ -279,6 +289,7 @@ def _shared_anchors(dests: int):
             out += [(*r, *none) for r in _packed((owner[many], zeros, place[many], zeros), dests)]
             out.append((int(key[0]) % dests, b"", b"", b"", b"", int(key[0]), int(stands[many | (stands > 1)].sum())))
         names = ["dest", "ids", "ties", "starts", "lengths", "bucket", "places"]
+        _tidy()
         return pd.DataFrame(out, columns=names).astype({"bucket": "Int64", "places": "Int64"})
 
     return run
@@ -341,6 +352,7 @@ def _send_surroundings(buckets: int, dests: int):
                 out.append((int(where[a]), b"".join(around[r] for r in order[part].tolist()), 0, *(
                     c[part].astype(k).tobytes() for c, k in zip((owner, tie, start, length), _KINDS))))
             yield from _record_batches(out, names)
+            _tidy()
 
     return run
 
@@ -449,6 +461,7 @@ def _deal_strings(buckets: int, dests: int):
                 out = dealt(batch.slice(n, 1).to_pylist()[0])
                 while rows := list(itertools.islice(out, 256)):
                     yield pa.RecordBatch.from_arrays([pa.array(c, kinds.get(n, pa.binary())) for c, n in zip(zip(*rows), names)], names)
+                _tidy()
 
     return run
 
@@ -465,6 +478,7 @@ def _scan_bucket(dests: int):
         alone = rows[strings]
         if len(alone):
             out += _packed(_string_spans(np.frombuffer(b"".join(alone["strings"]), np.uint64), *_unpacked(alone)[:3]), dests)
+        _tidy()
         return pd.DataFrame(out, columns=["dest", "ids", "ties", "starts", "lengths"])
 
     return run
