@@ -42,17 +42,19 @@ def sink_static_partition(spark, sf_dir):
 
 
 @query(with_(EV, ONLINE) + """SELECT uuid, '0' AS type, dt FROM online WHERE platform='HNYD'
-  UNION ALL SELECT uuid, '1', dt FROM online WHERE platform='HNLT'""")
+  UNION ALL SELECT uuid, '1', dt FROM online WHERE platform<>'HNYD'""")
 def sink_append_union(spark, sf_dir):
     """Both halves of a report are written together, so a rerun cannot append twice."""
     path = scratch_path(spark, "halves")
     online = frames.online(spark, sf_dir)
 
-    def half(platform, kind):
-        return online.where(F.col("platform") == platform).select("uuid", F.lit(kind).alias("type"), "dt")
+    own = F.col("platform") == "HNYD"
+
+    def half(rows, kind):
+        return online.where(rows).select("uuid", F.lit(kind).alias("type"), "dt")
 
     for _ in range(2):
-        sinks.overwrite_partitions(half("HNYD", "0").unionByName(half("HNLT", "1")), path, ("dt",), files=2)
+        sinks.overwrite_partitions(half(own, "0").unionByName(half(~own, "1")), path, ("dt",), files=2)
     return files.read_partition(spark, path).select("uuid", "type", "dt")
 
 
