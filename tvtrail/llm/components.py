@@ -14,20 +14,26 @@ from tvtrail.llm.common import discard, settle
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
+    """Settled, so that the join with the edges can split those of a hub."""
+    return settle(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low")), "smallest")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    hung = both.where(F.col("b") > F.col("a")).join(_smallest(both), "a")
-    return hung.select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+    low = _smallest(both)
+    hung = both.where(F.col("b") > F.col("a")).join(low, "a")
+    out = settle(hung.select(F.col("b").alias("a"), F.col("low").alias("b")).distinct(), "edges")
+    discard(low)
+    return out
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     low = _smallest(down)
     hung = down.join(low, "a").where(F.col("b") != F.col("low")).select(F.col("b").alias("a"), F.col("low").alias("b"))
-    return hung.unionByName(low.select("a", F.col("low").alias("b"))).where("a <> b").distinct()
+    out = settle(hung.unionByName(low.select("a", F.col("low").alias("b"))).where("a <> b").distinct(), "edges")
+    discard(low)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -39,7 +45,9 @@ def components(edges: DataFrame) -> DataFrame:
     now = settle(ids, "edges")
     seen = None
     while True:
-        following = settle(_small_star(_large_star(now)), "edges")
+        larger = _large_star(now)
+        following = _small_star(larger)
+        discard(larger)
         mark = tuple(following.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         discard(now)
         now = following

@@ -221,8 +221,10 @@ def _open_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
         F.min("component").alias("low"), F.max("component").alias("high"),
         F.bit_xor(F.xxhash64("node")).alias("mark"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("more"),
     ).where("low <> high")
-    once = mixed.groupBy("size", "mark", "more").agg(F.min("key").alias("key")).select("key")
-    return known.join(once, "key")
+    once = settle(mixed.groupBy("size", "mark", "more").agg(F.min("key").alias("key")).select("key"), "mixed-buckets")
+    out = settle(known.join(once, "key"), "open-buckets")
+    discard(once)
+    return out
 
 
 def _across(buckets: DataFrame, sketch: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
@@ -258,7 +260,9 @@ def link(
     nodes = settle(first.dropDuplicates(["id", "digest"]).select(F.col("id").alias("node"), "n", "registers", "bands"), "classes")
     sketch = nodes.select("node", "n", "registers")
     members = nodes.select("node", F.explode("bands").alias("key"))
-    center = members.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    # Settled for the same reason: a large family of near copies shares a bucket.
+    center = settle(
+        members.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1"), "bucket-centers")
     shared = settle(members.join(center, "key"), "shared-buckets")
     stars = settle(shared.where("node <> a").select("a", F.col("node").alias("b")).distinct(), "stars")
     sets = _sets(docs, text, key, stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct())
@@ -267,12 +271,12 @@ def link(
     likely = stars.join(one, "a").join(two, "b").where(estimate >= MIN_ESTIMATE).select("a", "b")
     links = _verified(likely.distinct(), sets, similarity)
     labels = components(links)
-    buckets = settle(_open_buckets(shared, labels), "open-buckets")
+    buckets = _open_buckets(shared, labels)
     if not buckets.isEmpty():
         more = _across(buckets, sketch, sets, similarity)
         if not more.isEmpty():
             labels = components(links.unionByName(more))
-    discard(copied, shared, stars, sets, buckets)
+    discard(copied, center, shared, stars, sets, buckets)
     # Copies belong to the component of their class.
     joined = same.join(labels, "node", "left").select(
         F.col("id").alias("node"), F.coalesce("component", "node").alias("component"))
