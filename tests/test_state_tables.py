@@ -42,7 +42,7 @@ def test_bucketed_tables(spark, tmp_path, partitions):
     assert buckets.bucket_count(spark, path) == 4
     same(buckets.read(spark, path, "k"), rows)
     same(spark.read.parquet(path), rows)
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tvtrail_")]
+    assert not [t for t in spark.catalog.listTables() if re.fullmatch("tvtrail_[0-9a-f]{32}", t.name)]
     before = spark.conf.get("spark.sql.shuffle.partitions")
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
