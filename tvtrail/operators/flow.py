@@ -73,20 +73,24 @@ def _slots(start: Column, end: Column, day: Column) -> Column:
     return F.when(low <= high, F.sequence(low, F.greatest(low, high))).otherwise(F.array().cast("array<bigint>"))
 
 
-def _salts(spread: DataFrame, per_salt: int) -> int:
+def _salts(views: DataFrame, per_salt: int) -> int:
     """Into how many parts the views of the fullest hour fall; one count comes to the driver."""
-    fullest = spread.groupBy("day", "_slot").count().agg(F.max("count")).first()[0] or 0
+    slots = views.select("day", F.explode(_slots(F.col("start_ts"), F.col("end_ts"), F.col("day"))).alias("_slot"))
+    fullest = slots.groupBy("day", "_slot").count().agg(F.max("count")).first()[0] or 0
     return max(1, -(-fullest // per_salt))
 
 
-def overlapping(views: DataFrame, guide: DataFrame, per_salt: int | None = None) -> DataFrame:
+def overlapping(
+    views: DataFrame, guide: DataFrame, per_salt: int | None = None, counted: DataFrame | None = None
+) -> DataFrame:
     """Views with the programmes of their day they overlap.
 
     Both sides are spread over the hours they touch and joined on (day, hour, salt),
     so the join stays an equi-join at any size; a pair that shares several hours
     is taken in the first shared one only.  Hours are few, and an evening hour may hold most
     views: as many salts as the fullest hour needs divide its views, and the far fewer
-    programmes are copied to each.
+    programmes are copied to each.  ``counted``: views among which these are, if counting
+    them takes less.
     """
     programmes = guide.withColumns({
         "_from": to_epoch(F.col("starttime")), "_to": to_epoch(F.col("endtime")),
@@ -102,7 +106,7 @@ def overlapping(views: DataFrame, guide: DataFrame, per_salt: int | None = None)
     programmes = programmes.withColumns({"_p0": F.get("_slots", F.lit(0)), "_slot": F.explode("_slots")})
     spread = views.withColumn("_vslots", _slots(F.col("start_ts"), F.col("end_ts"), F.col("day")))
     spread = spread.withColumns({"_v0": F.get("_vslots", F.lit(0)), "_slot": F.explode("_vslots")})
-    salts = _salts(spread.select("day", "_slot"), per_salt or VIEWS_PER_SALT)
+    salts = _salts(views if counted is None else counted, per_salt or VIEWS_PER_SALT)
     spread = spread.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in views.columns]), F.lit(salts)))
     copies = programmes.drop("_slots").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
@@ -118,8 +122,8 @@ def flow_events(views: DataFrame, guide: DataFrame, hot: HotKeys, keep: Keep = a
     """In- and outflows of each box and day, one per type and programme.
 
     ``views``: stbid, day, start_ts, end_ts, content (a name), rid.  Of several
-    flows of a box at a programme the first inflow and the last outflow count.  ``keep``: where
-    steps go that are read twice, to be counted and to be joined.
+    flows of a box at a programme the first inflow and the last outflow count.  ``keep``: where the
+    flows go, which are read twice.
     """
     rows = hot.split(views, "start_ts")
     rows = neighbours(
@@ -128,7 +132,7 @@ def flow_events(views: DataFrame, guide: DataFrame, hot: HotKeys, keep: Keep = a
     on_main = F.col("content") == MAIN_CHANNEL
     was_main = F.coalesce(F.col("_prev") == MAIN_CHANNEL, F.lit(False))
     # Views that are not on the main channel and do not leave it cause no flow.
-    pairs = overlapping(keep(rows.where(on_main | was_main), "flow-views"), guide)
+    pairs = overlapping(rows.where(on_main | was_main), guide, counted=views)
 
     def flow(kind: str, start: str, end: str, label: Column) -> Column:
         return F.struct(
