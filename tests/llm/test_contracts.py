@@ -75,7 +75,7 @@ def test_op10_hard_rows_by_string(spark, monkeypatch):
     same(digest(repeats.remove_repeats(frame(spark, rows))), removed_plainly([r[:2] for r in rows]))
 
 
-def test_op10_parts_stay_small(spark, monkeypatch):
+def test_op10_parts_stay_small(spark, monkeypatch, tmp_path):
     """The largest group grows with the number of batches, not of documents that have a line."""
     sizes = {}
     original = repeats._scan_bucket
@@ -88,7 +88,7 @@ def test_op10_parts_stay_small(spark, monkeypatch):
         for hot in (100, 1 << 40):
             monkeypatch.setattr(repeats, "HOT_PLACES", hot)
             monkeypatch.setattr(repeats, "PART_PLACES", 30)
-            path = f"/tmp/op10-sizes-{random.random()}"
+            path = f"{tmp_path}/{n}-{hot}"
 
             def measured(dests, path=path):
                 scan = original(dests)
