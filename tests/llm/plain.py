@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -167,3 +169,42 @@ def repeats(docs):
         runs = sum(1 for i, g in enumerate(gone) if g and (not i or not gone[i - 1]))
         out.append((doc, len(data), sum(gone), runs, sha(kept)))
     return out
+
+
+MARKOV_ALPHABET = string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/_=-"
+
+
+def markov_model(texts):
+    """Log ratios of character pairs, as rounded in the scan, from distinct texts."""
+    counts = [defaultdict(int), defaultdict(int)]
+    for text in set(texts):
+        access, hexes = "AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}"
+        found = [m.group(1) for m in _ASSIGN.finditer(text) if len(m.group(1)) >= 6]
+        found += re.findall(access, text) + re.findall(hexes, text)
+        ordinary = re.findall("[A-Za-z0-9_]{6,}", re.sub(f"{_ASSIGN.pattern}|{access}|{hexes}", " ", text))
+        # Random strings are learnt from labelled texts only, and from 16 characters on.
+        for n, strings in enumerate(([s for s in found if len(s) >= 16], ordinary)):
+            for s in strings:
+                for a, b in zip(s, s[1:]):
+                    if a in MARKOV_ALPHABET and b in MARKOV_ALPHABET:
+                        counts[n][a + b] += 1
+
+    def chances(pairs):
+        return {a + b: math.log(pairs.get(a + b, 0) + 1) - math.log(sum(pairs.get(a + c, 0) + 1 for c in MARKOV_ALPHABET))
+                for a in MARKOV_ALPHABET for b in MARKOV_ALPHABET}
+
+    up, down = (chances(c) for c in counts)
+    return {pair: float(f"{up[pair] - down[pair]:.4f}") for pair in up}
+
+
+def markov_spans(text, ratios, base):
+    """Strings that look random and meet no span of ``base``, as (start, end)."""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{2,}", text):
+        size, score = len(m.group()), 0.0
+        for a, b in zip(m.group(), m.group()[1:]):
+            score += ratios[a + b]
+        if score >= 12 + 2 * max(0, 16 - size) and score >= 0.3 * (size - 1):
+            if not any(a < m.end() and m.start() < b for a, b in base):
+                out.append(m.span())
+    return out

@@ -1,6 +1,8 @@
 """Cases that once broke a contract: letterless signs, clashing names, stores, hot lines, long words."""
 
 import random
+import string
+import time
 import tracemalloc
 
 import pytest
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.llm import plain
 from tests.llm.test_operators import SF, frame, hard_rows, same, table, words  # noqa: F401
 
-from tvtrail.llm import contamination, language, repeats, token_files
+from tvtrail.llm import contamination, language, quality, repeats, secrets, token_files
 
 
 def test_op5_signs_that_are_no_letters(spark):
@@ -155,3 +157,81 @@ def test_op8_column_names_with_dots(spark):
     docs = spark.createDataFrame([(1, "so One two three go"), (2, "no")], "doc_id bigint, `a.text` string")
     out = contamination.mark(docs, items, text="a.text", item_text="the.text", item_key="item.id")
     assert sorted((r["doc_id"], r["contamination"]["n_hit"], r["contamination"]["items"]) for r in out.collect()) == [(1, 3, [1]), (2, 0, [])]
+
+
+def spans_of(out, *kinds):
+    rows = out.select("doc_id", *[f"secrets.{k}" for k in kinds]).collect()
+    return {r["doc_id"]: [[(s["start"], s["end"]) for s in r[k]] for k in kinds] for r in rows}
+
+
+def keyed_texts(rng, n):
+    """Prose with assignments, identifiers and bare keys, some of them side by side."""
+    def key(size):
+        return "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(size))
+
+    out = []
+    for k in range(n):
+        parts = words(40, k)
+        for _ in range(rng.randrange(4)):
+            parts.insert(rng.randrange(len(parts)), rng.choice((
+                f"token={key(40)}", f"passwd: {key(24)}+{key(20)}", "read_next_block_of_bytes", "AKIA" + key(20).upper(),
+                "".join(rng.choice("0123456789abcdef") for _ in range(30)), key(rng.randrange(8, 40)), f"é{key(18)}.{key(18)}")))
+        out.append(" ".join(parts))
+    return [*out, *out[:5], "", None]
+
+
+def test_op4_markov_spans_are_the_models(spark):
+    """Trained and scored in plain Python, with copies among the rows, the spans are the same."""
+    texts = keyed_texts(random.Random(41), 150)
+    docs = frame(spark, [(k, t, None, None, None) for k, t in enumerate(texts)])
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    ratios = plain.markov_model(r["text"] or "" for r in known.select("text").collect())
+    got = spans_of(secrets.scan(docs, secrets.train(known.union(known.limit(50)))), "assign", "access", "hex", "markov")
+    want = {k: plain.markov_spans(t or "", ratios, sum(got[k][:3], [])) for k, t in enumerate(texts)}
+    assert {k: v[3] for k, v in got.items()} == want
+    assert sum(map(len, want.values())) > 50
+
+
+def test_op4_models_do_not_depend_on_files(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "RANDOM_DOCS", 20)
+    monkeypatch.setattr(secrets, "IDENTIFIER_DOCS", 30)
+    texts = keyed_texts(random.Random(42), 150)
+    rows = [(k, t, None, None, None) for k, t in enumerate(texts)]
+    once = secrets.train(frame(spark, rows).coalesce(1))
+    assert once == secrets.train(frame(spark, rows[::-1] + rows[:40]).repartition(7))
+    assert any(once.ratios)
+
+
+def test_op4_rare_labels_are_all_learnt_from(spark, monkeypatch):
+    """Few documents hold a labelled string: the sample is drawn among them."""
+    monkeypatch.setattr(secrets, "RANDOM_DOCS", 3)
+    rows = [(k, " ".join(words(30, k)), None, None, None) for k in range(200)]
+    rows += [(900 + k, f"token={'Zq9' * 8}", None, None, None) for k in range(2)]
+    model = secrets.train(frame(spark, rows))
+    at = secrets.ALPHABET.index
+    assert model.ratios[at("Z") * len(secrets.ALPHABET) + at("q")] > 1
+
+
+def test_op4_many_matches_in_one_text(spark):
+    """Time grows with the text, not with matches times strings."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model, rng = secrets.train(docs), random.Random(43)
+    letters = string.ascii_letters + string.digits
+    parts = ["".join(rng.choice(letters) for _ in range(20)) for _ in range(80_000)]
+    text = " ".join(f"token={p}" if k % 2 else p for k, p in enumerate(parts))
+    start = time.perf_counter()
+    got = spans_of(secrets.scan(frame(spark, [(1, text, None, None, None)]), model), "assign", "markov")[1]
+    assert time.perf_counter() - start < 60
+    assert len(got[0]) == 40_000 and 39_000 < len(got[1]) <= 40_000
+    assert all(text[a - 6:a] != "token=" for a, _ in got[1])
+
+
+def test_op7_measures_of_the_rules(spark):
+    rng = random.Random(44)
+    letters = ["a", "ab", "b", "a.", "é", " ", "  ", "\t", "\n", " \n", "\x0b", "\x85", "\xa0", "$1"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(400)] + ["", "a" * 50_000, "a " * 50_000]
+    pairs = [[x == y for x, y in zip(w, w[1:])] for w in (plain.BLANK.findall(t) for t in texts)]
+    want = [(sum(p), sum(bool(plain.BLANK.search(n)) for n in t.split("\n"))) for p, t in zip(pairs, texts)]
+    counts = [F.regexp_count("text", F.lit(p)) for p in (quality._STUTTER, quality._LINES)]
+    got = spark.createDataFrame(list(enumerate(texts)), "n int, text string").select("n", *counts).orderBy("n").collect()
+    assert [tuple(r)[1:] for r in got] == want

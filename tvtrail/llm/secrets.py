@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tvtrail.llm.common import let
+from tvtrail.llm.common import discard, let, settle
 
 # The base patterns, in their order of kind.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -36,6 +36,8 @@ FULL_LENGTH = 16
 SHORT_TOTAL = 2.0
 
 _BLOCK = 128
+# Steps of a binary search over the matches in a text.
+_STEPS = [1 << n for n in range(27, -1, -1)]
 _SPAN = "array<struct<start:int,end:int,text:string,value:string>>"
 
 
@@ -136,31 +138,55 @@ def _pair_counts(strings: Column, docs: DataFrame) -> dict[str, int]:
     return {r["pair"]: r["count"] for r in rows.collect()}
 
 
+def _smallest_hash(docs: DataFrame, rows: int, value: str) -> DataFrame:
+    """Of distinct texts those of the ``rows`` smallest hashes ``_h``, each with its ``value`` once."""
+    last = docs.select("_h").distinct().orderBy("_h").limit(rows).agg(F.max("_h")).first()[0]
+    chosen = docs.where(F.col("_h") <= F.lit(last).cast("bigint"))
+    return chosen.groupBy("_h").agg(F.any_value(value).alias(value))
+
+
 def train(docs: DataFrame, text: str = "text") -> Models:
     """Models from bounded samples of documents (``RANDOM_DOCS``, ``IDENTIFIER_DOCS``).
 
     Random strings are the values the fixed patterns find; ordinary identifiers are the
-    other words of letters, digits and underscores, of six characters or more.
+    other words of letters, digits and underscores, of six characters or more.  Samples
+    are the distinct texts of the smallest hashes, the first among texts that have such a value: they
+    do not depend on how rows lie in files, on ties or repeated rows.  Null and empty
+    texts teach nothing, and without any text every ratio is 0 and no string is reported.
     """
-    rows = max(1, docs.count())
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    labelled = docs.select(value.alias("text"))
+    texts = docs.select(value.alias("text"), F.xxhash64(value).alias("_h"))
     any_base = f"{ASSIGN}|{ACCESS}|{HEX}"
     strings = F.filter(
         F.concat(*[F.transform(F.col(f"b.{k}"), lambda s: s["value"]) for k in ("assign", "access", "hex")]),
         lambda s: F.length(s) >= 16)
-    secret = labelled.sample(min(1.0, RANDOM_DOCS / rows), seed=11).where(F.col("text").rlike(any_base))
-    random = _pair_counts(strings, secret.select(base_spans(F.col("text")).alias("b")))
+    labelled = texts.where(F.col("text").rlike(any_base)).withColumn("b", base_spans(F.col("text")))
+    # Only the values are stored; all documents are searched for them once.
+    labelled = settle(labelled.select("_h", strings.alias("strings")).where(F.size("strings") > 0), "labelled-strings")
+    random = _pair_counts(F.col("strings"), _smallest_hash(labelled, RANDOM_DOCS, "strings"))
+    discard(labelled)
     words = F.regexp_extract_all(F.regexp_replace("text", any_base, " "), F.lit("[A-Za-z0-9_]{6,}"), F.lit(0))
-    ordinary = _pair_counts(words, labelled.sample(min(1.0, IDENTIFIER_DOCS / rows), seed=13))
+    ordinary = _pair_counts(words, _smallest_hash(texts, IDENTIFIER_DOCS, "text"))
     up, down = _log_chances(random), _log_chances(ordinary)
     return Models(tuple(r - o for a, b in zip(up, down) for r, o in zip(a, b)))
 
 
+def _overlaps(span: Column, others: Column) -> Column:
+    """Whether a span meets one of ``others``, which ascend and do not overlap each other."""
+    def step(before: Column, size: Column) -> Column:
+        ended = (before + size <= F.size(others)) & (F.get(others, before + size - 1)["end"] <= span["start"])
+        return F.when(ended, before + size).otherwise(before)
+
+    ended = F.aggregate(F.array(*[F.lit(n) for n in _STEPS]), F.lit(0), step)
+    return F.coalesce(let(ended, lambda at: F.get(others, at)["start"]) < span["end"], F.lit(False))
+
+
 def scan(docs: DataFrame, models: Models, text: str = "text", into: str = "secrets") -> DataFrame:
     """``docs`` with a struct of span arrays (start, end, text, value): assign, access, hex, markov.
 
     Places are code points, end exclusive.  A null text is an empty one.  Nothing is shuffled.
+    A string is scored first; one that looks random is looked for among the pattern
+    matches by binary search, so a text of many matches takes little more than its length.
     """
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     strings = f"{STRING}{{{models.shortest()},}}"
@@ -171,13 +197,12 @@ def scan(docs: DataFrame, models: Models, text: str = "text", into: str = "secre
             score >= MIN_MEAN * (F.length(span["text"]) - 1)))
 
     def clear(span: Column, base: Column) -> Column:
-        hit = [F.exists(base[k], lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-               for k in ("assign", "access", "hex")]
+        hit = [_overlaps(span, base[k]) for k in ("assign", "access", "hex")]
         return ~(hit[0] | hit[1] | hit[2])
 
     found = let(base_spans(value), lambda base: F.struct(
         base["assign"].alias("assign"), base["access"].alias("access"), base["hex"].alias("hex"),
-        F.filter(occurrences(value, strings), lambda s: clear(s, base) & looks_random(s)).alias("markov")))
+        F.filter(F.filter(occurrences(value, strings), looks_random), lambda s: clear(s, base)).alias("markov")))
     return docs.withColumn(into, found)
 
 
