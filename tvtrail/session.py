@@ -85,6 +85,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def working_path(spark: SparkSession, name: str) -> str:
+    """A fresh path whose table goes when the enclosing ``working_tables`` blocks end."""
+    path = scratch_path(spark, name)
+    for tables in _open:
+        tables.append(path)
+    return path
+
+
 def stored(df: DataFrame, name: str, partitions: tuple[str, ...] = ()) -> DataFrame:
     """Write a frame several steps read, and read it back.
 
@@ -92,9 +100,7 @@ def stored(df: DataFrame, name: str, partitions: tuple[str, ...] = ()) -> DataFr
     neither repeat the work nor drag its lineage along.  Filters on columns of
     ``partitions`` read only their folders.
     """
-    path = scratch_path(df.sparkSession, name)
-    for tables in _open:
-        tables.append(path)
+    path = working_path(df.sparkSession, name)
     if not partitions:
         df.write.parquet(path)
         return df.sparkSession.read.parquet(path)
@@ -130,11 +136,14 @@ _open: list[list[str]] = []
 
 @contextmanager
 def working_tables(spark: SparkSession):
-    """Remove the tables ``stored`` inside the block when it ends, however it ends."""
+    """Remove the tables written inside the block when it ends, however it ends.
+
+    Yields the list of their paths; one taken from the list stays.
+    """
     tables: list[str] = []
     _open.append(tables)
     try:
-        yield
+        yield tables
     finally:
         _open.remove(tables)
         for name in tables:
