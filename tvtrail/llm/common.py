@@ -8,7 +8,7 @@ from contextlib import contextmanager
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tvtrail.session import scratch_path
+from tvtrail.session import working_path
 
 # Separators of words, as in the character class [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
@@ -30,9 +30,10 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a step to the shared folder, free its shuffle files, read it back.
 
     Later steps start from the written table, so a lost executor never costs
-    more than the tasks of the step at hand.
+    more than the tasks of the step at hand.  The table goes when an enclosing
+    ``working_tables`` block ends, or by ``discard``.
     """
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    spark, path = df.sparkSession, working_path(df.sparkSession, name)
     with setting(spark, _CLEANUP, "true"):
         df.write.parquet(path)
     table = spark.read.parquet(path)
