@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tvtrail.llm import contamination, mixing, near_dup, quality, sharding
-from tvtrail.llm.common import packed, unpacked
-from tvtrail.session import stored
+from tvtrail.llm.common import discard, packed, settle, unpacked
+from tvtrail.session import working_tables
 
 SHARDS = 16
 
@@ -63,9 +63,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = stored(docs, f"pipeline-{number + 1}")
-    return docs
+    """All stages in turn.
+
+    Once a stage's result is written, the tables it worked with and the documents it read are
+    removed.  What the last stage returns still reads its own; put ``run`` and the use of its
+    result in a ``working_tables`` block to have them removed too.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
+    for name, stage in STAGES[:-1]:
+        with working_tables(spark) as working:
+            docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+            working.remove(docs.settled_at)
+        discard(*before)
+        before = [docs]
+    return STAGES[-1][1](spark, docs, sf_dir)
