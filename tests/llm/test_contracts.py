@@ -5,11 +5,13 @@ import string
 import time
 import tracemalloc
 
+import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 from tests.llm import plain
 from tests.llm.test_operators import SF, frame, hard_rows, same, table, words  # noqa: F401
 
+from tvtrail import session
 from tvtrail.llm import contamination, language, quality, repeats, secrets, token_files
 
 
@@ -235,3 +237,59 @@ def test_op7_measures_of_the_rules(spark):
     counts = [F.regexp_count("text", F.lit(p)) for p in (quality._STUTTER, quality._LINES)]
     got = spark.createDataFrame(list(enumerate(texts)), "n int, text string").select("n", *counts).orderBy("n").collect()
     assert [tuple(r)[1:] for r in got] == want
+
+
+def test_op8_windows_by_blocks(monkeypatch):
+    """Few words, many repeats and items of every length: as window by window, in steps of any size."""
+    rng = random.Random(45)
+    for window, letters, step in ((10, "ab", 7), (10, "abcdefgh", 1 << 18), (9, "ab", 1 << 18), (3, "abc", 5), (2, "abc", 1), (1, "abc", 9)):
+        monkeypatch.setattr(contamination, "STEP_PAIRS", step)
+        line = [rng.choice(letters) for _ in range(400)]
+        items = [(n % 25, " ".join(line[a:a + rng.randrange(25)]).encode()) for n, a in enumerate(rng.randrange(400) for _ in range(30))]
+        scanner = contamination.Scanner([*items, (99, None), (None, b"a, B; a")], window)
+        wanted = {}
+        for item, text in [*items, (None, b"a, B; a")]:
+            w = contamination.words_of(text)
+            for k in range(len(w) - min(window, len(w)) + 1 if w else 0):
+                wanted.setdefault(tuple(w[k:k + window]), set()).add(item)
+        for _ in range(30):
+            a = rng.randrange(400)
+            words = [w.encode() for w in line[a:a + 30] + [rng.choice(letters + "xy") for _ in range(rng.randrange(40))]]
+            hit, found = set(), set()
+            for w, ids in wanted.items():
+                for k in range(len(words) - len(w) + 1):
+                    if tuple(words[k:k + len(w)]) == w:
+                        hit.update(range(k, k + len(w)))
+                        found |= ids
+            ranges, got = scanner.scan(words)
+            assert got == found and {k for x, y in ranges for k in range(x, y)} == hit
+
+
+def test_op8_large_benchmark(spark):
+    """Four million letters of benchmark are one automaton; more than the bound is refused."""
+    rng = random.Random(46)
+    vocabulary = words(3000, 47)
+    items = [(n, " ".join(rng.choices(vocabulary, k=600))) for n in range(1200)]
+    tracemalloc.start()
+    scanner = contamination.Scanner([(n, t.encode()) for n, t in items])
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 150e6
+    for n in range(0, 1200, 40):
+        w = items[n][1].encode().split()
+        assert scanner.scan([b"so", *w[133:143], b"on"]) == ([(1, 11)], {n})
+        assert scanner.scan([b"so", *w[133:142], b"on"]) == ([], set())
+    bench = spark.createDataFrame(items[:9], "item_id bigint, text string")
+    with pytest.raises(ValueError, match="benchmark"):
+        contamination.mark(bench, bench, most_bytes=20_000)
+    both = contamination.mark(bench.union(bench), bench, most_bytes=40_000)  # repeated rows
+    assert sorted((r["item_id"], *r["contamination"]["items"]) for r in both.collect()) == sorted((n, n) for n in [*range(9)] * 2)
+
+
+def test_pipeline_leaves_no_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    with session.working_tables(spark):
+        assert corpus_pipeline.run(spark, SF).count() > 0
+        # Documents of the last written stage, and what sharding reads.
+        assert 1 <= len(list(tmp_path.iterdir())) <= 4
+    assert not list(tmp_path.iterdir())
